@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from wardlens.functions.columns import rate_pct
 from wardlens.schemas import TOP_DIAGNOSES_DEFAULT
 
-_ONE = F.lit(1)
+
+def _one():
+    return F.lit(1)
 
 
 def _one_row(*parts: DataFrame) -> DataFrame:
@@ -36,8 +38,8 @@ def cohort_summary(patients: DataFrame, admissions: DataFrame) -> DataFrame:
     whose patient exists (a semi join).
     """
     p = patients.select("subject_id", "gender")
-    per_subject = admissions.groupBy("subject_id").agg(F.count(_ONE).alias("_n_adm"))
-    weight = F.coalesce(F.col("_n_adm"), _ONE)
+    per_subject = admissions.groupBy("subject_id").agg(F.count(_one()).alias("_n_adm"))
+    weight = F.coalesce(F.col("_n_adm"), _one())
     gender_part = p.join(per_subject, "subject_id", "left").agg(
         F.count_distinct("subject_id").alias("n_patients"),
         F.sum(F.when(F.col("gender") == "M", weight).otherwise(0)).cast("long").alias("n_male"),
@@ -53,7 +55,7 @@ def length_of_stay_by_careunit(icustays: DataFrame) -> DataFrame:
     """Q2: ICU stays and rounded mean/min/max length of stay (days) per first care unit."""
     return (icustays.where(F.col("los").isNotNull())
             .groupBy("first_careunit")
-            .agg(F.count(_ONE).alias("n_stays"),
+            .agg(F.count(_one()).alias("n_stays"),
                  F.round(F.avg("los"), 2).alias("avg_los_days"),
                  F.round(F.min("los"), 2).alias("min_los_days"),
                  F.round(F.max("los"), 2).alias("max_los_days"))
@@ -67,7 +69,7 @@ def top_diagnoses(diagnoses_icd: DataFrame, d_icd_diagnoses: DataFrame,
     Codes are counted before the dictionary join; a code listed k times in the
     dictionary still counts k times per title, as in the joined form.
     """
-    counts = diagnoses_icd.groupBy("icd9_code").agg(F.count(_ONE).alias("_n"))
+    counts = diagnoses_icd.groupBy("icd9_code").agg(F.count(_one()).alias("_n"))
     titled = counts.join(d_icd_diagnoses.select("icd9_code", "short_title"), "icd9_code", "left")
     return (titled.groupBy("icd9_code", "short_title")
             .agg(F.sum("_n").alias("n_occurrences"))
@@ -79,7 +81,7 @@ def top_diagnoses(diagnoses_icd: DataFrame, d_icd_diagnoses: DataFrame,
 def mortality_by_admission_type(admissions: DataFrame) -> DataFrame:
     """Q4: admissions, deaths and mortality rate (%, 1 decimal) per admission type."""
     return (admissions.groupBy("admission_type")
-            .agg(F.count(_ONE).alias("n_admissions"),
+            .agg(F.count(_one()).alias("n_admissions"),
                  F.sum("hospital_expire_flag").cast("long").alias("n_deaths"))
             .withColumn("mortality_rate_pct", rate_pct("n_deaths", "n_admissions", 1))
             .orderBy(F.desc("mortality_rate_pct"), F.asc_nulls_first("admission_type")))
@@ -97,12 +99,12 @@ def mortality_by_careunit(admissions: DataFrame, icustays: DataFrame,
     Stays are reduced to one row per (admission, unit) before the join and
     admissions to one row per admission, so neither side fans out.
     """
-    stays = icustays.groupBy("hadm_id", "first_careunit").agg(F.count(_ONE).alias("_n_stays"))
+    stays = icustays.groupBy("hadm_id", "first_careunit").agg(F.count(_one()).alias("_n_stays"))
     adm = admissions.groupBy("hadm_id").agg(F.sum("hospital_expire_flag").alias("_deaths"))
     joined = stays.join(adm, "hadm_id")
     deaths = F.col("_deaths") if dedup else F.col("_deaths") * F.col("_n_stays")
     return (joined.groupBy("first_careunit")
-            .agg(F.count(_ONE).alias("n_admissions"), F.sum(deaths).cast("long").alias("n_deaths"))
+            .agg(F.count(_one()).alias("n_admissions"), F.sum(deaths).cast("long").alias("n_deaths"))
             .withColumn("mortality_rate_pct", rate_pct("n_deaths", "n_admissions", 1))
             .orderBy(F.desc("mortality_rate_pct"), F.asc_nulls_first("first_careunit")))
 

@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 from wardlens.functions.columns import cap_upper, indicator, safe_ratio
 from wardlens.functions.timeutil import days_between, plus_hours
-from wardlens.plans.median import exact_median
+from wardlens.plans.median import exact_medians
 from wardlens.plans.skew import DEFAULT_JOIN_HOT_THRESHOLD, salted_join
 from wardlens.schemas import (ABNORMAL_FLAG, AGE_CAP_YEARS, DAYS_PER_YEAR, FEATURE_TABLE_COLUMNS,
                               LAB_WINDOW_HOURS, NO_ICU_LABEL)
 
-_ONE = F.lit(1)
+
+def _one():
+    return F.lit(1)
 
 BASE_COLUMNS = [
     "subject_id", "hadm_id", "admission_type", "admission_location", "insurance", "ethnicity",
@@ -39,7 +41,7 @@ def icu_rollup(icustays: DataFrame) -> DataFrame:
     ``icustay_id``); a NULL unit on that stay stays NULL.
     """
     return icustays.groupBy("hadm_id").agg(
-        F.count(_ONE).alias("n_icu_stays"),
+        F.count(_one()).alias("n_icu_stays"),
         F.sum("los").alias("total_icu_los_days"),
         F.min_by("first_careunit", F.struct("intime", "icustay_id")).alias("first_icu_careunit"),
     )
@@ -64,7 +66,7 @@ def lab_window(labevents: DataFrame, admissions: DataFrame, hours: int = LAB_WIN
         condition=lambda big, small: big("charttime") <= plus_hours(small("admittime"), hours),
         hot_threshold=hot_threshold)
     return joined.groupBy("hadm_id").agg(
-        F.count(_ONE).alias("n_lab_results_24h"),
+        F.count(_one()).alias("n_lab_results_24h"),
         F.sum(indicator(F.col("flag") == F.lit(ABNORMAL_FLAG))).cast("long").alias("n_abnormal_labs_24h"),
     )
 
@@ -105,11 +107,8 @@ def feature_medians(source: DataFrame) -> dict[str, float | None]:
 
     ``source`` needs ``age_days`` and ``hospital_los_days``, one row per feature row.
     """
-    ages = source.select(_age_years("age_days").alias("age_years"))
-    return {
-        "hospital_los_days": exact_median(source, "hospital_los_days"),
-        "age_years": exact_median(ages, "age_years"),
-    }
+    both = source.select("hospital_los_days", _age_years("age_days").alias("age_years"))
+    return exact_medians(both, ["hospital_los_days", "age_years"])
 
 
 def finalize_features(base: DataFrame, medians: dict[str, float | None] | None = None) -> DataFrame:
@@ -150,7 +149,7 @@ def build_cohort_features(tables: dict[str, DataFrame], *,
 def feature_report(features: DataFrame) -> DataFrame:
     """Row count, column count and in-hospital mortality rate of a feature table."""
     return features.agg(
-        F.count(_ONE).alias("n_admissions"),
+        F.count(_one()).alias("n_admissions"),
         F.lit(len(features.columns)).alias("n_columns"),
         F.avg("hospital_expire_flag").alias("mortality_rate"),
     )

@@ -79,20 +79,30 @@ def readmission_frame(features_with_target: DataFrame, **kw) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def category_levels(df: DataFrame, columns, max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted non-NULL levels per categorical column.
+    """Sorted non-NULL levels per categorical column, all columns in one job.
 
-    One distinct aggregation per column; refuses more than ``max_levels``
-    levels so the list brought to the driver stays bounded.
+    (column, level) pairs are made distinct (partial aggregation first) and at
+    most ``max_levels * columns + 1`` of them are brought back, so the driver
+    side stays bounded; a column with more than ``max_levels`` levels is an
+    error.
     """
-    out = {}
-    for c in columns:
-        if c not in df.columns:
-            continue
-        rows = (df.select(F.col(c).cast("string").alias("v")).where(F.col("v").isNotNull())
-                .distinct().orderBy("v").limit(max_levels + 1).collect())
-        if len(rows) > max_levels:
+    present = [c for c in columns if c in df.columns]
+    if not present:
+        return {}
+    cap = max_levels * len(present)
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in present
+    ])).alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct()
+    rows = pairs.limit(cap + 1).collect()
+    if len(rows) > cap:
+        raise ValueError(f"a categorical column has more than {max_levels} levels")
+    out: dict[str, list[str]] = {c: [] for c in present}
+    for r in rows:
+        out[r["c"]].append(r["v"])
+    for c in present:
+        if len(out[c]) > max_levels:
             raise ValueError(f"{c} has more than {max_levels} levels")
-        out[c] = [r["v"] for r in rows]
+        out[c].sort()
     return out
 
 

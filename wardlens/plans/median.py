@@ -55,19 +55,37 @@ def _kth_smallest(x: DataFrame, n: int, k: int, candidate_limit: int, accuracy:
     raise RuntimeError("exact median did not converge")
 
 
-def exact_median(df: DataFrame, col: str, *, candidate_limit: int = DEFAULT_CANDIDATE_LIMIT,
-                 accuracy: int = DEFAULT_ACCURACY) -> float | None:
-    """Median of ``col`` ignoring NULL and NaN; mean of the two middle values for even n.
+def exact_medians(df: DataFrame, cols, *, candidate_limit: int = DEFAULT_CANDIDATE_LIMIT,
+                  accuracy: int = DEFAULT_ACCURACY) -> dict[str, float | None]:
+    """Medians of several columns, ignoring NULL and NaN; None for a column without values.
 
     The even case is ``(lo + hi) / 2``, as pandas and SQL engines compute it.
-    Returns None for no values.
+    One pass counts the values of every column. Columns with at most
+    ``candidate_limit`` values get Spark's exact ``median`` together in a
+    second pass (its buffer then holds a bounded number of values); larger
+    columns are narrowed first as described in the module docstring.
     """
-    x = df.select(F.col(col).cast("double").alias("x")).where(
-        F.col("x").isNotNull() & ~F.isnan("x"))
-    n = x.count()
-    if n == 0:
-        return None
-    k1, k2 = (n - 1) // 2, n // 2
-    v1 = _kth_smallest(x, n, k1, candidate_limit, accuracy)
-    v2 = v1 if k2 == k1 else _kth_smallest(x, n, k2, candidate_limit, accuracy)
-    return (v1 + v2) / 2.0
+    cols = list(cols)
+    clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    counts = df.agg(*[F.count(clean[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    out: dict[str, float | None] = {}
+    small = [c for i, c in enumerate(cols) if 0 < counts[f"n{i}"] <= candidate_limit]
+    if small:
+        row = df.agg(*[F.median(clean[c]).alias(f"m{i}") for i, c in enumerate(small)]).first()
+        out.update({c: float(row[f"m{i}"]) for i, c in enumerate(small)})
+    for i, c in enumerate(cols):
+        n = counts[f"n{i}"]
+        if n == 0:
+            out[c] = None
+        elif c not in out:
+            x = df.select(clean[c].alias("x")).where(F.col("x").isNotNull())
+            k1, k2 = (n - 1) // 2, n // 2
+            v1 = _kth_smallest(x, n, k1, candidate_limit, accuracy)
+            v2 = v1 if k2 == k1 else _kth_smallest(x, n, k2, candidate_limit, accuracy)
+            out[c] = (v1 + v2) / 2.0
+    return out
+
+
+def exact_median(df: DataFrame, col: str, **kw) -> float | None:
+    """Median of one column (see :func:`exact_medians`)."""
+    return exact_medians(df, [col], **kw)[col]
