@@ -194,7 +194,7 @@ def classifier(kind: str, *, n_train: int | None = None, params: dict | None = N
     if kind == "rf":
         return RandomForestClassifier(
             featuresCol="features", labelCol=LABEL, weightCol=WEIGHT, seed=RANDOM_SEED,
-            featureSubsetStrategy="sqrt",
+            featureSubsetStrategy="sqrt", maxMemoryInMB=1024, cacheNodeIds=True,
             numTrees=int(params.get("numTrees", 100)),
             maxDepth=_depth(params.get("maxDepth", None)),
             minInstancesPerNode=int(params.get("minInstancesPerNode", 1)))
@@ -219,19 +219,33 @@ def n_label_classes(df: DataFrame) -> int:
     return df.select(LABEL).distinct().count()
 
 
+def fold_label_counts(data: DataFrame) -> dict[int, dict[int, int]]:
+    """Rows per (fold, label) in one job: ``{fold: {label: n}}`` (k x classes entries)."""
+    out: dict[int, dict[int, int]] = {}
+    for r in data.groupBy(FOLD, LABEL).agg(F.count(F.lit(1)).alias("n")).collect():
+        out.setdefault(r[FOLD], {})[r[LABEL]] = r["n"]
+    return out
+
+
 def fold_aucs(data: DataFrame, features: list[str], kind: str, k: int,
-              params: dict | None = None) -> DataFrame:
+              params: dict | None = None, counts: dict | None = None) -> DataFrame:
     """ROC-AUC per held-out fold; NULL (not 0) for a fold with one class."""
     spark = data.sparkSession
+    counts = counts if counts is not None else fold_label_counts(data)
     rows = []
     for f in range(k):
-        train, test = data.where(F.col(FOLD) != f), data.where(F.col(FOLD) == f)
-        if n_label_classes(test) < 2 or n_label_classes(train) < 2:
+        test_classes = {c for c, n in counts.get(f, {}).items() if n > 0}
+        train_n: dict[int, int] = {}
+        for g, per in counts.items():
+            if g != f:
+                for c, n in per.items():
+                    train_n[c] = train_n.get(c, 0) + n
+        if len(test_classes) < 2 or len(train_n) < 2:
             rows.append((f, None))
             continue
-        n_train = train.count()
-        model = model_pipeline(features, classifier(kind, n_train=n_train, params=params)).fit(train)
-        rows.append((f, float(evaluator().evaluate(model.transform(test)))))
+        train, test = data.where(F.col(FOLD) != f), data.where(F.col(FOLD) == f)
+        pipe = model_pipeline(features, classifier(kind, n_train=sum(train_n.values()), params=params))
+        rows.append((f, float(evaluator().evaluate(pipe.fit(train).transform(test)))))
     return spark.createDataFrame(rows, "fold int, auc double")
 
 
@@ -293,20 +307,32 @@ class TrainResult:
     skipped_reason: str | None = None
 
 
+ROWS_PER_FIT_PARTITION = 20_000
+
+
 def prepare(frame: DataFrame, k_max: int = N_CV_SPLITS, group_col: str = "subject_id"):
     """Encode, weight and fold a model frame; returns (data, encoder, features, k) or reason."""
-    from wardlens.operators.folds import assign_folds, fold_count, grouped_folds
+    from wardlens.operators.folds import assign_folds, grouped_folds
     from wardlens.session import materialize
 
-    n_classes, smallest, k = fold_count(frame, LABEL, k_max)
-    if n_classes < 2:
+    # The model frame is narrow (one row per admission, a few columns); writing
+    # it once means the class counts, levels, folds and every fit below read
+    # these files instead of re-running the feature plan.
+    frame = materialize(frame, "model-frame")
+    counts = [r["n"] for r in frame.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n")).collect()]
+    if len(counts) < 2:
         return None, "only one class in the target"
+    k = min(k_max, min(counts))
     if k < 2:
-        return None, f"smallest class has {smallest} rows; at least 2 are needed for folds"
+        return None, f"smallest class has {min(counts)} rows; at least 2 are needed for folds"
     encoder = fit_encoder(frame)
     encoded = with_class_weights(encoder.transform(frame))
     folds = grouped_folds(frame, group_col, LABEL, k)
-    data = materialize(assign_folds(encoded, folds, group_col))
+    # Fits pass over the data many times: give them parallel tasks, about one
+    # per ROWS_PER_FIT_PARTITION rows, up to the cluster's default parallelism.
+    sc = frame.sparkSession.sparkContext
+    parts = max(1, min(sc.defaultParallelism, -(-sum(counts) // ROWS_PER_FIT_PARTITION)))
+    data = materialize(assign_folds(encoded, folds, group_col), "model-data", parts)
     return (data, encoder, feature_columns(encoded, encoder=encoder), k), None
 
 
@@ -326,9 +352,10 @@ def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid:
         return TrainResult(None, None, skipped_reason=reason)
     data, encoder, features, k = prepared
 
-    lr_aucs = fold_aucs(data, features, "lr", k)
+    counts = fold_label_counts(data)
+    lr_aucs = fold_aucs(data, features, "lr", k, counts=counts)
     best, grid_table = grid_search(data, features, k, grid, parallelism)
-    rf_aucs = fold_aucs(data, features, "rf", k, best)
+    rf_aucs = fold_aucs(data, features, "rf", k, best, counts=counts)
 
     train = data if refit_all else data.where(F.col(FOLD) != 0)
     test = data.where(F.col(FOLD) == 0)
@@ -345,7 +372,7 @@ def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid:
         "classification_report": ev.classification_report(pred),
         "confusion": ev.confusion_counts(pred),
     }
-    if n_label_classes(test) > 1:
+    if len([c for c, n in counts.get(0, {}).items() if n > 0]) > 1:
         tables["held_out_auc"] = ev.auc_table(pred)
         tables["roc"] = ev.roc_points(pred)
     importances = ev.feature_importance(fitted.stages[-1], features)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,14 +66,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by writing ``df`` to the checkpoint folder (reliable checkpoint).
+def materialize(df: DataFrame, name: str = "table", min_partitions: int | None = None) -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet under the checkpoint folder and read it back.
 
-    Used before a DataFrame is read many times (cross-validation), so a lost
-    executor re-reads checkpoint files instead of replaying the whole plan.
+    Used before a DataFrame is read many times (class counts, levels, folds,
+    every cross-validation fit). One job writes it (``DataFrame.checkpoint``
+    would run the plan twice: once to count, once to write); afterwards a lost
+    executor re-reads files from the shared folder instead of replaying the
+    plan, and reads get column pruning and Parquet statistics.
+
+    ``min_partitions`` spreads the rows round-robin over that many files first
+    (no key, so no skew): CPU-heavy readers such as model fits then get that
+    many tasks even when AQE has merged a small result into one partition.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    if min_partitions:
+        df = df.repartition(int(min_partitions))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/wardlens-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

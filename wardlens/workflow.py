@@ -34,7 +34,7 @@ def run_analysis(spark: SparkSession, data_dir: str | None = None, out_dir: str
     results: dict = {"missing_tables": missing, "load_report": load_report(tables)}
     results.update(run_all_descriptive_queries(tables))
 
-    features = materialize(build_cohort_features(tables))
+    features = materialize(build_cohort_features(tables), "cohort-features")
     results["cohort_features"] = features
     results["feature_report"] = feature_report(features)
     target = readmission_target(tables["admissions"], sort=False)
