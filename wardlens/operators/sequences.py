@@ -70,3 +70,14 @@ def event_gaps(events: DataFrame, *, key: str = "user_id", ts: str = "ts", tie:
         (F.timestamp_diff("MICROSECOND", F.col(ts), F.col(f"next_{ts}")) / F.lit(1e6))
         .alias("secs_to_next"),
     )
+
+
+def readmission_summary(intervals: DataFrame, window_days: int = READMIT_WINDOW_DAYS) -> DataFrame:
+    """Counts over Q6: admissions, repeat admissions, repeats within ``window_days``
+    of the previous discharge, and the most admissions of one patient."""
+    return intervals.agg(
+        F.count(F.lit(1)).alias("n_admissions"),
+        F.count_if(F.col("admission_seq") > 1).alias("n_repeat_admissions"),
+        F.count_if(F.col("days_since_last_discharge") <= F.lit(float(window_days))).alias("n_within_window"),
+        F.max("admission_seq").alias("max_admissions_per_patient"),
+    )
