@@ -86,10 +86,13 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
                 .withColumn("_wl_b", F.spark_partition_id()))
     wl = Window.partitionBy(*keys, "_wl_b").orderBy(*order)
     local = hot_rows.select(*cols, "_wl_b", *outputs(wl, "_wl_rn"))
-    slices = local.groupBy(*keys, "_wl_b").agg(
+    # Slice summary straight from the sliced rows (not from the windowed
+    # output, so the window runs once); same (key, slice) shuffle as the window.
+    position = F.struct(*order)
+    slices = hot_rows.groupBy(*keys, "_wl_b").agg(
         F.count(F.lit(1)).alias("_wl_cnt"),
-        *[F.max_by(c, "_wl_rn").alias(f"_wl_last_{c}") for c in lag],
-        *[F.min_by(c, "_wl_rn").alias(f"_wl_first_{c}") for c in lead],
+        *[F.max_by(c, position).alias(f"_wl_last_{c}") for c in lag],
+        *[F.min_by(c, position).alias(f"_wl_first_{c}") for c in lead],
     )
     ws = Window.partitionBy(*keys).orderBy("_wl_b")
     slices = slices.select(
@@ -134,11 +137,14 @@ def global_positions(df: DataFrame, order: Sequence[Column | str], pos_col: str
     """
     parts = partitions or shuffle_partitions(df.sparkSession)
     cols = df.columns
-    ranged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    exchanged = df.repartitionByRange(parts, *order)
+    ranged = (exchanged.sortWithinPartitions(*order)
               .withColumn("_wl_p", F.spark_partition_id())
               .withColumn("_wl_i", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    sizes = ranged.groupBy("_wl_p").agg(F.count(F.lit(1)).alias("_wl_c"))
+    # Sizes need no sort; both branches read the same range exchange.
+    sizes = (exchanged.withColumn("_wl_p", F.spark_partition_id())
+             .groupBy("_wl_p").agg(F.count(F.lit(1)).alias("_wl_c")))
     offs = _offsets(sizes, ["_wl_c"])
     return (ranged.join(F.broadcast(offs), "_wl_p")
             .select(*cols, (F.col("_wl_c_off") + F.col("_wl_i")).alias(pos_col)))
