@@ -47,6 +47,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int,
             .select(*keys))
 
 
+def hot_key_table(df: DataFrame, keys: Sequence[str], threshold: int,
+                  max_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame | None:
+    """The hot keys as a small DataFrame, or None when no key is hot.
+
+    Runs the (partially aggregated) per-key count once and brings back at most
+    ``max_keys`` key tuples, so callers can keep the plain plan when nothing is
+    hot and broadcast a table of known size when something is.
+    """
+    rows = hot_keys(df, keys, threshold, max_keys).collect()
+    if not rows:
+        return None
+    schema = df.select(*keys).schema
+    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+
+
 def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
                    seq_col: str | None = "seq",
                    lag: Sequence[str] = (), lead: Sequence[str] = (),
@@ -57,13 +72,12 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
 
     ``order`` must be a total order within a key (end it with a unique column)
     for the result to be deterministic. Rows with a NULL key form one group, as
-    in SQL window partitions.
+    in SQL window partitions. The per-key count runs once while the plan is
+    built; when no key is hot the result is the plain one-window plan.
     """
     keys = _names(key)
     order = list(order)
     cols = df.columns
-    hot = hot_keys(df, keys, hot_threshold, max_hot_keys).withColumn("_wl_hot", F.lit(True))
-    tagged = df.join(F.broadcast(hot), keys, "left")
 
     def outputs(w, rn_name):
         out = []
@@ -73,11 +87,18 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
         out += [F.lead(c).over(w).alias(f"next_{c}") for c in lead]
         return out
 
+    def plain(frame):
+        out = frame.select(*cols, *outputs(Window.partitionBy(*keys).orderBy(*order),
+                                           seq_col or "_wl_seq"))
+        return out if seq_col else out.drop("_wl_seq")
+
+    hot = hot_key_table(df, keys, hot_threshold, max_hot_keys)
+    if hot is None:  # nothing hot: one exchange, one window
+        return plain(df)
+    tagged = df.join(F.broadcast(hot.withColumn("_wl_hot", F.lit(True))), keys, "left")
+
     # Ordinary keys: one window partition per key.
-    w = Window.partitionBy(*keys).orderBy(*order)
-    cold = tagged.where(F.col("_wl_hot").isNull()).select(*cols, *outputs(w, seq_col or "_wl_seq"))
-    if not seq_col:
-        cold = cold.drop("_wl_seq")
+    cold = plain(tagged.where(F.col("_wl_hot").isNull()))
 
     # Hot keys: contiguous slices of (key, order) from a range exchange.
     parts = hot_partitions or shuffle_partitions(df.sparkSession)

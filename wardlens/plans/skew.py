@@ -4,7 +4,9 @@
 sub-keys and copies the matching small-side rows once per sub-key. Only hot
 keys are salted, so the small side grows by ``salts`` rows per hot key, and
 the hot-key table is capped at ``max_hot_keys`` rows, which bounds its
-broadcast. Keys beyond the cap still join exactly, just unsalted.
+broadcast. Keys beyond the cap still join exactly, just unsalted. The hot
+keys are counted once while the plan is built; with none, the plain join is
+returned.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.plans.ordering import DEFAULT_MAX_HOT_KEYS, hot_keys
+from wardlens.plans.ordering import DEFAULT_MAX_HOT_KEYS, hot_key_table
 
 DEFAULT_SALTS = 32
 DEFAULT_JOIN_HOT_THRESHOLD = 1_000_000
@@ -35,7 +37,25 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], *,
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports how='inner' or 'left'")
     keys = list(keys)
-    hot = hot_keys(big, keys, hot_threshold, max_hot_keys).withColumn("_wl_hot", F.lit(True))
+    bb0, ss0 = big.alias("_wl_big"), small.alias("_wl_small")
+    small_cols = [c for c in small.columns if c not in keys]
+
+    def cond_for(extra_keys):
+        cond: Column = F.lit(True)
+        for k in keys + extra_keys:
+            cond = cond & (F.col(f"_wl_big.{k}") == F.col(f"_wl_small.{k}"))
+        if condition is not None:
+            cond = cond & condition(lambda c: F.col(f"_wl_big.{c}"), lambda c: F.col(f"_wl_small.{c}"))
+        return cond
+
+    def project(joined):
+        return joined.select(*[F.col(f"_wl_big.{c}").alias(c) for c in big.columns],
+                             *[F.col(f"_wl_small.{c}").alias(c) for c in small_cols])
+
+    hot_table = hot_key_table(big, keys, hot_threshold, max_hot_keys)
+    if hot_table is None:  # nothing hot: the plain join
+        return project(bb0.join(ss0, cond_for([]), how))
+    hot = hot_table.withColumn("_wl_hot", F.lit(True))
 
     b = big.join(F.broadcast(hot), keys, "left").withColumn(
         "_wl_salt",
@@ -47,14 +67,4 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], *,
                   .otherwise(F.array(F.lit(0)))),
     ).drop("_wl_hot")
 
-    bb, ss = b.alias("_wl_big"), s.alias("_wl_small")
-    cond: Column = F.lit(True)
-    for k in keys + ["_wl_salt"]:
-        cond = cond & (F.col(f"_wl_big.{k}") == F.col(f"_wl_small.{k}"))
-    if condition is not None:
-        cond = cond & condition(lambda c: F.col(f"_wl_big.{c}"), lambda c: F.col(f"_wl_small.{c}"))
-    small_cols = [c for c in small.columns if c not in keys]
-    return bb.join(ss, cond, how).select(
-        *[F.col(f"_wl_big.{c}").alias(c) for c in big.columns],
-        *[F.col(f"_wl_small.{c}").alias(c) for c in small_cols],
-    )
+    return project(b.alias("_wl_big").join(s.alias("_wl_small"), cond_for(["_wl_salt"]), how))
