@@ -38,13 +38,16 @@ def icu_rollup(icustays: DataFrame) -> DataFrame:
     """Stays per admission: count, summed LOS, unit of the earliest stay.
 
     The unit is taken from the stay with the earliest ``intime`` (ties by
-    ``icustay_id``); a NULL unit on that stay stays NULL.
+    ``icustay_id``); a NULL unit on that stay stays NULL. It is the last field
+    of the smallest (intime, icustay_id, unit) struct: one partially
+    aggregated pass (cheaper than ``min_by`` with a struct ordering).
     """
     return icustays.groupBy("hadm_id").agg(
         F.count(_one()).alias("n_icu_stays"),
         F.sum("los").alias("total_icu_los_days"),
-        F.min_by("first_careunit", F.struct("intime", "icustay_id")).alias("first_icu_careunit"),
-    )
+        F.min(F.struct("intime", "icustay_id", "first_careunit")).alias("_first"),
+    ).select("hadm_id", "n_icu_stays", "total_icu_los_days",
+             F.col("_first.first_careunit").alias("first_icu_careunit"))
 
 
 def diagnosis_rollup(diagnoses_icd: DataFrame) -> DataFrame:
