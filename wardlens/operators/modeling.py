@@ -215,10 +215,6 @@ def evaluator() -> BinaryClassificationEvaluator:
                                          metricName="areaUnderROC", numBins=0)
 
 
-def n_label_classes(df: DataFrame) -> int:
-    return df.select(LABEL).distinct().count()
-
-
 def fold_label_counts(data: DataFrame) -> dict[int, dict[int, int]]:
     """Rows per (fold, label) in one job: ``{fold: {label: n}}`` (k x classes entries)."""
     out: dict[int, dict[int, int]] = {}
@@ -255,15 +251,6 @@ def auc_summary(aucs: DataFrame, model_name: str) -> DataFrame:
                     F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("std_auc"))
 
 
-def rf_grid(grid: dict | None = None):
-    grid = grid or RF_PARAM_GRID
-    keys = list(grid)
-    combos = [{}]
-    for k in keys:
-        combos = [{**c, k: v} for c in combos for v in grid[k]]
-    return combos
-
-
 def grid_search(data: DataFrame, features: list[str], k: int, grid: dict | None = None,
                 parallelism: int = 4) -> tuple[dict, DataFrame]:
     """Pick the forest setting with the best mean fold AUC (CrossValidator on ``fold``).

@@ -8,7 +8,6 @@ folder when the session has none, so a cluster's shared
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -90,8 +89,3 @@ def materialize(df: DataFrame, name: str = "table", min_partitions: int | None =
 def shuffle_partitions(spark: SparkSession) -> int:
     """Current ``spark.sql.shuffle.partitions`` as an int."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default
