@@ -67,10 +67,10 @@ def test_salted_join_equals_plain_join(spark):
     big = _skewed(spark).select("k", "id", "t")
     small = spark.createDataFrame([(1, 25), (2, 10), (3, 40), (None, 0)], "k long, lim long")
     cond = lambda b, s: b("t") <= s("lim")
-    got = salted_join(big, small, ["k"], condition=cond, hot_threshold=20, salts=5)
+    got = salted_join(big, small, ["k"], condition=cond, hot_threshold=20, rows_per_salt=7)
     want = big.join(small, (big.k == small.k) & (big.t <= small.lim)).select(big.k, "id", "t", "lim")
     assert _sorted(got) == _sorted(want)
-    left = salted_join(big, small, ["k"], condition=cond, how="left", hot_threshold=20, salts=5)
+    left = salted_join(big, small, ["k"], condition=cond, how="left", hot_threshold=20, rows_per_salt=7)
     assert left.count() == big.join(small, (big.k == small.k) & (big.t <= small.lim), "left").count()
 
 

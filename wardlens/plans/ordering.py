@@ -43,23 +43,23 @@ def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int,
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wl_n"))
     return (counts.where(F.col("_wl_n") > F.lit(threshold))
             .orderBy(F.desc("_wl_n"))
-            .limit(max_keys)
-            .select(*keys))
+            .limit(max_keys))
 
 
 def hot_key_table(df: DataFrame, keys: Sequence[str], threshold: int,
-                  max_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame | None:
-    """The hot keys as a small DataFrame, or None when no key is hot.
+                  max_keys: int = DEFAULT_MAX_HOT_KEYS) -> tuple[DataFrame | None, int]:
+    """``(hot keys with their row count _wl_n, total rows of hot keys)``; None when none is hot.
 
     Runs the (partially aggregated) per-key count once and brings back at most
-    ``max_keys`` key tuples, so callers can keep the plain plan when nothing is
-    hot and broadcast a table of known size when something is.
+    ``max_keys`` rows, so callers can keep the plain plan when nothing is hot
+    and broadcast a table of known size when something is.
     """
     rows = hot_keys(df, keys, threshold, max_keys).collect()
     if not rows:
-        return None
-    schema = df.select(*keys).schema
-    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+        return None, 0
+    schema = df.select(*keys).schema.add("_wl_n", "long")
+    table = df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+    return table, sum(r["_wl_n"] for r in rows)
 
 
 def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
@@ -92,16 +92,19 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
                                            seq_col or "_wl_seq"))
         return out if seq_col else out.drop("_wl_seq")
 
-    hot = hot_key_table(df, keys, hot_threshold, max_hot_keys)
+    hot, hot_rows_total = hot_key_table(df, keys, hot_threshold, max_hot_keys)
     if hot is None:  # nothing hot: one exchange, one window
         return plain(df)
-    tagged = df.join(F.broadcast(hot.withColumn("_wl_hot", F.lit(True))), keys, "left")
+    hot = hot.select(*keys, F.lit(True).alias("_wl_hot"))
+    tagged = df.join(F.broadcast(hot), keys, "left")
 
     # Ordinary keys: one window partition per key.
     cold = plain(tagged.where(F.col("_wl_hot").isNull()))
 
     # Hot keys: contiguous slices of (key, order) from a range exchange.
-    parts = hot_partitions or shuffle_partitions(df.sparkSession)
+    # Enough slices that each holds about hot_threshold rows.
+    parts = hot_partitions or max(shuffle_partitions(df.sparkSession),
+                                  -(-hot_rows_total // max(hot_threshold, 1)))
     hot_rows = (tagged.where(F.col("_wl_hot").isNotNull()).select(*cols)
                 .repartitionByRange(parts, *keys, *order)
                 .withColumn("_wl_b", F.spark_partition_id()))

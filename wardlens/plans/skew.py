@@ -1,10 +1,11 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-:func:`salted_join` splits the rows of hot keys on the big side over ``salts``
-sub-keys and copies the matching small-side rows once per sub-key. Only hot
-keys are salted, so the small side grows by ``salts`` rows per hot key, and
-the hot-key table is capped at ``max_hot_keys`` rows, which bounds its
-broadcast. Keys beyond the cap still join exactly, just unsalted. The hot
+:func:`salted_join` splits the rows of each hot key on the big side over
+``ceil(rows / rows_per_salt)`` sub-keys and copies the matching small-side
+rows once per sub-key. Only hot keys are salted, so the small side grows by
+at most ``big rows / rows_per_salt + hot keys`` rows in total, however large
+the data; the hot-key table is capped at ``max_hot_keys`` rows, which bounds
+its broadcast. Keys beyond the cap still join exactly, just unsalted. The hot
 keys are counted once while the plan is built; with none, the plain join is
 returned.
 """
@@ -18,12 +19,11 @@ from pyspark.sql import functions as F
 
 from wardlens.plans.ordering import DEFAULT_MAX_HOT_KEYS, hot_key_table
 
-DEFAULT_SALTS = 32
 DEFAULT_JOIN_HOT_THRESHOLD = 1_000_000
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], *,
-                condition=None, how: str = "inner", salts: int = DEFAULT_SALTS,
+                condition=None, how: str = "inner", rows_per_salt: int | None = None,
                 hot_threshold: int = DEFAULT_JOIN_HOT_THRESHOLD,
                 max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, seed: int = 17) -> DataFrame:
     """Equi-join ``big`` with ``small`` on ``keys`` plus an optional residual.
@@ -52,19 +52,21 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], *,
         return joined.select(*[F.col(f"_wl_big.{c}").alias(c) for c in big.columns],
                              *[F.col(f"_wl_small.{c}").alias(c) for c in small_cols])
 
-    hot_table = hot_key_table(big, keys, hot_threshold, max_hot_keys)
+    hot_table, _ = hot_key_table(big, keys, hot_threshold, max_hot_keys)
     if hot_table is None:  # nothing hot: the plain join
         return project(bb0.join(ss0, cond_for([]), how))
-    hot = hot_table.withColumn("_wl_hot", F.lit(True))
+    per_salt = max(int(rows_per_salt or hot_threshold), 1)
+    hot = hot_table.select(*keys, F.ceil(F.col("_wl_n") / F.lit(per_salt)).cast("int").alias("_wl_k"))
 
     b = big.join(F.broadcast(hot), keys, "left").withColumn(
         "_wl_salt",
-        F.when(F.col("_wl_hot"), F.floor(F.rand(seed) * salts).cast("int")).otherwise(F.lit(0)),
-    ).drop("_wl_hot")
+        F.when(F.col("_wl_k").isNotNull(), F.floor(F.rand(seed) * F.col("_wl_k")).cast("int"))
+        .otherwise(F.lit(0)),
+    ).drop("_wl_k")
     s = small.join(F.broadcast(hot), keys, "left").withColumn(
         "_wl_salt",
-        F.explode(F.when(F.col("_wl_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+        F.explode(F.when(F.col("_wl_k").isNotNull(), F.sequence(F.lit(0), F.col("_wl_k") - 1))
                   .otherwise(F.array(F.lit(0)))),
-    ).drop("_wl_hot")
+    ).drop("_wl_k")
 
     return project(b.alias("_wl_big").join(s.alias("_wl_small"), cond_for(["_wl_salt"]), how))
