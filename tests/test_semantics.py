@@ -212,3 +212,20 @@ def test_finalize_features_fills_and_caps(spark):
         for c in ["age_years", "hospital_los_days", "n_icu_stays", "n_lab_results_24h",
                   "pct_abnormal_labs_24h", "first_icu_careunit"]:
             assert r[c] is not None
+
+
+def test_approximate_options_stay_close(spark):
+    from wardlens.sources import standin
+    from conftest import SF_SMALL
+    t = standin.standin_tables(spark, SF_SMALL)
+    exact = D.cohort_summary(t["patients"], t["admissions"]).first()
+    approx = D.cohort_summary(t["patients"], t["admissions"], approx=True).first()
+    for c in ("n_patients", "n_admissions"):
+        assert abs(approx[c] - exact[c]) <= 0.05 * exact[c]
+    assert (approx["n_male"], approx["n_female"]) == (exact["n_male"], exact["n_female"])
+    narrow = FT._admission_patient(t["admissions"], t["patients"]).select(
+        FT.days_between("admittime", "dob").alias("age_days"),
+        FT.days_between("dischtime", "admittime").alias("hospital_los_days"))
+    e, a = FT.feature_medians(narrow), FT.feature_medians(narrow, approx_accuracy=10_000)
+    assert abs(e["age_years"] - a["age_years"]) < 1.0
+    assert abs(e["hospital_los_days"] - a["hospital_los_days"]) < 1.0

@@ -98,3 +98,13 @@ def test_streaming_scores_new_files(spark, scratch):
     assert out.count() == 10
     assert out.where("risk < 0 OR risk > 1").count() == 0
     time.sleep(0.1)
+
+
+def test_publish_partitioned_by_admission_year(spark, scratch):
+    adm = standin.admissions(spark, SF_SMALL).withColumn("admit_year", F.year("admittime"))
+    paths = publish_tables({"admissions": adm}, os.path.join(scratch, "pub"),
+                           partition_by={"admissions": ["admit_year"]})
+    assert any(d.startswith("admit_year=") for d in os.listdir(paths["admissions"]))
+    back = spark.read.parquet(paths["admissions"])
+    year = adm.select(F.min("admit_year")).first()[0]
+    assert back.where(F.col("admit_year") == year).count() == adm.where(F.col("admit_year") == year).count()

@@ -28,26 +28,31 @@ def _one_row(*parts: DataFrame) -> DataFrame:
     return merged.agg(*[F.max(c).alias(c) for c in cols])
 
 
-def cohort_summary(patients: DataFrame, admissions: DataFrame) -> DataFrame:
+def _distinct(col: str, approx: bool):
+    return F.approx_count_distinct(col) if approx else F.count_distinct(col)
+
+
+def cohort_summary(patients: DataFrame, admissions: DataFrame, approx: bool = False) -> DataFrame:
     """Q1: patients, admissions and gender counts of ``patients LEFT JOIN admissions``.
 
     Gender counts count joined rows, i.e. admissions (a patient with 15
     admissions counts 15 times, one with none counts once). Computed without
     the fan-out join: admissions are counted per patient first and each
     patient row is weighted by that count; the distinct admissions are those
-    whose patient exists (a semi join).
+    whose patient exists (a semi join). ``approx=True`` uses HyperLogLog++
+    distinct counts (``approx_count_distinct``) instead of exact ones.
     """
     p = patients.select("subject_id", "gender")
     per_subject = admissions.groupBy("subject_id").agg(F.count(_one()).alias("_n_adm"))
     weight = F.coalesce(F.col("_n_adm"), _one())
     gender_part = p.join(per_subject, "subject_id", "left").agg(
-        F.count_distinct("subject_id").alias("n_patients"),
+        _distinct("subject_id", approx).alias("n_patients"),
         F.sum(F.when(F.col("gender") == "M", weight).otherwise(0)).cast("long").alias("n_male"),
         F.sum(F.when(F.col("gender") == "F", weight).otherwise(0)).cast("long").alias("n_female"),
     )
     adm_part = (admissions.select("subject_id", "hadm_id")
                 .join(p.select("subject_id"), "subject_id", "left_semi")
-                .agg(F.count_distinct("hadm_id").alias("n_admissions")))
+                .agg(_distinct("hadm_id", approx).alias("n_admissions")))
     return _one_row(gender_part, adm_part).select("n_patients", "n_admissions", "n_male", "n_female")
 
 

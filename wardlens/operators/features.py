@@ -50,9 +50,10 @@ def icu_rollup(icustays: DataFrame) -> DataFrame:
              F.col("_first.first_careunit").alias("first_icu_careunit"))
 
 
-def diagnosis_rollup(diagnoses_icd: DataFrame) -> DataFrame:
-    """Distinct diagnosis codes per admission."""
-    return diagnoses_icd.groupBy("hadm_id").agg(F.count_distinct("icd9_code").alias("n_diagnoses"))
+def diagnosis_rollup(diagnoses_icd: DataFrame, approx: bool = False) -> DataFrame:
+    """Distinct diagnosis codes per admission (``approx=True``: HyperLogLog++ estimate)."""
+    n = F.approx_count_distinct("icd9_code") if approx else F.count_distinct("icd9_code")
+    return diagnoses_icd.groupBy("hadm_id").agg(n.alias("n_diagnoses"))
 
 
 def lab_window(labevents: DataFrame, admissions: DataFrame, hours: int = LAB_WINDOW_HOURS,
@@ -105,13 +106,19 @@ def _age_years(age_days) -> F.Column:
                      else age_days / F.lit(DAYS_PER_YEAR), AGE_CAP_YEARS)
 
 
-def feature_medians(source: DataFrame) -> dict[str, float | None]:
-    """Exact medians of ``hospital_los_days`` and capped ``age_years`` over ``source``.
+def feature_medians(source: DataFrame, approx_accuracy: int | None = None) -> dict[str, float | None]:
+    """Medians of ``hospital_los_days`` and capped ``age_years`` over ``source``.
 
+    Exact by default; ``approx_accuracy`` switches to one ``percentile_approx``
+    pass with that accuracy (rank error at most n / accuracy).
     ``source`` needs ``age_days`` and ``hospital_los_days``, one row per feature row.
     """
     both = source.select("hospital_los_days", _age_years("age_days").alias("age_years"))
-    return exact_medians(both, ["hospital_los_days", "age_years"])
+    cols = ["hospital_los_days", "age_years"]
+    if approx_accuracy:
+        row = both.agg(*[F.percentile_approx(c, 0.5, approx_accuracy).alias(c) for c in cols]).first()
+        return {c: (None if row[c] is None else float(row[c])) for c in cols}
+    return exact_medians(both, cols)
 
 
 def finalize_features(base: DataFrame, medians: dict[str, float | None] | None = None) -> DataFrame:
@@ -135,18 +142,21 @@ def finalize_features(base: DataFrame, medians: dict[str, float | None] | None =
 
 
 def build_cohort_features(tables: dict[str, DataFrame], *,
-                          lab_hot_threshold: int = DEFAULT_JOIN_HOT_THRESHOLD) -> DataFrame:
+                          lab_hot_threshold: int = DEFAULT_JOIN_HOT_THRESHOLD,
+                          median_accuracy: int | None = None) -> DataFrame:
     """Q12: finished feature table, one row per admission (``FEATURE_TABLE_COLUMNS``).
 
     The medians only need admissions x patients (the other joins add columns,
     never rows), so they are computed from that narrow join, not the full plan.
+    ``median_accuracy`` makes them approximate (see :func:`feature_medians`).
     """
     narrow = _admission_patient(tables["admissions"], tables["patients"]).select(
         days_between("admittime", "dob").alias("age_days"),
         days_between("dischtime", "admittime").alias("hospital_los_days"),
     )
     base = cohort_base(tables, lab_hot_threshold=lab_hot_threshold)
-    return finalize_features(base, feature_medians(narrow)).select(*FEATURE_TABLE_COLUMNS)
+    medians = feature_medians(narrow, median_accuracy)
+    return finalize_features(base, medians).select(*FEATURE_TABLE_COLUMNS)
 
 
 def feature_report(features: DataFrame) -> DataFrame:

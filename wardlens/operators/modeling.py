@@ -179,13 +179,16 @@ def with_class_weights(frame: DataFrame, label: str = LABEL) -> DataFrame:
 # M8, M10-M14 estimators, cross-validation, grid search
 # ---------------------------------------------------------------------------
 
-def _depth(d):
-    return UNLIMITED_DEPTH_DEFAULT if d is None else int(d)
+def _depth(d, unlimited: int = UNLIMITED_DEPTH_DEFAULT):
+    """Forest depth; an unlimited depth (None) maps to ``unlimited`` (Spark allows up to 30)."""
+    return int(unlimited) if d is None else int(d)
 
 
-def classifier(kind: str, *, n_train: int | None = None, params: dict | None = None):
+def classifier(kind: str, *, n_train: int | None = None, params: dict | None = None,
+               unlimited_depth: int = UNLIMITED_DEPTH_DEFAULT):
     """``lr``: L2 logistic regression with C = 1 (regParam = 1 / sum of weights).
-    ``rf``: random forest, sqrt feature subsets, seed 42."""
+    ``rf``: random forest, sqrt feature subsets, seed 42; maxDepth None means
+    ``unlimited_depth``."""
     params = params or {}
     if kind == "lr":
         return LogisticRegression(featuresCol="features", labelCol=LABEL, weightCol=WEIGHT,
@@ -196,7 +199,7 @@ def classifier(kind: str, *, n_train: int | None = None, params: dict | None = N
             featuresCol="features", labelCol=LABEL, weightCol=WEIGHT, seed=RANDOM_SEED,
             featureSubsetStrategy="sqrt", maxMemoryInMB=1024, cacheNodeIds=True,
             numTrees=int(params.get("numTrees", 100)),
-            maxDepth=_depth(params.get("maxDepth", None)),
+            maxDepth=_depth(params.get("maxDepth", None), unlimited_depth),
             minInstancesPerNode=int(params.get("minInstancesPerNode", 1)))
     raise ValueError(f"unknown classifier {kind!r}")
 
@@ -252,7 +255,8 @@ def auc_summary(aucs: DataFrame, model_name: str) -> DataFrame:
 
 
 def grid_search(data: DataFrame, features: list[str], k: int, grid: dict | None = None,
-                parallelism: int = 4) -> tuple[dict, DataFrame]:
+                parallelism: int = 4,
+                unlimited_depth: int = UNLIMITED_DEPTH_DEFAULT) -> tuple[dict, DataFrame]:
     """Pick the forest setting with the best mean fold AUC (CrossValidator on ``fold``).
 
     Returns the best setting and a table of every setting's mean and std AUC.
@@ -262,8 +266,9 @@ def grid_search(data: DataFrame, features: list[str], k: int, grid: dict | None
     rf = classifier("rf")
     builder = ParamGridBuilder()
     for name in (grid or RF_PARAM_GRID):
-        builder = builder.addGrid(rf.getParam(name), sorted({(_depth(v) if name == "maxDepth" else v)
-                                                              for v in (grid or RF_PARAM_GRID)[name]}))
+        values = {(_depth(v, unlimited_depth) if name == "maxDepth" else v)
+                  for v in (grid or RF_PARAM_GRID)[name]}
+        builder = builder.addGrid(rf.getParam(name), sorted(values))
     maps = builder.build()
     cv = CrossValidator(estimator=model_pipeline(features, rf), estimatorParamMaps=maps,
                         evaluator=evaluator(), numFolds=k, foldCol=FOLD, seed=RANDOM_SEED,
@@ -325,12 +330,14 @@ def prepare(frame: DataFrame, k_max: int = N_CV_SPLITS, group_col: str = "subjec
 
 def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid: dict | None = None,
                        k_max: int = N_CV_SPLITS, refit_all: bool = False,
-                       group_col: str = "subject_id", parallelism: int = 4) -> TrainResult:
+                       group_col: str = "subject_id", parallelism: int = 4,
+                       unlimited_depth: int = UNLIMITED_DEPTH_DEFAULT) -> TrainResult:
     """Baseline + tuned forest with grouped folds, held-out fold 0 report, save.
 
     ``frame`` comes from :func:`model_frame` or :func:`readmission_frame`. With
     one class (M7) nothing is fitted or written. The saved model is refitted on
-    folds other than 0 unless ``refit_all``.
+    folds other than 0 unless ``refit_all``. ``unlimited_depth`` is the
+    forest depth used for a grid value of None (10 by default, up to 30).
     """
     from wardlens.operators import evaluation as ev
 
@@ -341,7 +348,7 @@ def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid:
 
     counts = fold_label_counts(data)
     lr_aucs = fold_aucs(data, features, "lr", k, counts=counts)
-    best, grid_table = grid_search(data, features, k, grid, parallelism)
+    best, grid_table = grid_search(data, features, k, grid, parallelism, unlimited_depth)
     rf_aucs = fold_aucs(data, features, "rf", k, best, counts=counts)
 
     train = data if refit_all else data.where(F.col(FOLD) != 0)

@@ -75,12 +75,20 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def publish_tables(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
-    """Write every table, replacing what was there; returns name -> path."""
+def publish_tables(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
+                   partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
+    """Write every table, replacing what was there; returns name -> path.
+
+    ``partition_by`` maps a table to partition columns (for example an
+    admission year) so later filters on them prune whole folders.
+    """
     paths = {}
     for name, df in tables.items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        df.write.mode("overwrite").format(fmt).save(path)
+        writer = df.write.mode("overwrite").format(fmt)
+        if partition_by and partition_by.get(name):
+            writer = writer.partitionBy(*partition_by[name])
+        writer.save(path)
         paths[name] = path
     return paths
 
