@@ -221,7 +221,7 @@ def test_approximate_options_stay_close(spark):
     exact = D.cohort_summary(t["patients"], t["admissions"]).first()
     approx = D.cohort_summary(t["patients"], t["admissions"], approx=True).first()
     for c in ("n_patients", "n_admissions"):
-        assert abs(approx[c] - exact[c]) <= 0.05 * exact[c]
+        assert abs(approx[c] - exact[c]) <= 0.15 * exact[c]  # 3 x the default rsd of 0.05
     assert (approx["n_male"], approx["n_female"]) == (exact["n_male"], exact["n_female"])
     narrow = FT._admission_patient(t["admissions"], t["patients"]).select(
         FT.days_between("admittime", "dob").alias("age_days"),
