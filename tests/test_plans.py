@@ -88,3 +88,12 @@ def test_exact_medians_of_several_columns(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, 5.0), (10.0, float("nan")), (4.0, 7.0)], "a double, b double")
     assert exact_medians(df, ["a", "b"]) == {"a": 3.0, "b": 6.0}
     assert exact_medians(df.where("a > 100"), ["a"]) == {"a": None}
+
+
+def test_feature_table_same_with_every_admission_salted(spark):
+    from wardlens.operators.features import cohort_base, lab_window
+    t = standin.standin_tables(spark, SF_SMALL)
+    plain = lab_window(t["labevents"], t["admissions"])
+    salted = lab_window(t["labevents"], t["admissions"], hot_threshold=1)
+    assert _sorted(salted) == _sorted(plain)
+    assert _sorted(cohort_base(t, lab_hot_threshold=2)) == _sorted(cohort_base(t))

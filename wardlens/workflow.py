@@ -59,3 +59,24 @@ def run_analysis(spark: SparkSession, data_dir: str | None = None, out_dir: str
                 res.importances.write.mode("overwrite").parquet(
                     os.path.join(out_dir, "tables", f"{label}_feature_importance"))
     return results
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m wardlens.workflow DATA_DIR [OUT_DIR]``: run the analysis on CSV tables."""
+    import sys
+
+    from wardlens.session import get_spark
+
+    args = sys.argv[1:] if argv is None else argv
+    if not args:
+        raise SystemExit("usage: python -m wardlens.workflow DATA_DIR [OUT_DIR]")
+    spark = get_spark()
+    res = run_analysis(spark, args[0], args[1] if len(args) > 1 else "outputs")
+    for label in ("mortality", "readmission"):
+        r = res[label]
+        print(f"{label}: " + (f"skipped ({r.skipped_reason})" if r.model is None
+                              else f"{r.n_splits} folds, best forest {r.best_params}"))
+
+
+if __name__ == "__main__":
+    main()
