@@ -229,3 +229,12 @@ def test_approximate_options_stay_close(spark):
     e, a = FT.feature_medians(narrow), FT.feature_medians(narrow, approx_accuracy=10_000)
     assert abs(e["age_years"] - a["age_years"]) < 1.0
     assert abs(e["hospital_los_days"] - a["hospital_los_days"]) < 1.0
+
+
+def test_chi_square_tail_column_matches_closed_form(spark):
+    from pyspark.sql import functions as F
+    from wardlens.functions.chisq import chi2_sf_col
+    cases = [(x, k) for k in (1, 2, 3, 4, 5, 10, 101) for x in (0.0, 0.3, 2.5, 9.97, 30.0, 450.0)]
+    df = spark.createDataFrame(cases, "x double, k int")
+    for r in df.select("x", "k", chi2_sf_col(F.col("x"), F.col("k")).alias("p")).collect():
+        assert abs(r["p"] - chi2_sf(r["x"], r["k"])) < 1e-9, (r["x"], r["k"])

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.functions.chisq import chi2_sf_udf
+from wardlens.functions.chisq import chi2_sf_col
 from wardlens.schemas import MIN_EXPECTED_COUNT
 
 REPORT_DIGITS = 6
@@ -74,7 +74,7 @@ def mortality_significance_test(df: DataFrame, label: str, deaths: str = "n_deat
         F.round(min_expected, REPORT_DIGITS).alias("min_expected"),
         (invalid | (min_expected < F.lit(MIN_EXPECTED_COUNT))).alias("unreliable"),
     )
-    p = F.when(F.col("dof") == 0, F.lit(1.0)).otherwise(chi2_sf_udf(F.col("_stat"), F.col("dof")))
+    p = F.when(F.col("dof") == 0, F.lit(1.0)).otherwise(chi2_sf_col(F.col("_stat"), F.col("dof")))
     return out.select("label", "chi_square", "dof",
                       F.round(p, REPORT_DIGITS).alias("p_value"),
                       "min_expected", "unreliable")
