@@ -50,14 +50,14 @@ def test_readmission_queries_same_with_every_patient_hot(spark):
 
 def test_global_positions_is_a_total_row_number(spark):
     df = _skewed(spark)
-    got = global_positions(df, [F.desc("t"), F.asc("id")], "pos", partitions=5)
+    got = global_positions(df, ["-t", "id"], "pos", partitions=5)
     want = df.select("*", (F.row_number().over(Window.orderBy(F.desc("t"), F.asc("id"))) - 1).alias("pos"))
     assert _sorted(got) == _sorted(want)
 
 
 def test_running_totals_match_cumulative_window(spark):
     df = _skewed(spark).where(F.col("k").isNotNull())
-    got = running_totals(df, [F.asc("t"), F.asc("id")], ["v"], partitions=6)
+    got = running_totals(df, ["t", "id"], ["v"], partitions=6)
     w = Window.orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = df.select("*", F.sum("v").over(w).alias("cum_v"), F.sum("v").over(Window.partitionBy()).alias("total_v"))
     assert _sorted(got) == _sorted(want)
@@ -97,3 +97,28 @@ def test_feature_table_same_with_every_admission_salted(spark):
     salted = lab_window(t["labevents"], t["admissions"], hot_threshold=1)
     assert _sorted(salted) == _sorted(plain)
     assert _sorted(cohort_base(t, lab_hot_threshold=2)) == _sorted(cohort_base(t))
+
+
+def _skewed_admissions(spark):
+    from conftest import SF_MEDIUM
+    adm = standin.admissions(spark, SF_MEDIUM)
+    hot = adm.agg(F.min("subject_id")).first()[0]
+    return adm.withColumn("subject_id", F.when(F.col("hadm_id") % 3 == 0, F.lit(hot))
+                          .otherwise(F.col("subject_id")))
+
+
+def test_hot_slices_agree_when_split_points_are_sampled(spark):
+    # 5,000 admissions of one patient, threshold 100: split points come from a
+    # real sample (not every row), the case that must still stitch exactly.
+    from wardlens.operators.sequences import readmission_intervals, readmission_target
+    adm = _skewed_admissions(spark)
+    for op in (readmission_target, readmission_intervals):
+        assert _sorted(op(adm, hot_threshold=100, sort=False)) == _sorted(op(adm, sort=False))
+
+
+def test_global_positions_with_sampled_split_points(spark):
+    adm = _skewed_admissions(spark).select("subject_id", "hadm_id")
+    got = global_positions(adm, ["-subject_id", "hadm_id"], "pos", partitions=20)
+    w = Window.orderBy(F.desc("subject_id"), F.asc("hadm_id"))
+    want = adm.select("*", (F.row_number().over(w) - 1).alias("pos"))
+    assert _sorted(got) == _sorted(want)

@@ -89,7 +89,7 @@ def roc_points(pred: DataFrame, label: str = LABEL, score: str = SCORE) -> DataF
     per_score = pred.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"))
-    cum = running_totals(per_score, [F.desc("threshold")], ["pos", "neg"])
+    cum = running_totals(per_score, ["-threshold"], ["pos", "neg"])
     return cum.select(
         "threshold",
         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
@@ -109,7 +109,7 @@ def rank_auc(pred: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFra
     per_score = pred.groupBy(F.col(score).alias("s")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"))
-    cum = running_totals(per_score, [F.desc("s")], ["pos"])
+    cum = running_totals(per_score, ["-s"], ["pos"])
     exact = "decimal(38,0)"
     twice = F.col("neg").cast(exact) * (F.lit(2) * F.col("cum_pos") - F.col("pos")).cast(exact)
     return cum.agg(

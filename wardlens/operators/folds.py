@@ -64,7 +64,7 @@ def grouped_folds(df: DataFrame, group_col: str, label: str, k: int, *,
         return groups.select(group_col, "n_rows", "n_pos", F.pmod(bucket, F.lit(k)).cast("int").alias("fold"))
     if method != "ordered":
         raise ValueError("method must be 'ordered' or 'hash'")
-    ranked = global_positions(groups, [F.desc("n_pos"), F.desc("n_rows"), F.asc("_h")], "_pos")
+    ranked = global_positions(groups, ["-n_pos", "-n_rows", "_h"], "_pos")
     return ranked.select(group_col, "n_rows", "n_pos",
                          F.pmod(F.col("_pos"), F.lit(k)).cast("int").alias("fold"))
 

@@ -2,22 +2,31 @@
 
 * :func:`keyed_sequence` - row number, previous and next values per key (W1-W3).
   Ordinary keys use one Window. Keys that hold more rows than a task budget
-  ("hot" keys) are range-partitioned by (key, order) so their rows spread over
-  many tasks; each slice is windowed locally and the slice edges are stitched
-  with a small per-slice table (at most ``max_hot_keys + partitions`` rows).
+  ("hot" keys) are cut into contiguous slices of (key, order); each slice is
+  windowed on its own and the slice edges are stitched with a small per-slice
+  table (at most ``max_hot_keys + slices`` rows).
 * :func:`global_positions` - 0-based position in a total order.
 * :func:`running_totals` - cumulative sums in a total order.
 
-Both global helpers range-partition the data, work inside each partition and
-add per-partition offsets from a table with one row per partition.
+Slices are a column, not a physical partition: split points are taken once
+from a bounded random sample (:func:`range_bounds`), written into the plan as
+literals, and each row finds its slice by binary search (:func:`slice_of`).
+So every consumer of the sliced rows agrees on the slice whatever Spark
+prunes, reuses or retries (a range exchange's own sampling is seeded per RDD,
+so two exchanges over the same rows may cut them differently).
+
+Order lists hold column names, ascending with NULLs first; a leading ``-``
+(``"-score"``) orders a numeric column descending.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardlens.session import shuffle_partitions
 
@@ -32,6 +41,74 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+# Sample rows per slice when choosing split points (bounded: slices x this).
+SAMPLE_PER_SLICE = 20
+
+
+def _sort_exprs(order: Sequence[str]) -> list[Column]:
+    """Ascending sort expressions; ``-c`` becomes ``-col(c)`` (numeric descending)."""
+    return [(-F.col(c[1:]) if c.startswith("-") else F.col(c)).alias(f"_o{i}")
+            for i, c in enumerate(order)]
+
+
+def _order_struct(order: Sequence[str]) -> Column:
+    return F.struct(*_sort_exprs(order))
+
+
+def _literal(value, dtype: T.DataType) -> Column:
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    if isinstance(dtype, T.DecimalType):
+        return F.lit(str(value)).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
+def range_bounds(df: DataFrame, order: Sequence[str], slices: int, n: int | None = None,
+                 seed: int = 29) -> list:
+    """At most ``slices - 1`` split points (rows of the order struct), evenly spaced.
+
+    Taken from a random sample of about ``SAMPLE_PER_SLICE * slices`` rows;
+    only the sample is windowed (one task, bounded) and only the split points
+    come back to the driver.
+    """
+    if slices <= 1:
+        return []
+    n = df.count() if n is None else n
+    if n == 0:
+        return []
+    fraction = min(1.0, SAMPLE_PER_SLICE * slices / n)
+    sample = df.select(_order_struct(order).alias("_v"))
+    if fraction < 1.0:
+        sample = sample.where(F.rand(seed) < F.lit(fraction))
+    tiles = sample.select("_v", F.ntile(slices).over(Window.orderBy("_v")).alias("_t"))
+    rows = tiles.groupBy("_t").agg(F.max("_v").alias("_v")).orderBy("_t").collect()
+    return [r["_v"] for r in rows[:-1]]
+
+
+def slice_of(df: DataFrame, order: Sequence[str], bounds: list) -> Column:
+    """Number of split points strictly below the row's order struct (binary search)."""
+    if not bounds:
+        return F.lit(0)
+    key_type = df.select(_order_struct(order).alias("_v")).schema["_v"].dataType
+    arr = F.array(*[F.struct(*[_literal(v, f.dataType).alias(f.name)
+                               for v, f in zip(b, key_type.fields)]) for b in bounds])
+    key = _order_struct(order)
+    steps = max(1, math.ceil(math.log2(len(bounds) + 1)))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        below = F.element_at(arr, mid + 1) < key
+        moved = F.struct(F.when(below, mid + 1).otherwise(lo).alias("lo"),
+                         F.when(below, hi).otherwise(mid).alias("hi"))
+        return F.when(lo < hi, moved).otherwise(acc)
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int,
              max_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
     """Keys with more than ``threshold`` rows, the largest ``max_keys`` of them.
@@ -101,17 +178,14 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
     # Ordinary keys: one window partition per key.
     cold = plain(tagged.where(F.col("_wl_hot").isNull()))
 
-    # Hot keys: contiguous slices of (key, order) from a range exchange.
-    # Enough slices that each holds about hot_threshold rows.
+    # Hot keys: contiguous slices of (key, order), about hot_threshold rows each.
     parts = hot_partitions or max(shuffle_partitions(df.sparkSession),
                                   -(-hot_rows_total // max(hot_threshold, 1)))
-    hot_rows = (tagged.where(F.col("_wl_hot").isNotNull()).select(*cols)
-                .repartitionByRange(parts, *keys, *order)
-                .withColumn("_wl_b", F.spark_partition_id()))
+    hot_only = tagged.where(F.col("_wl_hot").isNotNull()).select(*cols)
+    bounds = range_bounds(hot_only, [*keys, *order], parts, n=hot_rows_total)
+    hot_rows = hot_only.withColumn("_wl_b", slice_of(hot_only, [*keys, *order], bounds))
     wl = Window.partitionBy(*keys, "_wl_b").orderBy(*order)
     local = hot_rows.select(*cols, "_wl_b", *outputs(wl, "_wl_rn"))
-    # Slice summary straight from the sliced rows (not from the windowed
-    # output, so the window runs once); same (key, slice) shuffle as the window.
     position = F.struct(*order)
     slices = hot_rows.groupBy(*keys, "_wl_b").agg(
         F.count(F.lit(1)).alias("_wl_cnt"),
@@ -151,38 +225,35 @@ def _offsets(sizes: DataFrame, value_cols: Sequence[str]) -> DataFrame:
     )
 
 
-def global_positions(df: DataFrame, order: Sequence[Column | str], pos_col: str = "pos",
+def global_positions(df: DataFrame, order: Sequence[str], pos_col: str = "pos",
                      partitions: int | None = None) -> DataFrame:
     """Add ``pos_col``: the row's 0-based position in ``order`` (a total order).
 
-    Range exchange + sort inside partitions; the in-partition index comes from
-    ``monotonically_increasing_id`` evaluated right after the sort, and the
-    per-partition offsets from a table of ``partitions`` rows.
+    Rows are cut into about ``partitions`` contiguous slices (see module
+    docstring); each slice is numbered by its own window and shifted by the
+    sizes of the slices before it, from a table of one row per slice.
     """
     parts = partitions or shuffle_partitions(df.sparkSession)
     cols = df.columns
-    exchanged = df.repartitionByRange(parts, *order)
-    ranged = (exchanged.sortWithinPartitions(*order)
-              .withColumn("_wl_p", F.spark_partition_id())
-              .withColumn("_wl_i", F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    # Sizes need no sort; both branches read the same range exchange.
-    sizes = (exchanged.withColumn("_wl_p", F.spark_partition_id())
-             .groupBy("_wl_p").agg(F.count(F.lit(1)).alias("_wl_c")))
+    sliced = df.withColumn("_wl_p", slice_of(df, order, range_bounds(df, order, parts)))
+    local = sliced.select(*cols, "_wl_p", (F.row_number().over(
+        Window.partitionBy("_wl_p").orderBy(*_sort_exprs(order))) - 1).alias("_wl_i"))
+    sizes = sliced.groupBy("_wl_p").agg(F.count(F.lit(1)).alias("_wl_c"))
     offs = _offsets(sizes, ["_wl_c"])
-    return (ranged.join(F.broadcast(offs), "_wl_p")
+    return (local.join(F.broadcast(offs), "_wl_p")
             .select(*cols, (F.col("_wl_c_off") + F.col("_wl_i")).alias(pos_col)))
 
 
-def running_totals(df: DataFrame, order: Sequence[Column | str], sum_cols: Sequence[str],
+def running_totals(df: DataFrame, order: Sequence[str], sum_cols: Sequence[str],
                    partitions: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum in ``order``) and ``total_<c>`` per column."""
     parts = partitions or shuffle_partitions(df.sparkSession)
     cols = df.columns
-    ranged = df.repartitionByRange(parts, *order).withColumn("_wl_p", F.spark_partition_id())
-    wl = Window.partitionBy("_wl_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.select(*cols, "_wl_p", *[F.sum(c).over(wl).alias(f"_wl_cum_{c}") for c in sum_cols])
-    sizes = ranged.groupBy("_wl_p").agg(*[F.sum(c).alias(f"_wl_s_{c}") for c in sum_cols])
+    sliced = df.withColumn("_wl_p", slice_of(df, order, range_bounds(df, order, parts)))
+    wl = (Window.partitionBy("_wl_p").orderBy(*_sort_exprs(order))
+          .rowsBetween(Window.unboundedPreceding, 0))
+    local = sliced.select(*cols, "_wl_p", *[F.sum(c).over(wl).alias(f"_wl_cum_{c}") for c in sum_cols])
+    sizes = sliced.groupBy("_wl_p").agg(*[F.sum(c).alias(f"_wl_s_{c}") for c in sum_cols])
     offs = _offsets(sizes, [f"_wl_s_{c}" for c in sum_cols])
     return local.join(F.broadcast(offs), "_wl_p").select(
         *cols,
