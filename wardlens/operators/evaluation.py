@@ -1,8 +1,8 @@
 """Evaluation tables for a scored fold.
 
 Everything is computed from grouped counts, so only a handful of rows (per
-class, per cell, per distinct score) ever exist; the ROC running sums use a
-range-partitioned running total, not a one-partition window.
+class, per cell, per distinct score) ever exist; the ROC running sums use
+sliced running totals (:func:`running_totals`), not a one-partition window.
 """
 
 from __future__ import annotations
