@@ -43,6 +43,9 @@ def _names(cols) -> list[str]:
 
 # Sample rows per slice when choosing split points (bounded: slices x this).
 SAMPLE_PER_SLICE = 20
+# Most slices per call: the split points are a literal in the plan, so this
+# bounds the plan size (a slice then holds rows / MAX_SLICES rows).
+MAX_SLICES = 65_536
 
 
 def _sort_exprs(order: Sequence[str]) -> list[Column]:
@@ -73,6 +76,7 @@ def range_bounds(df: DataFrame, order: Sequence[str], slices: int, n: int | None
     only the sample is windowed (one task, bounded) and only the split points
     come back to the driver.
     """
+    slices = min(slices, MAX_SLICES)
     if slices <= 1:
         return []
     n = df.count() if n is None else n
