@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlens.session import shuffle_partitions
+from wardlens.session import materialize, shuffle_partitions
 
 # A key with more rows than this is split across tasks.
 DEFAULT_HOT_THRESHOLD = 2_000_000
@@ -239,6 +239,8 @@ def global_positions(df: DataFrame, order: Sequence[str], pos_col: str = "pos",
     """
     parts = partitions or shuffle_partitions(df.sparkSession)
     cols = df.columns
+    # Counted, sampled and sliced below: read the input's plan once.
+    df = materialize(df, "positions-input")
     sliced = df.withColumn("_wl_p", slice_of(df, order, range_bounds(df, order, parts)))
     local = sliced.select(*cols, "_wl_p", (F.row_number().over(
         Window.partitionBy("_wl_p").orderBy(*_sort_exprs(order))) - 1).alias("_wl_i"))
@@ -253,6 +255,7 @@ def running_totals(df: DataFrame, order: Sequence[str], sum_cols: Sequence[str],
     """Add ``cum_<c>`` (inclusive running sum in ``order``) and ``total_<c>`` per column."""
     parts = partitions or shuffle_partitions(df.sparkSession)
     cols = df.columns
+    df = materialize(df, "totals-input")  # counted, sampled and sliced: one plan run
     sliced = df.withColumn("_wl_p", slice_of(df, order, range_bounds(df, order, parts)))
     wl = (Window.partitionBy("_wl_p").orderBy(*_sort_exprs(order))
           .rowsBetween(Window.unboundedPreceding, 0))
