@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import types as T
 
 from wardlens.functions.chisq import chi2_sf
 from wardlens.operators import descriptive as D

@@ -6,7 +6,7 @@ fold as even as the group sizes allow, the same folds on every run.
 Method ``ordered`` (default): aggregate rows to groups, order the groups by
 (positives desc, rows desc, md5(seed | key)) and deal them round-robin:
 fold = position mod k. The position comes from :func:`global_positions`
-(range exchange + per-partition offsets), never from a one-partition window.
+(sampled slices + per-slice offsets), never from a one-partition window.
 Method ``hash``: fold = md5(seed | key) mod k, for when even positives per
 fold matter less than one pass.
 """

@@ -27,7 +27,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.functions.timeutil import plus_hours
 
 # Fixed values of the mapping.
 MALE_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE"]
