@@ -166,3 +166,24 @@ def test_evaluation_tables(spark):
     assert rank_auc(df).first()["auc"] == 4.5 / 6
     one_class = df.where("label = 0")
     assert rank_auc(one_class).first()["auc"] is None
+
+
+def test_t12_one_class_fold_gets_null_auc(spark):
+    rows = [(i, float(i % 7), i % 2, i % 3) for i in range(30)]          # folds 0-2, both classes
+    rows += [(100 + i, float(i), 0, 3) for i in range(6)]                 # fold 3: one class only
+    df = spark.createDataFrame(rows, "subject_id long, age_years double, label int, fold int")
+    data = M.with_class_weights(df)
+    aucs = {r["fold"]: r["auc"] for r in M.fold_aucs(data, ["age_years"], "lr", 4).collect()}
+    assert aucs[3] is None
+    assert all(aucs[f] is not None and 0.0 <= aucs[f] <= 1.0 for f in range(3))
+    summary = M.auc_summary(M.fold_aucs(data, ["age_years"], "lr", 4), "lr").first()
+    assert summary["n_folds"] == 3
+
+
+def test_t18_null_group_key_still_gets_one_fold(spark):
+    df = spark.createDataFrame([(None, 1), (None, 0), (1, 1), (2, 0), (3, 1), (4, 0)],
+                               "subject_id long, label int")
+    folds = FO.grouped_folds(df, "subject_id", "label", 2)
+    assigned = FO.assign_folds(df, folds, "subject_id")
+    assert assigned.count() == df.count()
+    assert assigned.where("subject_id IS NULL").select("fold").distinct().count() == 1
