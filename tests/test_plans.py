@@ -122,3 +122,16 @@ def test_global_positions_with_sampled_split_points(spark):
     w = Window.orderBy(F.desc("subject_id"), F.asc("hadm_id"))
     want = adm.select("*", (F.row_number().over(w) - 1).alias("pos"))
     assert _sorted(got) == _sorted(want)
+
+
+def test_hot_null_key_group(spark):
+    rows = [(None, i, i % 7, float(i)) for i in range(300)] + [(1, 1000 + i, i, 1.0) for i in range(20)]
+    df = spark.createDataFrame(rows, "k long, id long, t long, v double")
+    got = keyed_sequence(df, "k", ["t", "id"], seq_col="seq", lag=["v"], lead=["t"],
+                         hot_threshold=10, hot_partitions=6)
+    assert _sorted(got) == _sorted(_plain_sequence(df))
+    small = spark.createDataFrame([(1, 5)], "k long, lim long")
+    left = salted_join(df.select("k", "id", "t"), small, ["k"], how="left", hot_threshold=5,
+                       condition=lambda b, s: b("t") <= s("lim"))
+    want = df.join(small, (df.k == small.k) & (df.t <= small.lim), "left").select(df.k, "id", "t", "lim")
+    assert _sorted(left) == _sorted(want)

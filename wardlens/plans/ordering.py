@@ -143,6 +143,16 @@ def hot_key_table(df: DataFrame, keys: Sequence[str], threshold: int,
     return table, sum(r["_wl_n"] for r in rows)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (a NULL key is a group too)."""
+    r = right.select(*[F.col(c).alias(f"_wl_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_wl_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_wl_r_{k}" for k in keys])
+
+
 def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
                    seq_col: str | None = "seq",
                    lag: Sequence[str] = (), lead: Sequence[str] = (),
@@ -177,7 +187,7 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
     if hot is None:  # nothing hot: one exchange, one window
         return plain(df)
     hot = hot.select(*keys, F.lit(True).alias("_wl_hot"))
-    tagged = df.join(F.broadcast(hot), keys, "left")
+    tagged = join_null_safe(df, F.broadcast(hot), keys, "left")
 
     # Ordinary keys: one window partition per key.
     cold = plain(tagged.where(F.col("_wl_hot").isNull()))
@@ -205,7 +215,7 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
         *[F.lead(f"_wl_first_{c}").over(ws).alias(f"_wl_nf_{c}") for c in lead],
     )
     # One row per (hot key, slice): at most max_hot_keys + parts rows.
-    stitched = local.join(F.broadcast(slices), [*keys, "_wl_b"])
+    stitched = join_null_safe(local, F.broadcast(slices), [*keys, "_wl_b"], "inner")
     rn = F.col("_wl_rn")
     hot_out = stitched.select(
         *cols,

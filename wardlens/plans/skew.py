@@ -37,8 +37,27 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], *,
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports how='inner' or 'left'")
     keys = list(keys)
-    bb0, ss0 = big.alias("_wl_big"), small.alias("_wl_small")
     small_cols = [c for c in small.columns if c not in keys]
+    if how == "left":
+        # A NULL key never matches: those rows skip the shuffle and come out
+        # with NULL small-side columns, so a huge NULL group cannot pile up in
+        # one join task.
+        no_key = None
+        for k in keys:
+            c = F.col(k).isNull()
+            no_key = c if no_key is None else no_key | c
+        unmatched = big.where(no_key).select(
+            *big.columns, *[F.lit(None).cast(small.schema[c].dataType).alias(c) for c in small_cols])
+        keyed = _salted(big.where(~no_key), small, keys, small_cols, condition, "left",
+                        rows_per_salt, hot_threshold, max_hot_keys, seed)
+        return keyed.unionByName(unmatched)
+    return _salted(big, small, keys, small_cols, condition, how, rows_per_salt, hot_threshold,
+                   max_hot_keys, seed)
+
+
+def _salted(big, small, keys, small_cols, condition, how, rows_per_salt, hot_threshold,
+            max_hot_keys, seed) -> DataFrame:
+    bb0, ss0 = big.alias("_wl_big"), small.alias("_wl_small")
 
     def cond_for(extra_keys):
         cond: Column = F.lit(True)
