@@ -31,12 +31,18 @@ def classification_report(pred: DataFrame, label: str = LABEL, prediction: str =
     Classes are those present in the labels or the predictions; an undefined
     ratio is 0. Columns: ``class, precision, recall, f1_score, support``.
     """
-    lab = F.col(label).cast("double")
-    prd = F.col(prediction).cast("double")
-    per_class = (pred.select(lab.alias("c"), F.lit(1).alias("t"), F.lit(0).alias("p"),
-                             (lab == prd).cast("int").alias("tp"))
-                 .unionByName(pred.select(prd.alias("c"), F.lit(0).alias("t"), F.lit(1).alias("p"),
-                                          F.lit(0).alias("tp")))
+    # One pass over the predictions: counts per (label, prediction) cell, then
+    # each cell feeds its label's support and its prediction's predicted count.
+    cells = (pred.groupBy(F.col(label).cast("double").alias("l"), F.col(prediction).cast("double").alias("p"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    n = F.col("n")
+    roles = F.explode(F.array(
+        F.struct(F.col("l").alias("c"), n.alias("t"), F.lit(0).cast("long").alias("p"),
+                 F.when(F.col("l") == F.col("p"), n).otherwise(F.lit(0)).cast("long").alias("tp")),
+        F.struct(F.col("p").alias("c"), F.lit(0).cast("long").alias("t"), n.alias("p"),
+                 F.lit(0).cast("long").alias("tp")),
+    )).alias("r")
+    per_class = (cells.select(roles).select("r.*")
                  .groupBy("c").agg(F.sum("t").alias("support"), F.sum("p").alias("predicted"),
                                    F.sum("tp").alias("tp")))
     precision = _zero_div(F.col("tp"), F.col("predicted"))
