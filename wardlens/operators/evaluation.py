@@ -8,7 +8,7 @@ sliced running totals (:func:`running_totals`), not a one-partition window.
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardlens.plans.ordering import running_totals
@@ -53,26 +53,32 @@ def classification_report(pred: DataFrame, label: str = LABEL, prediction: str =
         _zero_div(2 * precision * recall, precision + recall).alias("f1_score"),
         F.col("support").cast("long").alias("support"), "tp",
     )
-    # Summary rows from the per-class table (one row per class).
-    totals = rows.agg(
-        F.sum("support").alias("n"), F.sum("tp").alias("tp"),
-        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1_score").alias("mf"),
-        _zero_div(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("wp"),
-        _zero_div(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("wr"),
-        _zero_div(F.sum(F.col("f1_score") * F.col("support")), F.sum("support")).alias("wf"),
-    )
-    acc = _zero_div(F.col("tp"), F.col("n"))
-    summary = totals.select(F.explode(F.array(
-        F.struct(F.lit("accuracy").alias("class"), acc.alias("precision"), acc.alias("recall"),
-                 acc.alias("f1_score"), F.col("n").cast("long").alias("support")),
-        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"),
-                 F.col("mr").alias("recall"), F.col("mf").alias("f1_score"),
-                 F.col("n").cast("long").alias("support")),
-        F.struct(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"),
-                 F.col("wr").alias("recall"), F.col("wf").alias("f1_score"),
-                 F.col("n").cast("long").alias("support")),
-    )).alias("r")).select("r.*")
-    return rows.drop("tp").unionByName(summary)
+    # Summary rows from window totals over the per-class table (one row per
+    # class, so the window is tiny); one consumer, one explode.
+    w = Window.partitionBy()
+    wsum = lambda c: F.sum(F.col(c) * F.col("support")).over(w)
+    totals = rows.select(
+        "*", F.sum("support").over(w).alias("_n"), F.sum("tp").over(w).alias("_tp"),
+        F.avg("precision").over(w).alias("_mp"), F.avg("recall").over(w).alias("_mr"),
+        F.avg("f1_score").over(w).alias("_mf"), wsum("precision").alias("_wp"),
+        wsum("recall").alias("_wr"), wsum("f1_score").alias("_wf"),
+        (F.row_number().over(w.orderBy("class")) == 1).alias("_first"))
+    n_all = F.col("_n")
+    acc = _zero_div(F.col("_tp"), n_all)
+    first = F.col("_first")
+
+    def row(name, p, r, f, support):
+        return F.struct(name.alias("class"), p.alias("precision"), r.alias("recall"),
+                        f.alias("f1_score"), support.cast("long").alias("support"))
+
+    out = totals.select(F.explode(F.array(
+        row(F.col("class"), F.col("precision"), F.col("recall"), F.col("f1_score"), F.col("support")),
+        F.when(first, row(F.lit("accuracy"), acc, acc, acc, n_all)),
+        F.when(first, row(F.lit("macro avg"), F.col("_mp"), F.col("_mr"), F.col("_mf"), n_all)),
+        F.when(first, row(F.lit("weighted avg"), _zero_div(F.col("_wp"), n_all),
+                          _zero_div(F.col("_wr"), n_all), _zero_div(F.col("_wf"), n_all), n_all)),
+    )).alias("r"))
+    return out.where(F.col("r").isNotNull()).select("r.*")
 
 
 def confusion_counts(pred: DataFrame, label: str = LABEL, prediction: str = PRED) -> DataFrame:
