@@ -237,3 +237,19 @@ def test_chi_square_tail_column_matches_closed_form(spark):
     df = spark.createDataFrame(cases, "x double, k int")
     for r in df.select("x", "k", chi2_sf_col(F.col("x"), F.col("k")).alias("p")).collect():
         assert abs(r["p"] - chi2_sf(r["x"], r["k"])) < 1e-9, (r["x"], r["k"])
+
+
+def test_day_differences_ignore_the_session_time_zone(spark):
+    from pyspark.sql import functions as F
+    from wardlens.functions.timeutil import days_between, micros_between
+    df = spark.createDataFrame([(ts("2021-03-14 02:30:00"), ts("2021-03-14 04:30:00")),
+                                (ts("2021-11-07 01:30:00"), ts("2021-11-08 01:30:00"))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # DST gap and overlap
+        rows = df.select(micros_between("b", "a").alias("m"), days_between("b", "a").alias("d")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [r["m"] for r in rows] == [2 * 3600 * 10**6, 24 * 3600 * 10**6]
+    assert rows[1]["d"] == 1.0

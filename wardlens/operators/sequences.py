@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.functions.timeutil import days_between
+from wardlens.functions.timeutil import days_between, micros_between
 from wardlens.plans.ordering import DEFAULT_HOT_THRESHOLD, keyed_sequence
 from wardlens.schemas import READMIT_WINDOW_DAYS
 
@@ -65,10 +65,8 @@ def event_gaps(events: DataFrame, *, key: str = "user_id", ts: str = "ts", tie:
                          hot_threshold=hot_threshold)
     return seq.select(
         key, tie, ts, "event_seq",
-        (F.timestamp_diff("MICROSECOND", F.col(f"prev_{ts}"), F.col(ts)) / F.lit(1e6))
-        .alias("secs_since_prev"),
-        (F.timestamp_diff("MICROSECOND", F.col(ts), F.col(f"next_{ts}")) / F.lit(1e6))
-        .alias("secs_to_next"),
+        (micros_between(ts, f"prev_{ts}") / F.lit(1e6)).alias("secs_since_prev"),
+        (micros_between(f"next_{ts}", ts) / F.lit(1e6)).alias("secs_to_next"),
     )
 
 
