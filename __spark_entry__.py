@@ -66,7 +66,7 @@ def q_mortality_by_careunit_dedup(spark, d):
 def q_mortality_chi_square(spark, d):
     from wardlens.operators.descriptive import mortality_by_admission_type
     from wardlens.operators.stats import mortality_significance_test
-    q4 = mortality_by_admission_type(standin.admissions(spark, d))
+    q4 = mortality_by_admission_type(standin.admissions(spark, d), sort=False)
     return mortality_significance_test(q4, "mortality by admission type")
 
 
@@ -241,14 +241,14 @@ def q_score_admissions(spark, d):
 def q_mortality_chi_square_careunit(spark, d):
     from wardlens.operators.descriptive import mortality_by_careunit
     from wardlens.operators.stats import mortality_significance_test
-    q5 = mortality_by_careunit(standin.admissions(spark, d), standin.icustays(spark, d))
+    q5 = mortality_by_careunit(standin.admissions(spark, d), standin.icustays(spark, d), sort=False)
     return mortality_significance_test(q5, "mortality by care unit")
 
 
 def q_contingency_table(spark, d):
     from wardlens.operators.descriptive import mortality_by_admission_type
     from wardlens.operators.stats import contingency_table
-    q4 = mortality_by_admission_type(standin.admissions(spark, d))
+    q4 = mortality_by_admission_type(standin.admissions(spark, d), sort=False)
     return contingency_table(q4, "admission_type")
 
 
@@ -602,7 +602,9 @@ SELECT threshold, CAST(SUM(pos) OVER w AS BIGINT) AS tp, CAST(SUM(neg) OVER w AS
        SUM(pos) OVER w / SUM(pos) OVER () AS tpr, SUM(neg) OVER w / SUM(neg) OVER () AS fpr
 FROM (SELECT score AS threshold, SUM(CAST(label AS BIGINT)) AS pos,
              SUM(CAST(1 - label AS BIGINT)) AS neg FROM scored GROUP BY score) ps
-WINDOW w AS (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+WINDOW w AS (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+UNION ALL
+SELECT NULL, 0, 0, 0.0 / NULLIF(SUM(label), 0), 0.0 / NULLIF(SUM(1 - label), 0) FROM scored""",
                             *_FEATURE_CTES, _FRAME, _SCORED),
         "rank_auc": _with("""
 SELECT CAST(SUM(CAST(neg AS HUGEINT) * (2 * cum_pos - pos)) AS DOUBLE)

@@ -16,7 +16,8 @@ def spark():
     from wardlens.session import get_spark
 
     s = get_spark("local[4]", app_name="wardlens-tests", shuffle_partitions=8,
-                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="wardlens-wh-")})
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="wardlens-wh-"),
+                         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="wardlens-ckpt-")})
     yield s
     s.stop()
 

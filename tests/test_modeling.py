@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from wardlens.operators import folds as FO
 from wardlens.operators import modeling as M
-from wardlens.operators.evaluation import classification_report, confusion_counts, rank_auc, roc_points
+from wardlens.operators.evaluation import (classification_report, confusion_counts, rank_auc,
+                                             rank_auc_of_counts, roc_points)
 from wardlens.operators.features import build_cohort_features
 from wardlens.operators.scoring import score_admissions
 from wardlens.schemas import FEATURE_COLS_CATEGORICAL, FEATURE_COLS_NUMERIC, LEAKY_COLUMNS
@@ -160,11 +161,16 @@ def test_evaluation_tables(spark):
     rep = {r["class"]: r for r in classification_report(df).collect()}
     assert rep["1"]["precision"] == 0.5 and rep["1"]["recall"] == 0.5 and rep["1"]["support"] == 2
     assert rep["accuracy"]["precision"] == 3 / 5
-    roc = roc_points(df).orderBy(F.desc("threshold")).collect()
-    assert [(r["tp"], r["fp"]) for r in roc] == [(1, 0), (1, 1), (2, 2), (2, 3)]
+    roc = roc_points(df).orderBy(F.desc_nulls_first("threshold")).collect()
+    assert [(r["tp"], r["fp"]) for r in roc] == [(0, 0), (1, 0), (1, 1), (2, 2), (2, 3)]
+    assert roc[0]["threshold"] is None and (roc[0]["tpr"], roc[0]["fpr"]) == (0.0, 0.0)
     # 6 (pos, neg) pairs: 0.9 beats all 3, 0.4 beats 0.1 and ties 0.4 -> (3 + 1.5) / 6
     assert rank_auc(df).first()["auc"] == 4.5 / 6
     one_class = df.where("label = 0")
+    many = spark.createDataFrame([(1, 0.5, 3_000_000_000), (0, 0.5, 3_000_000_000)], "label int, score double, n long")
+    assert rank_auc_of_counts(many.groupBy(F.col("score").alias("s")).agg(
+        F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("pos"),
+        F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("neg"))).first()["auc"] == 0.5
     assert rank_auc(one_class).first()["auc"] is None
 
 

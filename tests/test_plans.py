@@ -3,12 +3,13 @@
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from wardlens.plans.median import exact_median, exact_medians
-from wardlens.plans.ordering import global_positions, keyed_sequence, running_totals
+from wardlens.plans.ordering import _ranged, global_positions, keyed_sequence, running_totals
 from wardlens.plans.skew import salted_join
 from wardlens.sources import standin
 
@@ -74,14 +75,12 @@ def test_salted_join_equals_plain_join(spark):
     assert left.count() == big.join(small, (big.k == small.k) & (big.t <= small.lim), "left").count()
 
 
-def test_exact_median_narrowing_path(spark):
+def test_exact_median(spark):
     rnd = random.Random(3)
     for n in (1, 2, 999, 1000):
         vals = [float(rnd.randint(0, 40)) for _ in range(n)] + [None]
         df = spark.createDataFrame([(v,) for v in vals], "x double")
-        want = pd.Series(vals, dtype="float64").median()
-        assert exact_median(df, "x", candidate_limit=50, accuracy=100) == want
-        assert exact_median(df, "x") == want
+        assert exact_median(df, "x") == pd.Series(vals, dtype="float64").median()
 
 
 def test_exact_medians_of_several_columns(spark):
@@ -90,13 +89,49 @@ def test_exact_medians_of_several_columns(spark):
     assert exact_medians(df.where("a > 100"), ["a"]) == {"a": None}
 
 
-def test_feature_table_same_with_every_admission_salted(spark):
-    from wardlens.operators.features import cohort_base, lab_window
+def test_lab_window_equals_its_definition(spark):
+    from wardlens.operators.features import lab_window
     t = standin.standin_tables(spark, SF_SMALL)
-    plain = lab_window(t["labevents"], t["admissions"])
-    salted = lab_window(t["labevents"], t["admissions"], hot_threshold=1)
-    assert _sorted(salted) == _sorted(plain)
-    assert _sorted(cohort_base(t, lab_hot_threshold=2)) == _sorted(cohort_base(t))
+    labs, adm = t["labevents"].toPandas(), t["admissions"].select("hadm_id", "admittime").toPandas()
+    both = labs.dropna(subset=["hadm_id"]).merge(adm, on="hadm_id")
+    both = both[both.charttime <= both.admittime + pd.Timedelta(hours=24)]
+    want = both.groupby("hadm_id").agg(n=("flag", "size"), a=("flag", lambda f: int((f == "abnormal").sum())))
+    got = lab_window(t["labevents"], t["admissions"]).collect()
+    assert sorted(map(tuple, got)) == sorted((int(k), int(r.n), int(r.a)) for k, r in want.iterrows())
+
+
+def test_plan_does_not_grow_with_the_slices(spark):
+    """Building a plan over many slices puts nothing per slice into the plan or onto the driver."""
+    import time
+
+    df = spark.range(100).withColumn("k", F.col("id") % 7)
+    t = time.time()
+    few = len(_ranged(df, ["k", "id"], 8)._jdf.queryExecution().analyzed().toString())
+    many = len(_ranged(df, ["k", "id"], 20_000)._jdf.queryExecution().analyzed().toString())
+    assert time.time() - t < 2
+    assert many - few < 10
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from wardlens.session import checkpoint_root
+
+    assert checkpoint_root("hdfs:///x", "spark://host:7077") == "hdfs:///x"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_root(None, master)
+
+
+def test_intermediates_are_deleted(spark):
+    import os
+
+    from wardlens.session import ensure_checkpoint_dir, intermediates, materialize
+
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    with intermediates(spark):
+        assert materialize(spark.range(5), "short-lived").count() == 5
+        assert set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before
 
 
 def _skewed_admissions(spark):

@@ -253,3 +253,20 @@ def test_day_differences_ignore_the_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert [r["m"] for r in rows] == [2 * 3600 * 10**6, 24 * 3600 * 10**6]
     assert rows[1]["d"] == 1.0
+
+
+def test_chi_square_tail_on_large_and_small_values(spark):
+    from wardlens.functions.chisq import chi2_sf_col
+    cases = [(1e10, 4), (1e10, 3), (1e4, 4), (2e7, 1), (1400.0, 2), (700.0, 3), (50.0, 1), (1e-9, 1), (2.9, 1), (3.1, 1), (30.0, 41)]
+    df = spark.createDataFrame([(float(x), k) for x, k in cases], "x double, k int")
+    for r in df.select("x", "k", chi2_sf_col(F.col("x"), F.col("k")).alias("p")).collect():
+        assert math.isclose(r["p"], chi2_sf(r["x"], r["k"]), rel_tol=1e-9, abs_tol=1e-300), (r["x"], r["k"])
+
+
+def test_chi_square_statistic_does_not_cancel(spark):
+    # Deaths 1000 -/+ a little per group: the statistic stays small while the counts grow.
+    n = 10**13
+    rows = [("a", n, n // 2 + 10**6), ("b", n, n // 2 - 10**6), ("c", n, n // 2)]
+    df = spark.createDataFrame(rows, "g string, n_admissions long, n_deaths long")
+    want = 2 * 2 * (10**6) ** 2 / (n / 2)
+    assert math.isclose(mortality_significance_test(df, "t").first()["chi_square"], want, rel_tol=1e-6)

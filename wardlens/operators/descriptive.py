@@ -83,17 +83,24 @@ def top_diagnoses(diagnoses_icd: DataFrame, d_icd_diagnoses: DataFrame,
             .limit(int(n)))
 
 
-def mortality_by_admission_type(admissions: DataFrame) -> DataFrame:
-    """Q4: admissions, deaths and mortality rate (%, 1 decimal) per admission type."""
-    return (admissions.groupBy("admission_type")
-            .agg(F.count(_one()).alias("n_admissions"),
-                 F.sum("hospital_expire_flag").cast("long").alias("n_deaths"))
-            .withColumn("mortality_rate_pct", rate_pct("n_deaths", "n_admissions", 1))
-            .orderBy(F.desc("mortality_rate_pct"), F.asc_nulls_first("admission_type")))
+def _by_rate(df: DataFrame, group: str, sort: bool) -> DataFrame:
+    return df.orderBy(F.desc("mortality_rate_pct"), F.asc_nulls_first(group)) if sort else df
+
+
+def mortality_by_admission_type(admissions: DataFrame, sort: bool = True) -> DataFrame:
+    """Q4: admissions, deaths and mortality rate (%, 1 decimal) per admission type.
+
+    ``sort=False`` leaves out the final sort, for consumers that do not need it.
+    """
+    rates = (admissions.groupBy("admission_type")
+             .agg(F.count(_one()).alias("n_admissions"),
+                  F.sum("hospital_expire_flag").cast("long").alias("n_deaths"))
+             .withColumn("mortality_rate_pct", rate_pct("n_deaths", "n_admissions", 1)))
+    return _by_rate(rates, "admission_type", sort)
 
 
 def mortality_by_careunit(admissions: DataFrame, icustays: DataFrame,
-                          dedup: bool = False) -> DataFrame:
+                          dedup: bool = False, sort: bool = True) -> DataFrame:
     """Q5: distinct admissions, deaths and mortality rate per ICU first care unit.
 
     By default deaths are summed per joined stay while the denominator counts
@@ -108,10 +115,10 @@ def mortality_by_careunit(admissions: DataFrame, icustays: DataFrame,
     adm = admissions.groupBy("hadm_id").agg(F.sum("hospital_expire_flag").alias("_deaths"))
     joined = stays.join(adm, "hadm_id")
     deaths = F.col("_deaths") if dedup else F.col("_deaths") * F.col("_n_stays")
-    return (joined.groupBy("first_careunit")
-            .agg(F.count(_one()).alias("n_admissions"), F.sum(deaths).cast("long").alias("n_deaths"))
-            .withColumn("mortality_rate_pct", rate_pct("n_deaths", "n_admissions", 1))
-            .orderBy(F.desc("mortality_rate_pct"), F.asc_nulls_first("first_careunit")))
+    rates = (joined.groupBy("first_careunit")
+             .agg(F.count(_one()).alias("n_admissions"), F.sum(deaths).cast("long").alias("n_deaths"))
+             .withColumn("mortality_rate_pct", rate_pct("n_deaths", "n_admissions", 1)))
+    return _by_rate(rates, "first_careunit", sort)
 
 
 def run_all_descriptive_queries(tables: dict[str, DataFrame],
@@ -127,7 +134,7 @@ def run_all_descriptive_queries(tables: dict[str, DataFrame],
         "mortality_by_careunit": mortality_by_careunit(tables["admissions"], tables["icustays"]),
     }
     results["significance_admission_type"] = mortality_significance_test(
-        results["mortality_by_admission_type"], "mortality by admission type")
+        mortality_by_admission_type(tables["admissions"], sort=False), "mortality by admission type")
     results["significance_careunit"] = mortality_significance_test(
-        results["mortality_by_careunit"], "mortality by care unit")
+        mortality_by_careunit(tables["admissions"], tables["icustays"], sort=False), "mortality by care unit")
     return results

@@ -93,16 +93,21 @@ def confusion_counts(pred: DataFrame, label: str = LABEL, prediction: str = PRED
 
 
 def roc_points(pred: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
-    """One ROC point per distinct score, highest score first.
+    """The curve's start, then one ROC point per distinct score, highest score first.
 
     Columns: ``threshold, tp, fp, tpr, fpr``. Counts per distinct score, then
-    running sums in descending score order.
+    running sums in descending score order. The start (0, 0) lies above every
+    score; its threshold is NULL. No rows give no points.
     """
     per_score = pred.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"))
     cum = running_totals(per_score, ["-threshold"], ["pos", "neg"])
-    return cum.select(
+    none = F.lit(0).cast("long")
+    start = cum.agg(F.max("total_pos").alias("total_pos"), F.max("total_neg").alias("total_neg")).where(
+        "total_pos is not null").select(F.lit(None).cast("double").alias("threshold"), none.alias("cum_pos"),
+                                        none.alias("cum_neg"), "total_pos", "total_neg")
+    return start.unionByName(cum.select(F.col("threshold").cast("double").alias("threshold"), *start.columns[1:])).select(
         "threshold",
         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
         F.try_divide(F.col("cum_pos").cast("double"), F.col("total_pos")).alias("tpr"),
@@ -121,12 +126,17 @@ def rank_auc(pred: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFra
     per_score = pred.groupBy(F.col(score).alias("s")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"))
+    return rank_auc_of_counts(per_score)
+
+
+def rank_auc_of_counts(per_score: DataFrame) -> DataFrame:
+    """M17 from the positives and negatives per distinct score (``s, pos, neg``)."""
     cum = running_totals(per_score, ["-s"], ["pos"])
-    exact = "decimal(38,0)"
-    twice = F.col("neg").cast(exact) * (F.lit(2) * F.col("cum_pos") - F.col("pos")).cast(exact)
+    # 19-digit factors: their products and the sum of those still fit 38 digits.
+    twice = F.col("neg").cast("decimal(19,0)") * (F.lit(2) * F.col("cum_pos") - F.col("pos")).cast("decimal(19,0)")
     return cum.agg(
         F.try_divide(F.sum(twice).cast("double"),
-                     (F.lit(2) * F.max("total_pos") * F.sum("neg")).cast("double")).alias("auc"),
+                     F.lit(2.0) * F.max("total_pos").cast("double") * F.sum("neg").cast("double")).alias("auc"),
         F.max("total_pos").alias("n_pos"),
         F.sum("neg").alias("n_neg"),
     )

@@ -4,8 +4,11 @@ Plan: stays, diagnoses and in-window labs are each aggregated to one row per
 admission first (no fan-out product), then left-joined to admissions x
 patients. The three aggregates come out hash-partitioned by ``hadm_id`` so the
 three left joins share one exchange of the admission rows. The lab join is the
-big one (labs are the largest table); it is salted on hot admissions so one
-admission with a huge number of labs does not sit in one task.
+big one (labs are the largest table) and is a plain join: with
+``spark.sql.adaptive.forceOptimizeSkewedJoin`` (set here and in the session
+defaults) Spark splits the partition of an admission with a huge number of labs
+from the measured shuffle sizes, so labs are read once and never counted first.
+Building the plans runs nothing; only the medians do, if a value is missing.
 """
 
 from __future__ import annotations
@@ -16,9 +19,9 @@ from pyspark.sql import functions as F
 from wardlens.functions.columns import cap_upper, indicator, safe_ratio
 from wardlens.functions.timeutil import days_between, plus_hours
 from wardlens.plans.median import exact_medians
-from wardlens.plans.skew import DEFAULT_JOIN_HOT_THRESHOLD, salted_join
 from wardlens.schemas import (ABNORMAL_FLAG, AGE_CAP_YEARS, DAYS_PER_YEAR, FEATURE_TABLE_COLUMNS,
                               LAB_WINDOW_HOURS, NO_ICU_LABEL)
+from wardlens.session import split_skewed_joins
 
 
 def _one():
@@ -56,19 +59,16 @@ def diagnosis_rollup(diagnoses_icd: DataFrame, approx: bool = False) -> DataFram
     return diagnoses_icd.groupBy("hadm_id").agg(n.alias("n_diagnoses"))
 
 
-def lab_window(labevents: DataFrame, admissions: DataFrame, hours: int = LAB_WINDOW_HOURS,
-               hot_threshold: int = DEFAULT_JOIN_HOT_THRESHOLD) -> DataFrame:
+def lab_window(labevents: DataFrame, admissions: DataFrame, hours: int = LAB_WINDOW_HOURS) -> DataFrame:
     """Labs charted up to ``hours`` after admission (no lower bound, inclusive) per admission.
 
     A missing flag counts as normal; labs with a NULL or unknown admission id
     drop out.
     """
+    split_skewed_joins(labevents.sparkSession)
     labs = labevents.where(F.col("hadm_id").isNotNull()).select("hadm_id", "charttime", "flag")
     adm = admissions.select("hadm_id", "admittime")
-    joined = salted_join(
-        labs, adm, ["hadm_id"],
-        condition=lambda big, small: big("charttime") <= plus_hours(small("admittime"), hours),
-        hot_threshold=hot_threshold)
+    joined = labs.join(adm, "hadm_id").where(F.col("charttime") <= plus_hours(F.col("admittime"), hours))
     return joined.groupBy("hadm_id").agg(
         F.count(_one()).alias("n_lab_results_24h"),
         F.sum(indicator(F.col("flag") == F.lit(ABNORMAL_FLAG))).cast("long").alias("n_abnormal_labs_24h"),
@@ -81,13 +81,12 @@ def _admission_patient(admissions: DataFrame, patients: DataFrame) -> DataFrame:
     return a.join(patients.select("subject_id", "gender", "dob"), "subject_id")
 
 
-def cohort_base(tables: dict[str, DataFrame], *,
-                lab_hot_threshold: int = DEFAULT_JOIN_HOT_THRESHOLD) -> DataFrame:
+def cohort_base(tables: dict[str, DataFrame]) -> DataFrame:
     """Q10: one row per admission with a patient; 16 columns (``BASE_COLUMNS``)."""
     base = _admission_patient(tables["admissions"], tables["patients"])
     icu = icu_rollup(tables["icustays"])
     diag = diagnosis_rollup(tables["diagnoses_icd"])
-    lab = lab_window(tables["labevents"], tables["admissions"], hot_threshold=lab_hot_threshold)
+    lab = lab_window(tables["labevents"], tables["admissions"])
     joined = (base.join(icu, "hadm_id", "left")
               .join(diag, "hadm_id", "left")
               .join(lab, "hadm_id", "left"))
@@ -112,9 +111,15 @@ def feature_medians(source: DataFrame, approx_accuracy: int | None = None) -> di
     Exact by default; ``approx_accuracy`` switches to one ``percentile_approx``
     pass with that accuracy (rank error at most n / accuracy).
     ``source`` needs ``age_days`` and ``hospital_los_days``, one row per feature row.
+    One pass first looks whether any value is missing; a column without a
+    missing value needs no median and is left out of the result.
     """
     both = source.select("hospital_los_days", _age_years("age_days").alias("age_years"))
-    cols = ["hospital_los_days", "age_years"]
+    gaps = both.agg(*[F.max(F.col(c).isNull()).alias(c) for c in both.columns]).first()
+    cols = [c for c in both.columns if gaps[c]]
+    if not cols:
+        return {}
+    both = both.select(*cols)
     if approx_accuracy:
         row = both.agg(*[F.percentile_approx(c, 0.5, approx_accuracy).alias(c) for c in cols]).first()
         return {c: (None if row[c] is None else float(row[c])) for c in cols}
@@ -142,7 +147,6 @@ def finalize_features(base: DataFrame, medians: dict[str, float | None] | None =
 
 
 def build_cohort_features(tables: dict[str, DataFrame], *,
-                          lab_hot_threshold: int = DEFAULT_JOIN_HOT_THRESHOLD,
                           median_accuracy: int | None = None) -> DataFrame:
     """Q12: finished feature table, one row per admission (``FEATURE_TABLE_COLUMNS``).
 
@@ -154,7 +158,7 @@ def build_cohort_features(tables: dict[str, DataFrame], *,
         days_between("admittime", "dob").alias("age_days"),
         days_between("dischtime", "admittime").alias("hospital_los_days"),
     )
-    base = cohort_base(tables, lab_hot_threshold=lab_hot_threshold)
+    base = cohort_base(tables)
     medians = feature_medians(narrow, median_accuracy)
     return finalize_features(base, medians).select(*FEATURE_TABLE_COLUMNS)
 

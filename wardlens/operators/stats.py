@@ -1,15 +1,13 @@
 """Chi-square test of independence on a mortality-by-group table.
 
 The contingency table has one row per group with cells died = ``n_deaths``
-and survived = ``n_admissions - n_deaths``. The statistic comes from one
-aggregate over the group rows (so it scales to any number of groups):
+and survived = ``n_admissions - n_deaths``. Column totals are window sums over
+that table (one row per group), and the statistic is summed cell by cell:
 
-  chi2 = N * (sum_i d_i^2 / R_i / C_d + sum_i s_i^2 / R_i / C_s - 1)
+  chi2 = sum over cells of max(|O - E| - y, 0)^2 / E
 
-and, for one degree of freedom (two groups), with Yates' correction, where
-every cell has the same |O - E| = |d_1 - R_1 C_d / N|:
-
-  chi2 = max(|O - E| - 0.5, 0)^2 * N^3 / (R_1 R_2 C_d C_s)
+with Yates' correction y = min(0.5, |O - E|) for one degree of freedom (two
+groups) and y = 0 otherwise. No large terms cancel, so it holds for any counts.
 
 A zero margin or a negative cell (possible with double-counted deaths) gives a
 NULL statistic and ``unreliable = true`` instead of a failed job. Values are
@@ -18,7 +16,7 @@ reported rounded to 6 decimals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.functions.chisq import chi2_sf_col
@@ -38,34 +36,30 @@ def contingency_table(df: DataFrame, group_col: str | None = None,
 def mortality_significance_test(df: DataFrame, label: str, deaths: str = "n_deaths",
                                 total: str = "n_admissions") -> DataFrame:
     """Q8: one row ``label, chi_square, dof, p_value, min_expected, unreliable``."""
-    d = F.col(deaths).cast("double")
-    r = F.col(total).cast("double")
-    s = r - d
-    agg = df.agg(
-        F.count(F.lit(1)).alias("g"),
-        F.sum(r).alias("n"),
-        F.sum(d).alias("c_d"),
-        F.sum(s).alias("c_s"),
-        F.sum(F.try_divide(d * d, r)).alias("a_d"),
-        F.sum(F.try_divide(s * s, r)).alias("a_s"),
-        F.min(r).alias("r_min"),
-        F.max((d < 0) | (s < 0) | (r <= 0)).alias("bad_cell"),
-        F.min(F.struct(r.alias("r"), d.alias("d"))).alias("first"),
-        F.max(F.struct(r.alias("r"), d.alias("d"))).alias("second"),
-    )
+    every = Window.partitionBy()
+    d, r = F.col(deaths).cast("double"), F.col(total).cast("double")
+    cells = df.select(d.alias("d"), (r - d).alias("s"), r.alias("r"), F.count(F.lit(1)).over(every).alias("g"),
+                      F.sum(r).over(every).alias("n"), F.sum(d).over(every).alias("c_d"),
+                      F.sum(r - d).over(every).alias("c_s"))
+    yates = F.when(F.col("g") == 2, F.lit(0.5)).otherwise(F.lit(0.0))
+
+    def cell(observed: str, margin: str):
+        expected = F.col("r") * F.try_divide(F.col(margin), F.col("n"))
+        off = F.greatest(F.abs(F.col(observed) - expected) - yates, F.lit(0.0))
+        return F.try_divide(off * off, expected)
+
+    agg = cells.agg(
+        F.count(F.lit(1)).alias("g"), F.max("n").alias("n"), F.max("c_d").alias("c_d"), F.max("c_s").alias("c_s"),
+        F.sum(cell("d", "c_d") + cell("s", "c_s")).alias("chi"), F.min("r").alias("r_min"),
+        F.max((F.col("d") < 0) | (F.col("s") < 0) | (F.col("r") <= 0)).alias("bad_cell"))
     n, c_d, c_s = F.col("n"), F.col("c_d"), F.col("c_s")
     dof = (F.col("g") - 1).cast("int")
     invalid = F.coalesce(F.col("bad_cell"), F.lit(True)) | (c_d <= 0) | (c_s <= 0)
-    plain = n * (F.col("a_d") / c_d + F.col("a_s") / c_s - F.lit(1.0))
-    r1, d1, r2 = F.col("first.r"), F.col("first.d"), F.col("second.r")
-    diff = F.abs(d1 - r1 * c_d / n)
-    yates = F.pow(F.greatest(diff - F.lit(0.5), F.lit(0.0)), 2) * F.pow(n, 3) / (r1 * r2 * c_d * c_s)
     stat = (F.when(invalid, F.lit(None).cast("double"))
             .when(dof == 0, F.lit(0.0))
-            .when(dof == 1, yates)
-            .otherwise(plain))
+            .otherwise(F.col("chi")))
     min_expected = F.when(invalid, F.lit(None).cast("double")).otherwise(
-        F.col("r_min") * F.least(c_d, c_s) / n)
+        F.col("r_min") * (F.least(c_d, c_s) / n))
     out = agg.select(
         F.lit(label).alias("label"),
         F.round(stat, REPORT_DIGITS).alias("chi_square"),

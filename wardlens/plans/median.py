@@ -1,91 +1,44 @@
-"""Exact median of a column without gathering the column anywhere.
-
-Spark's exact ``median``/``percentile`` aggregate merges every distinct value
-into one buffer in one task, and ``approxQuantile(relativeError=0)`` does the
-same on the driver. Instead: narrow the range that holds the middle rank(s)
-with ``percentile_approx`` (partial aggregates, rank error <= n / accuracy)
-and exact counts, until at most ``candidate_limit`` values remain; then one
-bounded window picks the exact ranks. Typically one narrowing round.
+"""Exact medians without gathering a column anywhere.
+
+Spark's exact ``median`` aggregate merges every distinct value into one buffer
+in one task. Here the values are counted (partially aggregated, so a value
+that a third of the rows have costs one row per task), the counts of all
+columns are put in order of (column, value) with running totals, and the
+values whose running total covers the middle ranks are read off. There is one
+path for every size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_CANDIDATE_LIMIT = 500_000
-DEFAULT_ACCURACY = 10_000
-
-
-def _kth_smallest(x: DataFrame, n: int, k: int, candidate_limit: int, accuracy: int,
-                  max_rounds: int = 12) -> float:
-    """k-th smallest (0-based) value of column ``x`` among ``n`` non-null values."""
-    lo = hi = None          # open interval (lo, hi) known to hold rank k
-    below, m = 0, n         # values <= lo, values inside the interval
-    for _ in range(max_rounds):
-        sub = x
-        if lo is not None:
-            sub = sub.where(F.col("x") > F.lit(lo))
-        if hi is not None:
-            sub = sub.where(F.col("x") < F.lit(hi))
-        r = k - below
-        if m <= candidate_limit:
-            w = Window.orderBy("x")  # bounded: at most candidate_limit rows
-            row = (sub.select("x", (F.row_number().over(w) - 1).alias("_r"))
-                   .where(F.col("_r") == r).select("x").first())
-            return float(row[0])
-        slack = 2.0 / accuracy
-        q_lo, q_hi = max(0.0, r / m - slack), min(1.0, r / m + slack)
-        a, b = sub.agg(F.percentile_approx("x", [q_lo, q_hi], accuracy)).first()[0]
-        c = sub.agg(
-            F.count_if(F.col("x") < a).alias("lt_a"), F.count_if(F.col("x") <= a).alias("le_a"),
-            F.count_if(F.col("x") < b).alias("lt_b"), F.count_if(F.col("x") <= b).alias("le_b"),
-        ).first()
-        if c["lt_a"] <= r < c["le_a"]:
-            return float(a)
-        if c["lt_b"] <= r < c["le_b"]:
-            return float(b)
-        if r < c["lt_a"]:           # rank left of a (approximation error): keep (lo, a)
-            hi, m = a, c["lt_a"]
-        elif r >= c["le_b"]:        # rank right of b: keep (b, hi)
-            lo, below, m = b, below + c["le_b"], m - c["le_b"]
-        else:                       # strictly between a and b
-            lo, hi = a, b
-            below, m = below + c["le_a"], c["lt_b"] - c["le_a"]
-    raise RuntimeError("exact median did not converge")
+from wardlens.plans.ordering import running_totals
 
 
-def exact_medians(df: DataFrame, cols, *, candidate_limit: int = DEFAULT_CANDIDATE_LIMIT,
-                  accuracy: int = DEFAULT_ACCURACY) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, cols) -> dict[str, float | None]:
     """Medians of several columns, ignoring NULL and NaN; None for a column without values.
 
     The even case is ``(lo + hi) / 2``, as pandas and SQL engines compute it.
-    One pass counts the values of every column. Columns with at most
-    ``candidate_limit`` values get Spark's exact ``median`` together in a
-    second pass (its buffer then holds a bounded number of values); larger
-    columns are narrowed first as described in the module docstring.
+    ``df`` is read once; two rows per column come back.
     """
     cols = list(cols)
-    clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
-    counts = df.agg(*[F.count(clean[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    out: dict[str, float | None] = {}
-    small = [c for i, c in enumerate(cols) if 0 < counts[f"n{i}"] <= candidate_limit]
-    if small:
-        row = df.agg(*[F.median(clean[c]).alias(f"m{i}") for i, c in enumerate(small)]).first()
-        out.update({c: float(row[f"m{i}"]) for i, c in enumerate(small)})
-    for i, c in enumerate(cols):
-        n = counts[f"n{i}"]
-        if n == 0:
-            out[c] = None
-        elif c not in out:
-            x = df.select(clean[c].alias("x")).where(F.col("x").isNotNull())
-            k1, k2 = (n - 1) // 2, n // 2
-            v1 = _kth_smallest(x, n, k1, candidate_limit, accuracy)
-            v2 = v1 if k2 == k1 else _kth_smallest(x, n, k2, candidate_limit, accuracy)
-            out[c] = (v1 + v2) / 2.0
-    return out
-
-
-def exact_median(df: DataFrame, col: str, **kw) -> float | None:
+    if not cols:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x"))
+                                for i, c in enumerate(cols)])).alias("p")
+    counts = (df.select(pairs).select("p.c", "p.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
+              .groupBy("c", "x").agg(F.count(F.lit(1)).alias("n")))
+    ranked = running_totals(counts, ["c", "x"], ["n"])
+    ends = ranked.groupBy("c").agg((F.min(F.col("cum_n") - F.col("n"))).alias("before"), F.sum("n").alias("m"))
+    k = lambda half: F.col("before") + F.floor((F.col("m") - 1 + half) / 2)
+    covers = lambda r: (r >= F.col("cum_n") - F.col("n")) & (r < F.col("cum_n"))
+    middle = (ranked.join(F.broadcast(ends), "c").where(covers(k(0)) | covers(k(1)))
+              .groupBy("c").agg(F.min("x").alias("lo"), F.max("x").alias("hi")))
+    found = {r["c"]: (r["lo"] + r["hi"]) / 2.0 for r in middle.collect()}
+    return {c: found.get(i) for i, c in enumerate(cols)}
+
+
+def exact_median(df: DataFrame, col: str) -> float | None:
     """Median of one column (see :func:`exact_medians`)."""
-    return exact_medians(df, [col], **kw)[col]
+    return exact_medians(df, [col])[col]

@@ -2,18 +2,17 @@
 
 * :func:`keyed_sequence` - row number, previous and next values per key (W1-W3).
   Ordinary keys use one Window. Keys that hold more rows than a task budget
-  ("hot" keys) are cut into contiguous slices of (key, order); each slice is
-  windowed on its own and the slice edges are stitched with a small per-slice
-  table (at most ``max_hot_keys + slices`` rows).
+  ("hot" keys) are range-partitioned by (key, order); each slice is windowed on
+  its own and the slice edges are stitched with a table of one row per slice
+  and hot key in it.
 * :func:`global_positions` - 0-based position in a total order.
 * :func:`running_totals` - cumulative sums in a total order.
 
-Slices are a column, not a physical partition: split points are taken once
-from a bounded random sample (:func:`range_bounds`), written into the plan as
-literals, and each row finds its slice by binary search (:func:`slice_of`).
-So every consumer of the sliced rows agrees on the slice whatever Spark
-prunes, reuses or retries (a range exchange's own sampling is seeded per RDD,
-so two exchanges over the same rows may cut them differently).
+A slice is a range partition whose number is written down with its rows
+(:func:`range_sliced`): the rows are range-partitioned once, stored with the
+partition number as a column, and read back. All consumers therefore agree on
+the slices whatever Spark prunes, reuses or retries, and neither the plan nor
+the driver holds anything per slice or per key.
 
 Order lists hold column names, ascending with NULLs first; a leading ``-``
 (``"-score"``) orders a numeric column descending.
@@ -21,126 +20,52 @@ Order lists hold column names, ascending with NULLs first; a leading ``-``
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wardlens.session import materialize, shuffle_partitions
 
 # A key with more rows than this is split across tasks.
 DEFAULT_HOT_THRESHOLD = 2_000_000
-# At most this many hot keys are split (largest first); others stay exact on the
-# ordinary path. Bounds the broadcast hot-key table.
-DEFAULT_MAX_HOT_KEYS = 10_000
 
 
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-# Sample rows per slice when choosing split points (bounded: slices x this).
-SAMPLE_PER_SLICE = 20
-# Most slices per call: the split points are a literal in the plan, so this
-# bounds the plan size (a slice then holds rows / MAX_SLICES rows).
-MAX_SLICES = 65_536
-
-
 def _sort_exprs(order: Sequence[str]) -> list[Column]:
     """Ascending sort expressions; ``-c`` becomes ``-col(c)`` (numeric descending)."""
-    return [(-F.col(c[1:]) if c.startswith("-") else F.col(c)).alias(f"_o{i}")
-            for i, c in enumerate(order)]
+    return [-F.col(c[1:]) if c.startswith("-") else F.col(c) for c in order]
 
 
-def _order_struct(order: Sequence[str]) -> Column:
-    return F.struct(*_sort_exprs(order))
+def _ranged(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
+    """``df`` range-partitioned by ``order``, with the partition's number as ``_wl_p`` (not yet written)."""
+    return (df.repartitionByRange(max(1, int(slices)), *_sort_exprs(order))
+            .withColumn("_wl_p", F.spark_partition_id()))
 
 
-def _literal(value, dtype: T.DataType) -> Column:
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.lit(value.isoformat(sep=" ")).cast(dtype)
-    if isinstance(dtype, T.DecimalType):
-        return F.lit(str(value)).cast(dtype)
-    return F.lit(value).cast(dtype)
+def range_sliced(df: DataFrame, order: Sequence[str], slices: int, name: str = "slices") -> DataFrame:
+    """The rows of ``df`` with their slice number ``_wl_p``, ascending in ``order``.
 
+    Written once (one run of the plan of ``df`` and its sampling pass), then
+    read back: the number is data, so every later use sees the same slices.
+    """
+    return materialize(_ranged(df, order, slices), name)
 
-def range_bounds(df: DataFrame, order: Sequence[str], slices: int, n: int | None = None,
-                 seed: int = 29) -> list:
-    """At most ``slices - 1`` split points (rows of the order struct), evenly spaced.
 
-    Taken from a random sample of about ``SAMPLE_PER_SLICE * slices`` rows;
-    only the sample is windowed (one task, bounded) and only the split points
-    come back to the driver.
-    """
-    slices = min(slices, MAX_SLICES)
-    if slices <= 1:
-        return []
-    n = df.count() if n is None else n
-    if n == 0:
-        return []
-    fraction = min(1.0, SAMPLE_PER_SLICE * slices / n)
-    sample = df.select(_order_struct(order).alias("_v"))
-    if fraction < 1.0:
-        sample = sample.where(F.rand(seed) < F.lit(fraction))
-    tiles = sample.select("_v", F.ntile(slices).over(Window.orderBy("_v")).alias("_t"))
-    rows = tiles.groupBy("_t").agg(F.max("_v").alias("_v")).orderBy("_t").collect()
-    return [r["_v"] for r in rows[:-1]]
-
-
-def slice_of(df: DataFrame, order: Sequence[str], bounds: list) -> Column:
-    """Number of split points strictly below the row's order struct (binary search)."""
-    if not bounds:
-        return F.lit(0)
-    key_type = df.select(_order_struct(order).alias("_v")).schema["_v"].dataType
-    arr = F.array(*[F.struct(*[_literal(v, f.dataType).alias(f.name)
-                               for v, f in zip(b, key_type.fields)]) for b in bounds])
-    key = _order_struct(order)
-    steps = max(1, math.ceil(math.log2(len(bounds) + 1)))
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        below = F.element_at(arr, mid + 1) < key
-        moved = F.struct(F.when(below, mid + 1).otherwise(lo).alias("lo"),
-                         F.when(below, hi).otherwise(mid).alias("hi"))
-        return F.when(lo < hi, moved).otherwise(acc)
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int,
-             max_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
-    """Keys with more than ``threshold`` rows, the largest ``max_keys`` of them.
+def hot_key_table(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame | None:
+    """Keys with more than ``threshold`` rows and their row count ``_wl_n``; None when there is none.
 
     The per-key count is partially aggregated before its shuffle, so a hot key
-    costs one row per map task. The result has at most ``max_keys`` rows, which
-    is the bound that makes broadcasting it safe.
+    costs one row per map task. The table is written, not collected: it may
+    have any number of rows (at most rows / threshold), and joins with it are
+    planned from its real size.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wl_n"))
-    return (counts.where(F.col("_wl_n") > F.lit(threshold))
-            .orderBy(F.desc("_wl_n"))
-            .limit(max_keys))
-
-
-def hot_key_table(df: DataFrame, keys: Sequence[str], threshold: int,
-                  max_keys: int = DEFAULT_MAX_HOT_KEYS) -> tuple[DataFrame | None, int]:
-    """``(hot keys with their row count _wl_n, total rows of hot keys)``; None when none is hot.
-
-    Runs the (partially aggregated) per-key count once and brings back at most
-    ``max_keys`` rows, so callers can keep the plain plan when nothing is hot
-    and broadcast a table of known size when something is.
-    """
-    rows = hot_keys(df, keys, threshold, max_keys).collect()
-    if not rows:
-        return None, 0
-    schema = df.select(*keys).schema.add("_wl_n", "long")
-    table = df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
-    return table, sum(r["_wl_n"] for r in rows)
+    hot = materialize(counts.where(F.col("_wl_n") > F.lit(threshold)), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -157,7 +82,6 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
                    seq_col: str | None = "seq",
                    lag: Sequence[str] = (), lead: Sequence[str] = (),
                    hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-                   max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
                    hot_partitions: int | None = None) -> DataFrame:
     """Add ``seq_col`` (1-based), ``prev_<c>`` for ``lag`` and ``next_<c>`` for ``lead``.
 
@@ -183,11 +107,12 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
                                            seq_col or "_wl_seq"))
         return out if seq_col else out.drop("_wl_seq")
 
-    hot, hot_rows_total = hot_key_table(df, keys, hot_threshold, max_hot_keys)
+    hot = hot_key_table(df, keys, hot_threshold)
     if hot is None:  # nothing hot: one exchange, one window
         return plain(df)
+    hot_rows_total = hot.agg(F.sum("_wl_n")).first()[0]
     hot = hot.select(*keys, F.lit(True).alias("_wl_hot"))
-    tagged = join_null_safe(df, F.broadcast(hot), keys, "left")
+    tagged = join_null_safe(df, hot, keys, "left")
 
     # Ordinary keys: one window partition per key.
     cold = plain(tagged.where(F.col("_wl_hot").isNull()))
@@ -195,27 +120,26 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
     # Hot keys: contiguous slices of (key, order), about hot_threshold rows each.
     parts = hot_partitions or max(shuffle_partitions(df.sparkSession),
                                   -(-hot_rows_total // max(hot_threshold, 1)))
-    hot_only = tagged.where(F.col("_wl_hot").isNotNull()).select(*cols)
-    bounds = range_bounds(hot_only, [*keys, *order], parts, n=hot_rows_total)
-    hot_rows = hot_only.withColumn("_wl_b", slice_of(hot_only, [*keys, *order], bounds))
-    wl = Window.partitionBy(*keys, "_wl_b").orderBy(*order)
-    local = hot_rows.select(*cols, "_wl_b", *outputs(wl, "_wl_rn"))
+    hot_rows = range_sliced(tagged.where(F.col("_wl_hot").isNotNull()).select(*cols),
+                            [*keys, *order], parts, "hot-slices")
+    wl = Window.partitionBy(*keys, "_wl_p").orderBy(*order)
+    local = hot_rows.select(*cols, "_wl_p", *outputs(wl, "_wl_rn"))
     position = F.struct(*order)
-    slices = hot_rows.groupBy(*keys, "_wl_b").agg(
+    slices = hot_rows.groupBy(*keys, "_wl_p").agg(
         F.count(F.lit(1)).alias("_wl_cnt"),
         *[F.max_by(c, position).alias(f"_wl_last_{c}") for c in lag],
         *[F.min_by(c, position).alias(f"_wl_first_{c}") for c in lead],
     )
-    ws = Window.partitionBy(*keys).orderBy("_wl_b")
+    # One row per slice of a key: the window holds slices, not rows.
+    ws = Window.partitionBy(*keys).orderBy("_wl_p")
     slices = slices.select(
-        *keys, "_wl_b", "_wl_cnt",
+        *keys, "_wl_p", "_wl_cnt",
         F.coalesce(F.sum("_wl_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_wl_off"),
         *[F.lag(f"_wl_last_{c}").over(ws).alias(f"_wl_pl_{c}") for c in lag],
         *[F.lead(f"_wl_first_{c}").over(ws).alias(f"_wl_nf_{c}") for c in lead],
     )
-    # One row per (hot key, slice): at most max_hot_keys + parts rows.
-    stitched = join_null_safe(local, F.broadcast(slices), [*keys, "_wl_b"], "inner")
+    stitched = join_null_safe(local, slices, [*keys, "_wl_p"], "inner")
     rn = F.col("_wl_rn")
     hot_out = stitched.select(
         *cols,
@@ -229,7 +153,7 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
 
 
 def _offsets(sizes: DataFrame, value_cols: Sequence[str]) -> DataFrame:
-    """Exclusive prefix sums and grand totals over a table with one row per partition."""
+    """Exclusive prefix sums and grand totals over a table with one row per slice."""
     w_before = Window.orderBy("_wl_p").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy()
     return sizes.select(
@@ -243,15 +167,13 @@ def global_positions(df: DataFrame, order: Sequence[str], pos_col: str = "pos",
                      partitions: int | None = None) -> DataFrame:
     """Add ``pos_col``: the row's 0-based position in ``order`` (a total order).
 
-    Rows are cut into about ``partitions`` contiguous slices (see module
-    docstring); each slice is numbered by its own window and shifted by the
-    sizes of the slices before it, from a table of one row per slice.
+    Rows are cut into ``partitions`` contiguous slices (see module docstring);
+    each slice is numbered by its own window and shifted by the sizes of the
+    slices before it, from a table of one row per slice.
     """
     parts = partitions or shuffle_partitions(df.sparkSession)
     cols = df.columns
-    # Counted, sampled and sliced below: read the input's plan once.
-    df = materialize(df, "positions-input")
-    sliced = df.withColumn("_wl_p", slice_of(df, order, range_bounds(df, order, parts)))
+    sliced = range_sliced(df, order, parts, "positions")
     local = sliced.select(*cols, "_wl_p", (F.row_number().over(
         Window.partitionBy("_wl_p").orderBy(*_sort_exprs(order))) - 1).alias("_wl_i"))
     sizes = sliced.groupBy("_wl_p").agg(F.count(F.lit(1)).alias("_wl_c"))
@@ -265,8 +187,7 @@ def running_totals(df: DataFrame, order: Sequence[str], sum_cols: Sequence[str],
     """Add ``cum_<c>`` (inclusive running sum in ``order``) and ``total_<c>`` per column."""
     parts = partitions or shuffle_partitions(df.sparkSession)
     cols = df.columns
-    df = materialize(df, "totals-input")  # counted, sampled and sliced: one plan run
-    sliced = df.withColumn("_wl_p", slice_of(df, order, range_bounds(df, order, parts)))
+    sliced = range_sliced(df, order, parts, "totals")
     wl = (Window.partitionBy("_wl_p").orderBy(*_sort_exprs(order))
           .rowsBetween(Window.unboundedPreceding, 0))
     local = sliced.select(*cols, "_wl_p", *[F.sum(c).over(wl).alias(f"_wl_cum_{c}") for c in sum_cols])

@@ -1,13 +1,13 @@
 """Session defaults and lineage cutting.
 
 On a cluster the session is built by the platform; :func:`get_spark` is for
-local runs and tests. :func:`ensure_checkpoint_dir` only sets a checkpoint
-folder when the session has none, so a cluster's shared
-``spark.checkpoint.dir`` is always the one used.
+local runs and tests. Intermediate tables go to the shared folder that
+``spark.checkpoint.dir`` names; a cluster session without it is an error.
 """
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -20,6 +20,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even where that costs one more shuffle afterwards.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -46,25 +48,36 @@ def get_spark(master: str | None = None, app_name: str = "wardlens",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset.
+def split_skewed_joins(spark: SparkSession) -> None:
+    """Let this session's joins split skewed partitions even where an aggregate on the key follows."""
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
+def checkpoint_root(configured: str | None, master: str) -> str:
+    """The folder for intermediate tables: the configured one, or a temp folder for a local master.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that wins.
-    Only a session without one (local runs, tests) gets a fresh temp folder.
+    With a local master the driver and its tasks share one machine, so a temp
+    folder serves. On a cluster every executor would write to its own disk;
+    there the setting is required.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="wardlens-ckpt-")
-    sc.setCheckpointDir(local)
+        return configured
+    if master == "local" or master.startswith("local["):
+        return tempfile.mkdtemp(prefix="wardlens-ckpt-")
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder (see :func:`checkpoint_root` where none is set yet)."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(checkpoint_root(spark.conf.get("spark.checkpoint.dir", None), sc.master))
     return sc.getCheckpointDir()
 
 
+_WRITTEN: list[list[str]] = [[]]
+
+
 def materialize(df: DataFrame, name: str = "table", min_partitions: int | None = None) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet under the checkpoint folder and read it back.
 
@@ -77,13 +90,39 @@ def materialize(df: DataFrame, name: str = "table", min_partitions: int | None =
     ``min_partitions`` spreads the rows round-robin over that many files first
     (no key, so no skew): CPU-heavy readers such as model fits then get that
     many tasks even when AQE has merged a small result into one partition.
+
+    The files stay until :func:`drop_written`, or the end of the enclosing
+    :func:`intermediates` block.
     """
     spark = df.sparkSession
     if min_partitions:
         df = df.repartition(int(min_partitions))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/wardlens-{name}-{uuid.uuid4().hex}"
+    _WRITTEN[-1].append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete intermediate tables: ``paths``, or all that this session has written so far."""
+    gone = list(paths) if paths is not None else [p for level in _WRITTEN for p in level]
+    for p in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        for level in _WRITTEN:
+            if p in level:
+                level.remove(p)
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession):
+    """Delete every intermediate table written inside the block when it ends."""
+    _WRITTEN.append([])
+    try:
+        yield
+    finally:
+        drop_written(spark, _WRITTEN[-1])
+        _WRITTEN.pop()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
