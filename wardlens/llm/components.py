@@ -23,15 +23,18 @@ def connected_components(links: DataFrame) -> DataFrame:
     spark = links.sparkSession
     edges = links.select("a", "b").where("a is not null and b is not null and a != b").distinct()
     edges = materialize(edges, "cc-edges")
-    roots = spark.createDataFrame([], "node long, root long")
+    roots, first = spark.createDataFrame([], "node long, root long"), True
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = materialize(both.groupBy("a").agg(F.min("b").alias("least"))
                              .select(F.col("a").alias("node"), F.least("a", "least").alias("root")), "cc-parent")
         while True:
+            # Two jumps a turn; the second moving nothing means that the forest is flat.
             up = parent.select(F.col("node").alias("root"), F.col("root").alias("above"))
-            jumped = materialize(parent.join(up, "root", "left").select(
-                "node", F.coalesce("above", "root").alias("root"), (F.col("above") < F.col("root")).alias("moved")), "cc-parent")
+            once = parent.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+            twice = once.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"),
+                                                         (F.col("above") < F.col("root")).alias("moved"))
+            jumped = materialize(twice, "cc-parent")
             moved = not jumped.where("moved").isEmpty()
             parent = jumped.select("node", "root")
             if not moved:
@@ -39,7 +42,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         old = roots.join(parent.withColumnRenamed("root", "above").withColumnRenamed("node", "root"), "root", "left").select(
             "node", F.coalesce("above", "root").alias("root"))
         new = parent.join(roots.select("node"), "node", "left_anti")
-        roots = materialize(old.unionByName(new), "cc-roots")
+        roots = parent if first else materialize(old.unionByName(new), "cc-roots")
+        first = False
         at_a = parent.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         at_b = parent.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         edges = materialize(edges.join(at_a, "a").join(at_b, "b").where("ra != rb")

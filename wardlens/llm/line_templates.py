@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from wardlens.llm.common import batch_of, bounded_batches, materialize
 from wardlens.llm.shingles import mix, word_hashes
 
-DEPTH, MIN_TOKENS, MIN_DOCS = 4, 4, 3
+DEPTH, MIN_TOKENS, MIN_DOCS = 3, 4, 3
 SIMILARITY, MIN_CONSTANT = 0.7, 0.5
 WILDCARD = b"<*>"
 _VARIABLE = re.compile(rb"[0-9@]|://")
@@ -179,8 +179,9 @@ def drop_recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     """``docs`` with recurring lines dropped from their texts; all columns are kept.
 
     ``chars_col`` names a column to set to the new length in characters. With
-    ``counts``, the columns n_lines and n_dropped follow. A null text stays
-    null; a text whose lines are all dropped becomes empty.
+    ``counts``, the columns n_lines and n_dropped follow (in place of columns
+    of that name). A null text stays null; a text whose lines are all dropped
+    becomes empty.
     """
     found = recurring_lines(docs, id_col=id_col, text_col=text_col, min_docs=min_docs)
     drops = (found.where("dropped").groupBy(F.col("doc_id").alias("_id"), F.col("doc_hash").alias("_hash"))
@@ -217,4 +218,6 @@ def drop_recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     if chars_col is not None and chars_col in docs.columns:
         k = docs.columns.index(chars_col)
         fields[k] = F.length(text).cast(docs.schema.fields[k].dataType).alias(chars_col)
+    if counts:
+        fields = [f for f, c in zip(fields, docs.columns, strict=True) if c.lower() not in ("n_lines", "n_dropped")]
     return out.select(*fields, *(["n_lines", "n_dropped"] if counts else []))

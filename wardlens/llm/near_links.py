@@ -10,7 +10,7 @@ listed. Instead
    members that cannot have any link left are set aside: what an item shares
    with no other item of these buckets is lost to every pair, so with more
    than ``1 - threshold`` of it no partner can reach the threshold;
-3. the rest is finished in rounds of 1, 2, 4, ... random leaders per bucket,
+3. the rest is finished in rounds of 8, 32, 128, ... random leaders per bucket,
    each compared with the members of other components that come later in the
    bucket's random order and whose sizes still allow the threshold. After the
    last round every such pair has been compared, or its ends were found in one
@@ -32,6 +32,7 @@ from wardlens.llm.common import batch_of, materialize
 from wardlens.llm.components import connected_components
 
 MEMBERS_PER_SALT = 500
+FIRST_LEADERS, MORE_LEADERS = 8, 4
 
 
 def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
@@ -71,6 +72,8 @@ def verified_links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataF
     and the members stream past it.
     """
     pairs = materialize(pairs.select("lead", "uid").distinct(), "near-pairs")
+    if pairs.isEmpty():
+        return pairs.select(F.col("lead").alias("a"), F.col("uid").alias("b"))
     n = pairs.groupBy("lead").agg(F.count("*").alias("n")).withColumn("salts", F.ceil(F.col("n") / MEMBERS_PER_SALT).cast("int"))
     members = (pairs.join(n.select("lead", "salts"), "lead")
                .select("lead", F.pmod(F.xxhash64("uid"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "uid"))
@@ -117,6 +120,13 @@ def _alone(active: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         "uid", "size", F.coalesce("alone", F.lit(0)).alias("alone"))
 
 
+def _between(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """``links`` with their ends replaced by the names of their components."""
+    at = lambda end, name: roots.select(F.col("node").alias(end), F.col("root").alias(name))
+    return links.join(at("a", "ra"), "a", "left").join(at("b", "rb"), "b", "left").select(
+        F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+
+
 def near_components(bands: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(node, root) of the components of verified links among items that share a band key.
 
@@ -146,7 +156,7 @@ def near_components(bands: DataFrame, sets: DataFrame, threshold: float) -> Data
     # With repeated items the weights differ, so only items without repeats are set aside by size.
     facts = facts.where(F.col("repeats") | (F.col("alone") <= (1 - threshold) * F.col("size")))
     active = materialize(open_buckets(active.join(facts.select("uid"), "uid", "left_semi")), "near-open")
-    shift, step = 0, 1
+    shift, step = 0, FIRST_LEADERS
     while not active.isEmpty():
         place = (F.pmod(F.xxhash64("uid", "key"), F.lit(1 << 40)) / F.lit(float(1 << 40))) * F.col("n")
         rows = active.withColumn("place", place).join(facts, "uid")
@@ -159,9 +169,14 @@ def near_components(bands: DataFrame, sets: DataFrame, threshold: float) -> Data
         pairs = (rows.join(leads, "key").where((F.col("root") != F.col("l_root")) & possible)
                  .where((F.col("place") > F.col("l_place")) | ((F.col("place") == F.col("l_place")) & (F.col("uid") > F.col("l_uid"))))
                  .select(F.col("l_uid").alias("lead"), "uid"))
-        links = materialize(links.unionByName(verified_links(pairs, sets, threshold)), "near-links")
-        roots = connected_components(links)
-        shift, step = shift + step, 2 * step
+        new = verified_links(pairs, sets, threshold)
+        if not new.isEmpty():
+            # Links found later join whole components: work on their names.
+            merged = connected_components(_between(new, roots)).select(F.col("node").alias("root"), F.col("root").alias("above"))
+            alone = new.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(roots.select("node"), "node", "left_anti")
+            known = roots.unionByName(alone.select("node", F.col("node").alias("root")))
+            roots = materialize(known.join(merged, "root", "left").select("node", F.coalesce("above", "root").alias("root")), "near-roots")
+        shift, step = shift + step, MORE_LEADERS * step
         # Leaders so far have met everyone after them; a bucket with fewer than two members beyond is finished.
         left = active.withColumn("place", place).where(F.col("place") >= shift).select("key", "uid")
         n = active.select("key", "n").distinct()

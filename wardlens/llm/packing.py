@@ -12,12 +12,15 @@ sequence that still has room). A round
 3. matches what the ranges left over: the ranges' counts (one row per task)
    decide which ranks of pieces go to which ranks of slots, and a join on
    (range, rank) carries it out, so no two pieces claim one slot;
-4. opens sequences for the longest pieces still unplaced: as many as their
-   tokens need at least, and one for each piece over half the capacity;
-5. updates the gaps and drops those below the shortest unplaced piece.
+4. updates the gaps;
+5. opens sequences for the longest pieces still unplaced: as many as their
+   tokens need beyond the room left in gaps that could take one of them, and as
+   the pieces longer than every gap need in any case;
+6. drops the gaps below the shortest unplaced piece.
 
-Rounds end when no piece is left. Every round places at least one piece; in
-practice a fixed share of them.
+Rounds end when no piece is left. A round that would place less than
+``LEAST_SHARE`` of the pieces opens more sequences, so the number of rounds
+grows with the logarithm of the pieces at most.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from wardlens.llm.common import batch_of, bounded_batches, materialize, shuffle_
 PIECE = "piece int, start long, length long, ids binary"
 # Rows of a range that one task sweeps in memory (about 50 bytes each).
 ROWS_PER_RANGE = 500_000
+LEAST_SHARE = 0.05
 
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int | None, *,
@@ -153,9 +157,10 @@ def match_leftovers(parts: list[tuple[int, int, int]]) -> tuple[list[tuple[int,
 def pack_best_fit(pieces: DataFrame, capacity: int, *, length_col: str = "length") -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to ``pieces``, in as few sequences as best fit finds.
 
-    Lengths must lie in 1..capacity. All columns of ``pieces`` are carried
-    through unchanged; ties in length go by an arbitrary but fixed row number.
-    An empty input gives an empty result.
+    Lengths must lie in 1..capacity (an error otherwise, also for null). The
+    columns of ``pieces`` are carried through unchanged, but for columns of
+    the two new names, which are replaced; ties in length go by an arbitrary
+    but fixed row number. An empty input gives an empty result.
     """
     spark = pieces.sparkSession
     names = [f"c{i}" for i in range(len(pieces.columns))]  # clashing names cannot arise
@@ -163,9 +168,9 @@ def pack_best_fit(pieces: DataFrame, capacity: int, *, length_col: str = "length
     rest = table.select("uid", F.col(names[pieces.columns.index(length_col)]).cast("long").alias("size"))
     gaps = spark.createDataFrame([], "seq long, gap long")
     placed = []
-    n, total, longest, shortest, big, wrong = rest.agg(
-        F.count("*"), F.coalesce(F.sum("size"), F.lit(0)), F.max("size"), F.min("size"),
-        F.count_if(F.col("size") > capacity // 2), F.count_if(F.col("size").isNull() | ~F.col("size").between(1, capacity))).first()
+    n, longest, shortest, wrong = rest.agg(
+        F.count("*"), F.max("size"), F.min("size"),
+        F.count_if(F.col("size").isNull() | ~F.col("size").between(1, capacity))).first()
     if wrong:
         raise ValueError(f"piece lengths must lie in 1..{capacity}")
     n_gaps = 0
@@ -201,28 +206,37 @@ def pack_best_fit(pieces: DataFrame, capacity: int, *, length_col: str = "length
                    .select("uid", "size", "seq", "slot", "gap"))
         taken = swept.where("not is_slot and rank is null").select("uid", "size", "seq", "slot", "gap").unionByName(by_link)
         inside = Window.partitionBy("seq").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
-        put = taken.select("uid", "seq", (capacity - F.col("gap") + F.sum("size").over(inside) - F.col("size")).alias("offset"), "size")
+        put = materialize(taken.select("uid", "seq", (
+            capacity - F.col("gap") + F.sum("size").over(inside) - F.col("size")).alias("offset"), "size"), "pack-placed")
+        placed.append(put)
+        if not before:
+            break
+        used = put.groupBy("seq").agg(F.sum("size").alias("more"))
+        gaps = materialize(gaps.join(used, "seq", "left").select(
+            "seq", (F.col("gap") - F.coalesce("more", F.lit(0))).alias("gap")), "pack-gaps")
         # The unmatched, in order of size over all ranges: index = rank in its range + those of the ranges before.
-        open_rest = (swept.where("rank is not null and not is_slot")
+        unmatched = (swept.where("rank is not null and not is_slot")
                      .join(table_of(free, "part int, done long, shift long"), "part")
                      .where("rank >= done").select("uid", "size", (F.col("rank") + F.col("shift")).alias("at")))
-        if before:
-            s = open_rest.agg(F.sum("size"), F.count_if(F.col("size") > capacity // 2)).first()
-            opened = max(-(-int(s[0]) // capacity), int(s[1]), 1)
-        else:
-            opened = 0
-        new = open_rest.where(F.col("at") < opened).select("uid", F.col("uid").alias("seq"),
-                                                           F.lit(0).cast("long").alias("offset"), "size")
-        put = materialize(put.unionByName(new), "pack-placed")
-        placed.append(put)
-        rest = materialize(open_rest.where(F.col("at") >= opened).select("uid", "size"), "pack-rest")
+        shortest = unmatched.agg(F.min("size")).first()[0]
+        room, widest = gaps.where(F.col("gap") >= shortest).agg(F.coalesce(F.sum("gap"), F.lit(0)),
+                                                                F.coalesce(F.max("gap"), F.lit(0))).first()
+        size = F.col("size")
+        tokens, beyond, alone = unmatched.agg(
+            F.sum("size"), F.coalesce(F.sum(F.when(size > widest, size)), F.lit(0)),
+            F.count_if(size > max(capacity // 2, widest))).first()
+        need = lambda t: -(-t // capacity)
+        opened = max(need(max(0, tokens - room)), need(beyond), alone)
+        if n - before + opened < LEAST_SHARE * n:
+            opened = max(opened, need(tokens // 2), 1)
+        opened = min(opened, before)
+        new = materialize(unmatched.where(F.col("at") < opened).select(
+            "uid", F.col("uid").alias("seq"), F.lit(0).cast("long").alias("offset"), "size"), "pack-placed")
+        placed.append(new)
+        rest = materialize(unmatched.where(F.col("at") >= opened).select("uid", "size"), "pack-rest")
         n, longest, shortest = rest.agg(F.count("*"), F.max("size"), F.min("size")).first()
         if n:
-            used = put.groupBy("seq").agg(F.sum("size").alias("more"))
-            opened_gaps = put.where("offset = 0 and uid = seq").select("seq", F.lit(capacity).cast("long").alias("gap"))
-            gaps = materialize(gaps.unionByName(opened_gaps).join(used, "seq", "left")
-                               .select("seq", (F.col("gap") - F.coalesce("more", F.lit(0))).alias("gap"))
-                               .where(F.col("gap") >= shortest), "pack-gaps")
+            gaps = gaps.unionByName(new.select("seq", (capacity - F.col("size")).alias("gap"))).where(F.col("gap") >= shortest)
             n_gaps = gaps.count()
     if not placed:
         at = spark.createDataFrame([], "uid long, seq long, offset long")
@@ -231,7 +245,8 @@ def pack_best_fit(pieces: DataFrame, capacity: int, *, length_col: str = "length
         for p in placed[1:]:
             at = at.unionByName(p.select("uid", "seq", "offset"))
     joined = table.join(at, "uid")
-    return joined.select(*[F.col(c).alias(o) for c, o in zip(names, pieces.columns, strict=True)],
+    return joined.select(*[F.col(c).alias(o) for c, o in zip(names, pieces.columns, strict=True)
+                           if o.lower() not in ("sequence_id", "offset")],
                          F.col("seq").alias("sequence_id"), F.col("offset"))
 
 

@@ -16,6 +16,7 @@ a least length, and a document without a reference is not judged by it.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -28,7 +29,7 @@ from wardlens.llm.common import batch_of, bounded_batches, materialize
 COMMON_SHARE = 0.002
 LANGUAGE_SHARE = 0.001
 MIN_CHARS, MIN_WORDS = 100, 30
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.46
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.25
 FLUSH = 300_000
 
 # Fixed rules of the base test.
@@ -57,6 +58,7 @@ def _class_of(c: int) -> int:
 
 
 _CLASS = bytes(map(_class_of, range(256)))
+_LOG_FACTORIAL = np.array([math.lgamma(k + 1) for k in range(91)])
 
 
 def base_counts(text: bytes, words: list[bytes]) -> tuple[int, int, int, int]:
@@ -95,19 +97,44 @@ def class_histogram(text: bytes) -> np.ndarray:
     return np.array([kinds.count(bytes((k,))) for k in range(len(CLASSES))], np.float64)
 
 
-def js_distance(a: np.ndarray, b: np.ndarray) -> float:
-    """Jensen-Shannon distance of two histograms (0 when either is empty)."""
+def sampling_share(reference: np.ndarray, n: float) -> float:
+    """The divergence to expect between a histogram and ``n`` draws from it.
+
+    Per bin the count is Poisson; bins that expect many draws give 1 / (8 n ln 2).
+    """
+    q = reference[reference > 0] / reference.sum()
+    many = n * q > 30
+    few = q[~many, None]
+    k = np.arange(0, 91)[None, :]
+    log_p = k * np.log(n * few) - n * few - _LOG_FACTORIAL[None, :]
+    p = k / n
+    m = (p + few) / 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(p > 0, p * np.log2(p / m), 0) + few * np.log2(few / m)
+    return float((np.exp(log_p) * gain).sum() / 2 + many.sum() / (8 * np.log(2) * n))
+
+
+def _usual(reference: np.ndarray, n: float, seen: dict) -> float:
+    """:func:`sampling_share` for about ``n`` draws (to one part in twenty), worked out once per length."""
+    step = round(math.log(n) / math.log(1.05))
+    if step not in seen:
+        seen[step] = sampling_share(reference, 1.05 ** step)
+    return seen[step]
+
+
+def js_distance(a: np.ndarray, b: np.ndarray, off: float = 0.0) -> float:
+    """Jensen-Shannon distance of two histograms (0 when either is empty), ``off`` taken off the divergence."""
     if not a.sum() or not b.sum():
         return 0.0
     p, q = a / a.sum(), b / b.sum()
     m = (p + q) / 2
     with np.errstate(divide="ignore", invalid="ignore"):
         d = np.where(p > 0, p * np.log2(p / m), 0).sum() + np.where(q > 0, q * np.log2(q / m), 0).sum()
-    return float(np.sqrt(max(0.0, d / 2)))
+    return float(np.sqrt(max(0.0, d / 2 - off)))
 
 
 def language_references(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text") -> dict:
-    """language -> (class histogram, {common word: bin}, word histogram); see the module for the bounds."""
+    """language -> (class histogram, {common word: bin}, word histogram, two empty caches); see the module for the bounds."""
     spark = docs.sparkSession
     bounded_batches(spark)
     schema = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("word", pa.binary()), ("n", pa.int64())])
@@ -166,7 +193,7 @@ def language_references(docs: DataFrame, *, lang_col: str = "lang", text_col: st
     for lang, total_n in large.items():
         ranked = sorted(words[lang])
         hist = np.array([n for _, n in ranked] + [total_n - sum(n for _, n in ranked)], np.float64)
-        out[lang] = (chars[lang], {w: i for i, (w, _) in enumerate(ranked)}, hist)
+        out[lang] = (chars[lang], {w: i for i, (w, _) in enumerate(ranked)}, hist, {}, {})
     return out
 
 
@@ -174,15 +201,15 @@ def divergences(text: bytes, words: list[bytes], reference: tuple | None) -> tup
     """Distances of characters and of common words; None where a guard applies."""
     if reference is None:
         return None, None
-    chars, bins, hist = reference
+    chars, bins, hist, seen_chars, seen_words = reference
     own = class_histogram(text)
-    char = js_distance(own, chars) if own.sum() >= MIN_CHARS else None
+    char = js_distance(own, chars, _usual(chars, own.sum(), seen_chars)) if own.sum() >= MIN_CHARS and chars.sum() else None
     word = None
     if len(words) >= MIN_WORDS and len(bins):
         count = np.zeros(len(bins) + 1)
         for w in text.lower().split():
             count[bins.get(w, len(bins))] += 1
-        word = js_distance(count, hist)
+        word = js_distance(count, hist, _usual(hist, count.sum(), seen_words))
     return char, word
 
 
