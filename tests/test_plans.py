@@ -89,6 +89,30 @@ def test_exact_medians_of_several_columns(spark):
     assert exact_medians(df.where("a > 100"), ["a"]) == {"a": None}
 
 
+def test_feature_table_same_with_every_admission_salted(spark):
+    from wardlens.operators.features import cohort_base, lab_window
+    t = standin.standin_tables(spark, SF_SMALL)
+    plain = lab_window(t["labevents"], t["admissions"])
+    salted = lab_window(t["labevents"], t["admissions"], hot_threshold=1)
+    assert _sorted(salted) == _sorted(plain)
+    assert _sorted(cohort_base(t, lab_hot_threshold=2)) == _sorted(cohort_base(t))
+
+
+def test_building_plans_runs_nothing_hidden(spark, monkeypatch):
+    """lab_window and cohort_base run no action while they are built; the feature table one."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+    from wardlens.operators.features import build_cohort_features, cohort_base, lab_window
+
+    t, runs = standin.standin_tables(spark, SF_SMALL), []
+    for name in ("collect", "first", "count", "isEmpty", "toPandas", "take", "head"):
+        monkeypatch.setattr(Frame, name, lambda self, *a, f=getattr(Frame, name), n=name, **k: (runs.append(n), f(self, *a, **k))[1])
+    lab_window(t["labevents"], t["admissions"])
+    cohort_base(t)
+    assert runs == []
+    build_cohort_features(t)
+    assert runs.count("first") <= 1 and not set(runs) & {"count", "isEmpty", "toPandas"}
+
+
 def test_lab_window_equals_its_definition(spark):
     from wardlens.operators.features import lab_window
     t = standin.standin_tables(spark, SF_SMALL)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from wardlens.functions.columns import cap_upper, indicator, safe_ratio
 from wardlens.functions.timeutil import days_between, plus_hours
 from wardlens.plans.median import exact_medians
+from wardlens.plans.skew import salted_join
 from wardlens.schemas import (ABNORMAL_FLAG, AGE_CAP_YEARS, DAYS_PER_YEAR, FEATURE_TABLE_COLUMNS,
                               LAB_WINDOW_HOURS, NO_ICU_LABEL)
 from wardlens.session import split_skewed_joins
@@ -59,16 +60,22 @@ def diagnosis_rollup(diagnoses_icd: DataFrame, approx: bool = False) -> DataFram
     return diagnoses_icd.groupBy("hadm_id").agg(n.alias("n_diagnoses"))
 
 
-def lab_window(labevents: DataFrame, admissions: DataFrame, hours: int = LAB_WINDOW_HOURS) -> DataFrame:
+def lab_window(labevents: DataFrame, admissions: DataFrame, hours: int = LAB_WINDOW_HOURS,
+               hot_threshold: int | None = None) -> DataFrame:
     """Labs charted up to ``hours`` after admission (no lower bound, inclusive) per admission.
 
     A missing flag counts as normal; labs with a NULL or unknown admission id
-    drop out.
+    drop out. With ``hot_threshold``, admissions of more labs than that are
+    counted first and salted (:func:`salted_join`), for sessions without AQE.
     """
     split_skewed_joins(labevents.sparkSession)
     labs = labevents.where(F.col("hadm_id").isNotNull()).select("hadm_id", "charttime", "flag")
     adm = admissions.select("hadm_id", "admittime")
-    joined = labs.join(adm, "hadm_id").where(F.col("charttime") <= plus_hours(F.col("admittime"), hours))
+    if hot_threshold is None:
+        joined = labs.join(adm, "hadm_id").where(F.col("charttime") <= plus_hours(F.col("admittime"), hours))
+    else:
+        joined = salted_join(labs, adm, ["hadm_id"], hot_threshold=hot_threshold,
+                             condition=lambda big, small: big("charttime") <= plus_hours(small("admittime"), hours))
     return joined.groupBy("hadm_id").agg(
         F.count(_one()).alias("n_lab_results_24h"),
         F.sum(indicator(F.col("flag") == F.lit(ABNORMAL_FLAG))).cast("long").alias("n_abnormal_labs_24h"),
@@ -81,12 +88,12 @@ def _admission_patient(admissions: DataFrame, patients: DataFrame) -> DataFrame:
     return a.join(patients.select("subject_id", "gender", "dob"), "subject_id")
 
 
-def cohort_base(tables: dict[str, DataFrame]) -> DataFrame:
+def cohort_base(tables: dict[str, DataFrame], *, lab_hot_threshold: int | None = None) -> DataFrame:
     """Q10: one row per admission with a patient; 16 columns (``BASE_COLUMNS``)."""
     base = _admission_patient(tables["admissions"], tables["patients"])
     icu = icu_rollup(tables["icustays"])
     diag = diagnosis_rollup(tables["diagnoses_icd"])
-    lab = lab_window(tables["labevents"], tables["admissions"])
+    lab = lab_window(tables["labevents"], tables["admissions"], hot_threshold=lab_hot_threshold)
     joined = (base.join(icu, "hadm_id", "left")
               .join(diag, "hadm_id", "left")
               .join(lab, "hadm_id", "left"))
@@ -105,21 +112,23 @@ def _age_years(age_days) -> F.Column:
                      else age_days / F.lit(DAYS_PER_YEAR), AGE_CAP_YEARS)
 
 
-def feature_medians(source: DataFrame, approx_accuracy: int | None = None) -> dict[str, float | None]:
+def feature_medians(source: DataFrame, approx_accuracy: int | None = None,
+                    only_missing: bool = False) -> dict[str, float | None]:
     """Medians of ``hospital_los_days`` and capped ``age_years`` over ``source``.
 
     Exact by default; ``approx_accuracy`` switches to one ``percentile_approx``
     pass with that accuracy (rank error at most n / accuracy).
     ``source`` needs ``age_days`` and ``hospital_los_days``, one row per feature row.
-    One pass first looks whether any value is missing; a column without a
-    missing value needs no median and is left out of the result.
+    With ``only_missing`` one pass first looks whether any value is missing; a
+    column without a missing value needs no median and is left out.
     """
     both = source.select("hospital_los_days", _age_years("age_days").alias("age_years"))
-    gaps = both.agg(*[F.max(F.col(c).isNull()).alias(c) for c in both.columns]).first()
-    cols = [c for c in both.columns if gaps[c]]
-    if not cols:
-        return {}
-    both = both.select(*cols)
+    cols = both.columns
+    if only_missing:
+        gaps = both.agg(*[F.max(F.col(c).isNull()).alias(c) for c in cols]).first()
+        cols = [c for c in cols if gaps[c]]
+        if not cols:
+            return {}
     if approx_accuracy:
         row = both.agg(*[F.percentile_approx(c, 0.5, approx_accuracy).alias(c) for c in cols]).first()
         return {c: (None if row[c] is None else float(row[c])) for c in cols}
@@ -133,7 +142,7 @@ def finalize_features(base: DataFrame, medians: dict[str, float | None] | None =
     length and age get their whole-frame medians (age after capping).
     """
     if medians is None:
-        medians = feature_medians(base)
+        medians = feature_medians(base, only_missing=True)
     df = base.select(
         *[c for c in base.columns if c not in ("age_days", "n_abnormal_labs_24h")],
         _age_years("age_days").alias("age_years"),
@@ -147,6 +156,7 @@ def finalize_features(base: DataFrame, medians: dict[str, float | None] | None =
 
 
 def build_cohort_features(tables: dict[str, DataFrame], *,
+                          lab_hot_threshold: int | None = None,
                           median_accuracy: int | None = None) -> DataFrame:
     """Q12: finished feature table, one row per admission (``FEATURE_TABLE_COLUMNS``).
 
@@ -158,8 +168,8 @@ def build_cohort_features(tables: dict[str, DataFrame], *,
         days_between("admittime", "dob").alias("age_days"),
         days_between("dischtime", "admittime").alias("hospital_los_days"),
     )
-    base = cohort_base(tables)
-    medians = feature_medians(narrow, median_accuracy)
+    base = cohort_base(tables, lab_hot_threshold=lab_hot_threshold)
+    medians = feature_medians(narrow, median_accuracy, only_missing=True)
     return finalize_features(base, medians).select(*FEATURE_TABLE_COLUMNS)
 
 

@@ -41,13 +41,13 @@ def _sort_exprs(order: Sequence[str]) -> list[Column]:
 
 
 def _ranged(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
-    """``df`` range-partitioned by ``order``, with the partition's number as ``_wl_p`` (not yet written)."""
+    """``df`` range-partitioned by ``order``, with the partition's number as ``_wl_b`` (not yet written)."""
     return (df.repartitionByRange(max(1, int(slices)), *_sort_exprs(order))
-            .withColumn("_wl_p", F.spark_partition_id()))
+            .withColumn("_wl_b", F.spark_partition_id()))
 
 
 def range_sliced(df: DataFrame, order: Sequence[str], slices: int, name: str = "slices") -> DataFrame:
-    """The rows of ``df`` with their slice number ``_wl_p``, ascending in ``order``.
+    """The rows of ``df`` with their slice number ``_wl_b``, ascending in ``order``.
 
     Written once (one run of the plan of ``df`` and its sampling pass), then
     read back: the number is data, so every later use sees the same slices.
@@ -122,24 +122,24 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
                                   -(-hot_rows_total // max(hot_threshold, 1)))
     hot_rows = range_sliced(tagged.where(F.col("_wl_hot").isNotNull()).select(*cols),
                             [*keys, *order], parts, "hot-slices")
-    wl = Window.partitionBy(*keys, "_wl_p").orderBy(*order)
-    local = hot_rows.select(*cols, "_wl_p", *outputs(wl, "_wl_rn"))
+    wl = Window.partitionBy(*keys, "_wl_b").orderBy(*order)
+    local = hot_rows.select(*cols, "_wl_b", *outputs(wl, "_wl_rn"))
     position = F.struct(*order)
-    slices = hot_rows.groupBy(*keys, "_wl_p").agg(
+    slices = hot_rows.groupBy(*keys, "_wl_b").agg(
         F.count(F.lit(1)).alias("_wl_cnt"),
         *[F.max_by(c, position).alias(f"_wl_last_{c}") for c in lag],
         *[F.min_by(c, position).alias(f"_wl_first_{c}") for c in lead],
     )
     # One row per slice of a key: the window holds slices, not rows.
-    ws = Window.partitionBy(*keys).orderBy("_wl_p")
+    ws = Window.partitionBy(*keys).orderBy("_wl_b")
     slices = slices.select(
-        *keys, "_wl_p", "_wl_cnt",
+        *keys, "_wl_b", "_wl_cnt",
         F.coalesce(F.sum("_wl_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_wl_off"),
         *[F.lag(f"_wl_last_{c}").over(ws).alias(f"_wl_pl_{c}") for c in lag],
         *[F.lead(f"_wl_first_{c}").over(ws).alias(f"_wl_nf_{c}") for c in lead],
     )
-    stitched = join_null_safe(local, slices, [*keys, "_wl_p"], "inner")
+    stitched = join_null_safe(local, slices, [*keys, "_wl_b"], "inner")
     rn = F.col("_wl_rn")
     hot_out = stitched.select(
         *cols,
@@ -154,10 +154,10 @@ def keyed_sequence(df: DataFrame, key, order: Sequence[str], *,
 
 def _offsets(sizes: DataFrame, value_cols: Sequence[str]) -> DataFrame:
     """Exclusive prefix sums and grand totals over a table with one row per slice."""
-    w_before = Window.orderBy("_wl_p").rowsBetween(Window.unboundedPreceding, -1)
+    w_before = Window.orderBy("_wl_b").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy()
     return sizes.select(
-        "_wl_p",
+        "_wl_b",
         *[F.coalesce(F.sum(c).over(w_before), F.lit(0)).alias(f"{c}_off") for c in value_cols],
         *[F.sum(c).over(w_all).alias(f"{c}_all") for c in value_cols],
     )
@@ -174,11 +174,11 @@ def global_positions(df: DataFrame, order: Sequence[str], pos_col: str = "pos",
     parts = partitions or shuffle_partitions(df.sparkSession)
     cols = df.columns
     sliced = range_sliced(df, order, parts, "positions")
-    local = sliced.select(*cols, "_wl_p", (F.row_number().over(
-        Window.partitionBy("_wl_p").orderBy(*_sort_exprs(order))) - 1).alias("_wl_i"))
-    sizes = sliced.groupBy("_wl_p").agg(F.count(F.lit(1)).alias("_wl_c"))
+    local = sliced.select(*cols, "_wl_b", (F.row_number().over(
+        Window.partitionBy("_wl_b").orderBy(*_sort_exprs(order))) - 1).alias("_wl_i"))
+    sizes = sliced.groupBy("_wl_b").agg(F.count(F.lit(1)).alias("_wl_c"))
     offs = _offsets(sizes, ["_wl_c"])
-    return (local.join(F.broadcast(offs), "_wl_p")
+    return (local.join(F.broadcast(offs), "_wl_b")
             .select(*cols, (F.col("_wl_c_off") + F.col("_wl_i")).alias(pos_col)))
 
 
@@ -188,12 +188,12 @@ def running_totals(df: DataFrame, order: Sequence[str], sum_cols: Sequence[str],
     parts = partitions or shuffle_partitions(df.sparkSession)
     cols = df.columns
     sliced = range_sliced(df, order, parts, "totals")
-    wl = (Window.partitionBy("_wl_p").orderBy(*_sort_exprs(order))
+    wl = (Window.partitionBy("_wl_b").orderBy(*_sort_exprs(order))
           .rowsBetween(Window.unboundedPreceding, 0))
-    local = sliced.select(*cols, "_wl_p", *[F.sum(c).over(wl).alias(f"_wl_cum_{c}") for c in sum_cols])
-    sizes = sliced.groupBy("_wl_p").agg(*[F.sum(c).alias(f"_wl_s_{c}") for c in sum_cols])
+    local = sliced.select(*cols, "_wl_b", *[F.sum(c).over(wl).alias(f"_wl_cum_{c}") for c in sum_cols])
+    sizes = sliced.groupBy("_wl_b").agg(*[F.sum(c).alias(f"_wl_s_{c}") for c in sum_cols])
     offs = _offsets(sizes, [f"_wl_s_{c}" for c in sum_cols])
-    return local.join(F.broadcast(offs), "_wl_p").select(
+    return local.join(F.broadcast(offs), "_wl_b").select(
         *cols,
         *[(F.col(f"_wl_cum_{c}") + F.col(f"_wl_s_{c}_off")).alias(f"cum_{c}") for c in sum_cols],
         *[F.col(f"_wl_s_{c}_all").alias(f"total_{c}") for c in sum_cols],
