@@ -15,7 +15,8 @@ from wardlens.llm import encoding, token_blocks
 from wardlens.llm.encoding import Encoder
 
 ODD = ["", " ", "a", "  a  b ", "x\n\n y\t z\r\n", "a\xa0 b", " \n x", "<|endoftext|> a", "a <|startoftext|>b", "don't  STOP",
-       "é à́ ô", "½ ﬁ İ ς", "w" * 5000, "日本語 テキスト", "\x00 \x1f a", "a​b c", "ends in space ", "\n", "tab\there"]
+       "é à́ ô", "½ ﬁ İ ς", "w" * 5000, "日本語 テキスト", "\x00 \x1f a", "a​b c", "ends in space ", "\n", "tab\there",
+       "word, Word. WORD! word?! word.\" (word), été. x'. don't. it's, e\u0301. 3.14, a_. 日本。 5, ²! ...  ,, x;;y"]
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
@@ -31,8 +32,8 @@ def test_cached_encoding_equals_the_library(vocabulary, name):
 def test_cache_is_bounded_and_long_units_are_not_kept(vocabulary, monkeypatch):
     monkeypatch.setattr(encoding, "MAX_CACHED", 20)
     enc = Encoder(vocabulary("byte_bpe_50k.json"))
-    enc.encode(["z" * 200 + " short"])
-    assert list(enc.cache) == [" short"]
+    enc.encode(["z" * 200 + ", short"])
+    assert set(enc.cache) == {" short", ","}
     enc.encode([" ".join(f"w{i}" for i in range(40))])
     assert len(enc.cache) <= 20
 

@@ -1,9 +1,12 @@
 """Tokenizer with a bounded cache of already encoded words, kept per Python worker.
 
 The byte-pair tokenizers used here never merge across a white-space boundary,
-so a text's ids are the ids of its white-space separated units in order. The
-library encodes each distinct unit once while it stays in the cache. Texts in
-which that does not hold (they spell a special token, or hold white space
+nor between a letter and the stops that end a unit, so a text's ids are the ids
+of its white-space separated units in order, and those of a unit like ``word,``
+are the ids of ``word`` and of ``,``. The library encodes each distinct such
+part once while it stays in the cache; for a tokenizer that ignores case and
+white space, ASCII parts that differ only in those share an entry. Texts in
+which this does not hold (they spell a special token, or hold white space
 outside space, tab, CR and LF) go to the library whole.
 """
 
@@ -22,6 +25,7 @@ MAX_UNIT_CHARS = 48
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 # A unit is a run of white space with the word that follows it.
 _UNIT = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
+_STOPS = ".,;:!?"
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -34,6 +38,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("abXy", " abXy", "\n\tABxY", "abxy")]
+        self.folds = all(x == ids[0] for x in ids)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -42,12 +48,30 @@ class Encoder:
     def _whole(self, text: str) -> bool:
         return bool(_ODD_SPACE.search(text)) or any(s in text for s in self.special)
 
+    def _parts(self, unit: str) -> tuple[str, str]:
+        """The word of a unit and the stops after it (none where they may not be cut off)."""
+        word = unit.rstrip(_STOPS)
+        if not word or not word[-1].isalpha():
+            word = unit
+        stops = unit[len(word):]
+        return (word.strip(" \n\r\t").lower() or word if self.folds and word.isascii() else word), stops
+
+    def _add(self, missing: list[str]) -> None:
+        """Put units into the cache, asking the library for parts that are new."""
+        cache = self.cache
+        parts = [self._parts(u) for u in missing]
+        new = list({p for pair in parts for p in pair if p and p not in cache})
+        cache.update(zip(new, self._library(new), strict=True))
+        for u, (word, stops) in zip(missing, parts, strict=True):
+            if u != word:
+                cache[u] = cache[word] + cache[stops] if stops else cache[word]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         units = [None if self._whole(t) else _UNIT.findall(t) for t in texts]
         cache = self.cache
         missing = list(set(chain.from_iterable(u for u in units if u)).difference(cache))
         if missing:
-            cache.update(zip(missing, self._library(missing), strict=True))
+            self._add(missing)
         out = [self._library([t])[0] if u is None else b"".join(map(cache.__getitem__, u))
                for t, u in zip(texts, units, strict=True)]
         if len(cache) > MAX_CACHED:
@@ -55,6 +79,7 @@ class Encoder:
         for u in missing:
             if len(u) > MAX_UNIT_CHARS:
                 cache.pop(u, None)
+                cache.pop(self._parts(u)[0], None)
         return out
 
 
