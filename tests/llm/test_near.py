@@ -60,8 +60,8 @@ def test_every_link_in_one_bucket_is_found(spark):
             groups[100 * g + k] = (items, None if k % 3 else [1 + (x % 2) for x in items])
     arrays = {u: (np.sort(np.array(i)), None if w is None else np.array(w)[np.argsort(i)]) for u, (i, w) in groups.items()}
     links = [(a, b) for a in groups for b in groups if a < b and near_links.similarity(*arrays[a], *arrays[b]) >= 0.8]
-    bands = spark.createDataFrame([(7, u) for u in groups], "key long, uid long")
-    got = {r.node: r.root for r in near_links.near_components(bands, _sets(spark, groups), 0.8).collect()}
+    keyed = spark.createDataFrame([(u, [7]) for u in groups], "uid long, keys array<long>")
+    got = {r.node: r.root for r in near_links.near_components(keyed, _sets(spark, groups), 0.8).collect()}
     want = _union(groups, links)
     parts = lambda m: {frozenset(k for k, v in m.items() if v == r) for r in set(m.values())}
     assert parts({u: got.get(u, u) for u in groups}) == parts(want)

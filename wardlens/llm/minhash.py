@@ -108,9 +108,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sketched = materialize(sketches(rows), "near-sketches")
     # Equal texts are one item, named by its first row; the aggregate is combined before its shuffle.
     first = materialize(sketched.groupBy("digest").agg(F.min("row").alias("uid")), "near-texts")
-    bands = (sketched.select(F.col("row").alias("uid"), "keys").join(first.select("uid"), "uid", "left_semi")
-             .select(F.explode("keys").alias("key"), "uid"))
-    roots = near_components(bands, sketched.select(F.col("row").alias("uid"), "items", "reps"), threshold)
+    keyed = materialize(sketched.select(F.col("row").alias("uid"), "keys").join(first.select("uid"), "uid", "left_semi"), "near-keys")
+    roots = near_components(keyed, sketched.select(F.col("row").alias("uid"), "items", "reps"), threshold)
     named = first.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select(
         "digest", F.coalesce("root", "uid").alias("class"))
     return sketched.select("doc_id", "digest").join(named, "digest")

@@ -7,9 +7,9 @@ listed. Instead
    that shares most buckets with others (in a group of near copies that is the
    least altered one). Verified links are joined to components;
 2. buckets whose members lie in one component are finished. In the others,
-   members that cannot have any link left are set aside: what an item shares
-   with no other item of these buckets is lost to every pair, so with more
-   than ``1 - threshold`` of it no partner can reach the threshold;
+   members that cannot have any link left are set aside: elements that no
+   other member has are lost to every pair, so a member with more than
+   ``1 - threshold`` of them, by number and by weight, has no partner;
 3. the rest is finished in rounds of 8, 32, 128, ... random leaders per bucket,
    each compared with the members of other components that come later in the
    bucket's random order and whose sizes still allow the threshold. After the
@@ -79,7 +79,8 @@ def verified_links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataF
                .select("lead", F.pmod(F.xxhash64("uid"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "uid"))
     leads = n.select("lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"),
                      F.col("lead").alias("uid"))
-    rows = members.unionByName(leads).join(sets.select("uid", "items", "reps"), "uid")
+    # The sets are the large side at every size: a sort-merge join, so the plan (and its cost) follows the input.
+    rows = members.unionByName(leads).join(sets.select("uid", "items", "reps").hint("merge"), "uid")
     rows = rows.select("lead", "salt", "kind", "uid", "items", "reps").repartition("lead", "salt").sortWithinPartitions("lead", "salt", "kind")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -100,24 +101,31 @@ def verified_links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataF
     return materialize(rows.mapInArrow(compare, "a long, b long"), "near-links")
 
 
-def _alone(active: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(uid, size, alone): distinct items of each active uid, and those that no other active uid has."""
-    own = active.select("uid").distinct().join(sets.select("uid", "items"), "uid")
-    schema = pa.schema([("uid", pa.int64()), ("item", pa.int64())])
+def _alone(sets: DataFrame) -> DataFrame:
+    """(uid, size, mass, alone, alone_mass, repeats) of each set.
+
+    ``size`` counts distinct items and ``mass`` all of them; the ``alone`` ones are in no other set.
+    """
+    schema = pa.schema([("uid", pa.int64()), ("item", pa.int64()), ("weight", pa.int64())])
 
     def spread(batches):
         for batch in batches:
-            for uid, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for uid, items, reps in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x = np.frombuffer(items, "<u4").astype(np.int64)
+                w = np.frombuffer(reps, "<u4").astype(np.int64) if reps else np.ones(len(x), np.int64)
                 for at in range(0, len(x), 65536):
-                    part = x[at:at + 65536]
-                    yield batch_of(schema, {"uid": np.full(len(part), uid, np.int64), "item": part})
+                    part = slice(at, at + 65536)
+                    yield batch_of(schema, {"uid": np.full(len(x[part]), uid, np.int64), "item": x[part], "weight": w[part]})
 
+    rows = sets.select("uid", "items", "reps").mapInArrow(spread, "uid long, item long, weight long")
     # An item that only one uid has keeps that uid through min; the count is combined before its shuffle.
-    single = (own.select("uid", "items").mapInArrow(spread, "uid long, item long").groupBy("item")
-              .agg(F.count("*").alias("n"), F.min("uid").alias("uid")).where("n = 1").groupBy("uid").agg(F.count("*").alias("alone")))
-    return own.select("uid", F.expr("length(items) div 4").alias("size")).join(single, "uid", "left").select(
-        "uid", "size", F.coalesce("alone", F.lit(0)).alias("alone"))
+    held = rows.groupBy("item").agg(F.count("*").alias("n"), F.min("uid").alias("uid"), F.sum("weight").alias("weight"))
+    single = held.where("n = 1").groupBy("uid").agg(F.count("*").alias("alone"), F.sum("weight").alias("alone_mass"))
+    whole = rows.groupBy("uid").agg(F.count("*").alias("size"), F.sum("weight").alias("mass"))
+    none = F.lit(0).cast("long")
+    return whole.join(single, "uid", "left").select(
+        "uid", "size", "mass", F.coalesce("alone", none).alias("alone"), F.coalesce("alone_mass", none).alias("alone_mass"),
+        (F.col("mass") > F.col("size")).alias("repeats"))
 
 
 def _between(links: DataFrame, roots: DataFrame) -> DataFrame:
@@ -127,49 +135,55 @@ def _between(links: DataFrame, roots: DataFrame) -> DataFrame:
         F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
 
 
-def near_components(bands: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def near_components(keyed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(node, root) of the components of verified links among items that share a band key.
 
-    ``bands`` has (key, uid), ``sets`` (uid, items, reps) with one row per uid.
+    ``keyed`` has (uid, keys) and ``sets`` (uid, items, reps), one row per uid.
     Items without any link have no row.
     """
-    count = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    bands = keyed.select("uid", F.explode("keys").alias("key"))
+    count = materialize(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-counts")
     multi = materialize(bands.join(count, "key").select("key", "uid", "n"), "near-buckets")
     score = multi.groupBy("uid").agg(F.sum("n").alias("score"))
-    lead = (multi.join(score, "uid").groupBy("key")
-            .agg(F.max(F.struct("score", (-F.col("uid")).alias("first"))).alias("m"))
-            .select("key", (-F.col("m.first")).alias("lead")))
+    # Scores meet the items, not their keys, before the keys are dealt out.
+    lead = (keyed.join(score, "uid").select("uid", "score", F.explode("keys").alias("key")).groupBy("key")
+            .agg(F.max(F.struct("score", (-F.col("uid")).alias("first"))).alias("m"), F.count("*").alias("n"))
+            .where("n > 1").select("key", (-F.col("m.first")).alias("lead")))
     links = verified_links(multi.join(lead, "key").where("uid != lead").select("lead", "uid"), sets, threshold)
     roots = connected_components(links)
 
     def open_buckets(rows: DataFrame) -> DataFrame:
-        """Rows (key, uid, root) of buckets whose members lie in more than one component."""
-        named = rows.select("key", "uid").join(roots.withColumnRenamed("node", "uid"), "uid", "left").select(
-            "key", "uid", F.coalesce("root", "uid").alias("root"))
+        """``rows`` with (key, uid, ...) of buckets whose members lie in more than one component, their root and count n."""
+        named = rows.drop("root", "n").join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn(
+            "root", F.coalesce("root", "uid"))
         mixed = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo != hi")
         return named.join(mixed.select("key", "n"), "key")
 
     active = materialize(open_buckets(multi), "near-open")
     if active.isEmpty():
         return roots
-    facts = materialize(_alone(active, sets, threshold).join(sets.select("uid", (F.length("reps") > 0).alias("repeats")), "uid"), "near-facts")
-    # With repeated items the weights differ, so only items without repeats are set aside by size.
-    facts = facts.where(F.col("repeats") | (F.col("alone") <= (1 - threshold) * F.col("size")))
-    active = materialize(open_buckets(active.join(facts.select("uid"), "uid", "left_semi")), "near-open")
+    own = materialize(sets.hint("merge").join(active.select("uid").distinct(), "uid", "left_semi"), "near-sets")
+    facts = _alone(own)
+    # Set aside only what neither similarity can bring to the threshold.
+    facts = facts.where((F.col("alone") <= (1 - threshold) * F.col("size"))
+                        | (F.col("alone_mass") <= (1 - threshold) * F.col("mass")))
+    active = materialize(open_buckets(active.join(facts, "uid")), "near-open")
     shift, step = 0, FIRST_LEADERS
     while not active.isEmpty():
         place = (F.pmod(F.xxhash64("uid", "key"), F.lit(1 << 40)) / F.lit(float(1 << 40))) * F.col("n")
-        rows = active.withColumn("place", place).join(facts, "uid")
+        rows = active.withColumn("place", place)
         leads = rows.where((F.col("place") >= shift) & (F.col("place") < shift + step))
-        rename = {c: f"l_{c}" for c in ("uid", "root", "place", "size", "alone", "repeats")}
+        rename = {c: f"l_{c}" for c in ("uid", "root", "place", "size", "mass", "alone", "alone_mass", "repeats")}
         leads = leads.select("key", *[F.col(c).alias(n) for c, n in rename.items()])
         shared = F.least(F.col("size") - F.col("alone"), F.col("l_size") - F.col("l_alone"))
-        possible = F.col("repeats") | F.col("l_repeats") | (
-            shared >= threshold * (F.col("size") + F.col("l_size") - shared))
-        pairs = (rows.join(leads, "key").where((F.col("root") != F.col("l_root")) & possible)
-                 .where((F.col("place") > F.col("l_place")) | ((F.col("place") == F.col("l_place")) & (F.col("uid") > F.col("l_uid"))))
-                 .select(F.col("l_uid").alias("lead"), "uid"))
-        new = verified_links(pairs, sets, threshold)
+        # With shares a, b of the masses that may be common, probability Jaccard is at most ab / (a + b - ab).
+        a, b = 1 - F.col("alone_mass") / F.col("mass"), 1 - F.col("l_alone_mass") / F.col("l_mass")
+        weighted = (F.col("repeats") | F.col("l_repeats")) & (a * b >= threshold * (a + b - a * b))
+        possible = weighted | (shared >= threshold * (F.col("size") + F.col("l_size") - shared))
+        later = (F.col("place") > F.col("l_place")) | ((F.col("place") == F.col("l_place")) & (F.col("uid") > F.col("l_uid")))
+        pairs = rows.join(leads, "key").where((F.col("root") != F.col("l_root")) & possible & later).select(
+            F.col("l_uid").alias("lead"), "uid")
+        new = verified_links(pairs, own, threshold)
         if not new.isEmpty():
             # Links found later join whole components: work on their names.
             merged = connected_components(_between(new, roots)).select(F.col("node").alias("root"), F.col("root").alias("above"))
@@ -178,8 +192,7 @@ def near_components(bands: DataFrame, sets: DataFrame, threshold: float) -> Data
             roots = materialize(known.join(merged, "root", "left").select("node", F.coalesce("above", "root").alias("root")), "near-roots")
         shift, step = shift + step, MORE_LEADERS * step
         # Leaders so far have met everyone after them; a bucket with fewer than two members beyond is finished.
-        left = active.withColumn("place", place).where(F.col("place") >= shift).select("key", "uid")
         n = active.select("key", "n").distinct()
-        still = open_buckets(left).drop("n").join(n, "key")
-        active = materialize(still, "near-open")
+        left = active.withColumn("place", place).where(F.col("place") >= shift).drop("place")
+        active = materialize(open_buckets(left).drop("n").join(n, "key"), "near-open")
     return roots

@@ -137,10 +137,9 @@ def repeated_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     table = materialize(table.withColumn("row", F.monotonically_increasing_id()), "paragraph-sketches")
     # Equal paragraphs are one item, named by its first row.
     first = materialize(table.groupBy("h1", "h2").agg(F.min("row").alias("uid"), F.count("*").alias("n")), "paragraph-texts")
-    band = (table.select(F.col("row").alias("uid"), "keys").join(first.select("uid"), "uid", "left_semi")
-            .select(F.explode("keys").alias("key"), "uid"))
+    keyed = materialize(table.select(F.col("row").alias("uid"), "keys").join(first.select("uid"), "uid", "left_semi"), "paragraph-keys")
     sets = table.select(F.col("row").alias("uid"), "items", F.unhex(F.lit("")).alias("reps"))
-    roots = near_components(band, sets, threshold).withColumnRenamed("node", "uid")
+    roots = near_components(keyed, sets, threshold).withColumnRenamed("node", "uid")
     named = first.join(roots, "uid", "left").where("n > 1 or root is not null").select(
         "h1", "h2", F.coalesce("root", "uid").alias("cluster"))
     found = table.drop("keys", "items", "row").join(named, ["h1", "h2"]).drop("h1", "h2")
