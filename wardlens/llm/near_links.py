@@ -6,15 +6,16 @@ listed. Instead
 1. every member of a bucket is compared with the bucket's leader, the member
    that shares most buckets with others (in a group of near copies that is the
    least altered one). Verified links are joined to components;
-2. buckets whose members lie in one component are finished. In the others,
-   members that cannot have any link left are set aside: elements that no
-   other member has are lost to every pair, so a member with more than
-   ``1 - threshold`` of them, by number and by weight, has no partner;
-3. the rest is finished in rounds of 8, 32, 128, ... random leaders per bucket,
-   each compared with the members of other components that come later in the
-   bucket's random order and whose sizes still allow the threshold. After the
-   last round every such pair has been compared, or its ends were found in one
-   component, so no link found by the bands is lost.
+2. buckets whose members lie in one component are finished. The members of the
+   others are dealt anew, over the rare items that every partner must share
+   (prefix filter: with the items in order of rarity, two sets that reach the
+   threshold have their first common item in the prefix of both). A member
+   whose rare items nobody else has is finished too;
+3. these buckets are finished in rounds of 8, 32, 128, ... random leaders each,
+   compared with the members of other components that come later in the
+   bucket's random order and whose sizes and positions still allow the
+   threshold. After the last round every such pair has been compared, or its
+   ends were found in one component, so no link found by the bands is lost.
 
 Sets are 32-bit hashes; similarity is the Jaccard similarity of the distinct
 hashes or, where items repeat, the probability Jaccard similarity of the
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.llm.common import batch_of, materialize
@@ -33,6 +34,8 @@ from wardlens.llm.components import connected_components
 
 MEMBERS_PER_SALT = 500
 FIRST_LEADERS, MORE_LEADERS = 8, 4
+# Bounds are compared in floating point; this much beyond them still counts.
+SLACK = 1e-6
 
 
 def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
@@ -101,12 +104,16 @@ def verified_links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataF
     return materialize(rows.mapInArrow(compare, "a long, b long"), "near-links")
 
 
-def _alone(sets: DataFrame) -> DataFrame:
-    """(uid, size, mass, alone, alone_mass, repeats) of each set.
+def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """(key, uid, size, mass, before, mass_before, repeats): the rare items that any partner of a set must share.
 
-    ``size`` counts distinct items and ``mass`` all of them; the ``alone`` ones are in no other set.
+    Items are ordered by the number of sets that hold them. Of two sets that
+    reach ``threshold``, all items before their first common one are lost to
+    the pair, so these are at most ``1 - threshold`` of either set, by number
+    or by mass; further items need no row. ``size`` counts distinct items and
+    ``mass`` all of them; ``before`` and ``mass_before`` those ahead of the row's.
     """
-    schema = pa.schema([("uid", pa.int64()), ("item", pa.int64()), ("weight", pa.int64())])
+    schema = pa.schema([("uid", pa.int64()), ("key", pa.int64()), ("weight", pa.int64())])
 
     def spread(batches):
         for batch in batches:
@@ -115,17 +122,20 @@ def _alone(sets: DataFrame) -> DataFrame:
                 w = np.frombuffer(reps, "<u4").astype(np.int64) if reps else np.ones(len(x), np.int64)
                 for at in range(0, len(x), 65536):
                     part = slice(at, at + 65536)
-                    yield batch_of(schema, {"uid": np.full(len(x[part]), uid, np.int64), "item": x[part], "weight": w[part]})
+                    yield batch_of(schema, {"uid": np.full(len(x[part]), uid, np.int64), "key": x[part], "weight": w[part]})
 
-    rows = sets.select("uid", "items", "reps").mapInArrow(spread, "uid long, item long, weight long")
-    # An item that only one uid has keeps that uid through min; the count is combined before its shuffle.
-    held = rows.groupBy("item").agg(F.count("*").alias("n"), F.min("uid").alias("uid"), F.sum("weight").alias("weight"))
-    single = held.where("n = 1").groupBy("uid").agg(F.count("*").alias("alone"), F.sum("weight").alias("alone_mass"))
-    whole = rows.groupBy("uid").agg(F.count("*").alias("size"), F.sum("weight").alias("mass"))
+    rows = sets.select("uid", "items", "reps").mapInArrow(spread, "uid long, key long, weight long")
+    held = rows.groupBy("key").agg(F.count("*").alias("holders"))
+    whole = Window.partitionBy("uid")
+    ahead = whole.orderBy("holders", "key").rowsBetween(Window.unboundedPreceding, -1)
     none = F.lit(0).cast("long")
-    return whole.join(single, "uid", "left").select(
-        "uid", "size", "mass", F.coalesce("alone", none).alias("alone"), F.coalesce("alone_mass", none).alias("alone_mass"),
-        (F.col("mass") > F.col("size")).alias("repeats"))
+    ranked = rows.join(held.hint("merge"), "key").select(
+        "key", "uid", "holders", F.count("*").over(ahead).alias("before"), F.coalesce(F.sum("weight").over(ahead), none).alias("mass_before"),
+        F.count("*").over(whole).alias("size"), F.sum("weight").over(whole).alias("mass"))
+    lost = 1 - threshold
+    return ranked.where((F.col("holders") > 1) & ((F.col("before") <= lost * F.col("size") + SLACK)
+                                                  | (F.col("mass_before") <= lost * F.col("mass") + SLACK))).select(
+        "key", "uid", "size", "mass", "before", "mass_before", (F.col("mass") > F.col("size")).alias("repeats"))
 
 
 def _between(links: DataFrame, roots: DataFrame) -> DataFrame:
@@ -163,23 +173,20 @@ def near_components(keyed: DataFrame, sets: DataFrame, threshold: float) -> Data
     if active.isEmpty():
         return roots
     own = materialize(sets.hint("merge").join(active.select("uid").distinct(), "uid", "left_semi"), "near-sets")
-    facts = _alone(own)
-    # Set aside only what neither similarity can bring to the threshold.
-    facts = facts.where((F.col("alone") <= (1 - threshold) * F.col("size"))
-                        | (F.col("alone_mass") <= (1 - threshold) * F.col("mass")))
-    active = materialize(open_buckets(active.join(facts, "uid")), "near-open")
+    active = materialize(open_buckets(materialize(_prefixes(own, threshold), "near-prefixes")), "near-open")
     shift, step = 0, FIRST_LEADERS
     while not active.isEmpty():
         place = (F.pmod(F.xxhash64("uid", "key"), F.lit(1 << 40)) / F.lit(float(1 << 40))) * F.col("n")
         rows = active.withColumn("place", place)
         leads = rows.where((F.col("place") >= shift) & (F.col("place") < shift + step))
-        rename = {c: f"l_{c}" for c in ("uid", "root", "place", "size", "mass", "alone", "alone_mass", "repeats")}
+        rename = {c: f"l_{c}" for c in ("uid", "root", "place", "size", "mass", "before", "mass_before", "repeats")}
         leads = leads.select("key", *[F.col(c).alias(n) for c, n in rename.items()])
-        shared = F.least(F.col("size") - F.col("alone"), F.col("l_size") - F.col("l_alone"))
+        # Exact where the key is the pair's first common item, which is one of its keys.
+        shared = F.least(F.col("size") - F.col("before"), F.col("l_size") - F.col("l_before"))
         # With shares a, b of the masses that may be common, probability Jaccard is at most ab / (a + b - ab).
-        a, b = 1 - F.col("alone_mass") / F.col("mass"), 1 - F.col("l_alone_mass") / F.col("l_mass")
-        weighted = (F.col("repeats") | F.col("l_repeats")) & (a * b >= threshold * (a + b - a * b))
-        possible = weighted | (shared >= threshold * (F.col("size") + F.col("l_size") - shared))
+        a, b = 1 - F.col("mass_before") / F.col("mass"), 1 - F.col("l_mass_before") / F.col("l_mass")
+        weighted = (F.col("repeats") | F.col("l_repeats")) & (a * b >= threshold * (a + b - a * b) - SLACK)
+        possible = weighted | (shared >= threshold * (F.col("size") + F.col("l_size") - shared) - SLACK)
         later = (F.col("place") > F.col("l_place")) | ((F.col("place") == F.col("l_place")) & (F.col("uid") > F.col("l_uid")))
         pairs = rows.join(leads, "key").where((F.col("root") != F.col("l_root")) & possible & later).select(
             F.col("l_uid").alias("lead"), "uid")
