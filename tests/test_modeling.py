@@ -193,3 +193,33 @@ def test_t18_null_group_key_still_gets_one_fold(spark):
     assigned = FO.assign_folds(df, folds, "subject_id")
     assert assigned.count() == df.count()
     assert assigned.where("subject_id IS NULL").select("fold").distinct().count() == 1
+
+
+def test_training_weights_ignore_the_held_out_fold(spark):
+    rows = [(f, int(i % 3 == 0), 0.0) for f in range(3) for i in range(4 + f)]
+
+    def weights(data):
+        df = spark.createDataFrame(data, "fold int, label int, weight double")
+        train = M.training_rows(df, M.fold_label_counts(df), 1)
+        assert train.where("fold = 1").isEmpty()
+        return {r["label"]: r["w"] for r in train.groupBy("label").agg(F.min("weight").alias("w")).collect()}
+
+    flipped = [(f, 1 - y if f == 1 else y, w) for f, y, w in rows]
+    n = {y: sum(1 for f, v, _ in rows if f != 1 and v == y) for y in (0, 1)}
+    assert weights(rows) == weights(flipped) == {y: sum(n.values()) / (2 * n[y]) for y in n}
+
+
+def test_grid_table_agrees_with_the_fold_scores(spark):
+    rnd = random.Random(3)
+    rows = [(i % 3, int(rnd.random() < 0.4), 1.0, rnd.random(), rnd.random()) for i in range(120)]
+    rows += [(3, 0, 1.0, rnd.random(), 0.5) for _ in range(10)]  # a fold with one class
+    data = spark.createDataFrame(rows, "fold int, label int, weight double, x double, y double").cache()
+    best, table = M.grid_search(data, ["x", "y"], 4, {"numTrees": [3, 5], "maxDepth": [2]})
+    found = {r["params"]: r for r in table.collect()}
+    assert len(found) == 2
+    own = found[json.dumps(best, sort_keys=True)]
+    assert own["mean_auc"] == max(r["mean_auc"] for r in found.values())
+    again = [r["auc"] for r in M.fold_aucs(data, ["x", "y"], "rf", 4, best).orderBy("fold").collect()]
+    assert again[3] is None and own["fold_aucs"][3] is None
+    assert own["fold_aucs"][:3] == pytest.approx(again[:3])
+    assert own["mean_auc"] == pytest.approx(sum(again[:3]) / 3)

@@ -12,9 +12,11 @@ grid points.
 
 from __future__ import annotations
 
+import itertools
 import json
-import math
+import statistics
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
@@ -23,10 +25,10 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from wardlens.schemas import (FEATURE_COLS_CATEGORICAL, FEATURE_COLS_NUMERIC, LEAKY_COLUMNS,
                               MORTALITY_TARGET, N_CV_SPLITS, RANDOM_SEED, READMISSION_TARGET,
@@ -226,26 +228,43 @@ def fold_label_counts(data: DataFrame) -> dict[int, dict[int, int]]:
     return out
 
 
+def training_counts(counts: dict[int, dict[int, int]], held_out: int | None) -> dict[int, int]:
+    """Rows per label in every fold but ``held_out`` (in all folds for None)."""
+    out: dict[int, int] = {}
+    for fold, per in counts.items():
+        if fold != held_out:
+            for label, n in per.items():
+                out[label] = out.get(label, 0) + n
+    return out
+
+
+def training_rows(data: DataFrame, counts: dict[int, dict[int, int]], held_out: int | None) -> DataFrame:
+    """The rows outside fold ``held_out``, with balanced weights of these rows alone (M9)."""
+    per = training_counts(counts, held_out)
+    weight = F.lit(None).cast("double")
+    for label, n in per.items():
+        weight = F.when(F.col(LABEL) == label, F.lit(sum(per.values()) / (len(per) * n))).otherwise(weight)
+    rows = data if held_out is None else data.where(F.col(FOLD) != held_out)
+    return rows.withColumn(WEIGHT, weight)
+
+
+def _fold_auc(data: DataFrame, features: list[str], clf_of, counts: dict, f: int) -> float | None:
+    """AUC of fold ``f`` for the classifier ``clf_of(rows trained on)``; None if test or training rows have one class."""
+    train_n = training_counts(counts, f)
+    if len(counts.get(f, {})) < 2 or len(train_n) < 2:
+        return None
+    pipe = model_pipeline(features, clf_of(sum(train_n.values())))
+    test = data.where(F.col(FOLD) == f)
+    return float(evaluator().evaluate(pipe.fit(training_rows(data, counts, f)).transform(test)))
+
+
 def fold_aucs(data: DataFrame, features: list[str], kind: str, k: int,
               params: dict | None = None, counts: dict | None = None) -> DataFrame:
     """ROC-AUC per held-out fold; NULL (not 0) for a fold with one class."""
-    spark = data.sparkSession
     counts = counts if counts is not None else fold_label_counts(data)
-    rows = []
-    for f in range(k):
-        test_classes = {c for c, n in counts.get(f, {}).items() if n > 0}
-        train_n: dict[int, int] = {}
-        for g, per in counts.items():
-            if g != f:
-                for c, n in per.items():
-                    train_n[c] = train_n.get(c, 0) + n
-        if len(test_classes) < 2 or len(train_n) < 2:
-            rows.append((f, None))
-            continue
-        train, test = data.where(F.col(FOLD) != f), data.where(F.col(FOLD) == f)
-        pipe = model_pipeline(features, classifier(kind, n_train=sum(train_n.values()), params=params))
-        rows.append((f, float(evaluator().evaluate(pipe.fit(train).transform(test)))))
-    return spark.createDataFrame(rows, "fold int, auc double")
+    rows = [(f, _fold_auc(data, features, lambda n: classifier(kind, n_train=n, params=params), counts, f))
+            for f in range(k)]
+    return data.sparkSession.createDataFrame(rows, "fold int, auc double")
 
 
 def auc_summary(aucs: DataFrame, model_name: str) -> DataFrame:
@@ -255,34 +274,39 @@ def auc_summary(aucs: DataFrame, model_name: str) -> DataFrame:
 
 
 def grid_search(data: DataFrame, features: list[str], k: int, grid: dict | None = None,
-                parallelism: int = 4,
-                unlimited_depth: int = UNLIMITED_DEPTH_DEFAULT) -> tuple[dict, DataFrame]:
-    """Pick the forest setting with the best mean fold AUC (CrossValidator on ``fold``).
-
-    Returns the best setting and a table of every setting's mean and std AUC.
-    A one-class fold scores 0 inside CrossValidator; ranking only.
+                parallelism: int = 4, unlimited_depth: int = UNLIMITED_DEPTH_DEFAULT,
+                counts: dict | None = None) -> tuple[dict, DataFrame]:
+    """Pick the forest setting with the best mean fold AUC.
+
+    Returns the best setting and a table of every setting: mean and population
+    std over the folds that have an AUC, and the AUC of each fold (NULL for a
+    fold with one class). ``parallelism`` fits run at a time. A setting without
+    any AUC ranks last; of equal ones the first wins.
     """
-    spark = data.sparkSession
-    rf = classifier("rf")
-    builder = ParamGridBuilder()
-    for name in (grid or RF_PARAM_GRID):
-        values = {(_depth(v, unlimited_depth) if name == "maxDepth" else v)
-                  for v in (grid or RF_PARAM_GRID)[name]}
-        builder = builder.addGrid(rf.getParam(name), sorted(values))
-    maps = builder.build()
-    cv = CrossValidator(estimator=model_pipeline(features, rf), estimatorParamMaps=maps,
-                        evaluator=evaluator(), numFolds=k, foldCol=FOLD, seed=RANDOM_SEED,
-                        parallelism=parallelism)
-    cvm = cv.fit(data)
-    std = getattr(cvm, "stdMetrics", None) or [None] * len(maps)
+    grid = grid or RF_PARAM_GRID
+    counts = counts if counts is not None else fold_label_counts(data)
+    names = sorted(grid)
+    choices = [sorted({_depth(v, unlimited_depth) if n == "maxDepth" else v for v in grid[n]}) for n in names]
+    settings = [dict(zip(names, values)) for values in itertools.product(*choices)]
+
+    def score(job):
+        setting, f = job
+        return _fold_auc(data, features, lambda n: classifier("rf", n_train=n, params=setting,
+                                                              unlimited_depth=unlimited_depth), counts, f)
+
+    jobs = [(setting, f) for setting in settings for f in range(k)]
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        aucs = pool.map(inheritable_thread_target(data.sparkSession)(score), jobs, chunksize=1)
     rows = []
-    for pm, mean, sd in zip(maps, cvm.avgMetrics, std):
-        setting = {p.name: v for p, v in pm.items()}
-        rows.append((json.dumps(setting, sort_keys=True), float(mean),
-                     None if sd is None or math.isnan(sd) else float(sd)))
-    table = spark.createDataFrame(rows, "params string, mean_auc double, std_auc double")
-    best = max(zip(maps, cvm.avgMetrics), key=lambda t: t[1])[0]
-    return {p.name: v for p, v in best.items()}, table
+    for i, setting in enumerate(settings):
+        per = aucs[i * k:(i + 1) * k]
+        known = [a for a in per if a is not None]
+        rows.append((json.dumps(setting, sort_keys=True), statistics.fmean(known) if known else None,
+                     statistics.pstdev(known) if known else None, per))
+    table = data.sparkSession.createDataFrame(
+        rows, "params string, mean_auc double, std_auc double, fold_aucs array<double>")
+    best = max(range(len(rows)), key=lambda i: -1.0 if rows[i][1] is None else rows[i][1])
+    return settings[best], table
 
 
 # ---------------------------------------------------------------------------
@@ -321,9 +345,8 @@ def prepare(frame: DataFrame, k_max: int = N_CV_SPLITS, group_col: str = "subjec
     encoded = with_class_weights(encoder.transform(frame))
     folds = grouped_folds(frame, group_col, LABEL, k)
     # Fits pass over the data many times: give them parallel tasks, about one
-    # per ROWS_PER_FIT_PARTITION rows, up to the cluster's default parallelism.
-    sc = frame.sparkSession.sparkContext
-    parts = max(1, min(sc.defaultParallelism, -(-sum(counts) // ROWS_PER_FIT_PARTITION)))
+    # per ROWS_PER_FIT_PARTITION rows.
+    parts = max(1, -(-sum(counts) // ROWS_PER_FIT_PARTITION))
     data = materialize(assign_folds(encoded, folds, group_col), "model-data", parts)
     return (data, encoder, feature_columns(encoded, encoder=encoder), k), None
 
@@ -337,9 +360,10 @@ def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid:
     ``frame`` comes from :func:`model_frame` or :func:`readmission_frame`. With
     one class (M7) nothing is fitted or written. The saved model is refitted on
     folds other than 0 unless ``refit_all``. ``unlimited_depth`` is the
-    forest depth used for a grid value of None (10 by default, up to 30).
+    forest depth used for a grid value of None (30, Spark's limit, by default).
     """
     from wardlens.operators import evaluation as ev
+    from wardlens.session import materialize
 
     prepared, reason = prepare(frame, k_max, group_col)
     if prepared is None:
@@ -348,14 +372,18 @@ def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid:
 
     counts = fold_label_counts(data)
     lr_aucs = fold_aucs(data, features, "lr", k, counts=counts)
-    best, grid_table = grid_search(data, features, k, grid, parallelism, unlimited_depth)
-    rf_aucs = fold_aucs(data, features, "rf", k, best, counts=counts)
+    best, grid_table = grid_search(data, features, k, grid, parallelism, unlimited_depth, counts)
+    # The search has scored the best setting on these folds already.
+    rf_aucs = grid_table.where(F.col("params") == json.dumps(best, sort_keys=True)).select(
+        F.posexplode("fold_aucs").alias("fold", "auc"))
 
-    train = data if refit_all else data.where(F.col(FOLD) != 0)
+    train = training_rows(data, counts, None if refit_all else 0)
     test = data.where(F.col(FOLD) == 0)
     fitted = model_pipeline(features, classifier("rf", params=best)).fit(train)
     model = PipelineModel(stages=[encoder, *fitted.stages])
-    pred = ev.with_probability(fitted.transform(test))
+    # Four tables read the held-out scores: score once.
+    pred = materialize(ev.with_probability(fitted.transform(test)).select(ev.LABEL, ev.PRED, ev.SCORE),
+                       "held-out-scores")
 
     tables = {
         "cv_scores": auc_summary(lr_aucs, "logistic_regression").unionByName(

@@ -87,8 +87,8 @@ MIN_EXPECTED_COUNT = 5.0
 TOP_DIAGNOSES_DEFAULT = 10
 # ---------------------------------------------------------------------------
 
-# Spark's forest depth cap is 30; an unlimited depth maps to this default.
-UNLIMITED_DEPTH_DEFAULT = 10
+# Spark's forest depth cap is 30; an unlimited depth maps to it.
+UNLIMITED_DEPTH_DEFAULT = 30
 
 # Columns of the finished feature table, in order.
 FEATURE_TABLE_COLUMNS = [
