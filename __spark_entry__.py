@@ -212,12 +212,12 @@ def q_cv_scores(spark, d):
 
 def q_feature_importance(spark, d):
     """Forest fitted on folds other than 0; importance per design-matrix column."""
-    from pyspark.sql import functions as F
     from wardlens.operators.evaluation import feature_importance
-    from wardlens.operators.modeling import classifier, model_pipeline, prepare
+    from wardlens.operators.modeling import (classifier, fold_label_counts, model_pipeline, prepare,
+                                             training_rows)
     (data, _, features, _k), _ = prepare(_mortality_frame(spark, d))
     fitted = model_pipeline(features, classifier("rf", params=_SMALL_FOREST)).fit(
-        data.where(F.col("fold") != 0))
+        training_rows(data, fold_label_counts(data), 0))
     return feature_importance(fitted.stages[-1], features)
 
 
@@ -225,14 +225,14 @@ def q_score_admissions(spark, d):
     """Fit, save, load the mortality model and score every admission of the feature table."""
     import uuid
     from pyspark.ml import PipelineModel
-    from pyspark.sql import functions as F
-    from wardlens.operators.modeling import classifier, model_pipeline, prepare
+    from wardlens.operators.modeling import (classifier, fold_label_counts, model_pipeline, prepare,
+                                             training_rows)
     from wardlens.operators.scoring import score_admissions
     from wardlens.session import ensure_checkpoint_dir
     from wardlens.sources.models import load_model, save_model
     (data, encoder, features, _k), _ = prepare(_mortality_frame(spark, d))
     fitted = model_pipeline(features, classifier("rf", params=_SMALL_FOREST)).fit(
-        data.where(F.col("fold") != 0))
+        training_rows(data, fold_label_counts(data), 0))
     path = f"{ensure_checkpoint_dir(spark)}/wardlens-models/{uuid.uuid4().hex}"
     save_model(PipelineModel(stages=[encoder, *fitted.stages]), path)
     return score_admissions(load_model(path), _features(spark, d))
