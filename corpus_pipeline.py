@@ -17,6 +17,7 @@ from wardlens.llm.minhash import keep_one_of_each
 from wardlens.llm.packing import pack_documents
 from wardlens.llm.quality import quality_filter
 from wardlens.llm.queries import WORD_BPE
+from wardlens.session import intermediates
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +55,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents of ``sf_dir``; returns the packed pieces."""
+    """Apply all stages to the documents of ``sf_dir``; returns the packed pieces.
+
+    Of what the stages write, only the last one's output stays.
+    """
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = shared_folder(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with intermediates(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         if before is not None:
             drop_folder(spark, before)
         docs, before = spark.read.parquet(path), path
