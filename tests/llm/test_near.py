@@ -218,3 +218,31 @@ def test_repeated_paragraphs_equal_brute_force(documents):
 def test_no_paragraphs(documents):
     assert paragraphs.repeated_paragraphs(documents([])).count() == 0
     assert paragraphs.repeated_paragraphs(documents([(1, None, "en"), (2, "short", "en")])).count() == 0
+
+
+def test_one_bucket_gives_the_components_of_all_pairs(spark):
+    """All sets share one band key: the rounds over rare items must find every component, exact thresholds included."""
+    rnd = random.Random(5)
+    common = list(range(1000, 1030))
+    sets = [[1, 2, 3, 4, 5], [1, 2, 3, 4], [6, 7, 8, 9], [6, 7, 8, 9, 10], []]
+    for group in range(12):
+        base = common + rnd.sample(range(2000, 9000), 30)
+        for _ in range(4):
+            sets.append([x for x in base if rnd.random() > 0.08] + rnd.sample(range(10_000, 20_000), rnd.choice((0, 2, 6))))
+    rows, facts = [], []
+    for uid, items in enumerate(sets):
+        x = np.unique(np.array(items, "<u4"))
+        w = np.array([rnd.choice((1, 1, 1, 4)) for _ in x], "<u4") if uid % 3 == 0 else None
+        facts.append((x, w))
+        rows.append((uid, bytearray(x.tobytes()), bytearray(b"" if w is None else w.tobytes())))
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if near_links.similarity(*facts[a], *facts[b]) >= 0.8:
+                lo, hi = sorted((root[a], root[b]))
+                root = [lo if r == hi else r for r in root]
+    table = spark.createDataFrame(rows, "uid long, items binary, reps binary")
+    keyed = spark.createDataFrame([(uid, [7]) for uid in range(len(sets))], "uid long, keys array<long>")
+    found = {r["node"]: r["root"] for r in near_links.near_components(keyed, table, 0.8).collect()}
+    assert [found.get(uid, uid) for uid in range(len(sets))] == root
+    assert len(set(root)) < len(sets) and root[0] == root[1] and root[2] == root[3]
