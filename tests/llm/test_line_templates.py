@@ -1,5 +1,7 @@
 """Recurring lines."""
 
+import random
+
 from llm_fixtures import documents  # noqa: F401
 from wardlens.llm import line_templates as lt
 
@@ -48,6 +50,20 @@ def test_two_templates_in_one_leaf(documents):
     assert sorted(r.doc_id for r in lt.recurring_lines(documents(rows)).collect() if r.dropped) == [1, 2, 3, 11, 12]
 
 
+def test_many_templates_in_a_leaf_of_one_off_lines(documents):
+    """Votes of other lines and ties between templates must not lose a leaf's templates."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(4)) for _ in range(40)]
+    rows = [(i, "one two three " + " ".join(rnd.choice(words) for _ in range(9)), "en") for i in range(150)]
+    want = []
+    for t, n in enumerate((3, 3, 4, 5)):
+        body = [f"{'pqrs'[t]}{c}" for c in "abcdefgh"]
+        for k in range(n):
+            rows.append((1000 + 10 * t + k, "one two three " + " ".join([*body, "zyxwv"[k] * 6]), "en"))
+            want += [1000 + 10 * t + k] * (k > 0)
+    assert sorted(r.doc_id for r in lt.recurring_lines(documents(rows)).collect() if r.dropped) == want
+
+
 def test_columns_and_empty_table(documents):
     frame = documents([])
     assert lt.drop_recurring_lines(frame, chars_col="n_chars").columns == frame.columns

@@ -9,7 +9,12 @@ leaf,
 * the other lines vote: at each position the token most of them have is the
   template's constant, and a line that agrees in at least ``SIMILARITY`` of
   the positions belongs to it, the other positions being variable fields. This
-  is repeated on what is left until a round finds no template.
+  is repeated on what is left until a round finds no template;
+* a leaf may hold many templates, whose votes mix. Where lines are left over,
+  all lines of the leaf that agree with one another in ``SIMILARITY`` of the
+  positions are linked, by keys of their rarest positions (prefix filter of
+  :mod:`wardlens.llm.near_links`, no pair is lost). Lines linked to a template
+  belong to it, other components are templates of their own.
 
 A template that recurs in at least ``MIN_DOCS`` documents is dropped from all
 of them but the first, so nothing is lost from the corpus altogether. Leaves
@@ -29,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.llm.common import batch_of, bounded_batches, materialize
+from wardlens.llm.components import connected_components
+from wardlens.llm.near_links import SLACK, near_components
 from wardlens.llm.shingles import mix, word_hashes
 
 DEPTH, MIN_TOKENS, MIN_DOCS = 3, 4, 3
@@ -132,6 +139,47 @@ def _agreeing(rest: DataFrame, templates: DataFrame) -> DataFrame:
     return joined.mapInArrow(agree, T.StructType([rest.schema[c] for c in fields]))
 
 
+def _linked(every: DataFrame, voted: DataFrame | None, min_docs: int) -> DataFrame:
+    """(line, template) of the lines placed by votes or by links between the lines of a leaf.
+
+    In leaves where the votes left lines over, agreeing lines are joined to
+    components. Of the templates in a component all become one.
+    """
+    distinct = every.groupBy("line").agg(F.first("leaf").alias("leaf"), F.first("codes").alias("codes"))
+    if voted is None:
+        voted = every.sparkSession.createDataFrame([], "line long, template long, leaf long")
+    named = distinct.select("line", "leaf").join(voted.select("line", "template"), "line", "left")
+    left = named.where("template is null").select("leaf").distinct()
+    lone = every.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
+    # Leaves with lines left over, as sets of (leaf, place, code).
+    own = distinct.join(left, "leaf", "left_semi").join(lone, "leaf", "left_semi").select("line", "leaf", "codes")
+    schema = pa.schema([("uid", pa.int64()), ("leaf", pa.int64()), ("items", pa.binary())])
+
+    def pack(batches):
+        for batch in batches:
+            out = []
+            for leaf, codes in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                x = np.frombuffer(codes, "<u2").astype(np.uint64)
+                with np.errstate(over="ignore"):
+                    x = mix(mix(np.uint64(leaf & 0xFFFFFFFFFFFFFFFF) + (np.arange(len(x), dtype=np.uint64) << np.uint64(16))) + x)
+                out.append(np.unique((x >> np.uint64(32)).astype("<u4")).tobytes())
+            yield batch_of(schema, {"uid": batch.column(0), "leaf": batch.column(1), "items": out})
+
+    sets = materialize(own.mapInArrow(pack, "uid long, leaf long, items binary"), "template-sets")
+    # Lines of a leaf are of one length: they agree in a share s of it when their Jaccard similarity is s / (2 - s).
+    roots = near_components(sets.select("uid", F.array("leaf").alias("keys")), sets.select("uid", "items", F.unhex(F.lit("")).alias("reps")),
+                            SIMILARITY / (2 - SIMILARITY) - SLACK, lost=1 - SIMILARITY)
+    joined = named.join(roots.select(F.col("node").alias("line"), "root"), "line", "left")
+    joined = materialize(joined.where("template is not null or root is not null").select("line", "template", "root"), "template-joined")
+    # Templates and components are the two sides of a graph; its components are the templates at last.
+    ends = joined.where("template is not null and root is not null").select(
+        F.xxhash64("template", F.lit("vote")).alias("a"), F.xxhash64("root", F.lit("link")).alias("b")).distinct()
+    whole = connected_components(ends)
+    at = joined.select("line", F.when(F.col("template").isNotNull(), F.xxhash64("template", F.lit("vote")))
+                       .otherwise(F.xxhash64("root", F.lit("link"))).alias("end"))
+    return at.join(whole.withColumnRenamed("node", "end"), "end", "left").select("line", F.coalesce("root", "end").alias("template"))
+
+
 def recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, doc_hash, line, template, dropped) of the lines whose template recurs in ``min_docs`` documents.
@@ -149,29 +197,31 @@ def recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     found = materialize(found, "template-found")
     busy = slim.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
     rest = lines.join(busy, "leaf", "left_semi").join(same.select("line"), "line", "left_anti")
-    rest = rest.dropDuplicates(["doc_id", "doc_hash", "line"]).select(*lines.columns)
-    turn = 0
+    rest = materialize(rest.dropDuplicates(["doc_id", "doc_hash", "line"]).select(*lines.columns), "template-rest")
+    # The votes run over distinct lines of documents; ``voted`` names the template of each line they placed.
+    every, voted, turn = rest, None, 0
     while True:
-        rest = materialize(rest, "template-rest")
         busy = rest.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
         rest = rest.join(busy, "leaf", "left_semi").select(*lines.columns)
         members = materialize(_agreeing(rest, _vote(rest)), "template-members")
         # Lines of one document that share the template count once.
         by_leaf = (members.select("leaf", "doc_id", "doc_hash").distinct().groupBy("leaf")
-                   .agg(F.count("*").alias("n"), F.min(doc).alias("first")).where(F.col("n") >= min_docs).select("leaf", "first"))
-        new = members.join(by_leaf, "leaf").select(
-            "doc_id", "doc_hash", "line", F.xxhash64("leaf", F.lit(turn)).alias("template"),
-            (~doc.eqNullSafe(F.col("first"))).alias("dropped"), "leaf")
-        new = materialize(new, "template-found")
+                   .agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf"))
+        new = materialize(members.join(by_leaf, "leaf").select("line", F.xxhash64("leaf", F.lit(turn)).alias("template"), "leaf").distinct(),
+                          "template-voted")
         if new.isEmpty():
-            return found
-        found = found.unionByName(new.drop("leaf"))
-        gone = new.select("doc_id", "doc_hash", "line")
-        on = F.col("r.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("r.doc_hash") == F.col("g.doc_hash")) & (F.col("r.line") == F.col("g.line"))
-        # A leaf without a template in this round has none later either.
-        rest = (rest.join(new.select("leaf").distinct(), "leaf", "left_semi").select(*lines.columns).alias("r")
-                .join(gone.alias("g"), on, "left_anti"))
+            break
+        voted = new if voted is None else voted.unionByName(new)
+        # A leaf without a template in this round has none by votes later either; see _linked for those.
+        rest = materialize(rest.join(new.select("leaf").distinct(), "leaf", "left_semi")
+                           .join(new.select("line"), "line", "left_anti").select(*lines.columns), "template-rest")
         turn += 1
+    placed = _linked(every, voted, min_docs)
+    rows = every.select("doc_id", "doc_hash", "line").join(placed, "line")
+    docs_of = rows.select("template", "doc_id", "doc_hash").distinct().groupBy("template").agg(
+        F.count("*").alias("n"), F.min(doc).alias("first")).where(F.col("n") >= min_docs)
+    rows = rows.join(docs_of, "template").select("doc_id", "doc_hash", "line", "template", (~doc.eqNullSafe(F.col("first"))).alias("dropped"))
+    return found.unionByName(materialize(rows, "template-found"))
 
 
 def drop_recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

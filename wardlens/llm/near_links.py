@@ -104,12 +104,12 @@ def verified_links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataF
     return materialize(rows.mapInArrow(compare, "a long, b long"), "near-links")
 
 
-def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+def _prefixes(sets: DataFrame, lost: float) -> DataFrame:
     """(key, uid, size, mass, before, mass_before, repeats): the rare items that any partner of a set must share.
 
     Items are ordered by the number of sets that hold them. Of two sets that
-    reach ``threshold``, all items before their first common one are lost to
-    the pair, so these are at most ``1 - threshold`` of either set, by number
+    reach the threshold, all items before their first common one are lost to
+    the pair, so these are at most a share ``lost`` of either set, by number
     or by mass; further items need no row. ``size`` counts distinct items and
     ``mass`` all of them; ``before`` and ``mass_before`` those ahead of the row's.
     """
@@ -132,7 +132,6 @@ def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
     ranked = rows.join(held.hint("merge"), "key").select(
         "key", "uid", "holders", F.count("*").over(ahead).alias("before"), F.coalesce(F.sum("weight").over(ahead), none).alias("mass_before"),
         F.count("*").over(whole).alias("size"), F.sum("weight").over(whole).alias("mass"))
-    lost = 1 - threshold
     return ranked.where((F.col("holders") > 1) & ((F.col("before") <= lost * F.col("size") + SLACK)
                                                   | (F.col("mass_before") <= lost * F.col("mass") + SLACK))).select(
         "key", "uid", "size", "mass", "before", "mass_before", (F.col("mass") > F.col("size")).alias("repeats"))
@@ -145,11 +144,13 @@ def _between(links: DataFrame, roots: DataFrame) -> DataFrame:
         F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
 
 
-def near_components(keyed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def near_components(keyed: DataFrame, sets: DataFrame, threshold: float, lost: float | None = None) -> DataFrame:
     """(node, root) of the components of verified links among items that share a band key.
 
     ``keyed`` has (uid, keys) and ``sets`` (uid, items, reps), one row per uid.
-    Items without any link have no row.
+    Items without any link have no row. ``lost`` is the largest share of a set
+    that a link may leave uncommon: 1 - threshold, less where sets that share
+    a key are of one size.
     """
     bands = keyed.select("uid", F.explode("keys").alias("key"))
     count = materialize(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-counts")
@@ -173,7 +174,7 @@ def near_components(keyed: DataFrame, sets: DataFrame, threshold: float) -> Data
     if active.isEmpty():
         return roots
     own = materialize(sets.hint("merge").join(active.select("uid").distinct(), "uid", "left_semi"), "near-sets")
-    active = materialize(open_buckets(materialize(_prefixes(own, threshold), "near-prefixes")), "near-open")
+    active = materialize(open_buckets(materialize(_prefixes(own, 1 - threshold if lost is None else lost), "near-prefixes")), "near-open")
     shift, step = 0, FIRST_LEADERS
     while not active.isEmpty():
         place = (F.pmod(F.xxhash64("uid", "key"), F.lit(1 << 40)) / F.lit(float(1 << 40))) * F.col("n")
