@@ -64,6 +64,13 @@ def test_many_templates_in_a_leaf_of_one_off_lines(documents):
     assert sorted(r.doc_id for r in lt.recurring_lines(documents(rows)).collect() if r.dropped) == want
 
 
+def test_short_and_variable_lines_that_recur_as_they_are(documents):
+    body = "All rights reserved.\n---\n{}\n2024-01-01 10:00 v1.2 user7\n© 2019"
+    rows = [(i, body.format("abcd"[i]), "en") for i in range(4)] + [(9, "2024-01-02 10:00 v1.3 user7", "en")]
+    got = {r.doc_id: r.text for r in lt.drop_recurring_lines(documents(rows)).collect()}
+    assert got == {0: rows[0][1], 9: rows[4][1], **{i: f"---\n{'abcd'[i]}" for i in (1, 2, 3)}}
+
+
 def test_columns_and_empty_table(documents):
     frame = documents([])
     assert lt.drop_recurring_lines(frame, chars_col="n_chars").columns == frame.columns

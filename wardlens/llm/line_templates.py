@@ -1,7 +1,9 @@
 """Line deduplication by a log-template tree of fixed depth (operator 6).
 
-Every line of at least ``MIN_TOKENS`` tokens goes down a tree: first by its
-number of tokens, then by its ``DEPTH`` leading tokens, with variable fields
+Every line with a word counts when it recurs as it is. Lines of at least
+``MIN_TOKENS`` tokens, ``MIN_CONSTANT`` of them constant, also go down a tree
+(the others are compared as they stand, digits and all): first by their
+number of tokens, then by their ``DEPTH`` leading tokens, with variable fields
 (tokens that hold a digit, an ``@`` or ``://``) replaced by a wildcard. In a
 leaf,
 
@@ -42,6 +44,8 @@ DEPTH, MIN_TOKENS, MIN_DOCS = 3, 4, 3
 SIMILARITY, MIN_CONSTANT = 0.7, 0.5
 WILDCARD = b"<*>"
 _VARIABLE = re.compile(rb"[0-9@]|://")
+# As in shingles.shingle_words.
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]")
 
 
 def masked_tokens(line: bytes) -> list[bytes]:
@@ -53,16 +57,20 @@ def masked_tokens(line: bytes) -> list[bytes]:
 
 
 def line_hashes(text: bytes) -> tuple[list[int], np.ndarray, np.ndarray, list[bytes]]:
-    """For the lines that take part: line number, 64-bit line hash, leaf hash, 16 bits per token.
+    """For the lines with a word: line number, 64-bit line hash, leaf hash, 16 bits per token.
 
-    A line with fewer than MIN_TOKENS tokens, or fewer constants than MIN_CONSTANT of them, takes no part.
+    A line with fewer than MIN_TOKENS tokens, or fewer constants than MIN_CONSTANT of them, counts only as it
+    is: its hash is that of its tokens without wildcards, and its codes are empty.
     """
-    numbers, lists = [], []
+    numbers, lists, whole_only = [], [], []
     for k, line in enumerate(text.split(b"\n")):
+        if not _WORD.search(line):
+            continue
         tokens = masked_tokens(line)
-        if len(tokens) >= MIN_TOKENS and len(tokens) - tokens.count(WILDCARD) >= MIN_CONSTANT * len(tokens):
-            numbers.append(k)
-            lists.append(tokens)
+        general = len(tokens) >= MIN_TOKENS and len(tokens) - tokens.count(WILDCARD) >= MIN_CONSTANT * len(tokens)
+        numbers.append(k)
+        lists.append(tokens if general else line.split())
+        whole_only.append(not general)
     if not numbers:
         return [], np.zeros(0, np.int64), np.zeros(0, np.int64), []
     n = np.array([len(t) for t in lists])
@@ -75,7 +83,8 @@ def line_hashes(text: bytes) -> tuple[list[int], np.ndarray, np.ndarray, list[by
         for j in range(DEPTH):
             leaf = mix(leaf * np.uint64(0x9E3779B97F4A7C15) + hashes[first + np.minimum(j, n - 1)])
     codes = (hashes >> np.uint64(48)).astype("<u2")
-    return numbers, whole.view(np.int64), leaf.view(np.int64), [codes[a:a + k].tobytes() for a, k in zip(first, n, strict=True)]
+    return numbers, whole.view(np.int64), leaf.view(np.int64), [
+        b"" if w else codes[a:a + k].tobytes() for a, k, w in zip(first, n, whole_only, strict=True)]
 
 
 def _key(docs: DataFrame, id_col: str, text_col: str) -> tuple:
@@ -83,7 +92,7 @@ def _key(docs: DataFrame, id_col: str, text_col: str) -> tuple:
 
 
 def document_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, doc_hash, line, leaf, codes), one row per document and distinct line that takes part."""
+    """(doc_id, doc_hash, line, leaf, codes), one row per document and distinct line with a word."""
     bounded_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("doc_hash", pa.int64()), ("line", pa.int64()), ("leaf", pa.int64()), ("codes", pa.binary())])
 
@@ -189,14 +198,15 @@ def recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     lines = materialize(document_lines(docs, id_col=id_col, text_col=text_col), "template-lines")
     doc = F.struct("doc_id", "doc_hash")
-    slim = lines.select("doc_id", "doc_hash", "line", "leaf").distinct()
+    slim = lines.select("doc_id", "doc_hash", "line").distinct()
     same = slim.groupBy("line").agg(F.count("*").alias("n"), F.min(doc).alias("first")).where(F.col("n") >= min_docs)
     same = materialize(same.select("line", "first"), "template-same")
     found = slim.join(same, "line").select("doc_id", "doc_hash", "line", F.col("line").alias("template"),
                                            (~doc.eqNullSafe(F.col("first"))).alias("dropped"))
     found = materialize(found, "template-found")
-    busy = slim.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    rest = lines.join(busy, "leaf", "left_semi").join(same.select("line"), "line", "left_anti")
+    general = lines.where(F.length("codes") > 0)
+    busy = general.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
+    rest = general.join(busy, "leaf", "left_semi").join(same.select("line"), "line", "left_anti")
     rest = materialize(rest.dropDuplicates(["doc_id", "doc_hash", "line"]).select(*lines.columns), "template-rest")
     # The votes run over distinct lines of documents; ``voted`` names the template of each line they placed.
     every, voted, turn = rest, None, 0
