@@ -155,6 +155,17 @@ def test_repeated_rows_leave_one(documents):
     assert minhash.duplicate_classes(documents([])).count() == 0
 
 
+def test_a_pasted_line_does_not_hide_a_near_copy(documents):
+    rng = random.Random(21)
+    rows = []
+    for k in range(8):
+        base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(204))
+        line = " ".join(f"x{rng.randrange(10**6)}" for _ in range(10))
+        rows += [(2 * k, base, "en"), (2 * k + 1, "\n".join([base, *[line] * 50]), "en")]
+    assert sorted((r.doc_id, r.class_id) for r in minhash.duplicate_classes(documents(rows)).collect()) == [
+        (i, i - i % 2) for i in range(16)]
+
+
 def test_bands_are_tuned_for_recall():
     for threshold, recall in ((0.8, 0.998), (0.5, 0.99), (0.9, 0.9999)):
         bands, rows = paragraphs.tune_bands(threshold, recall)

@@ -8,6 +8,11 @@ arrival is later than the last of the components' first arrivals, so most
 elements stop after one or two. Two documents agree in a component with a
 probability equal to the probability Jaccard similarity of their weights.
 
+Where shingles repeat, a document also has the bands of its plain set (all
+weights one, which is the same sketch for a document without repeats): links
+count by Jaccard similarity too, which repeated lines leave high while the
+probability Jaccard similarity falls.
+
 Components are cut into bands; documents that agree in a band are candidates,
 verified on the exact sets (:mod:`wardlens.llm.near_links`) and joined to
 classes. Equal texts are one item from the start, whatever their number.
@@ -72,6 +77,14 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return out.view(np.int64)
 
 
+def document_keys(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Band keys of the weighted set and, where elements repeat, of the plain set; each key once."""
+    keys = band_keys(probminhash(elements, counts))
+    if (counts == 1).all():
+        return keys
+    return np.unique(np.concatenate([keys, band_keys(probminhash(elements, np.ones_like(counts)))]))
+
+
 def sketches(texts: DataFrame) -> DataFrame:
     """(row, doc_id, digest, text binary) -> row, doc_id, digest, keys, items, reps."""
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.binary()),
@@ -84,7 +97,7 @@ def sketches(texts: DataFrame) -> DataFrame:
                 hashes = shingle_hashes(word_hashes(shingle_words(text)), SHINGLE)
                 elements, counts = np.unique(hashes, return_counts=True)
                 items, reps = pack_set(hashes)
-                out["keys"].append(band_keys(probminhash(elements, counts)))
+                out["keys"].append(document_keys(elements, counts))
                 out["items"].append(items)
                 out["reps"].append(reps)
             yield batch_of(schema, out)
