@@ -1,6 +1,7 @@
 """Secret scan."""
 
 import hashlib
+import random
 import re
 
 import public_tokenizers
@@ -51,5 +52,21 @@ def test_random_strings_are_found_and_known_shapes_left_out():
     assert found(f"token={key}") == []  # the assignment already covers it
 
 
+def test_keys_beside_words_and_of_one_case_are_found():
+    rnd, encode = random.Random(11), _encode()
+    found = lambda t: [t[a:b] for a, k, b in secrets.scan_text(t, encode, {}) if k == 3]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    hits = 0
+    for _ in range(100):
+        key = "".join(rnd.choice(letters) for _ in range(24))
+        for lead in ("var/lib/service/config/production/", "com/services/webhooks/production/"):
+            hits += any(key in x for x in found(f"see {lead}{key} now"))
+    assert hits >= 196
+    plain = ["".join(rnd.choice(letters[26:52]) for _ in range(32)) for _ in range(100)]
+    assert sum(found(f"it is {key} here") == [key] for key in plain) >= 90
+    for clean in ("var/lib/service/config/production/internationalization", "antidisestablishmentarianism"):
+        assert found(clean) == [], clean
+
+
 def test_empty_table(documents):
     assert secrets.scan_secrets(documents([]), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0

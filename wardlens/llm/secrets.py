@@ -6,7 +6,10 @@ Spans have a kind, a start and an end (code points, end exclusive):
   access key id, a long hexadecimal run).
 * ``token``: runs of key characters that mix letter cases or digits and that a
   byte-pair vocabulary needs many tokens for: fewer than ``MAX_RATIO``
-  characters per token. Text in any language is made of pieces the vocabulary
+  characters per token (``MAX_PLAIN_RATIO`` for letters of one case). Where a
+  run as a whole passes, its parts between separators are tested, then the
+  stretches of its tokens that stay below the ratio, so that words joined to a
+  key do not hide it. Text in any language is made of pieces the vocabulary
   knows; random strings are not. Left out are known digests (hexadecimal runs
   of 32, 40, 56, 64, 96 or 128 characters), UUIDs, and identifiers (words
   joined by ``_`` or ``-`` or by a change of case, dates, plain numbers),
@@ -33,13 +36,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # a maximal run, as [0-9a-f]+ matches it
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-MAX_RATIO = 2.0
+MIN_TOKEN, MAX_RATIO, MAX_PLAIN_RATIO = 16, 2.0, 1.9
 MAX_CACHED = 100_000
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 WORD = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+)\Z")
 _SPLIT = re.compile(r"[_+/=-]+|(?<=[a-z])(?=[A-Z])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+_SEPARATORS = "_+/=-"
+_PART = re.compile(r"[A-Za-z0-9]{16,}")
 _STATE: dict[str, tuple] = {}
 
 
@@ -73,6 +78,63 @@ def mixed(s: str) -> bool:
     return letters and (any(c.isdigit() for c in s) or (s[1:].lower() != s[1:] and s.upper() != s))
 
 
+def _random(s: str, encode) -> bool:
+    """The test of one string: few characters per token, and no known shape."""
+    if len(s) < MIN_TOKEN:
+        return False
+    if s.isalpha() and not mixed(s):
+        return len(s) < MAX_PLAIN_RATIO * len(encode(s))
+    return mixed(s) and not known_shape(s) and len(s) < MAX_RATIO * len(encode(s))
+
+
+def _stretches(lengths: list[int]) -> list[tuple[int, int]]:
+    """(start, end) in characters of the stretches of tokens with the most tokens beyond characters / MAX_RATIO.
+
+    A stretch ends where the sum has fallen by MIN_TOKEN below its top.
+    """
+    out, i, at = [], 0, 0
+    n = len(lengths)
+    while i < n:
+        total = top = 0.0
+        j, here, end, after = i, at, at, i
+        while j < n:
+            total += MAX_RATIO - lengths[j]
+            here += lengths[j]
+            j += 1
+            if total > top:
+                top, end, after = total, here, j
+            if total < 0 or total < top - MIN_TOKEN:
+                break
+        if after > i:
+            out.append((at, end))
+            i, at = after, end
+        else:
+            i, at = j, here
+    return out
+
+
+def token_spans(s: str, encode) -> list[tuple[int, int]]:
+    """(start, end) of the random strings in a run of key characters: the run, else its parts, else stretches of it."""
+    if _random(s, encode):
+        return [(0, len(s))]
+    if DIGEST.match(s) and len(s) in DIGEST_LENGTHS or UUID.match(s):
+        return []
+    out = [(m.start(), m.end()) for m in _PART.finditer(s) if _random(m.group(), encode)]
+    single = encode.__self__.decode_single_token_bytes  # of the tiktoken encoding; runs are ASCII
+    lengths = [len(single(t)) for t in encode(s)]
+    for a, b in _stretches(lengths):
+        # Whole parts: a key may begin or end with a piece that looks like a word.
+        while a > 0 and s[a - 1] not in _SEPARATORS and s[a] not in _SEPARATORS:
+            a -= 1
+        while b < len(s) and s[b] not in _SEPARATORS and s[b - 1] not in _SEPARATORS:
+            b += 1
+        part = s[a:b]
+        a, b = a + len(part) - len(part.lstrip(_SEPARATORS)), b - (len(part) - len(part.rstrip(_SEPARATORS)))
+        if a < b and not any(x < b and a < y for x, y in out) and _random(s[a:b], encode):
+            out.append((a, b))
+    return sorted(out)
+
+
 def scan_text(text: str, encode, cache: dict) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of every span, in order of start, then kind."""
     spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end() - m.start(2) >= MIN_ASSIGN]
@@ -84,13 +146,13 @@ def scan_text(text: str, encode, cache: dict) -> list[tuple[int, int, int]]:
         s = m.group()
         flagged = cache.get(s) if len(s) <= 256 else None
         if flagged is None:
-            flagged = mixed(s) and not known_shape(s) and len(s) < MAX_RATIO * len(encode(s))
+            flagged = token_spans(s, encode)
             if len(s) <= 256:
                 if len(cache) >= MAX_CACHED:
                     cache.clear()
                 cache[s] = flagged
-        if flagged and not any(a < m.end() and m.start() < b for a, _, b in base):
-            spans.append((m.start(), 3, m.end()))
+        at = m.start()
+        spans += [(at + i, 3, at + j) for i, j in flagged if not any(a < at + j and at + i < b for a, _, b in base)]
     return sorted(spans)
 
 
