@@ -81,6 +81,23 @@ def test_short_texts_and_small_languages_are_not_judged(documents):
     assert q.divergences(b"text " * 100, [b"text"] * 100, None) == (None, None)
 
 
+def test_a_small_language_is_judged_whatever_the_rest_holds(documents, monkeypatch):
+    """With a share that only the large language reaches, the others (null among them) have joined references."""
+    monkeypatch.setattr(q, "LANGUAGE_SHARE", 0.5)
+    monkeypatch.setitem(globals(), "RNG", random.Random(4))  # the same prose whatever ran before
+    rows = [(i, _prose(80), "en") for i in range(90)]
+    rows += [(1000 + i, _prose(80), lang) for i, lang in enumerate(["xx"] * 20 + [None] * 20)]
+    rows += [(2000 + i, " ".join(f"{w}###" for w in RARE[:80]), lang) for i, lang in enumerate(["en", "xx", None, "few"])]
+    frame = documents(rows)
+    got = {r.doc_id: r for r in q.quality_rules(frame).collect()}
+    assert len(got) == len(rows)
+    assert [r for d, r in got.items() if d < 2000 and not r.kept] == []
+    assert not any(got[d].kept for d in (2000, 2001, 2002)) and got[2003].kept
+    kept = q.quality_filter(frame)
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, r in got.items() if r.kept)
+
+
 def test_empty_table(documents):
     assert q.quality_rules(documents([])).count() == 0
     assert q.quality_filter(documents([])).count() == 0

@@ -8,10 +8,12 @@ Jensen-Shannon distance (square root of the divergence to base 2, 0 to 1):
   language (so at most 1 / COMMON_SHARE per language), and one bin for the rest.
 
 The references are sums over the whole corpus, one per value of the language
-column (null is a value), from documents that pass the base rules. Only
-languages that hold at least ``LANGUAGE_SHARE`` of all words have one, so there
-are at most 1 / LANGUAGE_SHARE of them. Guards: each test needs
-a least length, and a document without a reference is not judged by it.
+column (null is a value), from documents that pass the base rules. Those of
+languages that hold at least ``LANGUAGE_SHARE`` of all words, at most
+1 / LANGUAGE_SHARE of them, are broadcast; the others stay a table keyed by
+language that is joined to their documents by a shuffle. Guards: each test
+needs a least length, and a language with fewer than ``MIN_REFERENCE_WORDS``
+words has no reference, so its documents are not judged by it.
 """
 
 from __future__ import annotations
@@ -23,11 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardlens.llm.common import batch_of, bounded_batches, materialize
 
 COMMON_SHARE = 0.002
-LANGUAGE_SHARE = 0.001
+LANGUAGE_SHARE, MIN_REFERENCE_WORDS = 0.001, 1000
 MIN_CHARS, MIN_WORDS = 100, 30
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.25
 FLUSH = 300_000
@@ -133,8 +136,19 @@ def js_distance(a: np.ndarray, b: np.ndarray, off: float = 0.0) -> float:
     return float(np.sqrt(max(0.0, d / 2 - off)))
 
 
-def language_references(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text") -> dict:
-    """language -> (class histogram, {common word: bin}, word histogram, two empty caches); see the module for the bounds."""
+def _reference(chars: np.ndarray, common: list[tuple[bytes, int]], total: int) -> tuple:
+    """(class histogram, {common word: bin}, word histogram, two empty caches)."""
+    ranked = sorted(common)
+    hist = np.array([n for _, n in ranked] + [total - sum(n for _, n in ranked)], np.float64)
+    return chars, {w: i for i, (w, _) in enumerate(ranked)}, hist, {}, {}
+
+
+def language_references(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text") -> tuple[dict, DataFrame | None]:
+    """The references of the large languages by name, and a table (_lang, _total, _rows) of the others.
+
+    The table is None when no other language has enough words. ``_rows`` holds
+    (kind, word, n) of the character classes and the common words.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     schema = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("word", pa.binary()), ("n", pa.int64())])
@@ -175,13 +189,22 @@ def language_references(docs: DataFrame, *, lang_col: str = "lang", text_col: st
         F.sum("n").alias("n"))
     counts = materialize(counts, "quality-counts")
     total = counts.where("kind = 0").groupBy("lang").agg(F.sum("n").alias("total"))
+    enough = total.where(F.col("total") >= MIN_REFERENCE_WORDS)
     every = total.agg(F.sum("total")).first()[0] or 0
-    large = {r["lang"]: r["total"] for r in total.where(F.col("total") >= LANGUAGE_SHARE * every).collect()}
+    large = {r["lang"]: r["total"] for r in enough.where(F.col("total") >= LANGUAGE_SHARE * every).collect()}
+    small = enough.where(F.col("total") < LANGUAGE_SHARE * every)
+    same_lang = F.col("c.lang").eqNullSafe(F.col("t.lang"))
+    common = (F.col("c.kind") > 0) | (F.col("c.n") >= COMMON_SHARE * F.col("t.total"))
+    table = None
+    if not small.isEmpty():
+        rows_of = F.collect_list(F.struct("c.kind", "c.word", "c.n"))
+        table = counts.alias("c").join(small.alias("t"), same_lang).where(common).groupBy(F.col("c.lang").alias("_lang")).agg(
+            F.first("t.total").alias("_total"), rows_of.alias("_rows"))
+        table = materialize(table, "quality-references")
     if not large:
-        return {}
+        return {}, table
     shares = spark.createDataFrame([(k, v) for k, v in large.items()], "lang string, total long")
-    kept = counts.alias("c").join(F.broadcast(shares).alias("t"), F.col("c.lang").eqNullSafe(F.col("t.lang"))).where(
-        (F.col("c.kind") > 0) | (F.col("c.n") >= COMMON_SHARE * F.col("t.total"))).select("c.lang", "kind", "word", "n")
+    kept = counts.alias("c").join(F.broadcast(shares).alias("t"), same_lang).where(common).select("c.lang", "kind", "word", "n")
     chars = {k: np.zeros(len(CLASSES)) for k in large}
     words: dict = {k: [] for k in large}
     for r in kept.collect():
@@ -189,12 +212,38 @@ def language_references(docs: DataFrame, *, lang_col: str = "lang", text_col: st
             chars[r["lang"]][r["kind"] - 1] = r["n"]
         else:
             words[r["lang"]].append((bytes(r["word"]), r["n"]))
-    out = {}
-    for lang, total_n in large.items():
-        ranked = sorted(words[lang])
-        hist = np.array([n for _, n in ranked] + [total_n - sum(n for _, n in ranked)], np.float64)
-        out[lang] = (chars[lang], {w: i for i, (w, _) in enumerate(ranked)}, hist, {}, {})
-    return out
+    return {lang: _reference(chars[lang], words[lang], n) for lang, n in large.items()}, table
+
+
+class _Joined:
+    """References read from the joined rows of the table of small languages, the last one kept."""
+
+    def __init__(self):
+        self.lang, self.found = object(), None
+
+    def get(self, lang, total, rows):
+        if total is None:
+            return None
+        if lang != self.lang:
+            chars = np.zeros(len(CLASSES))
+            for r in rows:
+                if r["kind"]:
+                    chars[r["kind"] - 1] = r["n"]
+            self.lang, self.found = lang, _reference(chars, [(r["word"], r["n"]) for r in rows if not r["kind"]], total)
+        return self.found
+
+
+def _with_references(rows: DataFrame, lang_col: str, large: dict, table: DataFrame | None, run) -> DataFrame:
+    """``run`` on the rows of large languages, and on those of the others joined to ``table``."""
+    if table is None:
+        return run(rows)
+    lang = F.col(lang_col).cast("string")
+    names = [k for k in large if k is not None]
+    is_large = F.coalesce(lang.isin(names), F.lit(False)) if names else F.lit(False)
+    if None in large:
+        is_large = is_large | lang.isNull()
+    joined = rows.where(~is_large).join(table.hint("merge"), lang.eqNullSafe(F.col("_lang")), "left").drop("_lang")
+    return run(rows.where(is_large)).unionByName(run(joined))
 
 
 def divergences(text: bytes, words: list[bytes], reference: tuple | None) -> tuple[float | None, float | None]:
@@ -224,22 +273,23 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     A null text has no words and fails the base rule. Other columns are ignored.
     """
-    refs = docs.sparkSession.sparkContext.broadcast(language_references(docs, lang_col=lang_col, text_col=text_col))
+    large, small = language_references(docs, lang_col=lang_col, text_col=text_col)
+    refs = docs.sparkSession.sparkContext.broadcast(large)
     schema = pa.schema([(id_col, pa.int64())] + [(c, pa.int64()) for c in
                        ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
                        + [("base_failed", pa.bool_()), ("kept", pa.bool_()), ("char_distance", pa.float64()),
                           ("word_distance", pa.float64())])
 
     def judge(batches):
-        table = refs.value
+        table, joined = refs.value, _Joined()
         for batch in batches:
             out = []
-            for d, text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for d, text, lang, *own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = text or b""
                 words = text.split()
                 counts = base_counts(text, words)
                 failed = base_failed(len(words), counts[3])
-                char, word = divergences(text, words, table.get(lang))
+                char, word = divergences(text, words, joined.get(lang, *own) if own else table.get(lang))
                 out.append((d, len(words), *counts, failed, not failed and judged(char, word), char, word))
             cols = list(zip(*out, strict=True))
             if cols:
@@ -247,25 +297,31 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     rows = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").cast("binary").alias("text"),
                        F.col(lang_col).cast("string").alias("lang"))
-    return rows.mapInArrow(judge, f"{id_col} long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-                                  "n_repeat_words long, base_failed boolean, kept boolean, char_distance double, "
-                                  "word_distance double")
+    columns = (f"{id_col} long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+               "base_failed boolean, kept boolean, char_distance double, word_distance double")
+    return _with_references(rows, "lang", large, small, lambda part: part.mapInArrow(judge, columns))
 
 
 def quality_filter(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` without the documents that fail the base rules or the verdict; all columns are kept."""
-    refs = docs.sparkSession.sparkContext.broadcast(language_references(docs, lang_col=lang_col, text_col=text_col))
+    large, small = language_references(docs, lang_col=lang_col, text_col=text_col)
+    refs = docs.sparkSession.sparkContext.broadcast(large)
     at_text, at_lang = docs.columns.index(text_col), docs.columns.index(lang_col)
 
+    names = [f"c{i}" for i in range(len(docs.columns))]
+
     def keep(batches):
-        table = refs.value
+        table, joined = refs.value, _Joined()
         for batch in batches:
             mask = []
-            for text, lang in zip(batch.column(at_text).to_pylist(), batch.column(at_lang).to_pylist(), strict=True):
+            extra = [c.to_pylist() for c in batch.columns[len(names):]]
+            for i, (text, lang) in enumerate(zip(batch.column(at_text).to_pylist(), batch.column(at_lang).to_pylist(), strict=True)):
                 text = (text or "").encode()
                 words = text.split()
-                mask.append(not base_failed(len(words), repeat_words(words))
-                            and judged(*divergences(text, words, table.get(lang))))
-            yield batch.filter(pa.array(mask, pa.bool_()))
+                mask.append(not base_failed(len(words), repeat_words(words)) and judged(*divergences(
+                    text, words, joined.get(lang, *(c[i] for c in extra)) if extra else table.get(lang))))
+            yield pa.RecordBatch.from_arrays(batch.columns[:len(names)], names=names).filter(pa.array(mask, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields, strict=True)])
+    out = _with_references(docs.toDF(*names), names[at_lang], large, small, lambda part: part.mapInArrow(keep, schema))
+    return out.toDF(*docs.columns)
