@@ -100,6 +100,15 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    import public_tokenizers
+
+    from wardlens.llm.token_counts import token_counts
+
+    return token_counts(_table(spark, sf_dir, "documents"), _vocabulary(BYTE_BPE), public_tokenizers.PATTERN)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline (corpus_pipeline.py)."""
     import corpus_pipeline
@@ -109,7 +118,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_blocks, op2_best_fit_packing, op3_warc, op4_secret_scan, op5_paragraph_dedup, op6_line_templates,
-    op7_decontamination, op8_lattice_lm, op9_quality_rules, op10_probminhash, pipeline)}
+    op7_decontamination, op8_lattice_lm, op9_quality_rules, op10_probminhash, op13_token_counts, pipeline)}
 
 _SHA1_BASE32 = """array_to_string(list_transform(range(32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
