@@ -100,6 +100,21 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether a possibly tampered leaf still folds to the root."""
+    from wardlens.llm.merkle import folded, manifest, proof_text
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    made = manifest(_table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+                    id_col="doc_id", group_col="lang", fanout=8,
+                    altered={"text": F.translate("text", upper, upper.lower())},
+                    when=F.crc32(F.col("doc_id").cast("string")) % 3 == 0)
+    return made.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(proof_text(F.col("path")), 256).alias("proof_sha256"),
+        folded(F.coalesce("altered_leaf", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     import public_tokenizers
@@ -118,7 +133,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_blocks, op2_best_fit_packing, op3_warc, op4_secret_scan, op5_paragraph_dedup, op6_line_templates,
-    op7_decontamination, op8_lattice_lm, op9_quality_rules, op10_probminhash, op13_token_counts, pipeline)}
+    op7_decontamination, op8_lattice_lm, op9_quality_rules, op10_probminhash, op12_merkle_manifest, op13_token_counts, pipeline)}
 
 _SHA1_BASE32 = """array_to_string(list_transform(range(32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
@@ -128,7 +143,56 @@ _SHA1_BASE32 = """array_to_string(list_transform(range(32), lambda i:
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+_FRAMED = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+
+
+def _merkle_levels(name: str, start: str, depth: int) -> str:
+    """Levels ``name``0.. of an eightfold tree over ``start`` (k, i, n, h), and each node's siblings as ``name``_s0..."""
+    out = [f"{name}0 AS (SELECT k, i, n, h FROM {start})"]
+    for j in range(depth):
+        at = f"{name}{j}"
+        out += [f"""{name}_s{j} AS (SELECT a.k, a.i, a.n,
+       coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+       coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+  FROM {at} a JOIN {at} b ON a.k = b.k AND a.i // 8 = b.i // 8 GROUP BY a.k, a.i, a.n)""",
+                f"""{name}{j + 1} AS (SELECT k, i // 8 AS i, (n + 7) // 8 AS n,
+       CASE WHEN n = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {at} GROUP BY k, i // 8, n)"""]
+    return ",\n".join(out)
+
+
+def _merkle_fold(name: str, start: str, depth: int, keep: str) -> str:
+    """Climb from ``start`` (k, i, p, f, ...): append each level's siblings to p and fold f with them."""
+    out, last = [], start
+    for j in range(depth):
+        out.append(f"""{name}_f{j} AS (SELECT {keep}, c.k, c.i // 8 AS i, c.p || s.l || s.r AS p,
+       CASE WHEN s.n > 1 THEN sha256(s.l || c.f || s.r) ELSE c.f END AS f
+  FROM {last} c JOIN {name}_s{j} s ON c.k = s.k AND c.i = s.i)""")
+        last = f"{name}_f{j}"
+    return ",\n".join(out)
+
+
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, z: xor(x >> 1, 3988292384::BIGINT * (x & 1)))))"""
+
+_LEAF = "sha256(" + " || ".join(_FRAMED.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLES: dict[str, str] = {
+    # Eight levels hold 16 million documents of one language, three 512 languages.
+    "op12_merkle_manifest": f"""
+WITH d AS (SELECT row_number() OVER () AS u, doc_id, coalesce('=' || lang, '') AS k, {_LEAF.format(text="text")} AS h,
+                  CASE WHEN {_CRC32} % 3 = 0 THEN {_LEAF.format(text=_LOWERED)} END AS t FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, h, u) - 1 AS i, count(*) OVER (PARTITION BY k) AS n FROM d),
+{_merkle_levels("t", "o", 8)},
+{_merkle_fold("t", "(SELECT *, '' AS p, coalesce(t, h) AS f FROM o)", 8, "c.u, c.doc_id, c.h")},
+g AS (SELECT '' AS k, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS n, h, k AS name FROM t8),
+{_merkle_levels("g", "g", 3)},
+{_merkle_fold("g", "(SELECT q.u, q.doc_id, q.h, q.p, q.f, g.h AS subroot, g.k, g.i FROM t_f7 q JOIN g ON g.name = q.k)", 3,
+              "c.u, c.doc_id, c.h, c.subroot")}
+SELECT doc_id, c.h AS leaf, subroot, g3.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = g3.h AS verified
+FROM g_f2 c JOIN g3 ON c.k = g3.k""",
     "op3_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 g AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS top FROM p)
