@@ -100,6 +100,16 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor (vec_id divisible by 50) and positive."""
+    from wardlens.llm.hard_negatives import hard_negatives
+
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), id_col="vec_id", vector_col="embedding",
+                          label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label), anchor=vec_id % 50 == 0,
+                          positives=5, negatives=3, low_percent=50, high_percent=95, scale=256)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether a possibly tampered leaf still folds to the root."""
     from wardlens.llm.merkle import folded, manifest, proof_text
@@ -133,7 +143,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_blocks, op2_best_fit_packing, op3_warc, op4_secret_scan, op5_paragraph_dedup, op6_line_templates,
-    op7_decontamination, op8_lattice_lm, op9_quality_rules, op10_probminhash, op12_merkle_manifest, op13_token_counts, pipeline)}
+    op7_decontamination, op8_lattice_lm, op9_quality_rules, op10_probminhash, op11_hard_negatives, op12_merkle_manifest, op13_token_counts, pipeline)}
 
 _SHA1_BASE32 = """array_to_string(list_transform(range(32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
@@ -180,6 +190,22 @@ _LEAF = "sha256(" + " || ".join(_FRAMED.format(c) for c in ("doc_id", "source",
 _LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op11_hard_negatives": """
+WITH r AS (SELECT row_number() OVER () AS u, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.u AS a, a.vec_id AS anchor_id, a.label = b.label AS same, b.u, b.vec_id,
+             CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.u <> b.u WHERE a.vec_id % 50 = 0),
+p AS (SELECT a, anchor_id, u, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, u) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.a, p.u ORDER BY s.score DESC, s.vec_id NULLS LAST, s.u) AS k
+      FROM p JOIN s ON p.a = s.a AND NOT s.same
+       AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 3""",
     # Eight levels hold 16 million documents of one language, three 512 languages.
     "op12_merkle_manifest": f"""
 WITH d AS (SELECT row_number() OVER () AS u, doc_id, coalesce('=' || lang, '') AS k, {_LEAF.format(text="text")} AS h,
