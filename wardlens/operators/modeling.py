@@ -12,29 +12,28 @@ grid points.
 
 from __future__ import annotations
 
-import itertools
 import json
 import statistics
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from wardlens.schemas import (FEATURE_COLS_CATEGORICAL, FEATURE_COLS_NUMERIC, LEAKY_COLUMNS,
                               MORTALITY_TARGET, N_CV_SPLITS, RANDOM_SEED, READMISSION_TARGET,
                               RF_PARAM_GRID, UNLIMITED_DEPTH_DEFAULT)
 
 MAX_LEVELS = 10_000
+DEFAULT_TREES = 100
+# Statistics of one group of nodes while a forest is fitted; several fits run at a time.
+FIT_MEMORY_MB = 256
 LABEL, WEIGHT, FOLD = "label", "weight", "fold"
 
 
@@ -199,8 +198,8 @@ def classifier(kind: str, *, n_train: int | None = None, params: dict | None = N
     if kind == "rf":
         return RandomForestClassifier(
             featuresCol="features", labelCol=LABEL, weightCol=WEIGHT, seed=RANDOM_SEED,
-            featureSubsetStrategy="sqrt", maxMemoryInMB=1024, cacheNodeIds=True,
-            numTrees=int(params.get("numTrees", 100)),
+            featureSubsetStrategy="sqrt", maxMemoryInMB=FIT_MEMORY_MB, cacheNodeIds=True,
+            numTrees=int(params.get("numTrees", DEFAULT_TREES)),
             maxDepth=_depth(params.get("maxDepth", None), unlimited_depth),
             minInstancesPerNode=int(params.get("minInstancesPerNode", 1)))
     raise ValueError(f"unknown classifier {kind!r}")
@@ -215,11 +214,6 @@ def model_pipeline(features: list[str], clf) -> Pipeline:
     ])
 
 
-def evaluator() -> BinaryClassificationEvaluator:
-    return BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="probability",
-                                         metricName="areaUnderROC", numBins=0)
-
-
 def fold_label_counts(data: DataFrame) -> dict[int, dict[int, int]]:
     """Rows per (fold, label) in one job: ``{fold: {label: n}}`` (k x classes entries)."""
     out: dict[int, dict[int, int]] = {}
@@ -248,23 +242,50 @@ def training_rows(data: DataFrame, counts: dict[int, dict[int, int]], held_out:
     return rows.withColumn(WEIGHT, weight)
 
 
-def _fold_auc(data: DataFrame, features: list[str], clf_of, counts: dict, f: int) -> float | None:
-    """AUC of fold ``f`` for the classifier ``clf_of(rows trained on)``; None if test or training rows have one class."""
-    train_n = training_counts(counts, f)
-    if len(counts.get(f, {})) < 2 or len(train_n) < 2:
-        return None
-    pipe = model_pipeline(features, clf_of(sum(train_n.values())))
-    test = data.where(F.col(FOLD) == f)
-    return float(evaluator().evaluate(pipe.fit(training_rows(data, counts, f)).transform(test)))
+def _can_score(counts: dict[int, dict[int, int]], fold: int) -> bool:
+    """Whether the fold's rows and the rows outside it both hold two classes."""
+    return len(counts.get(fold, {})) > 1 and len(training_counts(counts, fold)) > 1
 
 
-def fold_aucs(data: DataFrame, features: list[str], kind: str, k: int,
-              params: dict | None = None, counts: dict | None = None) -> DataFrame:
-    """ROC-AUC per held-out fold; NULL (not 0) for a fold with one class."""
+def _fit_without(data: DataFrame, features: list[str], clf_of, counts: dict, fold: int) -> PipelineModel:
+    """The pipeline fitted on the rows outside ``fold``; ``clf_of(rows trained on)`` gives the classifier."""
+    n = sum(training_counts(counts, fold).values())
+    return model_pipeline(features, clf_of(n)).fit(training_rows(data, counts, fold))
+
+
+def fold_scores(data: DataFrame, features: list[str], kind: str, k: int, params: dict | None = None,
+                counts: dict | None = None, parallelism: int = 4) -> DataFrame | None:
+    """``fold, label, score`` of every row, scored by the model of the other folds; ``parallelism`` fits at a time.
+
+    Folds that cannot be scored (one class) are left out; None when there is no other.
+    """
+    from wardlens.operators.evaluation import with_probability
+    from wardlens.operators.grid import run_jobs
+
     counts = counts if counts is not None else fold_label_counts(data)
-    rows = [(f, _fold_auc(data, features, lambda n: classifier(kind, n_train=n, params=params), counts, f))
-            for f in range(k)]
-    return data.sparkSession.createDataFrame(rows, "fold int, auc double")
+    models: dict[int, PipelineModel] = {}
+
+    def fit(fold):
+        models[fold] = _fit_without(data, features, lambda n: classifier(kind, n_train=n, params=params), counts, fold)
+
+    run_jobs(data.sparkSession, [f for f in range(k) if _can_score(counts, f)], fit, parallelism)
+    scored = None
+    for fold in sorted(models):
+        rows = with_probability(models[fold].transform(data.where(F.col(FOLD) == fold))).select(FOLD, LABEL, "score")
+        scored = rows if scored is None else scored.unionByName(rows)
+    return scored
+
+
+def fold_aucs(data: DataFrame, features: list[str], kind: str, k: int,
+              params: dict | None = None, counts: dict | None = None, parallelism: int = 4) -> DataFrame:
+    """ROC-AUC per held-out fold, all folds ranked in one job; NULL (not 0) for a fold with one class."""
+    from wardlens.operators.evaluation import rank_auc_by
+
+    folds = data.sparkSession.range(k).select(F.col("id").cast("int").alias(FOLD))
+    scored = fold_scores(data, features, kind, k, params, counts, parallelism)
+    if scored is None:
+        return folds.withColumn("auc", F.lit(None).cast("double"))
+    return folds.join(rank_auc_by(scored, FOLD).select(FOLD, "auc"), FOLD, "left")
 
 
 def auc_summary(aucs: DataFrame, model_name: str) -> DataFrame:
@@ -275,35 +296,46 @@ def auc_summary(aucs: DataFrame, model_name: str) -> DataFrame:
 
 def grid_search(data: DataFrame, features: list[str], k: int, grid: dict | None = None,
                 parallelism: int = 4, unlimited_depth: int = UNLIMITED_DEPTH_DEFAULT,
-                counts: dict | None = None) -> tuple[dict, DataFrame]:
+                counts: dict | None = None, results_dir: str | None = None) -> tuple[dict, DataFrame]:
     """Pick the forest setting with the best mean fold AUC.
 
     Returns the best setting and a table of every setting: mean and population
     std over the folds that have an AUC, and the AUC of each fold (NULL for a
-    fold with one class). ``parallelism`` fits run at a time. A setting without
-    any AUC ranks last; of equal ones the first wins.
+    fold with one class). A setting without any AUC ranks last; of equal ones
+    the first wins.
+
+    Settings that differ only in tree count and depth are read from one fit
+    (:mod:`wardlens.operators.grid`); ``parallelism`` fits run at a time. AUCs
+    are kept in ``results_dir`` (by default a folder in the checkpoint folder,
+    named after the data and the search), so a search that was broken off goes on
+    where it stopped and a finished one is only read.
     """
-    grid = grid or RF_PARAM_GRID
+    from wardlens.operators.grid import ResultTable, RESULT_SCHEMA, data_fingerprint, grid_settings, search_results, shared_fits
+    from wardlens.session import ensure_checkpoint_dir
+
+    spark = data.sparkSession
     counts = counts if counts is not None else fold_label_counts(data)
-    names = sorted(grid)
-    choices = [sorted({_depth(v, unlimited_depth) if n == "maxDepth" else v for v in grid[n]}) for n in names]
-    settings = [dict(zip(names, values)) for values in itertools.product(*choices)]
-
-    def score(job):
-        setting, f = job
-        return _fold_auc(data, features, lambda n: classifier("rf", n_train=n, params=setting,
-                                                              unlimited_depth=unlimited_depth), counts, f)
-
-    jobs = [(setting, f) for setting in settings for f in range(k)]
-    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-        aucs = pool.map(inheritable_thread_target(data.sparkSession)(score), jobs, chunksize=1)
+    settings = grid_settings(grid or RF_PARAM_GRID, lambda d: _depth(d, unlimited_depth))
+    if results_dir is None:
+        name = data_fingerprint(data, features, k, settings, RANDOM_SEED)
+        results_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/wardlens-grid-{name}"
+    fits = shared_fits(settings, default_trees=DEFAULT_TREES, default_depth=_depth(None, unlimited_depth))
+
+    def fit_fold(params, fold):
+        if not _can_score(counts, fold):
+            return None
+        fitted = _fit_without(data, features, lambda n: classifier("rf", n_train=n, params=params), counts, fold)
+        return fitted.stages[-1], PipelineModel(stages=fitted.stages[:-1]).transform(data.where(F.col(FOLD) == fold))
+
+    found = search_results(ResultTable(spark, results_dir, RESULT_SCHEMA), settings, fits, range(k), fit_fold, parallelism)
+    aucs = {(r["setting"], r["fold"]): r["auc"] for r in found.collect()}  # settings x folds
     rows = []
     for i, setting in enumerate(settings):
-        per = aucs[i * k:(i + 1) * k]
+        per = [aucs[i, f] for f in range(k)]
         known = [a for a in per if a is not None]
         rows.append((json.dumps(setting, sort_keys=True), statistics.fmean(known) if known else None,
                      statistics.pstdev(known) if known else None, per))
-    table = data.sparkSession.createDataFrame(
+    table = spark.createDataFrame(
         rows, "params string, mean_auc double, std_auc double, fold_aucs array<double>")
     best = max(range(len(rows)), key=lambda i: -1.0 if rows[i][1] is None else rows[i][1])
     return settings[best], table
@@ -371,7 +403,7 @@ def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid:
     data, encoder, features, k = prepared
 
     counts = fold_label_counts(data)
-    lr_aucs = fold_aucs(data, features, "lr", k, counts=counts)
+    lr_aucs = fold_aucs(data, features, "lr", k, counts=counts, parallelism=parallelism)
     best, grid_table = grid_search(data, features, k, grid, parallelism, unlimited_depth, counts)
     # The search has scored the best setting on these folds already.
     rf_aucs = grid_table.where(F.col("params") == json.dumps(best, sort_keys=True)).select(

@@ -7,6 +7,7 @@
   and hot key in it.
 * :func:`global_positions` - 0-based position in a total order.
 * :func:`running_totals` - cumulative sums in a total order.
+* :func:`keyed_running_totals` - cumulative sums per key, in one pass for all keys.
 
 A slice is a range partition whose number is written down with its rows
 (:func:`range_sliced`): the rows are range-partitioned once, stored with the
@@ -198,3 +199,32 @@ def running_totals(df: DataFrame, order: Sequence[str], sum_cols: Sequence[str],
         *[(F.col(f"_wl_cum_{c}") + F.col(f"_wl_s_{c}_off")).alias(f"cum_{c}") for c in sum_cols],
         *[F.col(f"_wl_s_{c}_all").alias(f"total_{c}") for c in sum_cols],
     )
+
+
+def keyed_running_totals(df: DataFrame, key, order: Sequence[str], sum_cols: Sequence[str],
+                         partitions: int | None = None) -> DataFrame:
+    """Add ``cum_<c>`` (inclusive running sum in ``order`` within the key) and ``total_<c>`` (of the key) per column.
+
+    The segmented form of :func:`running_totals`: rows are range-partitioned by
+    (key, order), so a key covers a run of slices, however many rows it has, and
+    a slice may hold many keys. Sums start anew at each key inside a slice; what
+    the key holds in earlier slices is carried in from a table of one row per
+    slice and key in it. NULL keys form one group.
+    """
+    keys = _names(key)
+    cols = df.columns
+    sliced = range_sliced(df, [*keys, *order], partitions or shuffle_partitions(df.sparkSession), "keyed-totals")
+    within = (Window.partitionBy("_wl_b", *keys).orderBy(*_sort_exprs(order))
+              .rowsBetween(Window.unboundedPreceding, 0))
+    local = sliced.select(*cols, "_wl_b", *[F.sum(c).over(within).alias(f"_wl_cum_{c}") for c in sum_cols])
+    held = sliced.groupBy("_wl_b", *keys).agg(*[F.sum(c).alias(f"_wl_s_{c}") for c in sum_cols])
+    before = Window.partitionBy(*keys).orderBy("_wl_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = held.select(
+        "_wl_b", *keys,
+        *[F.coalesce(F.sum(f"_wl_s_{c}").over(before), F.lit(0)).alias(f"_wl_off_{c}") for c in sum_cols],
+        *[F.sum(f"_wl_s_{c}").over(Window.partitionBy(*keys)).alias(f"_wl_all_{c}") for c in sum_cols])
+    return join_null_safe(local, carry, [*keys, "_wl_b"], "inner").select(
+        *cols,
+        *[(F.col(f"_wl_cum_{c}") + F.col(f"_wl_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
+        *[F.col(f"_wl_all_{c}").alias(f"total_{c}") for c in sum_cols],
+    )
