@@ -199,6 +199,26 @@ def q_load_report(spark, d):
     return load_report(_tables(spark, d))
 
 
+def q_fold_rank_auc(spark, d):
+    """Rank AUC of the rule score on each grouped fold, with mean and population std."""
+    from wardlens.operators.evaluation import fold_rank_auc
+    from wardlens.operators.folds import assign_folds
+    scored = _formula_scored(spark, d)
+    return fold_rank_auc(assign_folds(scored, q_grouped_folds(spark, d), "subject_id"))
+
+
+# An unlimited forest depth as the queries read it (SURVEY T13; 30, Spark's limit, is the library's default).
+_UNLIMITED_DEPTH = 10
+
+
+def q_grid_table(spark, d):
+    """All 36 settings of the grid on the grouped folds; finished fits are kept in the checkpoint folder."""
+    from wardlens.operators.modeling import grid_search, prepare
+    (data, _, features, k), _ = prepare(_mortality_frame(spark, d))
+    return grid_search(data, features, k, unlimited_depth=_UNLIMITED_DEPTH)[1]
+
+
+# The setting of the grid that the queries below fit; grid_table fits all of them.
 _SMALL_FOREST = {"numTrees": 100, "maxDepth": 5, "minInstancesPerNode": 1}
 
 
@@ -301,6 +321,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "roc_points": q_roc_points,
         "rank_auc": q_rank_auc,
         "load_report": q_load_report,
+        "fold_rank_auc": q_fold_rank_auc,
+        "grid_table": q_grid_table,
         "cv_scores": q_cv_scores,
         "feature_importance": q_feature_importance,
         "score_admissions": q_score_admissions,
@@ -615,6 +637,24 @@ FROM (SELECT pos, neg, SUM(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRE
       FROM (SELECT score AS s, SUM(CAST(label AS BIGINT)) AS pos,
                    SUM(CAST(1 - label AS BIGINT)) AS neg FROM scored GROUP BY score) ps) c""",
                           *_FEATURE_CTES, _FRAME, _SCORED),
+        "fold_rank_auc": _with("""
+SELECT fold, auc, n_pos, n_neg, mean_auc,
+       sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(known, lambda x: (x - mean_auc) * (x - mean_auc))),
+            lambda a, b: a + b) / len(known)) AS std_auc
+FROM (SELECT *, list_reduce(list_prepend(0.0::DOUBLE, known), lambda a, b: a + b) / len(known) AS mean_auc
+      FROM (SELECT *, (SELECT list(auc ORDER BY fold) FROM per_fold WHERE auc IS NOT NULL) AS known FROM per_fold) a) b""",
+                               *_FEATURE_CTES, _FRAME, _FOLDS, _SCORED, """
+pairs AS (
+  SELECT fold, score, SUM(CAST(label AS BIGINT)) AS pos, SUM(CAST(1 - label AS BIGINT)) AS neg
+  FROM scored JOIN folds USING (subject_id) GROUP BY fold, score),
+per_fold AS (
+  SELECT a.fold, CAST(SUM(CASE WHEN a.score > b.score THEN 2 WHEN a.score = b.score THEN 1 ELSE 0 END
+                          * CAST(a.pos * b.neg AS HUGEINT)) AS DOUBLE)
+                 / NULLIF(CAST(2 * ANY_VALUE(t.n_pos) * ANY_VALUE(t.n_neg) AS DOUBLE), 0) AS auc,
+         CAST(ANY_VALUE(t.n_pos) AS BIGINT) AS n_pos, CAST(ANY_VALUE(t.n_neg) AS BIGINT) AS n_neg
+  FROM pairs a JOIN pairs b ON a.fold = b.fold
+  JOIN (SELECT fold, SUM(pos) AS n_pos, SUM(neg) AS n_neg FROM pairs GROUP BY fold) t ON t.fold = a.fold
+  GROUP BY a.fold)"""),
         "load_report": _with("""
 SELECT 'patients' AS "table", COUNT(*) AS n_rows, 3 AS n_columns FROM patients
 UNION ALL SELECT 'admissions', COUNT(*), 9 FROM admissions

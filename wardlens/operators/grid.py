@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from wardlens.operators.evaluation import rank_auc_by
-from wardlens.session import drop_written, ensure_checkpoint_dir
+from wardlens.session import drop_written, ensure_checkpoint_dir, ship_package
 
 RESULT_SCHEMA = "setting int, params string, fold int, auc double"
 
@@ -142,6 +142,7 @@ def read_forest(nodes: ForestNodes, x: np.ndarray, reads: Sequence[tuple[int, in
 def forest_scores(model: RandomForestClassificationModel, rows: DataFrame, reads: Sequence[tuple[int, int]],
                   label: str = "label") -> DataFrame:
     """``label, read, score``: every row's probability for each (trees, depth), ``read`` numbering them."""
+    ship_package(rows.sparkSession)
     nodes = rows.sparkSession.sparkContext.broadcast(forest_nodes(model))
     features = model.getFeaturesCol()
     schema = pa.schema([("label", pa.int32()), ("scores", pa.list_(pa.float64()))])

@@ -33,7 +33,7 @@ from wardlens.schemas import (FEATURE_COLS_CATEGORICAL, FEATURE_COLS_NUMERIC, LE
 MAX_LEVELS = 10_000
 DEFAULT_TREES = 100
 # Statistics of one group of nodes while a forest is fitted; several fits run at a time.
-FIT_MEMORY_MB = 256
+FIT_MEMORY_MB = 128
 LABEL, WEIGHT, FOLD = "label", "weight", "fold"
 
 
