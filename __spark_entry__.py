@@ -151,6 +151,15 @@ def q_design_matrix(spark, d):
     return design_matrix(_mortality_frame(spark, d))
 
 
+def q_design_matrix_sparse(spark, d):
+    """The non-zero entries of the design matrix, with one more column of a level per admission day."""
+    from pyspark.sql import functions as F
+    from wardlens.operators.levels import design_matrix_sparse
+    days = standin.admissions(spark, d).select("hadm_id", F.to_date("admittime").cast("string").alias("admit_day"))
+    frame = _mortality_frame(spark, d).join(days, "hadm_id")
+    return design_matrix_sparse(frame, categorical=["gender", "admission_type", "first_icu_careunit", "admit_day"])
+
+
 def q_class_weights(spark, d):
     from wardlens.operators.modeling import class_weights
     return class_weights(_mortality_frame(spark, d))
@@ -312,6 +321,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "label_join": q_label_join,
         "readmission_cohort": q_readmission_cohort,
         "design_matrix": q_design_matrix,
+        "design_matrix_sparse": q_design_matrix_sparse,
         "class_weights": q_class_weights,
         "cv_splits": q_cv_splits,
         "grouped_folds": q_grouped_folds,
@@ -573,6 +583,23 @@ WHERE f.hospital_expire_flag = 0 AND t.readmit_30d IS NOT NULL""", *_FEATURE_CTE
 SELECT subject_id, hadm_id, age_years, n_lab_results_24h, pct_abnormal_labs_24h, label,
        {_dummy_sql()}
 FROM frame""", *_FEATURE_CTES, _FRAME),
+        "design_matrix_sparse": _with("""
+SELECT subject_id, hadm_id, CAST(i AS BIGINT) AS index, feature, value FROM numbers WHERE value <> 0
+UNION ALL
+SELECT subject_id, hadm_id, CAST(2 + l.place AS BIGINT), c.col || '_' || c.level, 1.0::DOUBLE
+FROM cells c JOIN (SELECT *, row_number() OVER (ORDER BY nr, level) AS place
+                   FROM (SELECT DISTINCT nr, col, level FROM cells) v
+                   WHERE level > (SELECT MIN(level) FROM cells w WHERE w.nr = v.nr)) l USING (nr, col, level)""",
+                                      *_FEATURE_CTES, _FRAME, """
+numbers AS (
+  SELECT subject_id, hadm_id, unnest([0, 1, 2]) AS i,
+         unnest(['age_years', 'n_lab_results_24h', 'pct_abnormal_labs_24h']) AS feature,
+         unnest([age_years, CAST(n_lab_results_24h AS DOUBLE), pct_abnormal_labs_24h]) AS value FROM frame),
+cells AS (
+  SELECT subject_id, hadm_id, unnest([1, 2, 3, 4]) AS nr,
+         unnest(['gender', 'admission_type', 'first_icu_careunit', 'admit_day']) AS col,
+         unnest([gender, admission_type, first_icu_careunit, strftime(admittime, '%Y-%m-%d')]) AS level
+  FROM frame JOIN (SELECT hadm_id, admittime FROM admissions) USING (hadm_id))"""),
         "class_weights": _with("""
 SELECT label, COUNT(*) AS n, SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*)) AS weight
 FROM frame GROUP BY label""", *_FEATURE_CTES, _FRAME),

@@ -3,8 +3,10 @@
 Categoricals are one-hot encoded with the first sorted level dropped, like
 ``get_dummies(drop_first=True)``: levels come from the whole frame, the
 encoder is fitted once outside cross-validation, and an unseen or missing
-level gives all-zero indicators (equal to the dropped baseline). The encoder
-is a pipeline stage, so a saved model scores raw admission rows.
+level gives all-zero indicators (equal to the dropped baseline). Models are
+fitted on the sparse vector of :mod:`wardlens.operators.levels`, whose encoder
+is a pipeline stage, so a saved model scores raw admission rows;
+:func:`design_matrix` shows the same matrix as columns.
 
 Fits run on executors (``pyspark.ml``); the driver loop only walks folds and
 grid points.
@@ -26,6 +28,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardlens.operators.levels import VectorFeatures, fit_levels
 from wardlens.schemas import (FEATURE_COLS_CATEGORICAL, FEATURE_COLS_NUMERIC, LEAKY_COLUMNS,
                               MORTALITY_TARGET, N_CV_SPLITS, RANDOM_SEED, READMISSION_TARGET,
                               RF_PARAM_GRID, UNLIMITED_DEPTH_DEFAULT)
@@ -206,7 +209,16 @@ def classifier(kind: str, *, n_train: int | None = None, params: dict | None = N
 
 
 def model_pipeline(features: list[str], clf) -> Pipeline:
-    """Assemble -> standardise (mean and std) -> classify."""
+    """Assemble -> standardise -> classify.
+
+    ``features`` are columns, or a :class:`VectorFeatures` that names a vector
+    column. Columns are centred and scaled; a vector is scaled only, so it stays
+    sparse: centring moves nothing but the intercept, which is not penalised,
+    and a forest's splits do not see it.
+    """
+    if isinstance(features, VectorFeatures):
+        return Pipeline(stages=[
+            StandardScaler(inputCol=features.column, outputCol="features", withMean=False, withStd=True), clf])
     return Pipeline(stages=[
         VectorAssembler(inputCols=features, outputCol="features_raw", handleInvalid="keep"),
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
@@ -373,14 +385,14 @@ def prepare(frame: DataFrame, k_max: int = N_CV_SPLITS, group_col: str = "subjec
     k = min(k_max, min(counts))
     if k < 2:
         return None, f"smallest class has {min(counts)} rows; at least 2 are needed for folds"
-    encoder = fit_encoder(frame)
+    encoder = fit_levels(frame)
     encoded = with_class_weights(encoder.transform(frame))
     folds = grouped_folds(frame, group_col, LABEL, k)
     # Fits pass over the data many times: give them parallel tasks, about one
     # per ROWS_PER_FIT_PARTITION rows.
     parts = max(1, -(-sum(counts) // ROWS_PER_FIT_PARTITION))
     data = materialize(assign_folds(encoded, folds, group_col), "model-data", parts)
-    return (data, encoder, feature_columns(encoded, encoder=encoder), k), None
+    return (data, encoder, encoder.feature_names(), k), None
 
 
 def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid: dict | None = None,
