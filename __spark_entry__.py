@@ -177,6 +177,13 @@ def q_grouped_folds(spark, d):
     return grouped_folds(frame, "subject_id", "label", k)
 
 
+def q_even_folds(spark, d):
+    """Grouped folds dealt greedily by positives (the folds that training uses)."""
+    from wardlens.operators.folds import fold_count, grouped_folds
+    frame = _mortality_frame(spark, d)
+    return grouped_folds(frame, "subject_id", "label", fold_count(frame, "label")[2], method="even")
+
+
 def q_fold_balance(spark, d):
     from wardlens.operators.folds import assign_folds, fold_balance
     frame = _mortality_frame(spark, d)
@@ -325,6 +332,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "class_weights": q_class_weights,
         "cv_splits": q_cv_splits,
         "grouped_folds": q_grouped_folds,
+        "even_folds": q_even_folds,
         "fold_balance": q_fold_balance,
         "confusion_counts": q_confusion_counts,
         "classification_report": q_classification_report,
@@ -608,6 +616,30 @@ SELECT COUNT(*) AS n_classes, MIN(n) AS min_class_count, LEAST(5, MIN(n)) AS n_s
 FROM (SELECT label, COUNT(*) AS n FROM frame WHERE label IS NOT NULL GROUP BY label)""",
                            *_FEATURE_CTES, _FRAME),
         "grouped_folds": _with("SELECT * FROM folds", *_FEATURE_CTES, _FRAME, _FOLDS),
+        # One group at a time: the whole state of the folds is carried from group to group.
+        "even_folds": _with("""
+SELECT g.subject_id, g.n_rows, g.n_pos, CAST(COUNT(e.fold) AS INTEGER) AS fold
+FROM ranked g LEFT JOIN ends e ON e.n_pos = g.n_pos AND e.n_rows = g.n_rows AND e.until <= g.place
+GROUP BY g.subject_id, g.n_rows, g.n_pos""", *_FEATURE_CTES, _FRAME, _FOLDS, """
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_pos, n_rows ORDER BY h) - 1 AS place FROM groups),
+queue AS (SELECT n_pos, n_rows, row_number() OVER (ORDER BY n_pos DESC, n_rows DESC, h) AS i FROM groups),
+start AS (SELECT list({'p': 0::BIGINT, 'r': 0::BIGINT, 'f': f}) AS state FROM range((SELECT k FROM kk)) t(f)),
+dealt AS (
+  WITH RECURSIVE walk AS (
+    SELECT 0::BIGINT AS i, state, NULL::BIGINT AS n_pos, NULL::BIGINT AS n_rows, NULL::BIGINT AS fold FROM start
+    UNION ALL
+    SELECT q.i, list_transform(w.state, lambda x: CASE WHEN x.f = w.f
+                 THEN {'p': x.p + q.n_pos, 'r': x.r + q.n_rows, 'f': x.f} ELSE x END), q.n_pos, q.n_rows, w.f
+    FROM (SELECT walk.i, walk.state, n.n_pos AS np,
+                 list_min(list_transform(walk.state, lambda x:
+                    {'a': CASE WHEN n.n_pos > 0 THEN x.p ELSE 0 END, 'b': x.r, 'f': x.f})).f AS f
+          FROM walk JOIN queue n ON n.i = walk.i + 1) w JOIN queue q ON q.i = w.i + 1)
+  SELECT n_pos, n_rows, fold, COUNT(*) AS n FROM walk WHERE i > 0 GROUP BY n_pos, n_rows, fold),
+ends AS (
+  SELECT s.n_pos, s.n_rows, x.f AS fold,
+         SUM(COALESCE(d.n, 0)) OVER (PARTITION BY s.n_pos, s.n_rows ORDER BY x.f) AS until
+  FROM (SELECT DISTINCT n_pos, n_rows FROM groups) s, range((SELECT k FROM kk)) x(f)
+  LEFT JOIN dealt d ON d.n_pos = s.n_pos AND d.n_rows = s.n_rows AND d.fold = x.f)"""),
         "fold_balance": _with("""
 SELECT f.fold, COUNT(*) AS n_rows, CAST(SUM(CAST(m.label AS BIGINT)) AS BIGINT) AS n_pos,
        COUNT(DISTINCT m.subject_id) AS n_groups

@@ -387,7 +387,7 @@ def prepare(frame: DataFrame, k_max: int = N_CV_SPLITS, group_col: str = "subjec
         return None, f"smallest class has {min(counts)} rows; at least 2 are needed for folds"
     encoder = fit_levels(frame)
     encoded = with_class_weights(encoder.transform(frame))
-    folds = grouped_folds(frame, group_col, LABEL, k)
+    folds = grouped_folds(frame, group_col, LABEL, k, method="even")
     # Fits pass over the data many times: give them parallel tasks, about one
     # per ROWS_PER_FIT_PARTITION rows.
     parts = max(1, -(-sum(counts) // ROWS_PER_FIT_PARTITION))
