@@ -110,6 +110,19 @@ def q_cohort_features(spark, d):
     return build_cohort_features(_tables(spark, d))
 
 
+def q_cohort_features_gaps(spark, d):
+    """The feature table over tables with NULL times, keys and units: every fill meets rows."""
+    from wardlens.operators.features import build_cohort_features
+    return build_cohort_features(standin.gap_tables(spark, d))
+
+
+def q_top_diagnoses_gaps(spark, d):
+    """Most frequent codes where a third of the diagnoses have none in the dictionary."""
+    from wardlens.operators.descriptive import top_diagnoses
+    t = standin.gap_tables(spark, d)
+    return top_diagnoses(t["diagnoses_icd"], t["d_icd_diagnoses"], 200)
+
+
 def q_cohort_feature_report(spark, d):
     from wardlens.operators.features import build_cohort_features, feature_report
     return feature_report(build_cohort_features(_tables(spark, d)))
@@ -324,6 +337,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "diagnosis_rollup": q_diagnosis_rollup,
         "cohort_base": q_cohort_base,
         "cohort_features": q_cohort_features,
+        "cohort_features_gaps": q_cohort_features_gaps,
+        "top_diagnoses_gaps": q_top_diagnoses_gaps,
         "cohort_feature_report": q_cohort_feature_report,
         "label_join": q_label_join,
         "readmission_cohort": q_readmission_cohort,
@@ -487,6 +502,36 @@ def _dummy_sql() -> str:
     return ",\n       ".join(parts)
 
 
+# The variant with gaps (wardlens.sources.standin.gap_tables): the stand-in tables under
+# their names, read through one more SELECT each.
+_GAPS = _STANDIN + """,
+g_patients AS (SELECT * REPLACE (CASE WHEN subject_id % 89 <> 0 THEN dob END AS dob) FROM patients),
+g_admissions AS (SELECT * REPLACE (CASE WHEN hadm_id % 97 <> 0 THEN dischtime END AS dischtime) FROM admissions),
+g_icustays AS (SELECT * REPLACE (CASE WHEN icustay_id % 5 <> 0 THEN first_careunit END AS first_careunit) FROM icustays),
+g_labevents AS (SELECT * REPLACE (CASE WHEN hadm_id % 7 <> 0 THEN hadm_id END AS hadm_id) FROM labevents),
+g_diagnoses AS (SELECT * REPLACE (CASE WHEN seq_num % 3 = 0 THEN 'X' || icd9_code ELSE icd9_code END AS icd9_code)
+                FROM diagnoses_icd)"""
+
+# Every feature from its definition, one admission at a time (not the operator's joins).
+_GAP_FEATURES = """
+stays AS (SELECT hadm_id, list({'t': intime, 'i': icustay_id, 'u': first_careunit, 'd': los} ORDER BY intime, icustay_id) AS s
+          FROM g_icustays GROUP BY hadm_id),
+codes AS (SELECT hadm_id, len(list_distinct(list(icd9_code))) AS n FROM g_diagnoses GROUP BY hadm_id),
+labs AS (SELECT hadm_id, list({'t': charttime, 'a': flag IS NOT DISTINCT FROM 'abnormal'}) AS x
+         FROM g_labevents WHERE hadm_id IS NOT NULL GROUP BY hadm_id),
+rows AS (
+  SELECT a.*, p.gender, CASE WHEN p.dob IS NOT NULL  -- least() skips a NULL
+              THEN least(date_diff('microsecond', p.dob, a.admittime) / 86400000000.0::DOUBLE / 365.25, 90.0) END AS age,
+         date_diff('microsecond', a.admittime, a.dischtime) / 86400000000.0::DOUBLE AS stay, stays.s, codes.n AS codes,
+         list_filter(labs.x, lambda v: v.t <= a.admittime + INTERVAL 1 DAY) AS seen
+  FROM g_admissions a JOIN g_patients p USING (subject_id)
+  LEFT JOIN stays USING (hadm_id) LEFT JOIN codes USING (hadm_id) LEFT JOIN labs USING (hadm_id)),
+middle AS (
+  SELECT (st[(len(st) + 1) // 2] + st[len(st) // 2 + 1]) / 2 AS stay, (ag[(len(ag) + 1) // 2] + ag[len(ag) // 2 + 1]) / 2 AS age
+  FROM (SELECT list(stay ORDER BY stay) FILTER (stay IS NOT NULL) AS st, list(age ORDER BY age) FILTER (age IS NOT NULL) AS ag
+        FROM rows))"""
+
+
 def _with(select: str, *ctes: str) -> str:
     return "WITH " + ",".join([_STANDIN, *ctes]) + "\n" + select
 
@@ -579,6 +624,19 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
         "cohort_feature_report": _with("""
 SELECT COUNT(*) AS n_admissions, 16 AS n_columns, AVG(hospital_expire_flag) AS mortality_rate
 FROM features""", _ICU_AGG, _DIAG_AGG, _LAB_AGG, _BASE, _FEATURES),
+        "cohort_features_gaps": "WITH " + _GAPS + "," + _GAP_FEATURES + """
+SELECT subject_id, hadm_id, admission_type, admission_location, insurance, ethnicity, hospital_expire_flag, gender,
+       COALESCE(stay, (SELECT stay FROM middle)) AS hospital_los_days, COALESCE(len(s), 0) AS n_icu_stays,
+       COALESCE(list_sum(list_transform(s, lambda v: v.d)), 0) AS total_icu_los_days,
+       COALESCE(s[1].u, 'No_ICU_Stay') AS first_icu_careunit, COALESCE(codes, 0) AS n_diagnoses,
+       COALESCE(len(seen), 0) AS n_lab_results_24h, COALESCE(age, (SELECT age FROM middle)) AS age_years,
+       CASE WHEN len(seen) > 0 THEN 100.0::DOUBLE * len(list_filter(seen, lambda v: v.a)) / len(seen) ELSE 0 END
+         AS pct_abnormal_labs_24h
+FROM rows""",
+        "top_diagnoses_gaps": "WITH " + _GAPS + """
+SELECT icd9_code, (SELECT ANY_VALUE(short_title) FROM d_icd_diagnoses t WHERE t.icd9_code = c.icd9_code) AS short_title, n_occurrences
+FROM (SELECT icd9_code, COUNT(*) AS n_occurrences FROM g_diagnoses GROUP BY icd9_code) c
+ORDER BY n_occurrences DESC, icd9_code LIMIT 200""",
         "label_join": _with("""
 SELECT f.*, t.readmit_30d FROM features f
 JOIN target t ON f.subject_id = t.subject_id AND f.hadm_id = t.hadm_id""", *_FEATURE_CTES, _TARGET),

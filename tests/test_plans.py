@@ -194,3 +194,29 @@ def test_hot_null_key_group(spark):
                        condition=lambda b, s: b("t") <= s("lim"))
     want = df.join(small, (df.k == small.k) & (df.t <= small.lim), "left").select(df.k, "id", "t", "lim")
     assert _sorted(left) == _sorted(want)
+
+
+def test_median_row_equals_the_exact_medians(spark):
+    from wardlens.plans.median import median_row
+    import random
+    rnd = random.Random(9)
+    big = [rnd.choice([-1, 1]) * rnd.random() * 10.0 ** rnd.randint(-300, 300) for _ in range(301)]
+    for vals in ([], [None, float("nan")], [-0.0, 0.0], [float("-inf"), 1.0, float("inf")],
+                 [7.0] * 50 + [8.0] * 49, big, [-float(x) for x in range(1000)]):
+        df = spark.createDataFrame([(x, i) for i, x in enumerate(vals)], "x double, i int")
+        row = median_row(df, ["x", "i"]).collect()
+        exact = exact_medians(df, ["x", "i"])
+        assert len(row) == 1 and (row[0]["x"], row[0]["i"]) == (exact["x"], exact["i"])
+
+
+def test_building_the_feature_table_runs_no_job(spark):
+    from wardlens.operators.features import build_cohort_features
+    t = standin.gap_tables(spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("building", "feature table")
+    try:
+        df = build_cohort_features(t)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+        assert df.where("hospital_los_days IS NULL OR age_years IS NULL OR first_icu_careunit IS NULL").count() == 0
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -8,7 +8,7 @@ big one (labs are the largest table) and is a plain join: with
 ``spark.sql.adaptive.forceOptimizeSkewedJoin`` (set here and in the session
 defaults) Spark splits the partition of an admission with a huge number of labs
 from the measured shuffle sizes, so labs are read once and never counted first.
-Building the plans runs nothing; only the medians do, if a value is missing.
+Building the plans runs nothing: the medians are scalar subqueries.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from wardlens.functions.columns import cap_upper, indicator, safe_ratio
 from wardlens.functions.timeutil import days_between, plus_hours
-from wardlens.plans.median import exact_medians
+from wardlens.plans.median import exact_medians, median_row
 from wardlens.plans.skew import salted_join
 from wardlens.schemas import (ABNORMAL_FLAG, AGE_CAP_YEARS, DAYS_PER_YEAR, FEATURE_TABLE_COLUMNS,
                               LAB_WINDOW_HOURS, NO_ICU_LABEL)
@@ -135,14 +135,28 @@ def feature_medians(source: DataFrame, approx_accuracy: int | None = None,
     return exact_medians(both, cols)
 
 
-def finalize_features(base: DataFrame, medians: dict[str, float | None] | None = None) -> DataFrame:
+def median_features(source: DataFrame, approx_accuracy: int | None = None) -> DataFrame:
+    """F9 as a plan: one row with the medians of ``hospital_los_days`` and capped ``age_years``.
+
+    Exact, or one ``percentile_approx`` pass with ``approx_accuracy``; see
+    :func:`feature_medians` for the numbers themselves.
+    """
+    both = source.select("hospital_los_days", _age_years("age_days").alias("age_years"))
+    if approx_accuracy:
+        return both.agg(*[F.percentile_approx(c, 0.5, approx_accuracy).alias(c) for c in both.columns])
+    return median_row(both, both.columns)
+
+
+def finalize_features(base: DataFrame, medians: dict[str, float | None] | DataFrame | None = None) -> DataFrame:
     """Q11: cap age at 90 years, abnormal-lab percentage, fill what the left joins left NULL.
 
     Counts and the percentage become 0, a missing unit ``No_ICU_Stay``; stay
     length and age get their whole-frame medians (age after capping).
+    ``medians`` are values, or a one-row table that is read as scalar
+    subqueries when the result is (by default the medians of ``base``).
     """
     if medians is None:
-        medians = feature_medians(base, only_missing=True)
+        medians = median_features(base)
     df = base.select(
         *[c for c in base.columns if c not in ("age_days", "n_abnormal_labs_24h")],
         _age_years("age_days").alias("age_years"),
@@ -151,8 +165,11 @@ def finalize_features(base: DataFrame, medians: dict[str, float | None] | None =
     )
     df = df.fillna(0, subset=[c for c in FILL_ZERO if c in df.columns])
     df = df.fillna({"first_icu_careunit": NO_ICU_LABEL})
-    fills = {k: v for k, v in medians.items() if v is not None and k in df.columns}
-    return df.fillna(fills) if fills else df
+    if isinstance(medians, DataFrame):
+        fills = {c: medians.select(c).scalar() for c in medians.columns}
+    else:
+        fills = {c: F.lit(v) for c, v in medians.items() if v is not None}
+    return df.withColumns({c: F.coalesce(F.col(c), v) for c, v in fills.items() if c in df.columns})
 
 
 def build_cohort_features(tables: dict[str, DataFrame], *,
@@ -161,16 +178,16 @@ def build_cohort_features(tables: dict[str, DataFrame], *,
     """Q12: finished feature table, one row per admission (``FEATURE_TABLE_COLUMNS``).
 
     The medians only need admissions x patients (the other joins add columns,
-    never rows), so they are computed from that narrow join, not the full plan.
-    ``median_accuracy`` makes them approximate (see :func:`feature_medians`).
+    never rows), so they are computed from that narrow join, not the full plan,
+    as scalar subqueries: building the table runs no job.
+    ``median_accuracy`` makes them approximate.
     """
     narrow = _admission_patient(tables["admissions"], tables["patients"]).select(
         days_between("admittime", "dob").alias("age_days"),
         days_between("dischtime", "admittime").alias("hospital_los_days"),
     )
     base = cohort_base(tables, lab_hot_threshold=lab_hot_threshold)
-    medians = feature_medians(narrow, median_accuracy, only_missing=True)
-    return finalize_features(base, medians).select(*FEATURE_TABLE_COLUMNS)
+    return finalize_features(base, median_features(narrow, median_accuracy)).select(*FEATURE_TABLE_COLUMNS)
 
 
 def feature_report(features: DataFrame) -> DataFrame:

@@ -128,3 +128,26 @@ BUILDERS = {
 def standin_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All six hospital tables as lazy DataFrames over ``sf_dir``."""
     return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+
+
+# Fixed values of the variant with gaps: every so many keys.
+GAP_DISCHARGE, GAP_BIRTH, GAP_LAB, GAP_UNIT, GAP_CODE = 97, 89, 7, 5, 3
+
+
+def gap_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stand-in tables with gaps, so that NULL-handling branches meet rows.
+
+    * admissions: NULL dischtime where hadm_id % 97 = 0
+    * patients: NULL dob where subject_id % 89 = 0
+    * labevents: NULL hadm_id where hadm_id % 7 = 0
+    * icustays: NULL first_careunit where icustay_id % 5 = 0
+    * diagnoses_icd: a code that is not in the dictionary ('X' before it) where seq_num % 3 = 0
+    """
+    t = standin_tables(spark, sf_dir)
+    gap = lambda df, c, key, every: df.withColumn(c, F.when(F.col(key) % every != 0, F.col(c)))
+    code = F.when(F.col("seq_num") % GAP_CODE == 0, F.concat(F.lit("X"), "icd9_code")).otherwise(F.col("icd9_code"))
+    return {**t, "admissions": gap(t["admissions"], "dischtime", "hadm_id", GAP_DISCHARGE),
+            "patients": gap(t["patients"], "dob", "subject_id", GAP_BIRTH),
+            "labevents": gap(t["labevents"], "hadm_id", "hadm_id", GAP_LAB),
+            "icustays": gap(t["icustays"], "first_careunit", "icustay_id", GAP_UNIT),
+            "diagnoses_icd": t["diagnoses_icd"].withColumn("icd9_code", code)}
