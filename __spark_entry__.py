@@ -105,6 +105,38 @@ def q_cohort_base(spark, d):
     return cohort_base(_tables(spark, d))
 
 
+def _scratch(spark, name):
+    import uuid
+    from wardlens.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/wardlens-{name}-{uuid.uuid4().hex}"
+
+
+def q_cohort_base_store(spark, d):
+    """The feature base over a published store: every join reads co-located buckets."""
+    from wardlens.operators.features import cohort_base
+    from wardlens.sources.store import open_store, publish_store
+    store = _scratch(spark, "store")
+    publish_store(_tables(spark, d), store)
+    return cohort_base(open_store(spark, store))
+
+
+def q_load_quality(spark, d):
+    """Rows and uncastable values per column of CSV tables with damaged values and quoted line breaks."""
+    from pyspark.sql import functions as F
+    from wardlens.sources.store import load_quality
+    from wardlens.sources.tables import load_and_publish
+    t, folder = _tables(spark, d), _scratch(spark, "csv")
+    damaged = lambda c, every, bad: F.when(F.col("hadm_id") % every == 0, F.lit(bad)).otherwise(F.col(c).cast("string"))
+    text = {"ADMISSIONS": t["admissions"].withColumns({"subject_id": damaged("subject_id", 101, "x1"),
+                                                       "admittime": damaged("admittime", 103, "soon")}),
+            "PATIENTS": t["patients"],
+            "D_ICD_DIAGNOSES": t["d_icd_diagnoses"].withColumn("short_title", F.concat("short_title", F.lit('\nsecond "line"')))}
+    for name, df in text.items():
+        df.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(f"{folder}/{name}.csv")
+    load_and_publish(spark, folder, f"{folder}/store")
+    return load_quality(spark, f"{folder}/store")
+
+
 def q_cohort_features(spark, d):
     from wardlens.operators.features import build_cohort_features
     return build_cohort_features(_tables(spark, d))
@@ -336,6 +368,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "icu_rollup": q_icu_rollup,
         "diagnosis_rollup": q_diagnosis_rollup,
         "cohort_base": q_cohort_base,
+        "cohort_base_store": q_cohort_base_store,
+        "load_quality": q_load_quality,
         "cohort_features": q_cohort_features,
         "cohort_features_gaps": q_cohort_features_gaps,
         "top_diagnoses_gaps": q_top_diagnoses_gaps,
@@ -619,6 +653,15 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
         "icu_rollup": _with("SELECT * FROM icu_agg", _ICU_AGG),
         "diagnosis_rollup": _with("SELECT * FROM diag_agg", _DIAG_AGG),
         "cohort_base": _with("SELECT * FROM base", _ICU_AGG, _DIAG_AGG, _LAB_AGG, _BASE),
+        "cohort_base_store": _with("SELECT * FROM base", _ICU_AGG, _DIAG_AGG, _LAB_AGG, _BASE),
+        "load_quality": _with("""
+SELECT t AS "table", c AS "column", n_rows,
+       CAST(CASE c WHEN 'subject_id' THEN bad_subject WHEN 'admittime' THEN bad_time ELSE 0 END * (t = 'admissions')::INTEGER AS BIGINT) AS n_bad
+FROM (SELECT 'admissions' AS t, COUNT(*) AS n_rows, unnest(['subject_id', 'hadm_id', 'admittime', 'dischtime', 'admission_type',
+        'admission_location', 'insurance', 'ethnicity', 'hospital_expire_flag']) AS c FROM admissions
+      UNION ALL SELECT 'patients', COUNT(*), unnest(['subject_id', 'gender', 'dob']) FROM patients
+      UNION ALL SELECT 'd_icd_diagnoses', COUNT(*), unnest(['icd9_code', 'short_title']) FROM d_icd_diagnoses) x,
+     (SELECT COUNT(*) FILTER (hadm_id % 101 = 0) AS bad_subject, COUNT(*) FILTER (hadm_id % 103 = 0) AS bad_time FROM admissions) y"""),
         "cohort_features": _with("SELECT * FROM features", _ICU_AGG, _DIAG_AGG, _LAB_AGG, _BASE,
                                  _FEATURES),
         "cohort_feature_report": _with("""

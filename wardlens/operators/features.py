@@ -82,15 +82,26 @@ def lab_window(labevents: DataFrame, admissions: DataFrame, hours: int = LAB_WIN
     )
 
 
-def _admission_patient(admissions: DataFrame, patients: DataFrame) -> DataFrame:
+def admission_patient(admissions: DataFrame, patients: DataFrame) -> DataFrame:
+    """Admissions that have a patient, with the patient's gender and birth."""
     a = admissions.select("subject_id", "hadm_id", "admission_type", "admission_location",
                           "insurance", "ethnicity", "hospital_expire_flag", "admittime", "dischtime")
     return a.join(patients.select("subject_id", "gender", "dob"), "subject_id")
 
 
+_admission_patient = admission_patient
+
+
+def _joined_admissions(tables: dict[str, DataFrame]) -> DataFrame:
+    """J1, read from a published store where there is one (:mod:`wardlens.sources.store`)."""
+    if "cohort_admissions" in tables:
+        return tables["cohort_admissions"]
+    return admission_patient(tables["admissions"], tables["patients"])
+
+
 def cohort_base(tables: dict[str, DataFrame], *, lab_hot_threshold: int | None = None) -> DataFrame:
     """Q10: one row per admission with a patient; 16 columns (``BASE_COLUMNS``)."""
-    base = _admission_patient(tables["admissions"], tables["patients"])
+    base = _joined_admissions(tables)
     icu = icu_rollup(tables["icustays"])
     diag = diagnosis_rollup(tables["diagnoses_icd"])
     lab = lab_window(tables["labevents"], tables["admissions"], hot_threshold=lab_hot_threshold)
@@ -182,7 +193,7 @@ def build_cohort_features(tables: dict[str, DataFrame], *,
     as scalar subqueries: building the table runs no job.
     ``median_accuracy`` makes them approximate.
     """
-    narrow = _admission_patient(tables["admissions"], tables["patients"]).select(
+    narrow = _joined_admissions(tables).select(
         days_between("admittime", "dob").alias("age_days"),
         days_between("dischtime", "admittime").alias("hospital_los_days"),
     )

@@ -398,13 +398,15 @@ def prepare(frame: DataFrame, k_max: int = N_CV_SPLITS, group_col: str = "subjec
 def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid: dict | None = None,
                        k_max: int = N_CV_SPLITS, refit_all: bool = False,
                        group_col: str = "subject_id", parallelism: int = 4,
-                       unlimited_depth: int = UNLIMITED_DEPTH_DEFAULT) -> TrainResult:
+                       unlimited_depth: int = UNLIMITED_DEPTH_DEFAULT,
+                       results_dir: str | None = None) -> TrainResult:
     """Baseline + tuned forest with grouped folds, held-out fold 0 report, save.
 
     ``frame`` comes from :func:`model_frame` or :func:`readmission_frame`. With
     one class (M7) nothing is fitted or written. The saved model is refitted on
     folds other than 0 unless ``refit_all``. ``unlimited_depth`` is the
-    forest depth used for a grid value of None (30, Spark's limit, by default).
+    forest depth used for a grid value of None (30, Spark's limit, by default);
+    ``results_dir`` is where the search keeps its finished fits.
     """
     from wardlens.operators import evaluation as ev
     from wardlens.session import materialize
@@ -416,7 +418,7 @@ def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid:
 
     counts = fold_label_counts(data)
     lr_aucs = fold_aucs(data, features, "lr", k, counts=counts, parallelism=parallelism)
-    best, grid_table = grid_search(data, features, k, grid, parallelism, unlimited_depth, counts)
+    best, grid_table = grid_search(data, features, k, grid, parallelism, unlimited_depth, counts, results_dir)
     # The search has scored the best setting on these folds already.
     rf_aucs = grid_table.where(F.col("params") == json.dumps(best, sort_keys=True)).select(
         F.posexplode("fold_aucs").alias("fold", "auc"))
