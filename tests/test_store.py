@@ -93,6 +93,16 @@ def test_load_quality_counts_what_the_casts_lose(spark, scratch):
                    ("patients", "dob"): (4, 2)}
 
 
+def test_models_still_fit_and_score_after_a_load(spark, scratch):
+    from wardlens.operators import modeling as M
+    with open(os.path.join(scratch, "PATIENTS.csv"), "w") as f:
+        f.write("SUBJECT_ID,GENDER\n1,M\n")
+    load_and_publish(spark, scratch, os.path.join(scratch, "store"), buckets=2)
+    rows = [(i % 2, int(i % 5 == 0 or i % 3 == 0), float(i % 7)) for i in range(60)]
+    data = spark.createDataFrame(rows, "fold int, label int, x double")
+    assert M.fold_aucs(data, ["x"], "lr", 2).where("auc IS NULL").count() == 0
+
+
 def test_a_run_that_was_stopped_resumes_after_the_feature_table(spark, scratch, monkeypatch):
     tables = standin.standin_tables(spark, SF_SMALL)
     grid = {"numTrees": [4], "maxDepth": [2], "minInstancesPerNode": [1]}

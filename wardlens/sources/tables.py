@@ -127,6 +127,20 @@ def publish_tables(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parqu
     return paths
 
 
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session of its own on the same context, with the settings of ``spark``.
+
+    Once a session has observed a table, Spark cannot send a fitted logistic
+    regression to its executors from it (the model's training summary holds the
+    session, and that the observations). Loading therefore observes elsewhere.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
 def load_and_publish(spark: SparkSession, data_dir: str, store_dir: str, fmt: str = "csv",
                      buckets: int | None = None) -> list[str]:
     """Load a folder of tables into a store; returns the missing tables.
@@ -135,7 +149,7 @@ def load_and_publish(spark: SparkSession, data_dir: str, store_dir: str, fmt: st
     the way (:func:`wardlens.sources.store.load_quality`).
     """
     observations: dict[str, Observation] = {}
-    loaded, missing = load_tables(spark, data_dir, fmt, observations=observations)
+    loaded, missing = load_tables(_own_session(spark), data_dir, fmt, observations=observations)
     if not loaded:
         raise FileNotFoundError(f"no table found in {data_dir}")
     publish_store(loaded, store_dir, buckets=buckets, observations=observations)
