@@ -291,6 +291,25 @@ def q_cv_scores(spark, d):
         auc_summary(fold_aucs(data, features, "rf", k, _SMALL_FOREST), "random_forest"))
 
 
+# Fits end at 5e-7 on these tables.
+_GRADIENT_LIMIT = 1e-5
+
+
+def q_lr_certificate(spark, d):
+    """Whether the fitted baseline is the minimum of its training loss, per coefficient."""
+    from pyspark.sql import functions as F
+    from wardlens.operators.evaluation import logistic_gradient
+    from wardlens.operators.modeling import (classifier, fold_label_counts, model_pipeline, prepare, training_counts,
+                                             training_rows)
+    (data, _, features, _k), _ = prepare(_mortality_frame(spark, d))
+    counts = fold_label_counts(data)
+    rows = training_rows(data, counts, None)
+    fitted = model_pipeline(features, classifier("lr", n_train=sum(training_counts(counts, None).values()))).fit(rows)
+    scaled = fitted.stages[0].transform(rows)
+    return logistic_gradient(fitted.stages[-1], scaled, features).select(
+        "feature", (F.abs("gradient") < _GRADIENT_LIMIT).alias("at_minimum"))
+
+
 def q_feature_importance(spark, d):
     """Forest fitted on folds other than 0; importance per design-matrix column."""
     from wardlens.operators.evaluation import feature_importance
@@ -306,17 +325,18 @@ def q_score_admissions(spark, d):
     """Fit, save, load the mortality model and score every admission of the feature table."""
     import uuid
     from pyspark.ml import PipelineModel
-    from wardlens.operators.modeling import (classifier, fold_label_counts, model_pipeline, prepare,
+    from wardlens.operators.modeling import (classifier, fold_label_counts, model_frame, model_pipeline, prepare,
                                              training_rows)
     from wardlens.operators.scoring import score_admissions
-    from wardlens.session import ensure_checkpoint_dir
+    from wardlens.session import ensure_checkpoint_dir, materialize
     from wardlens.sources.models import load_model, save_model
-    (data, encoder, features, _k), _ = prepare(_mortality_frame(spark, d))
+    table = materialize(_features(spark, d), "features")
+    (data, encoder, features, _k), _ = prepare(model_frame(table))
     fitted = model_pipeline(features, classifier("rf", params=_SMALL_FOREST)).fit(
         training_rows(data, fold_label_counts(data), 0))
     path = f"{ensure_checkpoint_dir(spark)}/wardlens-models/{uuid.uuid4().hex}"
     save_model(PipelineModel(stages=[encoder, *fitted.stages]), path)
-    return score_admissions(load_model(path), _features(spark, d))
+    return score_admissions(load_model(path), table)
 
 
 def q_mortality_chi_square_careunit(spark, d):
@@ -390,6 +410,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_report": q_load_report,
         "fold_rank_auc": q_fold_rank_auc,
         "grid_table": q_grid_table,
+        "lr_certificate": q_lr_certificate,
         "cv_scores": q_cv_scores,
         "feature_importance": q_feature_importance,
         "score_admissions": q_score_admissions,
@@ -709,6 +730,9 @@ cells AS (
          unnest(['gender', 'admission_type', 'first_icu_careunit', 'admit_day']) AS col,
          unnest([gender, admission_type, first_icu_careunit, strftime(admittime, '%Y-%m-%d')]) AS level
   FROM frame JOIN (SELECT hadm_id, admittime FROM admissions) USING (hadm_id))"""),
+        "lr_certificate": "SELECT unnest([" + ", ".join(f"'{n}'" for n in [
+            "age_years", "n_lab_results_24h", "pct_abnormal_labs_24h", "(intercept)",
+            *[f"{c}_{v}" for c, levels in _DUMMIES.items() for v in levels[1:]]]) + "]) AS feature, TRUE AS at_minimum",
         "class_weights": _with("""
 SELECT label, COUNT(*) AS n, SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*)) AS weight
 FROM frame GROUP BY label""", *_FEATURE_CTES, _FRAME),

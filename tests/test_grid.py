@@ -124,3 +124,28 @@ def test_fold_aucs_equal_one_fold_at_a_time(spark):
     assert rank_auc_by(df.where("false"), "fold").count() == 0 and fold_rank_auc(df.where("false")).count() == 0
     none = fold_rank_auc(df.where("fold = 3")).first()
     assert none["mean_auc"] is None and none["std_auc"] is None
+
+
+def test_gradient_is_zero_at_the_fit_and_not_beside_it(spark):
+    from wardlens.operators.evaluation import INTERCEPT, logistic_gradient
+    from wardlens.operators.levels import fit_levels
+    rnd = random.Random(8)
+    df = spark.createDataFrame([(i, rnd.uniform(20, 90), rnd.choice(["M", "F", None]), int(rnd.random() < .4)) for i in range(300)],
+                               "subject_id int, age_years double, gender string, label int")
+    enc = fit_levels(df)
+    rows = M.with_class_weights(enc.transform(df))
+    names = enc.feature_names()
+    fitted = M.model_pipeline(names, M.classifier("lr", n_train=300)).fit(rows)
+    scaled = fitted.stages[0].transform(rows)
+    got = {r["feature"]: r["gradient"] for r in logistic_gradient(fitted.stages[-1], scaled, names).collect()}
+    assert set(got) == {"age_years", "gender_M", INTERCEPT} and max(map(abs, got.values())) < 1e-5
+    rough = M.model_pipeline(names, M.classifier("lr", n_train=300).setMaxIter(1)).fit(rows)
+    far = {r["feature"]: r["gradient"] for r in logistic_gradient(rough.stages[-1], scaled, names).collect()}
+    assert max(map(abs, far.values())) > 1e-4
+    # the definition, row by row
+    b, b0, lam = rough.stages[-1].coefficients.toArray(), rough.stages[-1].intercept, rough.stages[-1].getRegParam()
+    data = [(r["features"].toArray(), r["label"], r["weight"]) for r in scaled.collect()]
+    pull = [w * (1 / (1 + np.exp(-(x @ b + b0))) - y) for x, y, w in data]
+    mass = sum(w for _, _, w in data)
+    own = sum(p * x for p, (x, _, _) in zip(pull, data)) / mass + lam * b
+    assert [far[n] for n in names] == pytest.approx(list(own)) and far[INTERCEPT] == pytest.approx(sum(pull) / mass)
