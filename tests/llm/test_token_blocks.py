@@ -29,6 +29,18 @@ def test_cached_encoding_equals_the_library(vocabulary, name):
     assert enc.encode(texts) == want  # now from the cache
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_every_letter_before_stops_equals_the_library(vocabulary, name):
+    from tokenizers import Tokenizer
+
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha() and not 0x4E10 < c < 0x9FF0 and not 0xAC10 < c < 0xD7A0
+               and not 0x17010 < c < 0x18AF0 and not 0x20010 < c < 0x33480]  # of long runs of like letters the first few
+    texts = [t for c in letters for t in (f"x{c}.", f"{c}, a")]
+    ids = Tokenizer.from_file(vocabulary(name)).encode_batch_fast(texts, add_special_tokens=False)
+    got = encoding.Encoder(vocabulary(name)).encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in ids]
+
+
 def test_cache_is_bounded_and_long_units_are_not_kept(vocabulary, monkeypatch):
     monkeypatch.setattr(encoding, "MAX_CACHED", 20)
     enc = Encoder(vocabulary("byte_bpe_50k.json"))

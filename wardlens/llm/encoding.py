@@ -1,7 +1,8 @@
 """Tokenizer with a bounded cache of already encoded words, kept per Python worker.
 
 The byte-pair tokenizers used here never merge across a white-space boundary,
-nor between a letter and the stops that end a unit, so a text's ids are the ids
+nor between a letter (an ASCII one where the tokenizer normalises) and the stops
+that end a unit, so a text's ids are the ids
 of its white-space separated units in order, and those of a unit like ``word,``
 are the ids of ``word`` and of ``,``. The library encodes each distinct such
 part once while it stays in the cache; for a tokenizer that ignores case and
@@ -51,7 +52,8 @@ class Encoder:
     def _parts(self, unit: str) -> tuple[str, str]:
         """The word of a unit and the stops after it (none where they may not be cut off)."""
         word = unit.rstrip(_STOPS)
-        if not word or not word[-1].isalpha():
+        # A folding tokenizer may end a letter in a mark (U+0130, U+0958), which it joins with the stop.
+        if not word or not word[-1].isalpha() or (self.folds and not word[-1].isascii()):
             word = unit
         stops = unit[len(word):]
         return (word.strip(" \n\r\t").lower() or word if self.folds and word.isascii() else word), stops
