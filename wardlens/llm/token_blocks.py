@@ -39,6 +39,7 @@ from wardlens.llm.common import (batch_of, bounded_batches, materialize, open_re
                                  shared_folder, text_or_empty)
 
 BLOCK = 256
+KEY_CHARS = 32
 SEGMENT_IDS = 1 << 18
 PERCENTILES = (0.90, 0.95, 0.98, 1.0)
 MAGIC = b"PFOR1\0"
@@ -178,7 +179,8 @@ def write_token_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    ordered = rows.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
+    # Spark samples the range key into the driver: the start of a text orders as the text does.
+    ordered = rows.repartitionByRange("id", F.substring("text", 1, KEY_CHARS)).sortWithinPartitions("id", "text")
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
     schema = pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
