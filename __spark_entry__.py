@@ -291,6 +291,69 @@ def q_cv_scores(spark, d):
         auc_summary(fold_aucs(data, features, "rf", k, _SMALL_FOREST), "random_forest"))
 
 
+def q_all_descriptive(spark, d):
+    """Q9: rows of every descriptive query, run over one set of tables."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    from wardlens.operators.descriptive import run_all_descriptive_queries
+    parts = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"))
+             for name, df in run_all_descriptive_queries(_tables(spark, d)).items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def q_standardised(spark, d):
+    """M8: the numeric features, centred and scaled, to six decimals."""
+    from pyspark.sql import functions as F
+    from wardlens.operators.modeling import standardise
+    from wardlens.schemas import FEATURE_COLS_NUMERIC
+    from wardlens.session import materialize
+    frame = materialize(_mortality_frame(spark, d).select("hadm_id", *FEATURE_COLS_NUMERIC), "numeric")
+    scaled = standardise(frame, FEATURE_COLS_NUMERIC)
+    return scaled.select("hadm_id", *[F.round(F.col(c), 6).alias(c) for c in FEATURE_COLS_NUMERIC])
+
+
+def q_held_out_split(spark, d):
+    """Rows and positives inside and outside the held-out fold."""
+    from pyspark.sql import functions as F
+    from wardlens.operators.folds import assign_folds
+    from wardlens.operators.modeling import held_out_split
+    split = held_out_split(assign_folds(_mortality_frame(spark, d), q_even_folds(spark, d), "subject_id"))
+    return split.groupBy("held_out").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("label").cast("long")).alias("n_pos"),
+                                         F.count_distinct("subject_id").alias("n_groups"))
+
+
+def q_one_class_guard(spark, d):
+    """M7: training on admissions with one outcome is refused."""
+    from pyspark.sql import functions as F
+    from wardlens.operators.modeling import train_and_evaluate
+    alive = _mortality_frame(spark, d).where("label = 0")
+    refused = train_and_evaluate(alive).skipped_reason is not None
+    return alive.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(refused).alias("refused"))
+
+
+def q_saved_scores(spark, d):
+    """Scores of the saved and loaded baseline, against those of the fitted one."""
+    from pyspark.ml import PipelineModel
+    from pyspark.sql import functions as F
+    from wardlens.operators.modeling import (classifier, fold_label_counts, model_frame, model_pipeline, prepare,
+                                             training_counts, training_rows)
+    from wardlens.operators.scoring import score_admissions
+    from wardlens.session import materialize
+    from wardlens.sources.models import load_model, save_model
+    table = materialize(_features(spark, d), "features")
+    (data, encoder, features, _k), _ = prepare(model_frame(table))
+    counts = fold_label_counts(data)
+    fitted = model_pipeline(features, classifier("lr", n_train=sum(training_counts(counts, 0).values()))).fit(
+        training_rows(data, counts, 0))
+    model = PipelineModel(stages=[encoder, *fitted.stages])
+    path = save_model(model, _scratch(spark, "model"))
+    both = score_admissions(load_model(path), table).join(
+        score_admissions(model, table, out_col="before"), ["subject_id", "hadm_id"])
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("risk") == F.col("before")).alias("n_equal"),
+                    F.count_if(F.col("risk").between(0.0, 1.0)).alias("n_probabilities"),
+                    (F.max("risk") > F.min("risk")).alias("ranks"))
+
+
 # Fits end at 5e-7 on these tables.
 _GRADIENT_LIMIT = 1e-5
 
@@ -411,6 +474,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fold_rank_auc": q_fold_rank_auc,
         "grid_table": q_grid_table,
         "lr_certificate": q_lr_certificate,
+        "all_descriptive": q_all_descriptive,
+        "standardised": q_standardised,
+        "held_out_split": q_held_out_split,
+        "one_class_guard": q_one_class_guard,
+        "saved_scores": q_saved_scores,
         "cv_scores": q_cv_scores,
         "feature_importance": q_feature_importance,
         "score_admissions": q_score_admissions,
@@ -524,6 +592,32 @@ folds AS (
          CAST((ROW_NUMBER() OVER (ORDER BY n_pos DESC, n_rows DESC, h) - 1) % k AS INTEGER) AS fold
   FROM groups, kk)"""
 
+# Greedy folds, one group at a time: the whole state of the folds is carried from group to group.
+_EVEN = """
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_pos, n_rows ORDER BY h) - 1 AS place FROM groups),
+queue AS (SELECT n_pos, n_rows, row_number() OVER (ORDER BY n_pos DESC, n_rows DESC, h) AS i FROM groups),
+start AS (SELECT list({'p': 0::BIGINT, 'r': 0::BIGINT, 'f': f}) AS state FROM range((SELECT k FROM kk)) t(f)),
+dealt AS (
+  WITH RECURSIVE walk AS (
+    SELECT 0::BIGINT AS i, state, NULL::BIGINT AS n_pos, NULL::BIGINT AS n_rows, NULL::BIGINT AS fold FROM start
+    UNION ALL
+    SELECT q.i, list_transform(w.state, lambda x: CASE WHEN x.f = w.f
+                 THEN {'p': x.p + q.n_pos, 'r': x.r + q.n_rows, 'f': x.f} ELSE x END), q.n_pos, q.n_rows, w.f
+    FROM (SELECT walk.i, walk.state, n.n_pos AS np,
+                 list_min(list_transform(walk.state, lambda x:
+                    {'a': CASE WHEN n.n_pos > 0 THEN x.p ELSE 0 END, 'b': x.r, 'f': x.f})).f AS f
+          FROM walk JOIN queue n ON n.i = walk.i + 1) w JOIN queue q ON q.i = w.i + 1)
+  SELECT n_pos, n_rows, fold, COUNT(*) AS n FROM walk WHERE i > 0 GROUP BY n_pos, n_rows, fold),
+ends AS (
+  SELECT s.n_pos, s.n_rows, x.f AS fold,
+         SUM(COALESCE(d.n, 0)) OVER (PARTITION BY s.n_pos, s.n_rows ORDER BY x.f) AS until
+  FROM (SELECT DISTINCT n_pos, n_rows FROM groups) s, range((SELECT k FROM kk)) x(f)
+  LEFT JOIN dealt d ON d.n_pos = s.n_pos AND d.n_rows = s.n_rows AND d.fold = x.f),
+even AS (
+  SELECT g.subject_id, g.n_rows, g.n_pos, CAST(COUNT(e.fold) AS INTEGER) AS fold
+  FROM ranked g LEFT JOIN ends e ON e.n_pos = g.n_pos AND e.n_rows = g.n_rows AND e.until <= g.place
+  GROUP BY g.subject_id, g.n_rows, g.n_pos)"""
+
 _SCORED = """
 scored AS (
   SELECT subject_id, hadm_id, label, pct_abnormal_labs_24h / 100.0::DOUBLE AS score,
@@ -712,30 +806,27 @@ SELECT COUNT(*) AS n_classes, MIN(n) AS min_class_count, LEAST(5, MIN(n)) AS n_s
 FROM (SELECT label, COUNT(*) AS n FROM frame WHERE label IS NOT NULL GROUP BY label)""",
                            *_FEATURE_CTES, _FRAME),
         "grouped_folds": _with("SELECT * FROM folds", *_FEATURE_CTES, _FRAME, _FOLDS),
-        # One group at a time: the whole state of the folds is carried from group to group.
-        "even_folds": _with("""
-SELECT g.subject_id, g.n_rows, g.n_pos, CAST(COUNT(e.fold) AS INTEGER) AS fold
-FROM ranked g LEFT JOIN ends e ON e.n_pos = g.n_pos AND e.n_rows = g.n_rows AND e.until <= g.place
-GROUP BY g.subject_id, g.n_rows, g.n_pos""", *_FEATURE_CTES, _FRAME, _FOLDS, """
-ranked AS (SELECT *, row_number() OVER (PARTITION BY n_pos, n_rows ORDER BY h) - 1 AS place FROM groups),
-queue AS (SELECT n_pos, n_rows, row_number() OVER (ORDER BY n_pos DESC, n_rows DESC, h) AS i FROM groups),
-start AS (SELECT list({'p': 0::BIGINT, 'r': 0::BIGINT, 'f': f}) AS state FROM range((SELECT k FROM kk)) t(f)),
-dealt AS (
-  WITH RECURSIVE walk AS (
-    SELECT 0::BIGINT AS i, state, NULL::BIGINT AS n_pos, NULL::BIGINT AS n_rows, NULL::BIGINT AS fold FROM start
-    UNION ALL
-    SELECT q.i, list_transform(w.state, lambda x: CASE WHEN x.f = w.f
-                 THEN {'p': x.p + q.n_pos, 'r': x.r + q.n_rows, 'f': x.f} ELSE x END), q.n_pos, q.n_rows, w.f
-    FROM (SELECT walk.i, walk.state, n.n_pos AS np,
-                 list_min(list_transform(walk.state, lambda x:
-                    {'a': CASE WHEN n.n_pos > 0 THEN x.p ELSE 0 END, 'b': x.r, 'f': x.f})).f AS f
-          FROM walk JOIN queue n ON n.i = walk.i + 1) w JOIN queue q ON q.i = w.i + 1)
-  SELECT n_pos, n_rows, fold, COUNT(*) AS n FROM walk WHERE i > 0 GROUP BY n_pos, n_rows, fold),
-ends AS (
-  SELECT s.n_pos, s.n_rows, x.f AS fold,
-         SUM(COALESCE(d.n, 0)) OVER (PARTITION BY s.n_pos, s.n_rows ORDER BY x.f) AS until
-  FROM (SELECT DISTINCT n_pos, n_rows FROM groups) s, range((SELECT k FROM kk)) x(f)
-  LEFT JOIN dealt d ON d.n_pos = s.n_pos AND d.n_rows = s.n_rows AND d.fold = x.f)"""),
+        "even_folds": _with("SELECT * FROM even", *_FEATURE_CTES, _FRAME, _FOLDS, _EVEN),
+        "held_out_split": _with("""
+SELECT e.fold = 0 AS held_out, COUNT(*) AS n_rows, CAST(SUM(CAST(label AS BIGINT)) AS BIGINT) AS n_pos,
+       COUNT(DISTINCT subject_id) AS n_groups
+FROM frame JOIN even e USING (subject_id) GROUP BY 1""", *_FEATURE_CTES, _FRAME, _FOLDS, _EVEN),
+        "one_class_guard": _with("SELECT COUNT(*) AS n_rows, TRUE AS refused FROM frame WHERE label = 0", *_FEATURE_CTES, _FRAME),
+        "saved_scores": _with("""
+SELECT COUNT(*) AS n_rows, COUNT(*) AS n_equal, COUNT(*) AS n_probabilities, TRUE AS ranks FROM features""", *_FEATURE_CTES),
+        "standardised": _with("""
+SELECT hadm_id, """ + ", ".join(
+            f"CASE WHEN stddev_samp({c}) OVER () > 0 THEN round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) ELSE 0 END AS {c}"
+            for c in ("age_years", "n_lab_results_24h", "pct_abnormal_labs_24h")) + """
+FROM frame""", *_FEATURE_CTES, _FRAME),
+        "all_descriptive": _with("""
+SELECT 'cohort_summary' AS name, 1 AS n_rows
+UNION ALL SELECT 'length_of_stay_by_careunit', COUNT(DISTINCT first_careunit) FROM icustays WHERE los IS NOT NULL
+UNION ALL SELECT 'top_diagnoses', least(10, COUNT(DISTINCT icd9_code)) FROM diagnoses_icd
+UNION ALL SELECT 'mortality_by_admission_type', COUNT(DISTINCT admission_type) FROM admissions
+UNION ALL SELECT 'mortality_by_careunit', COUNT(DISTINCT first_careunit) FROM icustays
+UNION ALL SELECT 'significance_admission_type', 1
+UNION ALL SELECT 'significance_careunit', 1"""),
         "fold_balance": _with("""
 SELECT f.fold, COUNT(*) AS n_rows, CAST(SUM(CAST(m.label AS BIGINT)) AS BIGINT) AS n_pos,
        COUNT(DISTINCT m.subject_id) AS n_groups

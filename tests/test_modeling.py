@@ -223,3 +223,10 @@ def test_grid_table_agrees_with_the_fold_scores(spark):
     assert again[3] is None and own["fold_aucs"][3] is None
     assert own["fold_aucs"][:3] == pytest.approx(again[:3])
     assert own["mean_auc"] == pytest.approx(sum(again[:3]) / 3)
+
+
+def test_standardise_scales_to_sample_deviation_and_keeps_nulls(spark):
+    df = spark.createDataFrame([(1, 1.0, 5.0), (2, 3.0, 5.0), (3, None, None), (4, 5.0, 5.0)], "i int, x double, same double")
+    got = {r["i"]: (r["x"], r["same"]) for r in M.standardise(df, ["x", "same"]).collect()}
+    assert got == {1: (-1.0, 0.0), 2: (0.0, 0.0), 3: (None, None), 4: (1.0, 0.0)}
+    assert M.standardise(df.where("false"), ["x"]).count() == 0

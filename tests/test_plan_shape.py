@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-FITTING = {"lr_certificate", "grid_table", "cv_scores", "feature_importance", "score_admissions"}
+FITTING = {"lr_certificate", "saved_scores", "grid_table", "cv_scores", "feature_importance", "score_admissions"}
 NAMES = sorted(set(entry.queries()) - FITTING)
 
 # lineitem columns no query uses; a scan reading them would mean no pruning.

@@ -226,6 +226,27 @@ def model_pipeline(features: list[str], clf) -> Pipeline:
     ])
 
 
+def standardise(frame: DataFrame, columns) -> DataFrame:
+    """M8: ``columns`` centred and scaled to sample standard deviation 1; a constant column becomes 0.
+
+    NULLs stay NULL and do not count. One aggregate over all columns.
+    """
+    columns = list(columns)
+    stats = frame.agg(*[f(c).alias(f"{c}_{n}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
+
+    def scaled(c):
+        mean, std = stats[f"{c}_m"], stats[f"{c}_s"]
+        value = (F.col(c) - F.lit(mean)) / F.lit(std) if std else F.when(F.col(c).isNotNull(), F.lit(0.0))
+        return value.cast("double").alias(c)
+
+    return frame.select(*[scaled(c) if c in columns else F.col(c) for c in frame.columns])
+
+
+def held_out_split(data: DataFrame, held_out: int = 0) -> DataFrame:
+    """Every row with ``held_out``, whether it belongs to the fold that the report is made on."""
+    return data.withColumn("held_out", F.col(FOLD) == F.lit(held_out))
+
+
 def fold_label_counts(data: DataFrame) -> dict[int, dict[int, int]]:
     """Rows per (fold, label) in one job: ``{fold: {label: n}}`` (k x classes entries)."""
     out: dict[int, dict[int, int]] = {}
