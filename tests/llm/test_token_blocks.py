@@ -50,6 +50,16 @@ def test_cache_is_bounded_and_long_units_are_not_kept(vocabulary, monkeypatch):
     assert len(enc.cache) <= 20
 
 
+def test_shared_head_is_bounded_and_changes_no_ids(spark, documents, vocabulary):
+    path = vocabulary("word_bpe_49k.json")
+    docs = documents([(i, " the Cat," * 9 + f" w{i} <|endoftext|>" * (i % 2), "en") for i in range(40)] + [(99, None, None)])
+    head = encoding.share_frequent(docs, path, head=2).sent.value
+    assert {" the", " Cat,"} <= set(head) and len(head) <= 2 * 3 + 1
+    texts = ["the cat, a Cat, dog", " the", "İ? the"]
+    assert Encoder(path, head).encode(texts) == Encoder(path).encode(texts)
+    assert encoding.share_frequent(documents([]), path).sent.value == {}
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-2**63, 2**63 - 1)),
                           st.lists(st.one_of(st.integers(0, 50), st.integers(0, 2**32 - 1)), max_size=700)), min_size=1, max_size=6))

@@ -1,5 +1,10 @@
 """Tokenizer with a bounded cache of already encoded words, kept per Python worker.
 
+Workers start from a shared head: the most frequent units of a bounded sample,
+encoded once by the driver and broadcast (:func:`share_frequent`; at most ``HEAD``
+units of at most ``MAX_UNIT_CHARS`` characters). It saves each worker the warming
+of its cache and changes no result.
+
 The byte-pair tokenizers used here never merge across a white-space boundary,
 nor between a letter (an ASCII one where the tokenizer normalises) and the stops
 that end a unit, so a text's ids are the ids
@@ -15,30 +20,39 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
+from collections import Counter
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 MAX_CACHED = 600_000
 MAX_UNIT_CHARS = 48
+HEAD = 1 << 17
+SAMPLE_TEXTS = 4000
+SAMPLE_TASKS = 8
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 # A unit is a run of white space with the word that follows it.
 _UNIT = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 _STOPS = ".,;:!?"
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, head: dict[str, bytes] | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        self.head = head or {}
+        self.cache: dict[str, bytes] = dict(self.head)
         ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("abXy", " abXy", "\n\tABxY", "abxy")]
         self.folds = all(x == ids[0] for x in ids)
 
@@ -76,8 +90,9 @@ class Encoder:
             self._add(missing)
         out = [self._library([t])[0] if u is None else b"".join(map(cache.__getitem__, u))
                for t, u in zip(texts, units, strict=True)]
-        if len(cache) > MAX_CACHED:
+        if len(cache) > MAX_CACHED + len(self.head):
             cache.clear()
+            cache.update(self.head)
         for u in missing:
             if len(u) > MAX_UNIT_CHARS:
                 cache.pop(u, None)
@@ -85,8 +100,50 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """This worker's encoder for the tokenizer file ``path``."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+class SharedHead:
+    """A broadcast head under a name of its own, so a worker keeps one encoder per job."""
+
+    def __init__(self, spark: SparkSession, cache: dict[str, bytes]):
+        self.name, self.sent = uuid.uuid4().hex, spark.sparkContext.broadcast(cache)
+
+
+def share_frequent(docs: DataFrame, path: str, text_col: str = "text", *, head: int = HEAD,
+                   sample_texts: int = SAMPLE_TEXTS) -> SharedHead:
+    """The encoded units that are most frequent in about ``sample_texts`` texts of ``docs``.
+
+    Each of ``SAMPLE_TASKS`` tasks brings back at most ``head`` units, so the driver merges a bounded number.
+    """
+    spark = docs.sparkSession
+    n, total = docs.count(), Counter()
+    if n:
+        schema = pa.schema([("unit", pa.string()), ("n", pa.int64())])
+
+        def tally(batches):
+            enc, seen = encoder(path), Counter()
+            for b in batches:
+                for text in b.column(0).to_pylist():
+                    if not enc._whole(text):
+                        seen.update(u for u in _UNIT.findall(text) if len(u) <= MAX_UNIT_CHARS)
+                    if len(seen) > 4 * head:
+                        seen = Counter(dict(seen.most_common(head)))
+            top = seen.most_common(head)
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in top], pa.string()),
+                                              pa.array([c for _, c in top], pa.int64())], schema=schema)
+
+        texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+        found = texts.sample(min(1.0, sample_texts / n), 7).repartition(SAMPLE_TASKS).mapInArrow(tally, "unit string, n long").toArrow()
+        for u, c in zip(found.column("unit").to_pylist(), found.column("n").to_pylist(), strict=True):
+            total[u] += c
+    own = Encoder(path)
+    own.encode([u for u, _ in total.most_common(head)])
+    return SharedHead(spark, own.cache)
+
+
+def encoder(path: str, shared: SharedHead | None = None) -> Encoder:
+    """This worker's encoder for the tokenizer file ``path``, begun with ``shared``."""
+    key = (path, shared.name if shared else None)
+    if key not in _ENCODERS:
+        for old in [k for k in _ENCODERS if k[0] == path]:  # one job's cache at a time
+            del _ENCODERS[old]
+        _ENCODERS[key] = Encoder(path, shared.sent.value if shared else None)
+    return _ENCODERS[key]

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.llm.common import batch_of, bounded_batches, materialize, shuffle_partitions, text_or_empty
+from wardlens.llm.encoding import share_frequent
 
 PIECE = "piece int, start long, length long, ids binary"
 # Rows of a range that one task sweeps in memory (about 50 bytes each).
@@ -48,6 +49,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id:
     (possible only when ``end_id`` is None) has no piece.
     """
     bounded_batches(docs.sparkSession)
+    head = share_frequent(docs, tokenizer_path, text_col)
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
     step = 4 * capacity
     schema = pa.schema([(id_col, pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -56,7 +58,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id:
     def cut(batches):
         from wardlens.llm.encoding import encoder
 
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, head)
         for batch in batches:
             rows = [(d, k // step, k // 4, len(raw[k:k + step]) // 4, raw[k:k + step])
                     for d, raw in zip(batch.column(0).to_pylist(),

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from wardlens.llm.common import (batch_of, bounded_batches, materialize, open_read, open_write,
                                  shared_folder, text_or_empty)
+from wardlens.llm.encoding import share_frequent
 
 BLOCK = 256
 KEY_CHARS = 32
@@ -178,6 +179,7 @@ def write_token_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    head = share_frequent(docs, tokenizer_path, text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     # Spark samples the range key into the driver: the start of a text orders as the text does.
     ordered = rows.repartitionByRange("id", F.substring("text", 1, KEY_CHARS)).sortWithinPartitions("id", "text")
@@ -187,7 +189,7 @@ def write_token_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     def write(batches):
         from wardlens.llm.encoding import encoder
 
-        enc, shard = encoder(tokenizer_path), TaskContext.get().partitionId()
+        enc, shard = encoder(tokenizer_path, head), TaskContext.get().partitionId()
         file, out = f"part-{shard:06d}-{uuid.uuid4().hex}.pfor", None
         held_ids, held, size, n_docs, n_ids = [], [], 0, 0, 0
         try:
