@@ -335,7 +335,7 @@ def q_saved_scores(spark, d):
     """Scores of the saved and loaded baseline, against those of the fitted one."""
     from pyspark.ml import PipelineModel
     from pyspark.sql import functions as F
-    from wardlens.operators.modeling import (classifier, fold_label_counts, model_frame, model_pipeline, prepare,
+    from wardlens.operators.modeling import (classifier, fit_model, fold_label_counts, model_frame, prepare,
                                              training_counts, training_rows)
     from wardlens.operators.scoring import score_admissions
     from wardlens.session import materialize
@@ -343,8 +343,8 @@ def q_saved_scores(spark, d):
     table = materialize(_features(spark, d), "features")
     (data, encoder, features, _k), _ = prepare(model_frame(table))
     counts = fold_label_counts(data)
-    fitted = model_pipeline(features, classifier("lr", n_train=sum(training_counts(counts, 0).values()))).fit(
-        training_rows(data, counts, 0))
+    fitted = fit_model(features, classifier("lr", n_train=sum(training_counts(counts, 0).values())),
+                       training_rows(data, counts, 0))
     model = PipelineModel(stages=[encoder, *fitted.stages])
     path = save_model(model, _scratch(spark, "model"))
     both = score_admissions(load_model(path), table).join(
@@ -362,12 +362,12 @@ def q_lr_certificate(spark, d):
     """Whether the fitted baseline is the minimum of its training loss, per coefficient."""
     from pyspark.sql import functions as F
     from wardlens.operators.evaluation import logistic_gradient
-    from wardlens.operators.modeling import (classifier, fold_label_counts, model_pipeline, prepare, training_counts,
+    from wardlens.operators.modeling import (classifier, fit_model, fold_label_counts, prepare, training_counts,
                                              training_rows)
     (data, _, features, _k), _ = prepare(_mortality_frame(spark, d))
     counts = fold_label_counts(data)
     rows = training_rows(data, counts, None)
-    fitted = model_pipeline(features, classifier("lr", n_train=sum(training_counts(counts, None).values()))).fit(rows)
+    fitted = fit_model(features, classifier("lr", n_train=sum(training_counts(counts, None).values())), rows)
     scaled = fitted.stages[0].transform(rows)
     return logistic_gradient(fitted.stages[-1], scaled, features).select(
         "feature", (F.abs("gradient") < _GRADIENT_LIMIT).alias("at_minimum"))
@@ -376,11 +376,10 @@ def q_lr_certificate(spark, d):
 def q_feature_importance(spark, d):
     """Forest fitted on folds other than 0; importance per design-matrix column."""
     from wardlens.operators.evaluation import feature_importance
-    from wardlens.operators.modeling import (classifier, fold_label_counts, model_pipeline, prepare,
+    from wardlens.operators.modeling import (classifier, fit_model, fold_label_counts, prepare,
                                              training_rows)
     (data, _, features, _k), _ = prepare(_mortality_frame(spark, d))
-    fitted = model_pipeline(features, classifier("rf", params=_SMALL_FOREST)).fit(
-        training_rows(data, fold_label_counts(data), 0))
+    fitted = fit_model(features, classifier("rf", params=_SMALL_FOREST), training_rows(data, fold_label_counts(data), 0))
     return feature_importance(fitted.stages[-1], features)
 
 
@@ -388,15 +387,14 @@ def q_score_admissions(spark, d):
     """Fit, save, load the mortality model and score every admission of the feature table."""
     import uuid
     from pyspark.ml import PipelineModel
-    from wardlens.operators.modeling import (classifier, fold_label_counts, model_frame, model_pipeline, prepare,
+    from wardlens.operators.modeling import (classifier, fit_model, fold_label_counts, model_frame, prepare,
                                              training_rows)
     from wardlens.operators.scoring import score_admissions
     from wardlens.session import ensure_checkpoint_dir, materialize
     from wardlens.sources.models import load_model, save_model
     table = materialize(_features(spark, d), "features")
     (data, encoder, features, _k), _ = prepare(model_frame(table))
-    fitted = model_pipeline(features, classifier("rf", params=_SMALL_FOREST)).fit(
-        training_rows(data, fold_label_counts(data), 0))
+    fitted = fit_model(features, classifier("rf", params=_SMALL_FOREST), training_rows(data, fold_label_counts(data), 0))
     path = f"{ensure_checkpoint_dir(spark)}/wardlens-models/{uuid.uuid4().hex}"
     save_model(PipelineModel(stages=[encoder, *fitted.stages]), path)
     return score_admissions(load_model(path), table)

@@ -230,3 +230,36 @@ def test_standardise_scales_to_sample_deviation_and_keeps_nulls(spark):
     got = {r["i"]: (r["x"], r["same"]) for r in M.standardise(df, ["x", "same"]).collect()}
     assert got == {1: (-1.0, 0.0), 2: (0.0, 0.0), 3: (None, None), 4: (1.0, 0.0)}
     assert M.standardise(df.where("false"), ["x"]).count() == 0
+
+
+def test_a_fit_gives_every_file_of_the_prepared_data_its_own_task(spark, scratch):
+    from wardlens.session import one_task_per_file
+    folder = f"{scratch}/data"
+    rows = spark.range(4000).select((F.col("id") % 2).cast("int").alias("label"), F.lit(1.0).alias("weight"),
+                                    (F.col("id") % 7).cast("double").alias("x"), F.rand(1).alias("y"))
+    rows.repartition(40).write.parquet(folder)
+    data, before = spark.read.parquet(folder), spark.conf.get("spark.sql.files.openCostInBytes")
+    assert data.rdd.getNumPartitions() < 40  # small files are packed
+    with one_task_per_file(spark):
+        with one_task_per_file(spark):
+            pass
+        assert spark.read.parquet(folder).rdd.getNumPartitions() == 40
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    tracker, made = spark.sparkContext.statusTracker(), []
+    spark.sparkContext.setJobGroup("fit-tasks", "a fit")
+    try:
+        M.fit_model(["x", "y"], M.classifier("rf", params={"numTrees": 2, "maxDepth": 2}), data)
+        for job in tracker.getJobIdsForGroup("fit-tasks"):
+            made += [tracker.getStageInfo(s).numTasks for s in tracker.getJobInfo(job).stageIds if tracker.getStageInfo(s)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(made) == 40
+
+
+def test_fit_tasks_hold_a_bounded_number_of_rows_and_fits_wait_for_cores(spark):
+    assert [M.fit_partitions(n) for n in (0, 1, 20_000, 20_001, 150_000)] == [1, 1, 1, 2, 8]
+    assert all(n / M.fit_partitions(n) <= 100_000 for n in (10**6, 9 * 10**6, 54 * 10**6))
+    few = spark.range(100).repartition(1)
+    many = spark.range(100).repartition(8 * spark.sparkContext.defaultParallelism)
+    assert M.fits_at_a_time(few, 4) == 4 and M.fits_at_a_time(many, 4) == 1
+    assert not M.classifier("rf", params={"maxDepth": 5}).getCacheNodeIds() and M.classifier("rf").getCacheNodeIds()

@@ -32,11 +32,15 @@ from wardlens.operators.levels import VectorFeatures, fit_levels
 from wardlens.schemas import (FEATURE_COLS_CATEGORICAL, FEATURE_COLS_NUMERIC, LEAKY_COLUMNS,
                               MORTALITY_TARGET, N_CV_SPLITS, RANDOM_SEED, READMISSION_TARGET,
                               RF_PARAM_GRID, UNLIMITED_DEPTH_DEFAULT)
+from wardlens.session import one_task_per_file
 
 MAX_LEVELS = 10_000
 DEFAULT_TREES = 100
 # Statistics of one group of nodes while a forest is fitted; several fits run at a time.
 FIT_MEMORY_MB = 128
+# Deeper forests keep each row's node per tree (4 bytes a tree and row, cached once more per level);
+# down to this depth walking from the root is quicker and needs no memory.
+NODE_CACHE_DEPTH = 5
 LABEL, WEIGHT, FOLD = "label", "weight", "fold"
 
 
@@ -199,11 +203,11 @@ def classifier(kind: str, *, n_train: int | None = None, params: dict | None = N
                                   maxIter=1000, regParam=1.0 / max(n_train or 1, 1),
                                   elasticNetParam=0.0, standardization=False, family="binomial")
     if kind == "rf":
+        depth = _depth(params.get("maxDepth", None), unlimited_depth)
         return RandomForestClassifier(
             featuresCol="features", labelCol=LABEL, weightCol=WEIGHT, seed=RANDOM_SEED,
-            featureSubsetStrategy="sqrt", maxMemoryInMB=FIT_MEMORY_MB, cacheNodeIds=True,
-            numTrees=int(params.get("numTrees", DEFAULT_TREES)),
-            maxDepth=_depth(params.get("maxDepth", None), unlimited_depth),
+            featureSubsetStrategy="sqrt", maxMemoryInMB=FIT_MEMORY_MB, cacheNodeIds=depth > NODE_CACHE_DEPTH,
+            numTrees=int(params.get("numTrees", DEFAULT_TREES)), maxDepth=depth,
             minInstancesPerNode=int(params.get("minInstancesPerNode", 1)))
     raise ValueError(f"unknown classifier {kind!r}")
 
@@ -226,6 +230,16 @@ def model_pipeline(features: list[str], clf) -> Pipeline:
     ])
 
 
+def fit_model(features: list[str], clf, rows: DataFrame) -> PipelineModel:
+    """:func:`model_pipeline` fitted on ``rows``, a task for each file of the prepared data.
+
+    A forest's fit keeps a count per row and tree, many times the row's size on
+    disk, so what a task holds must not follow the size that files pack to.
+    """
+    with one_task_per_file(rows.sparkSession):
+        return model_pipeline(features, clf).fit(rows)
+
+
 def standardise(frame: DataFrame, columns) -> DataFrame:
     """M8: ``columns`` centred and scaled to sample standard deviation 1; a constant column becomes 0.
 
@@ -283,7 +297,18 @@ def _can_score(counts: dict[int, dict[int, int]], fold: int) -> bool:
 def _fit_without(data: DataFrame, features: list[str], clf_of, counts: dict, fold: int) -> PipelineModel:
     """The pipeline fitted on the rows outside ``fold``; ``clf_of(rows trained on)`` gives the classifier."""
     n = sum(training_counts(counts, fold).values())
-    return model_pipeline(features, clf_of(n)).fit(training_rows(data, counts, fold))
+    return fit_model(features, clf_of(n), training_rows(data, counts, fold))
+
+
+def fits_at_a_time(data: DataFrame, parallelism: int) -> int:
+    """How many fits fill the cores four times, ``parallelism`` at most.
+
+    A fit keeps its rows cached, so fits beside one that fills the cores alone
+    gain nothing and push each other's rows out of memory.
+    """
+    with one_task_per_file(data.sparkSession):
+        tasks = max(1, data.rdd.getNumPartitions())
+    return max(1, min(parallelism, 4 * data.sparkSession.sparkContext.defaultParallelism // tasks))
 
 
 def fold_scores(data: DataFrame, features: list[str], kind: str, k: int, params: dict | None = None,
@@ -301,7 +326,7 @@ def fold_scores(data: DataFrame, features: list[str], kind: str, k: int, params:
     def fit(fold):
         models[fold] = _fit_without(data, features, lambda n: classifier(kind, n_train=n, params=params), counts, fold)
 
-    run_jobs(data.sparkSession, [f for f in range(k) if _can_score(counts, f)], fit, parallelism)
+    run_jobs(data.sparkSession, [f for f in range(k) if _can_score(counts, f)], fit, fits_at_a_time(data, parallelism))
     scored = None
     for fold in sorted(models):
         rows = with_probability(models[fold].transform(data.where(F.col(FOLD) == fold))).select(FOLD, LABEL, "score")
@@ -360,7 +385,8 @@ def grid_search(data: DataFrame, features: list[str], k: int, grid: dict | None
         fitted = _fit_without(data, features, lambda n: classifier("rf", n_train=n, params=params), counts, fold)
         return fitted.stages[-1], PipelineModel(stages=fitted.stages[:-1]).transform(data.where(F.col(FOLD) == fold))
 
-    found = search_results(ResultTable(spark, results_dir, RESULT_SCHEMA), settings, fits, range(k), fit_fold, parallelism)
+    found = search_results(ResultTable(spark, results_dir, RESULT_SCHEMA), settings, fits, range(k), fit_fold,
+                           fits_at_a_time(data, parallelism))
     aucs = {(r["setting"], r["fold"]): r["auc"] for r in found.collect()}  # settings x folds
     rows = []
     for i, setting in enumerate(settings):
@@ -388,7 +414,15 @@ class TrainResult:
     skipped_reason: str | None = None
 
 
-ROWS_PER_FIT_PARTITION = 20_000
+# Rows that a task of a fit gets: the first figure up to FIT_PARTITIONS tasks, at most the second beyond
+# (every task of a fit sends the statistics of all nodes, so their number should not grow without need).
+ROWS_PER_FIT_PARTITION, MOST_ROWS_PER_FIT_PARTITION = 20_000, 100_000
+FIT_PARTITIONS = 16
+
+
+def fit_partitions(n_rows: int) -> int:
+    """Files, and so tasks, that fits read ``n_rows`` rows from."""
+    return max(1, min(-(-n_rows // ROWS_PER_FIT_PARTITION), FIT_PARTITIONS), -(-n_rows // MOST_ROWS_PER_FIT_PARTITION))
 
 
 def prepare(frame: DataFrame, k_max: int = N_CV_SPLITS, group_col: str = "subject_id"):
@@ -409,10 +443,8 @@ def prepare(frame: DataFrame, k_max: int = N_CV_SPLITS, group_col: str = "subjec
     encoder = fit_levels(frame)
     encoded = with_class_weights(encoder.transform(frame))
     folds = grouped_folds(frame, group_col, LABEL, k, method="even")
-    # Fits pass over the data many times: give them parallel tasks, about one
-    # per ROWS_PER_FIT_PARTITION rows.
-    parts = max(1, -(-sum(counts) // ROWS_PER_FIT_PARTITION))
-    data = materialize(assign_folds(encoded, folds, group_col), "model-data", parts)
+    # Fits pass over the data many times: give them parallel tasks of bounded size.
+    data = materialize(assign_folds(encoded, folds, group_col), "model-data", fit_partitions(sum(counts)))
     return (data, encoder, encoder.feature_names(), k), None
 
 
@@ -446,7 +478,7 @@ def train_and_evaluate(frame: DataFrame, *, save_path: str | None = None, grid:
 
     train = training_rows(data, counts, None if refit_all else 0)
     test = data.where(F.col(FOLD) == 0)
-    fitted = model_pipeline(features, classifier("rf", params=best)).fit(train)
+    fitted = fit_model(features, classifier("rf", params=best), train)
     model = PipelineModel(stages=[encoder, *fitted.stages])
     # Four tables read the held-out scores: score once.
     pred = materialize(ev.with_probability(fitted.transform(test)).select(ev.LABEL, ev.PRED, ev.SCORE),

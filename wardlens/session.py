@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 import zipfile
 from pathlib import Path
@@ -129,6 +130,35 @@ def intermediates(spark: SparkSession):
         _WRITTEN.pop()
 
 
+_APART: dict = {}
+_APART_LOCK = threading.Lock()
+_OPEN_COST = "spark.sql.files.openCostInBytes"
+
+
+@contextlib.contextmanager
+def one_task_per_file(spark: SparkSession):
+    """Scans that run inside the block give every file a task of its own (a file over the split size gets several).
+
+    Spark packs small files into one task up to ``spark.sql.files.maxPartitionBytes``. A reader that
+    holds much more per row than the file does, such as a fit, then gets tasks that grow with the
+    table; here the rows a task gets are those that its writer put into a file. Blocks may overlap
+    in threads: the setting comes back when the last one ends.
+    """
+    with _APART_LOCK:
+        if not _APART:
+            _APART.update(before=spark.conf.get(_OPEN_COST), blocks=0)
+            spark.conf.set(_OPEN_COST, "1t")
+        _APART["blocks"] += 1
+    try:
+        yield
+    finally:
+        with _APART_LOCK:
+            _APART["blocks"] -= 1
+            if not _APART["blocks"]:
+                spark.conf.set(_OPEN_COST, _APART["before"])
+                _APART.clear()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per Spark context (as ``--py-files`` would)."""
     sc = spark.sparkContext
