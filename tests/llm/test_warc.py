@@ -66,3 +66,22 @@ def test_reader_frames_members_and_checks_digests():
     with pytest.raises(ValueError):
         warc.read_record(records[9].replace(b"xxxxxxxxx", b"xxxx"))
     assert warc.read_record(records[9])["payload"] == b"x" * 9
+
+
+def test_planning_stores_no_payload_and_repeated_rows_keep_one_response(spark):
+    from wardlens.session import _WRITTEN
+    rows = [(5, "b", "x" * 50)] * 3 + [(5, "a", "x" * 50)] * 2 + [(2, "c", "x" * 50), (9, None, "y"), (9, None, "y"), (9, "u", "y"),
+                                                                (None, "n", "z"), (None, "n", "z"), (1, "q", None), (7, "s", "solo")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = len(_WRITTEN[-1])
+    planned = warc.plan_records(pages, 0)
+    for path in _WRITTEN[-1][before:]:
+        assert not {"payload", "html"} & set(spark.read.parquet(path).columns), path
+    got = sorted(((r["page_id"], r["url"], bytes(r["payload"]).decode(), r["refers_to"] if r["revisit"] else "response")
+                  for r in planned.collect()), key=str)
+    assert got == sorted(
+        [(5, "a", "x" * 50, "response"), (5, "a", "x" * 50, 5), *[(5, "b", "x" * 50, 5)] * 3, (2, "c", "x" * 50, 5),
+         (9, None, "y", "response"), (9, None, "y", 9), (9, "u", "y", 9), (None, "n", "z", "response"), (None, "n", "z", None),
+         (1, "q", "", "response"), (7, "s", "solo", "response")], key=str)
+    # small payloads stand alone
+    assert not any(r["revisit"] for r in warc.plan_records(pages, 51).collect())

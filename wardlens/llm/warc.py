@@ -123,24 +123,36 @@ def plan_records(pages: DataFrame, min_bytes: int, *, id_col: str = "page_id", u
 
     Pages of equal payload (SHA-256 and length) of at least ``min_bytes`` form
     a group; its row with the largest id is the response, and of repeated rows
-    of that id the first in row number order. A null html is an empty payload,
-    a null id counts as the smallest.
+    of that id one with the smallest url (nulls first). A null html is an empty
+    payload, a null id counts as the smallest.
+
+    ``pages`` is read once for the groups and once for the records, and a third
+    time where rows repeat an id and payload; payloads are not stored in between.
     """
     body = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
-                        body.alias("payload"))
-    rows = materialize(rows.withColumn("uid", F.monotonically_increasing_id()), "warc-pages")
-    key = F.when(F.length("payload") >= min_bytes, F.sha2("payload", 256))
-    rank = F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", (-F.col("uid")).alias("first"))
-    # The aggregate is combined before its shuffle, so a hot payload costs one row per task.
-    best = (rows.select(key.alias("key"), rank.alias("rank")).where("key is not null")
-            .groupBy("key").agg(F.max("rank").alias("best"), F.count("*").alias("n")).where("n > 1")
-            .select("key", F.col("best.page_id").alias("refers_to"), (-F.col("best.first")).alias("chosen")))
-    # Slim rows meet the groups; payloads are not moved.
-    revisits = (rows.select(key.alias("key"), "uid").join(best, "key").where("uid != chosen")
-                .select("uid", "refers_to", F.lit(True).alias("revisit")))
-    return rows.join(revisits, "uid", "left").select(
-        "page_id", "url", "payload", "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit"))
+                        body.alias("payload")).withColumn("key", F.unhex(F.sha2("payload", 256)))
+    # Both aggregates are combined before their shuffle, so a hot payload costs one row per task and id.
+    ids = rows.where(F.length("payload") >= min_bytes).groupBy("key", "page_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("url").isNotNull().alias("given"), "url")).alias("first"))
+    rank = F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "n", "first")
+    best = materialize(
+        ids.groupBy("key").agg(F.max(rank).alias("best"), F.sum("n").alias("n")).where("n > 1")
+        .select("key", F.lit(True).alias("copied"), F.col("best.page_id").alias("refers_to"),
+                F.col("best.n").alias("n_best"), F.col("best.first.url").alias("first_url")), "warc-groups")
+    met = rows.join(best, "key", "left")
+    chosen = F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("url").eqNullSafe(F.col("first_url"))
+    revisit = F.col("copied").isNotNull() & ~chosen
+    out = ["page_id", "url", "payload", "refers_to"]
+    if best.where("n_best > 1").isEmpty():
+        return met.select(*out, revisit.alias("revisit"))
+    # Rows alike in id, url and payload cannot be told apart: counted, and the first of the count is the response.
+    alike = F.coalesce(F.col("n_best") > 1, F.lit(False)) & chosen
+    copies = (met.where(alike).groupBy("key", "page_id", "url", "refers_to")
+              .agg(F.any_value("payload").alias("payload"), F.count(F.lit(1)).alias("n"))
+              .select(*out, F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy")))
+    return met.where(~alike).select(*out, revisit.alias("revisit")).unionByName(
+        copies.select(*out, (F.col("copy") > 1).alias("revisit")))
 
 
 def write_archives(records: DataFrame, path: str, *, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
