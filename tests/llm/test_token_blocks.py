@@ -116,3 +116,19 @@ def test_query_equals_brute_force(spark, vocabulary):
         want.append((d, at, len(ids) // 4, zlib.crc32(ids)))
         at += len(ids) // 4
     assert sorted(map(tuple, op1_token_blocks(spark, SF_SMALL).collect())) == want
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_are_shared_before_any_punctuation_and_go_to_the_model(vocabulary, name, monkeypatch):
+    import pyarrow as pa
+
+    enc, asked = Encoder(vocabulary(name)), []
+    texts = [" größe$$$ größe### größe größe", "", " (word) word_ wówów\nit's*", "\n", " x'll] Ünï| ŉ% ĿL& ßß\"'s q'^ a`b~"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    library = enc._library
+    monkeypatch.setattr(enc, "_library", lambda parts: asked.extend(parts) or library(parts))
+    assert enc.encode(pa.array(["cut off", *texts], pa.string()).slice(1)) == want
+    assert {"$$$", "###"} <= set(asked) and not {" größe", " größe$$$", " wówów"} & set(asked)
+    words = ["".join(random.Random(k).choices(encoding._LETTERS, k=1 + k % 60)) for k in range(600)]
+    mixed = [" ".join(words), "\t".join(w + random.Random(w).choice(list(encoding._STOPS)) * 2 for w in words)]
+    assert enc.encode(mixed) == [np.array(e.ids, "<u4").tobytes() for e in enc.tokenizer.encode_batch(mixed, add_special_tokens=False)]

@@ -10,7 +10,9 @@ nor between a letter (an ASCII one where the tokenizer normalises) and the stops
 that end a unit, so a text's ids are the ids
 of its white-space separated units in order, and those of a unit like ``word,``
 are the ids of ``word`` and of ``,``. The library encodes each distinct such
-part once while it stays in the cache; for a tokenizer that ignores case and
+part once while it stays in the cache (a word of Latin letters by the
+tokenizer's model alone, where its normalizer and pre-tokenizer hand such words
+on whole); for a tokenizer that ignores case and
 white space, ASCII parts that differ only in those share an entry. Texts in
 which this does not hold (they spell a special token, or hold white space
 outside space, tab, CR and LF) go to the library whole.
@@ -20,12 +22,14 @@ from __future__ import annotations
 
 import os
 import re
+import string
+import struct
 import uuid
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +41,14 @@ HEAD = 1 << 17
 SAMPLE_TEXTS = 4000
 SAMPLE_TASKS = 8
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+# Every character of _ODD_SPACE holds one of these bytes in UTF-8.
+_MAYBE_ODD = np.array([b >= 0x80 or b in b"\x0b\x0c\x1c\x1d\x1e\x1f" for b in range(256)])
 # A unit is a run of white space with the word that follows it.
-_UNIT = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
-_STOPS = ".,;:!?"
+_IS_SPACE = np.array([b in b" \n\r\t" for b in range(256)])
+# ASCII ones and those of the Latin blocks after them, which no neighbouring letter changes.
+_LETTERS = string.ascii_letters + "".join(c for c in map(chr, range(0xC0, 0x250)) if c.isalpha())
+# All ASCII punctuation but the apostrophe, which may begin a contraction.
+_STOPS = string.punctuation.replace("'", "")
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -55,14 +64,63 @@ class Encoder:
         self.cache: dict[str, bytes] = dict(self.head)
         ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("abXy", " abXy", "\n\tABxY", "abxy")]
         self.folds = all(x == ids[0] for x in ids)
+        self.model, self.spelled = self.tokenizer.model, self._spelling()
+        letters = "".join(map(chr, self.spelled)).replace(" ", "")
+        self.plain = re.compile(f" ?[{letters}]{{1,{MAX_UNIT_CHARS}}}" if letters else "(?!)")
+
+    def _spelling(self) -> dict[int, str]:
+        """How the model gets the letters of a word, and the space before it; empty if it gets such words cut or changed."""
+        def seen(text):
+            text = self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer else text
+            return [t for t, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+        if self.tokenizer.pre_tokenizer is None:
+            return {}
+        out = {}
+        for c in _LETTERS:
+            got = seen(f"a{c}b")
+            if len(got) == 1 and got[0][0] == "a" and got[0][-1] == "b" and (c == c.lower() or not self.folds):
+                out[ord(c)] = got[0][1:-1]
+        known, space = "".join(map(chr, out)), seen(" a")[0][:-1]
+        mixed = "".join(map("".join, zip(known, reversed(known), strict=True)))
+        words = [text[k:k + n] for text in (known, known[::-1], mixed) for n in (1, 2, 7, MAX_UNIT_CHARS) for k in range(0, len(text), n)]
+        if any(out.get(ord(c)) != c for c in string.ascii_lowercase) or any(
+                seen(w) != [w.translate(out)] or seen(" " + w) != [space + w.translate(out)] for w in words):
+            return {}
+        return {**out, ord(" "): space}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of parts: words of letters by the tokenizer's model, which the library hands them to uncut."""
+        plain, tokenize, spelled, out, rest = self.plain.fullmatch, self.model.tokenize, self.spelled, {}, []
+        for p in parts:
+            if plain(p):
+                ids = [t.id for t in tokenize(p.replace(" ", spelled[32]) if p.isascii() else p.translate(spelled))]
+                out[p] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(p)
+        out.update(zip(rest, self._library(rest), strict=True))
+        return out
+
     def _whole(self, text: str) -> bool:
         return bool(_ODD_SPACE.search(text)) or any(s in text for s in self.special)
 
+    def _uncut(self, texts: pa.Array) -> np.ndarray:
+        """:meth:`_whole` of each text; only those with a byte that odd white space may hold are searched for it."""
+        found = np.zeros(len(texts), bool)
+        for s in self.special:
+            found |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        data, at = _bytes_of(texts)
+        odd = _MAYBE_ODD[data]
+        if odd.any():
+            before = np.concatenate([[0], np.cumsum(odd)])
+            for k in np.flatnonzero((before[at[1:]] > before[at[:-1]]) & ~found):
+                found[k] = bool(_ODD_SPACE.search(texts[k].as_py()))
+        return found
+
     def _parts(self, unit: str) -> tuple[str, str]:
         """The word of a unit and the stops after it (none where they may not be cut off)."""
         word = unit.rstrip(_STOPS)
@@ -75,21 +133,25 @@ class Encoder:
     def _add(self, missing: list[str]) -> None:
         """Put units into the cache, asking the library for parts that are new."""
         cache = self.cache
-        parts = [self._parts(u) for u in missing]
-        new = list({p for pair in parts for p in pair if p and p not in cache})
-        cache.update(zip(new, self._library(new), strict=True))
+        parts = list(map(self._parts, missing))
+        cache.update(self._encode_parts(list({p for pair in parts for p in pair if p and p not in cache})))
         for u, (word, stops) in zip(missing, parts, strict=True):
             if u != word:
                 cache[u] = cache[word] + cache[stops] if stops else cache[word]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        units = [None if self._whole(t) else _UNIT.findall(t) for t in texts]
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        uncut = self._uncut(texts)
+        units, index, first = cut_units(texts.filter(pa.array(~uncut)) if uncut.any() else texts)
         cache = self.cache
-        missing = list(set(chain.from_iterable(u for u in units if u)).difference(cache))
+        missing = [u for u in units if u not in cache]
         if missing:
             self._add(missing)
-        out = [self._library([t])[0] if u is None else b"".join(map(cache.__getitem__, u))
-               for t, u in zip(texts, units, strict=True)]
+        ids = pa.array([cache[u] for u in units], pa.large_binary()).take(pa.array(index))
+        raw, at = _bytes_of(ids)
+        raw, ends = raw.tobytes(), at[first].tolist()
+        joined = iter([raw[a:b] for a, b in zip(ends, ends[1:])])
+        out = [self._library([texts[k].as_py()])[0] if u else next(joined) for k, u in enumerate(uncut)]
         if len(cache) > MAX_CACHED + len(self.head):
             cache.clear()
             cache.update(self.head)
@@ -100,6 +162,32 @@ class Encoder:
         return out
 
 
+def _bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a large string or binary array's values, one after the other, and where each begins (with the end)."""
+    _, offsets, data = values.buffers()
+    if not len(values):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    at = np.frombuffer(offsets, np.int64, len(values) + 1, 8 * values.offset)
+    data = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.zeros(0, np.uint8)
+    return data, at - at[0]
+
+
+def cut_units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The units of texts (a large string array without nulls), cut at the bytes of the white space.
+
+    Returns the different units, which of them each unit is, and the first unit of each text (with the end).
+    """
+    data, at = _bytes_of(texts)
+    space = _IS_SPACE[data]
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    begins[at[:-1][at[:-1] < at[1:]]] = True
+    starts = np.flatnonzero(begins)
+    found = pa.LargeStringArray.from_buffers(
+        len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)).dictionary_encode()
+    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy(), np.searchsorted(starts, at)
+
+
 class SharedHead:
     """A broadcast head under a name of its own, so a worker keeps one encoder per job."""
 
@@ -121,11 +209,12 @@ def share_frequent(docs: DataFrame, path: str, text_col: str = "text", *, head:
         def tally(batches):
             enc, seen = encoder(path), Counter()
             for b in batches:
-                for text in b.column(0).to_pylist():
-                    if not enc._whole(text):
-                        seen.update(u for u in _UNIT.findall(text) if len(u) <= MAX_UNIT_CHARS)
-                    if len(seen) > 4 * head:
-                        seen = Counter(dict(seen.most_common(head)))
+                texts = b.column(0).cast(pa.large_string())
+                units, index, _ = cut_units(texts.filter(pa.array(~enc._uncut(texts))))
+                seen.update({u: int(n) for u, n in zip(units, np.bincount(index, minlength=len(units)), strict=True)
+                             if len(u) <= MAX_UNIT_CHARS})
+                if len(seen) > 4 * head:
+                    seen = Counter(dict(seen.most_common(head)))
             top = seen.most_common(head)
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in top], pa.string()),
                                               pa.array([c for _, c in top], pa.int64())], schema=schema)

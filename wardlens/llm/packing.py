@@ -62,7 +62,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id:
         for batch in batches:
             rows = [(d, k // step, k // 4, len(raw[k:k + step]) // 4, raw[k:k + step])
                     for d, raw in zip(batch.column(0).to_pylist(),
-                                      (x + end for x in enc.encode(batch.column(1).to_pylist())), strict=True)
+                                      (x + end for x in enc.encode(batch.column(1))), strict=True)
                     for k in range(0, len(raw), step)]
             for at in range(0, len(rows), 1024):
                 part = list(zip(*rows[at:at + 1024], strict=True))

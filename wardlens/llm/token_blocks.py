@@ -198,7 +198,7 @@ def write_token_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id:
                     out = open_write(f"{path}/{file}")
                     out.write(MAGIC + struct.pack("<H", BLOCK))
                 ids = batch.column(0).to_pylist()
-                for d, raw in zip(ids, enc.encode(batch.column(1).to_pylist()), strict=True):
+                for d, raw in zip(ids, enc.encode(batch.column(1)), strict=True):
                     held_ids.append(d)
                     held.append(raw + end)
                     size += len(held[-1]) // 4
