@@ -78,3 +78,26 @@ def test_columns_and_empty_table(documents):
     clash = frame.withColumnRenamed("uid", "N_Lines")
     out = lt.drop_recurring_lines(clash, counts=True)
     assert len({c.lower() for c in out.columns}) == len(out.columns)
+
+
+def test_lines_of_many_texts_hash_as_those_of_each():
+    import numpy as np
+    from wardlens.llm.shingles import text_groups
+
+    texts = [b"", b"one two three four\n\n ?! \nuser 12 has left", b"\n", b"short 1\none two three four\n1 2 3 4", "é ü 7 words more".encode()] * 3
+    owner, numbers, line, leaf, codes = lt.line_hashes(texts)
+    at = np.searchsorted(owner, np.arange(len(texts) + 1))
+    for k, (a, b) in enumerate(zip(at, at[1:], strict=False)):
+        _, *alone = lt.line_hashes([texts[k]])
+        assert [list(x) for x in alone] == [list(x[a:b]) for x in (numbers, line, leaf, codes)]
+    assert numbers[:2] == [0, 3] and codes[0] and not codes[2]
+    assert list(text_groups(["ab", None, "c" * 9, "d"], 3)) == [(0, 3), (3, 4)] and list(text_groups([], 3)) == []
+
+
+def test_repeated_lines_ids_and_nulls_in_one_group(spark, documents):
+    own = ["red apples", "green pears and plums", "two", "a cart full of hay from a farm"]
+    gone = "this line is in every text of all"
+    rows = [(i, f"{own[i]}\n{gone}\n{gone}", "en") for i in range(4)] + [(None, gone, "en"), (None, None, None), (0, "", "en")]
+    out = {(r["doc_id"], r["text"]): (r["n_lines"], r["n_dropped"]) for r in lt.drop_recurring_lines(documents(rows), counts=True).collect()}
+    assert out == {(None, gone): (1, 0), (None, None): (0, 0), (0, ""): (0, 0),
+                   **{(i, own[i]): (3, 2) for i in range(4)}}

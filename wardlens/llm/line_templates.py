@@ -38,11 +38,13 @@ from pyspark.sql import types as T
 from wardlens.llm.common import batch_of, bounded_batches, materialize
 from wardlens.llm.components import connected_components
 from wardlens.llm.near_links import SLACK, near_components
-from wardlens.llm.shingles import mix, word_hashes
+from wardlens.llm.shingles import mix, text_groups, word_hashes
 
 DEPTH, MIN_TOKENS, MIN_DOCS = 3, 4, 3
 SIMILARITY, MIN_CONSTANT = 0.7, 0.5
 WILDCARD = b"<*>"
+# Text whose lines are hashed together.
+GROUP_BYTES = 1 << 18
 _VARIABLE = re.compile(rb"[0-9@]|://")
 # As in shingles.shingle_words.
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]")
@@ -56,35 +58,38 @@ def masked_tokens(line: bytes) -> list[bytes]:
     return tokens
 
 
-def line_hashes(text: bytes) -> tuple[list[int], np.ndarray, np.ndarray, list[bytes]]:
-    """For the lines with a word: line number, 64-bit line hash, leaf hash, 16 bits per token.
+def line_hashes(texts: list[bytes]) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray, list[bytes]]:
+    """For the lines with a word: number of the text, line number, 64-bit line hash, leaf hash, 16 bits per token.
 
     A line with fewer than MIN_TOKENS tokens, or fewer constants than MIN_CONSTANT of them, counts only as it
     is: its hash is that of its tokens without wildcards, and its codes are empty.
     """
-    numbers, lists, whole_only = [], [], []
-    for k, line in enumerate(text.split(b"\n")):
-        if not _WORD.search(line):
-            continue
-        tokens = masked_tokens(line)
-        general = len(tokens) >= MIN_TOKENS and len(tokens) - tokens.count(WILDCARD) >= MIN_CONSTANT * len(tokens)
-        numbers.append(k)
-        lists.append(tokens if general else line.split())
-        whole_only.append(not general)
+    owner, numbers, n, flat, whole_only = [], [], [], [], []
+    for at, text in enumerate(texts):
+        for k, line in enumerate(text.split(b"\n")):
+            if not _WORD.search(line):
+                continue
+            tokens = masked_tokens(line)
+            general = len(tokens) >= MIN_TOKENS and len(tokens) - tokens.count(WILDCARD) >= MIN_CONSTANT * len(tokens)
+            owner.append(at)
+            numbers.append(k)
+            n.append(len(tokens))
+            flat += tokens if general else line.split()
+            whole_only.append(not general)
     if not numbers:
-        return [], np.zeros(0, np.int64), np.zeros(0, np.int64), []
-    n = np.array([len(t) for t in lists])
+        return np.zeros(0, np.int64), [], np.zeros(0, np.int64), np.zeros(0, np.int64), []
+    n = np.array(n)
     first = np.cumsum(n) - n
-    hashes = mix(word_hashes([t for tokens in lists for t in tokens]))
+    hashes = mix(word_hashes(flat))
     place = (np.arange(len(hashes)) - np.repeat(first, n)).astype(np.uint64)
     with np.errstate(over="ignore"):
         whole = mix(np.add.reduceat(mix(hashes + place * np.uint64(0x9E3779B97F4A7C15)), first) + n.astype(np.uint64))
         leaf = n.astype(np.uint64)
         for j in range(DEPTH):
             leaf = mix(leaf * np.uint64(0x9E3779B97F4A7C15) + hashes[first + np.minimum(j, n - 1)])
-    codes = (hashes >> np.uint64(48)).astype("<u2")
-    return numbers, whole.view(np.int64), leaf.view(np.int64), [
-        b"" if w else codes[a:a + k].tobytes() for a, k, w in zip(first, n, whole_only, strict=True)]
+    codes = (hashes >> np.uint64(48)).astype("<u2").tobytes()
+    return np.array(owner), numbers, whole.view(np.int64), leaf.view(np.int64), [
+        b"" if w else codes[a:b] for a, b, w in zip((2 * first).tolist(), (2 * (first + n)).tolist(), whole_only, strict=True)]
 
 
 def _key(docs: DataFrame, id_col: str, text_col: str) -> tuple:
@@ -98,13 +103,18 @@ def document_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def hash_lines(batches):
         for batch in batches:
-            for d, h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                _, line, leaf, codes = line_hashes(text or b"")
-                line, once = np.unique(line, return_index=True)
+            texts = [t or b"" for t in batch.column(2).to_pylist()]
+            for low, high in text_groups(texts, GROUP_BYTES):
+                owner, _, line, leaf, codes = line_hashes(texts[low:high])
+                order = np.lexsort((line, owner))
+                new = np.ones(len(order), bool)
+                new[1:] = (np.diff(line[order]) != 0) | (np.diff(owner[order]) != 0)
+                once = order[new]
                 for at in range(0, len(once), 4096):
                     pick = once[at:at + 4096]
-                    yield batch_of(schema, {"doc_id": [d] * len(pick), "doc_hash": [h] * len(pick), "line": line[at:at + 4096],
-                                            "leaf": leaf[pick], "codes": [codes[i] for i in pick]})
+                    doc = pa.array(low + owner[pick])
+                    yield batch_of(schema, {"doc_id": batch.column(0).take(doc), "doc_hash": batch.column(1).take(doc),
+                                            "line": line[pick], "leaf": leaf[pick], "codes": [codes[i] for i in pick.tolist()]})
 
     rows = docs.select(*_key(docs, id_col, text_col), F.col(text_col).cast("string").cast("binary").alias("text"))
     return rows.mapInArrow(hash_lines, "doc_id long, doc_hash long, line long, leaf long, codes binary")
@@ -257,18 +267,18 @@ def drop_recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
 
     def rewrite(batches):
         for batch in batches:
-            texts, lines, dropped = [], [], []
-            for t, drop in zip(batch.column(at_text).to_pylist(), batch.column("_drop").to_pylist(), strict=True):
-                n = t.count("\n") + 1 if t else 0
-                lines.append(n)
-                if not t or not drop:
-                    texts.append(t)
-                    dropped.append(0)
-                    continue
-                numbers, line, _, _ = line_hashes(t.encode())
-                gone = {k for k, x in zip(numbers, np.isin(line, np.array(drop, np.int64)), strict=True) if x}
-                texts.append("\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone))
-                dropped.append(len(gone))
+            texts, drops = batch.column(at_text).to_pylist(), batch.column("_drop").to_pylist()
+            lines, dropped = [t.count("\n") + 1 if t else 0 for t in texts], [0] * len(texts)
+            changed = [k for k, (t, drop) in enumerate(zip(texts, drops, strict=True)) if t and drop]
+            for low, high in text_groups([texts[k] for k in changed], GROUP_BYTES):
+                part = changed[low:high]
+                owner, numbers, line, _, _ = line_hashes([texts[k].encode() for k in part])
+                first = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
+                for k, a, b in zip(part, first, first[1:], strict=False):
+                    drop = set(drops[k])
+                    gone = {i for i, x in zip(numbers[a:b], line[a:b].tolist(), strict=True) if x in drop}
+                    texts[k] = "\n".join(x for i, x in enumerate(texts[k].split("\n")) if i not in gone)
+                    dropped[k] = len(gone)
             cols = [pa.array(texts, pa.string()) if i == at_text else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())],
                                              names=[*names, "n_lines", "n_dropped"])

@@ -18,11 +18,32 @@ def shingle_words(text: bytes | None) -> list[bytes]:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (multiply and shift), element by element."""
-    x = x.astype(np.uint64)
+    x = np.array(x, np.uint64)  # a copy, changed in place
+    y = x >> np.uint64(30)
     with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+        x ^= y
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        np.right_shift(x, np.uint64(27), out=y)
+        x ^= y
+        x *= np.uint64(0x94D049BB133111EB)
+        np.right_shift(x, np.uint64(31), out=y)
+        x ^= y
+    return x
+
+
+def text_groups(texts: list, size: int):
+    """(first, end) of runs of texts that hold about ``size`` characters or bytes (more where one text does).
+
+    Arrays over a run are long enough for numpy and short enough for the processor's caches.
+    """
+    at = held = 0
+    for k, text in enumerate(texts):
+        held += len(text or "")
+        if held >= size:
+            yield at, k + 1
+            at, held = k + 1, 0
+    if at < len(texts):
+        yield at, len(texts)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
