@@ -257,3 +257,16 @@ def test_one_bucket_gives_the_components_of_all_pairs(spark):
     found = {r["node"]: r["root"] for r in near_links.near_components(keyed, table, 0.8).collect()}
     assert [found.get(uid, uid) for uid in range(len(sets))] == root
     assert len(set(root)) < len(sets) and root[0] == root[1] and root[2] == root[3]
+
+
+def test_paragraphs_of_many_texts_are_sketched_as_those_of_each():
+    from wardlens.llm.shingles import mix
+
+    seeds, rnd = mix(np.arange(1, 7, dtype=np.uint64)), random.Random(4)
+    texts = ["", " ".join(rnd.choices("abcdefgh", k=40)) + ".", "too short", "\n".join(" ".join(rnd.choices("vwxyz", k=13)) for _ in range(3))]
+    spans, pair, low, items = paragraphs.paragraph_sketches(texts, seeds)
+    assert [s[:2] for s in spans] == [(1, 0), (3, 0), (3, 1), (3, 2)]
+    alone = [paragraphs.paragraph_sketches([t], seeds) for t in texts]
+    assert [s[1:] for s in spans] == [s[1:] for a in alone for s in a[0]]
+    assert (pair == np.concatenate([a[1] for a in alone])).all() and (low == np.concatenate([a[2] for a in alone])).all()
+    assert items == [x for a in alone for x in a[3]]

@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 
 from wardlens.llm.common import batch_of, bounded_batches, materialize
 from wardlens.llm.near_links import near_components
-from wardlens.llm.shingles import SHINGLE, mix, shingle_hashes, shingle_words, word_hashes
+from wardlens.llm.shingles import SHINGLE, mix, shingle_hashes, shingle_words, text_groups, word_hashes
 
 THRESHOLD, RECALL = 0.8, 0.998
 SENTENCE_WORDS, MIN_WORDS = 8, 12
+# Text whose paragraphs are sketched together.
+GROUP_CHARS = 1 << 16
 _SENTENCE = re.compile(r"[^.!?]*[.!?]+(?=\s|$)\s*|.+\Z", re.S)
 
 
@@ -58,14 +60,15 @@ def split_paragraphs(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def paragraph_sketches(text: str, seeds: np.ndarray) -> tuple[list[tuple[int, int, int, int]], np.ndarray, np.ndarray, list[bytes]]:
-    """For paragraphs of MIN_WORDS or more: (number, start, end, words), two 64-bit hashes each, min-hashes, shingle sets."""
+def paragraph_sketches(texts: list[str], seeds: np.ndarray) -> tuple[list[tuple[int, int, int, int, int]], np.ndarray, np.ndarray, list[bytes]]:
+    """For paragraphs of MIN_WORDS or more: (text, number, start, end, words), two 64-bit hashes each, min-hashes, shingle sets."""
     spans, lists = [], []
-    for k, (s, e) in enumerate(split_paragraphs(text)):
-        words = shingle_words(text[s:e].encode())
-        if len(words) >= MIN_WORDS:
-            spans.append((k, s, e, len(words)))
-            lists.append(words)
+    for at, text in enumerate(texts):
+        for k, (s, e) in enumerate(split_paragraphs(text)):
+            words = shingle_words(text[s:e].encode())
+            if len(words) >= MIN_WORDS:
+                spans.append((at, k, s, e, len(words)))
+                lists.append(words)
     if not spans:
         return [], np.zeros((0, 2), np.int64), np.zeros((0, len(seeds)), np.uint64), []
     n = np.array([len(w) for w in lists])
@@ -119,16 +122,18 @@ def repeated_paragraphs(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
 
     def sketch(batches):
         for batch in batches:
-            for d, h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                spans, pair, low, items = paragraph_sketches(text or "", seeds)
+            texts = [t or "" for t in batch.column(2).to_pylist()]
+            for first, last in text_groups(texts, GROUP_CHARS):
+                spans, pair, low, items = paragraph_sketches(texts[first:last], seeds)
                 keys = _band_keys(low, bands, width)
                 for at in range(0, len(spans), 2048):
                     part = slice(at, at + 2048)
-                    number, start, end, words = zip(*spans[part], strict=True)
-                    m = len(number)
+                    owner, number, start, end, words = zip(*spans[part], strict=True)
+                    doc = pa.array(first + np.array(owner))
                     yield batch_of(schema, {
-                        "doc_id": [d] * m, "doc_hash": [h] * m, "paragraph": number, "start": start, "end": end, "n_words": words,
-                        "h1": pair[part, 0], "h2": pair[part, 1], "keys": list(keys[part]), "items": items[part]})
+                        "doc_id": batch.column(0).take(doc), "doc_hash": batch.column(1).take(doc), "paragraph": number,
+                        "start": start, "end": end, "n_words": words, "h1": pair[part, 0], "h2": pair[part, 1],
+                        "keys": list(keys[part]), "items": items[part]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("doc_hash"),
                        F.col(text_col).cast("string").alias("text"))
