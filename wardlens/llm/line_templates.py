@@ -45,16 +45,21 @@ SIMILARITY, MIN_CONSTANT = 0.7, 0.5
 WILDCARD = b"<*>"
 # Text whose lines are hashed together.
 GROUP_BYTES = 1 << 18
-_VARIABLE = re.compile(rb"[0-9@]|://")
+_MARKS = b"0123456789@"
 # As in shingles.shingle_words.
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]")
 
 
+def _variable(text: bytes) -> bool:
+    """Whether a digit, an ``@`` or ``://`` occurs."""
+    return len(text.translate(None, _MARKS)) < len(text) or b"://" in text
+
+
 def masked_tokens(line: bytes) -> list[bytes]:
     """The tokens of a line, variable fields replaced by the wildcard."""
     tokens = line.split()
-    if _VARIABLE.search(line):
-        return [WILDCARD if _VARIABLE.search(t) else t for t in tokens]
+    if _variable(line):
+        return [WILDCARD if _variable(t) else t for t in tokens]
     return tokens
 
 
