@@ -60,6 +60,21 @@ def test_shared_head_is_bounded_and_changes_no_ids(spark, documents, vocabulary)
     assert encoding.share_frequent(documents([]), path).sent.value == {}
 
 
+def test_the_driver_loads_no_tokenizer_for_the_head(vocabulary, documents, monkeypatch):
+    path = vocabulary("word_bpe_49k.json")
+    docs = documents([(i, f"often Often, rare{i} {'w' * 60}", "en") for i in range(20)] + [(21, None, "en")])
+
+    def loaded(*_):
+        raise AssertionError("the driver loads a tokenizer")
+
+    monkeypatch.setattr(encoding, "Encoder", loaded)
+    head = encoding.share_frequent(docs, path).sent.value
+    monkeypatch.undo()
+    assert {" Often,", "often", " rare3"} <= set(head) and not any("www" in u for u in head)
+    enc = Encoder(path)
+    assert all(enc.encode([u]) == [ids] for u, ids in head.items())
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-2**63, 2**63 - 1)),
                           st.lists(st.one_of(st.integers(0, 50), st.integers(0, 2**32 - 1)), max_size=700)), min_size=1, max_size=6))

@@ -1,9 +1,10 @@
 """Tokenizer with a bounded cache of already encoded words, kept per Python worker.
 
 Workers start from a shared head: the most frequent units of a bounded sample,
-encoded once by the driver and broadcast (:func:`share_frequent`; at most ``HEAD``
+counted and encoded by tasks and broadcast (:func:`share_frequent`; at most ``HEAD``
 units of at most ``MAX_UNIT_CHARS`` characters). It saves each worker the warming
-of its cache and changes no result.
+of its cache and changes no result. The driver passes the head on as bytes; it
+loads no tokenizer and holds no cache.
 
 The byte-pair tokenizers used here never merge across a white-space boundary,
 nor between a letter (an ASCII one where the tokenizer normalises) and the stops
@@ -188,44 +189,75 @@ def cut_units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy(), np.searchsorted(starts, at)
 
 
+class SentUnits:
+    """Units and their ids, broadcast as one run of bytes; ``value`` is their dictionary."""
+
+    def __init__(self, spark: SparkSession, units: pa.Table):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, units.schema) as out:
+            out.write_table(units)
+        self.packed = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+
+    @property
+    def value(self) -> dict[str, bytes]:
+        t = pa.ipc.open_stream(self.packed.value).read_all()
+        return dict(zip(t.column("unit").to_pylist(), t.column("ids").to_pylist(), strict=True))
+
+
 class SharedHead:
     """A broadcast head under a name of its own, so a worker keeps one encoder per job."""
 
-    def __init__(self, spark: SparkSession, cache: dict[str, bytes]):
-        self.name, self.sent = uuid.uuid4().hex, spark.sparkContext.broadcast(cache)
+    def __init__(self, spark: SparkSession, units: pa.Table):
+        self.name, self.sent = uuid.uuid4().hex, SentUnits(spark, units)
+
+
+_TALLY = pa.schema([("unit", pa.string()), ("n", pa.int64())])
+_HEAD = pa.schema([("unit", pa.string()), ("ids", pa.binary())])
+
+
+def encoded_units(path: str, units: list[str]) -> dict[str, bytes]:
+    """The ids of units and of the parts that they were encoded from."""
+    own = Encoder(path)
+    own.encode(units)
+    return own.cache
 
 
 def share_frequent(docs: DataFrame, path: str, text_col: str = "text", *, head: int = HEAD,
                    sample_texts: int = SAMPLE_TEXTS) -> SharedHead:
     """The encoded units that are most frequent in about ``sample_texts`` texts of ``docs``.
 
-    Each of ``SAMPLE_TASKS`` tasks brings back at most ``head`` units, so the driver merges a bounded number.
+    Each of ``SAMPLE_TASKS`` tasks counts at most ``head`` units at last, and one encodes the ``head`` most
+    frequent of all.
     """
     spark = docs.sparkSession
-    n, total = docs.count(), Counter()
-    if n:
-        schema = pa.schema([("unit", pa.string()), ("n", pa.int64())])
-
-        def tally(batches):
-            enc, seen = encoder(path), Counter()
-            for b in batches:
-                texts = b.column(0).cast(pa.large_string())
-                units, index, _ = cut_units(texts.filter(pa.array(~enc._uncut(texts))))
-                seen.update({u: int(n) for u, n in zip(units, np.bincount(index, minlength=len(units)), strict=True)
-                             if len(u) <= MAX_UNIT_CHARS})
-                if len(seen) > 4 * head:
-                    seen = Counter(dict(seen.most_common(head)))
-            top = seen.most_common(head)
-            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in top], pa.string()),
-                                              pa.array([c for _, c in top], pa.int64())], schema=schema)
-
-        texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-        found = texts.sample(min(1.0, sample_texts / n), 7).repartition(SAMPLE_TASKS).mapInArrow(tally, "unit string, n long").toArrow()
-        for u, c in zip(found.column("unit").to_pylist(), found.column("n").to_pylist(), strict=True):
-            total[u] += c
-    own = Encoder(path)
-    own.encode([u for u, _ in total.most_common(head)])
-    return SharedHead(spark, own.cache)
+    n = docs.count()
+    if not n:
+        return SharedHead(spark, _HEAD.empty_table())
+
+    def tally(batches):
+        enc, seen = encoder(path), Counter()
+        for b in batches:
+            texts = b.column(0).cast(pa.large_string())
+            units, index, _ = cut_units(texts.filter(pa.array(~enc._uncut(texts))))
+            seen.update({u: int(n) for u, n in zip(units, np.bincount(index, minlength=len(units)), strict=True)
+                         if len(u) <= MAX_UNIT_CHARS})
+            if len(seen) > 4 * head:
+                seen = Counter(dict(seen.most_common(head)))
+        top = seen.most_common(head)
+        yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in top], pa.string()),
+                                          pa.array([c for _, c in top], pa.int64())], schema=_TALLY)
+
+    def encode(batches):
+        units = [u for b in batches for u in b.column(0).to_pylist()]
+        if units:
+            cache = encoded_units(path, units)
+            yield pa.RecordBatch.from_arrays([pa.array(cache.keys(), pa.string()), pa.array(cache.values(), pa.binary())],
+                                             schema=_HEAD)
+
+    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    found = texts.sample(min(1.0, sample_texts / n), 7).repartition(SAMPLE_TASKS).mapInArrow(tally, "unit string, n long")
+    top = found.groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(head)
+    return SharedHead(spark, top.select("unit").coalesce(1).mapInArrow(encode, "unit string, ids binary").toArrow())
 
 
 def encoder(path: str, shared: SharedHead | None = None) -> Encoder:
