@@ -115,3 +115,12 @@ def test_query_packs_the_small_tables_well(spark):
     lengths = [r.length for r in rows]
     assert {r.doc_id for r in rows} == {r[0] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id").collect()}
     assert _checked(rows, 2048) <= 1.02 * _best_fit_decreasing(lengths, 2048) + 1
+
+
+def test_ranges_follow_the_rows(spark):
+    most = packing.MOST_ROWS_PER_RANGE
+    assert [packing.range_tasks(n, 50) for n in (1, 16_000, 16_001, 320_000, 10 * most, 60 * most)] == [1, 1, 2, 20, 50, 61]
+    lengths = [random.Random(k).randint(1, 2048) for k in range(packing.ROWS_PER_RANGE * 2)]
+    rows = packing.pack_best_fit(spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long").repartition(4), 2048).collect()
+    assert sorted((r.doc_id, r.length) for r in rows) == list(enumerate(lengths))
+    assert _checked(rows, 2048) <= 1.02 * max(_best_fit_decreasing(lengths, 2048), sum(lengths) / 2048)

@@ -147,3 +147,32 @@ def test_words_are_shared_before_any_punctuation_and_go_to_the_model(vocabulary,
     words = ["".join(random.Random(k).choices(encoding._LETTERS, k=1 + k % 60)) for k in range(600)]
     mixed = [" ".join(words), "\t".join(w + random.Random(w).choice(list(encoding._STOPS)) * 2 for w in words)]
     assert enc.encode(mixed) == [np.array(e.ids, "<u4").tobytes() for e in enc.tokenizer.encode_batch(mixed, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_parts_are_cut_as_bytes_without_white_space_and_case(vocabulary, name):
+    import re
+
+    import pyarrow as pa
+
+    enc, rng = Encoder(vocabulary(name)), random.Random(8)
+    texts = ["", "...", "x..", "...", "The the\n\nTHE, The.) été. É", " \n", "a", *("".join(rng.choices(" \n\t.,-'aBcé1", k=30)) for _ in range(400))]
+    parts, index, first = encoding.cut_parts(pa.array(["cut off", *texts], pa.large_string()).slice(1), enc.folds)
+    stops = re.escape(encoding._STOPS)
+    for t, a, b in zip(texts, first, first[1:], strict=False):
+        want = [p for u in re.findall(r"[ \n\t]+[^ \n\t]*|[^ \n\t]+", t) for p in re.split(f"(?<=[A-Za-z])(?=[{stops}]+$)", u)]
+        if enc.folds:
+            want = [(p.strip(" \n\t") or p).lower() if p.isascii() else p for p in want]
+        assert [parts[k] for k in index[a:b]] == want
+    assert len(first) == len(texts) + 1 and first[-1] == len(index)
+    assert enc.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_capitals_and_letters_before_stops_go_to_the_model_and_are_shared(vocabulary, monkeypatch):
+    enc, asked = Encoder(vocabulary("word_bpe_49k.json")), []
+    texts = ["Some some\nSOME some, Größe\nGröße café, café. ÉTÉ!"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    library = enc._library
+    monkeypatch.setattr(enc, "_library", lambda parts: asked.extend(parts) or library(parts))
+    assert enc.encode(texts) == want
+    assert set(asked) == {",", ".", "!"} and not {" some", "\nSOME", " some,"} & set(enc.cache)

@@ -14,8 +14,8 @@ are the ids of ``word`` and of ``,``. The library encodes each distinct such
 part once while it stays in the cache (a word of Latin letters by the
 tokenizer's model alone, where its normalizer and pre-tokenizer hand such words
 on whole); for a tokenizer that ignores case and
-white space, ASCII parts that differ only in those share an entry. Texts in
-which this does not hold (they spell a special token, or hold white space
+white space, ASCII parts that differ only in those share an entry. Texts are cut
+into such parts as bytes, many at a time (:func:`cut_parts`). Texts in which this does not hold (they spell a special token, or hold white space
 outside space, tab, CR and LF) go to the library whole.
 """
 
@@ -50,6 +50,7 @@ _IS_SPACE = np.array([b in b" \n\r\t" for b in range(256)])
 _LETTERS = string.ascii_letters + "".join(c for c in map(chr, range(0xC0, 0x250)) if c.isalpha())
 # All ASCII punctuation but the apostrophe, which may begin a contraction.
 _STOPS = string.punctuation.replace("'", "")
+_IS_STOP, _IS_LETTER = (np.array([chr(b) in chars for b in range(256)]) for chars in (_STOPS, string.ascii_letters))
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -66,8 +67,9 @@ class Encoder:
         ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("abXy", " abXy", "\n\tABxY", "abxy")]
         self.folds = all(x == ids[0] for x in ids)
         self.model, self.spelled = self.tokenizer.model, self._spelling()
-        letters = "".join(map(chr, self.spelled)).replace(" ", "")
-        self.plain = re.compile(f" ?[{letters}]{{1,{MAX_UNIT_CHARS}}}" if letters else "(?!)")
+        letters = "".join(map(chr, self.spelled)).strip(" \n\r\t")
+        space = "[ \n\r\t]*" if self.folds else " ?"
+        self.plain = re.compile(f"{space}[{letters}]{{1,{MAX_UNIT_CHARS}}}" if letters else "(?!)")
 
     def _spelling(self) -> dict[int, str]:
         """How the model gets the letters of a word, and the space before it; empty if it gets such words cut or changed."""
@@ -80,7 +82,7 @@ class Encoder:
         out = {}
         for c in _LETTERS:
             got = seen(f"a{c}b")
-            if len(got) == 1 and got[0][0] == "a" and got[0][-1] == "b" and (c == c.lower() or not self.folds):
+            if len(got) == 1 and got[0][0] == "a" and got[0][-1] == "b":
                 out[ord(c)] = got[0][1:-1]
         known, space = "".join(map(chr, out)), seen(" a")[0][:-1]
         mixed = "".join(map("".join, zip(known, reversed(known), strict=True)))
@@ -88,7 +90,7 @@ class Encoder:
         if any(out.get(ord(c)) != c for c in string.ascii_lowercase) or any(
                 seen(w) != [w.translate(out)] or seen(" " + w) != [space + w.translate(out)] for w in words):
             return {}
-        return {**out, ord(" "): space}
+        return {**out, ord(" "): space, **({ord(c): "" for c in "\n\r\t"} if self.folds else {})}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -125,13 +127,22 @@ class Encoder:
     def _parts(self, unit: str) -> tuple[str, str]:
         """The word of a unit and the stops after it (none where they may not be cut off)."""
         word = unit.rstrip(_STOPS)
-        # A folding tokenizer may end a letter in a mark (U+0130, U+0958), which it joins with the stop.
-        if not word or not word[-1].isalpha() or (self.folds and not word[-1].isascii()):
+        # A folding tokenizer may end a letter in a mark (U+0130, U+0958), which it joins with the stop;
+        # those that the model gets as letters alone do not.
+        if not word or not word[-1].isalpha() or (self.folds and not word[-1].isascii() and ord(word[-1]) not in self.spelled):
             word = unit
         stops = unit[len(word):]
         return (word.strip(" \n\r\t").lower() or word if self.folds and word.isascii() else word), stops
 
     def _add(self, missing: list[str]) -> None:
+        """Put parts of :func:`cut_parts` into the cache; only those that end in a stop may be cut further."""
+        ends_in_stop = [u for u in missing if u[-1] in _STOPS]
+        if ends_in_stop:
+            self.add_units(ends_in_stop)
+            missing = [u for u in missing if u[-1] not in _STOPS]
+        self.cache.update(self._encode_parts(missing))
+
+    def add_units(self, missing: list[str]) -> None:
         """Put units into the cache, asking the library for parts that are new."""
         cache = self.cache
         parts = list(map(self._parts, missing))
@@ -143,12 +154,15 @@ class Encoder:
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         uncut = self._uncut(texts)
-        units, index, first = cut_units(texts.filter(pa.array(~uncut)) if uncut.any() else texts)
+        parts, index, first = cut_parts(texts.filter(pa.array(~uncut)) if uncut.any() else texts, self.folds)
         cache = self.cache
-        missing = [u for u in units if u not in cache]
+        known = list(map(cache.get, parts))
+        missing = [u for u, ids in zip(parts, known, strict=True) if ids is None]
         if missing:
             self._add(missing)
-        ids = pa.array([cache[u] for u in units], pa.large_binary()).take(pa.array(index))
+            new = map(cache.__getitem__, missing)
+            known = [next(new) if ids is None else ids for ids in known]
+        ids = pa.array(known, pa.large_binary()).take(pa.array(index))
         raw, at = _bytes_of(ids)
         raw, ends = raw.tobytes(), at[first].tolist()
         joined = iter([raw[a:b] for a, b in zip(ends, ends[1:])])
@@ -173,20 +187,76 @@ def _bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, at - at[0]
 
 
+def _unit_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each byte of texts that begin at ``at``, whether a unit begins there."""
+    space = _IS_SPACE[data]
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    begins[at[:-1][at[:-1] < at[1:]]] = True
+    return begins
+
+
+def _different(data: np.ndarray, starts: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The different strings that begin at ``starts`` (each ends where the next begins), and which of them each is."""
+    found = pa.LargeStringArray.from_buffers(
+        len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)).dictionary_encode()
+    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
+
+
 def cut_units(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The units of texts (a large string array without nulls), cut at the bytes of the white space.
 
     Returns the different units, which of them each unit is, and the first unit of each text (with the end).
     """
     data, at = _bytes_of(texts)
-    space = _IS_SPACE[data]
-    begins = space.copy()
-    begins[1:] &= ~space[:-1]
-    begins[at[:-1][at[:-1] < at[1:]]] = True
+    starts = np.flatnonzero(_unit_starts(data, at))
+    return *_different(data, starts), np.searchsorted(starts, at)
+
+
+def _owner(starts: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which of the parts that begin at ``starts`` each byte belongs to; ``places`` are positions or a mask."""
+    return np.searchsorted(starts, np.flatnonzero(places) if places.dtype == bool else places, "right") - 1
+
+
+def cut_parts(texts: pa.Array, folds: bool) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """As :func:`cut_units`, with the stops after an ASCII letter cut off as parts of their own.
+
+    With ``folds``, ASCII parts are lower-cased and lose the white space before them (all but those of white space only).
+    """
+    data, at = _bytes_of(texts)
+    if not len(data):
+        return [], np.zeros(0, np.int32), np.zeros(len(at), np.int64)
+    begins = _unit_starts(data, at)
+    stop = _IS_STOP[data]
+    ends = np.append(np.flatnonzero(begins)[1:], len(data))
+    ends = ends[stop[ends - 1]]
+    stop[1:] &= ~stop[:-1]
+    runs = np.flatnonzero(stop)
+    # The run of stops that closes a unit; where it began in the text before, that text's end is marked already.
+    runs = runs[np.searchsorted(runs, ends) - 1]
+    runs = runs[runs > 0]
+    begins[runs[_IS_LETTER[data[runs - 1]]]] = True
     starts = np.flatnonzero(begins)
-    found = pa.LargeStringArray.from_buffers(
-        len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)).dictionary_encode()
-    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy(), np.searchsorted(starts, at)
+    first = np.searchsorted(starts, at)
+    if folds:
+        space = _IS_SPACE[data]
+        ascii_part = np.ones(len(starts), bool)
+        ascii_part[_owner(starts, data >= 0x80)] = False
+        # A part is white space alone where its last byte is.
+        strip = ascii_part & space[starts] & ~space[np.append(starts[1:], len(data)) - 1]
+        upper = np.flatnonzero((data >= 65) & (data <= 90))
+        upper = upper[ascii_part[_owner(starts, upper)]]
+        data = data.copy()
+        data[upper] += 32
+        n_drop, drop = strip.astype(np.int64), np.zeros(len(data), bool)
+        drop[starts[strip]] = True
+        more = np.flatnonzero(space & ~begins)  # white space after white space
+        owner = _owner(starts, more)
+        drop[more[strip[owner]]] = True
+        n_drop += np.bincount(owner[strip[owner]], minlength=len(starts))
+        data = data[~drop]
+        starts = starts - (np.cumsum(n_drop) - n_drop)
+    return *_different(data, starts), first
 
 
 class SentUnits:
@@ -218,7 +288,7 @@ _HEAD = pa.schema([("unit", pa.string()), ("ids", pa.binary())])
 def encoded_units(path: str, units: list[str]) -> dict[str, bytes]:
     """The ids of units and of the parts that they were encoded from."""
     own = Encoder(path)
-    own.encode(units)
+    own.add_units(units)
     return own.cache
 
 

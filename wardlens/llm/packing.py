@@ -35,8 +35,9 @@ from wardlens.llm.common import batch_of, bounded_batches, materialize, shuffle_
 from wardlens.llm.encoding import share_frequent
 
 PIECE = "piece int, start long, length long, ids binary"
-# Rows of a range that one task sweeps in memory (about 50 bytes each).
-ROWS_PER_RANGE = 500_000
+# Rows of a range that one task sweeps in memory (about 50 bytes each): this many are worth a task of their own
+# up to the session's shuffle partitions, and at most the second figure beyond.
+ROWS_PER_RANGE, MOST_ROWS_PER_RANGE = 16_000, 500_000
 LEAST_SHARE = 0.05
 
 
@@ -156,6 +157,11 @@ def match_leftovers(parts: list[tuple[int, int, int]]) -> tuple[list[tuple[int,
     return rows, matched
 
 
+def range_tasks(n_rows: int, partitions: int) -> int:
+    """Ranges that ``n_rows`` pieces and gaps are swept in; the last rounds have few of either."""
+    return max(1, min(partitions, -(-n_rows // ROWS_PER_RANGE)), n_rows // MOST_ROWS_PER_RANGE + 1)
+
+
 def pack_best_fit(pieces: DataFrame, capacity: int, *, length_col: str = "length") -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to ``pieces``, in as few sequences as best fit finds.
 
@@ -177,7 +183,7 @@ def pack_best_fit(pieces: DataFrame, capacity: int, *, length_col: str = "length
         raise ValueError(f"piece lengths must lie in 1..{capacity}")
     n_gaps = 0
     while n:
-        parts = max(shuffle_partitions(spark), (n + n_gaps) // ROWS_PER_RANGE + 1)
+        parts = range_tasks(n + n_gaps, shuffle_partitions(spark))
         most = max(1, -(-2 * n // max(1, n_gaps)))  # slots of a gap, so that slots stay in proportion to pieces
         k = F.greatest(F.lit(1), F.least(F.floor(F.col("gap") / longest), F.lit(most))).cast("int")
         slots = (gaps.where(F.col("gap") >= shortest).withColumn("k", k)
