@@ -7,7 +7,7 @@ of its cache and changes no result. The driver passes the head on as bytes; it
 loads no tokenizer and holds no cache.
 
 The byte-pair tokenizers used here never merge across a white-space boundary,
-nor between a letter (an ASCII one where the tokenizer normalises) and the stops
+nor between a letter (where the tokenizer normalises, one that stays a letter) and the stops
 that end a unit, so a text's ids are the ids
 of its white-space separated units in order, and those of a unit like ``word,``
 are the ids of ``word`` and of ``,``. The library encodes each distinct such
