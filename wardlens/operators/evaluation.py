@@ -142,15 +142,16 @@ def rank_auc_of_counts(per_score: DataFrame) -> DataFrame:
     )
 
 
-def rank_auc_by(pred: DataFrame, by, label: str = LABEL, score: str = SCORE) -> DataFrame:
-    """M17 per group, all groups in one job: ``by, auc, n_pos, n_neg``.
+def rank_auc_by(pred: DataFrame, by, label: str = LABEL, score: str = SCORE, n: str | None = None) -> DataFrame:
+    """M17 per group, all groups in one job: ``by, auc, n_pos, n_neg``; ``n`` names how many rows a row stands for.
 
     The same exact sum as :func:`rank_auc`, with running sums per group
     (:func:`keyed_running_totals`). A group with one class gets a NULL AUC (T12).
     """
     by = [by] if isinstance(by, str) else list(by)
+    rows = F.col(n) if n else F.lit(1)
     per_score = pred.groupBy(*by, F.col(score).alias("_s")).agg(
-        F.sum(F.col(label).cast("long")).alias("_pos"), F.sum((1 - F.col(label)).cast("long")).alias("_neg"))
+        F.sum((F.col(label) * rows).cast("long")).alias("_pos"), F.sum(((1 - F.col(label)) * rows).cast("long")).alias("_neg"))
     cum = keyed_running_totals(per_score, by, ["-_s"], ["_pos"])
     twice = (F.col("_neg").cast("decimal(19,0)")
              * (F.lit(2) * F.col("cum__pos") - F.col("_pos")).cast("decimal(19,0)"))

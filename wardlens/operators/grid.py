@@ -6,7 +6,8 @@ tree of depth 3 is a deeper tree read down to depth 3 (a node keeps its class
 counts wherever it stands). So per fold there is one fit for each combination
 of the *other* parameters, with the most trees and the greatest depth asked
 for, and the held-out rows are scored at every (trees, depth) of the grid in
-one pass. 36 settings on 5 folds are 15 fits instead of 180.
+one pass. 36 settings on 5 folds are 15 fits instead of 180, and the fits of a
+fold share one pass over its rows (:mod:`wardlens.operators.cells`).
 
 Each fit is a job of its own, in its own scheduler pool. When it ends, the AUC of
 each of its (setting, fold) pairs is written to the result folder; a search
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from wardlens.operators.cells import CellForestModel
 from wardlens.operators.evaluation import rank_auc_by
 from wardlens.session import drop_written, ensure_checkpoint_dir, ship_package
 
@@ -139,9 +142,14 @@ def read_forest(nodes: ForestNodes, x: np.ndarray, reads: Sequence[tuple[int, in
     return out
 
 
-def forest_scores(model: RandomForestClassificationModel, rows: DataFrame, reads: Sequence[tuple[int, int]],
+def forest_scores(model: RandomForestClassificationModel | CellForestModel, rows: DataFrame, reads: Sequence[tuple[int, int]],
                   label: str = "label") -> DataFrame:
-    """``label, read, score``: every row's probability for each (trees, depth), ``read`` numbering them."""
+    """``label, n, read, score``: the probability of ``n`` rows for each (trees, depth), ``read`` numbering them.
+
+    A forest grown on cells scores a cell's rows at once, one of MLlib row by row.
+    """
+    if isinstance(model, CellForestModel):
+        return model.scores(rows, reads, label).select("label", "n", F.posexplode("scores").alias("read", "score"))
     ship_package(rows.sparkSession)
     nodes = rows.sparkSession.sparkContext.broadcast(forest_nodes(model))
     features = model.getFeaturesCol()
@@ -157,7 +165,7 @@ def forest_scores(model: RandomForestClassificationModel, rows: DataFrame, reads
 
     scored = rows.select(F.col(label).cast("int").alias("label"), vector_to_array(features).alias("x")).mapInArrow(
         score, "label int, scores array<double>")
-    return scored.select("label", F.posexplode("scores").alias("read", "score"))
+    return scored.select("label", F.lit(1).cast("long").alias("n"), F.posexplode("scores").alias("read", "score"))
 
 
 # ---------------------------------------------------------------------------
@@ -202,10 +210,17 @@ def run_jobs(spark: SparkSession, jobs: Sequence, work, parallelism: int) -> Non
     With ``spark.scheduler.mode=FAIR`` (a session default here) the jobs share
     the executors evenly, so a long fit does not hold back short ones.
     """
+    failed = threading.Event()
+
     def pooled(job):
+        if failed.is_set():
+            return None
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"wardlens-{uuid.uuid4().hex[:8]}")
         try:
             return work(job)
+        except BaseException:
+            failed.set()  # before this thread takes its next job
+            raise
         finally:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
@@ -235,7 +250,7 @@ def search_results(results: ResultTable, settings: Sequence[dict], fits: Sequenc
             rows = known.withColumn("auc", F.lit(None).cast("double"))
         else:
             scores = forest_scores(*made, [(t, d) for _, t, d in fits[n].reads])
-            rows = known.join(rank_auc_by(scores, "read").select("read", "auc"), "read", "left")
+            rows = known.join(rank_auc_by(scores, "read", n="n").select("read", "auc"), "read", "left")
         results.write(names[job], rows.drop("read"))
 
     run_jobs(spark, [j for j in names if not results.finished(names[j])], work, parallelism)

@@ -212,6 +212,15 @@ def classifier(kind: str, *, n_train: int | None = None, params: dict | None = N
     raise ValueError(f"unknown classifier {kind!r}")
 
 
+def fold_classifier(kind: str, n_train: int, params: dict | None = None, prepared=None):
+    """:func:`classifier` for the fits of a cross-validation; a forest is grown on cells of binned rows, which
+    fits on the same rows share as ``prepared``."""
+    from wardlens.operators.cells import CellForest
+
+    clf = classifier(kind, n_train=n_train, params=params)
+    return CellForest(clf, prepared) if kind == "rf" else clf
+
+
 def model_pipeline(features: list[str], clf) -> Pipeline:
     """Assemble -> standardise -> classify.
 
@@ -313,10 +322,11 @@ def fits_at_a_time(data: DataFrame, parallelism: int) -> int:
 
 def fold_scores(data: DataFrame, features: list[str], kind: str, k: int, params: dict | None = None,
                 counts: dict | None = None, parallelism: int = 4) -> DataFrame | None:
-    """``fold, label, score`` of every row, scored by the model of the other folds; ``parallelism`` fits at a time.
+    """``fold, label, score, n``: the score of ``n`` rows by the model of the other folds; ``parallelism`` fits at a time.
 
     Folds that cannot be scored (one class) are left out; None when there is no other.
     """
+    from wardlens.operators.cells import CellForestModel
     from wardlens.operators.evaluation import with_probability
     from wardlens.operators.grid import run_jobs
 
@@ -324,12 +334,17 @@ def fold_scores(data: DataFrame, features: list[str], kind: str, k: int, params:
     models: dict[int, PipelineModel] = {}
 
     def fit(fold):
-        models[fold] = _fit_without(data, features, lambda n: classifier(kind, n_train=n, params=params), counts, fold)
+        models[fold] = _fit_without(data, features, lambda n: fold_classifier(kind, n, params), counts, fold)
 
     run_jobs(data.sparkSession, [f for f in range(k) if _can_score(counts, f)], fit, fits_at_a_time(data, parallelism))
     scored = None
     for fold in sorted(models):
-        rows = with_probability(models[fold].transform(data.where(F.col(FOLD) == fold))).select(FOLD, LABEL, "score")
+        rows, last = data.where(F.col(FOLD) == fold), models[fold].stages[-1]
+        if isinstance(last, CellForestModel):
+            rows = last.scores(PipelineModel(stages=models[fold].stages[:-1]).transform(rows), [last.size], LABEL).select(
+                F.lit(fold).alias(FOLD), LABEL, F.col("scores")[0].alias("score"), "n")
+        else:
+            rows = with_probability(models[fold].transform(rows)).select(FOLD, LABEL, "score", F.lit(1).cast("long").alias("n"))
         scored = rows if scored is None else scored.unionByName(rows)
     return scored
 
@@ -343,7 +358,7 @@ def fold_aucs(data: DataFrame, features: list[str], kind: str, k: int,
     scored = fold_scores(data, features, kind, k, params, counts, parallelism)
     if scored is None:
         return folds.withColumn("auc", F.lit(None).cast("double"))
-    return folds.join(rank_auc_by(scored, FOLD).select(FOLD, "auc"), FOLD, "left")
+    return folds.join(rank_auc_by(scored, FOLD, n="n").select(FOLD, "auc"), FOLD, "left")
 
 
 def auc_summary(aucs: DataFrame, model_name: str) -> DataFrame:
@@ -368,6 +383,7 @@ def grid_search(data: DataFrame, features: list[str], k: int, grid: dict | None
     named after the data and the search), so a search that was broken off goes on
     where it stopped and a finished one is only read.
     """
+    from wardlens.operators.cells import Prepared
     from wardlens.operators.grid import ResultTable, RESULT_SCHEMA, data_fingerprint, grid_settings, search_results, shared_fits
     from wardlens.session import ensure_checkpoint_dir
 
@@ -375,14 +391,16 @@ def grid_search(data: DataFrame, features: list[str], k: int, grid: dict | None
     counts = counts if counts is not None else fold_label_counts(data)
     settings = grid_settings(grid or RF_PARAM_GRID, lambda d: _depth(d, unlimited_depth))
     if results_dir is None:
-        name = data_fingerprint(data, features, k, settings, RANDOM_SEED)
+        name = data_fingerprint(data, features, k, settings, RANDOM_SEED, "cells")
         results_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/wardlens-grid-{name}"
     fits = shared_fits(settings, default_trees=DEFAULT_TREES, default_depth=_depth(None, unlimited_depth))
 
+    prepared = {fold: Prepared() for fold in range(k)}
+
     def fit_fold(params, fold):
         if not _can_score(counts, fold):
             return None
-        fitted = _fit_without(data, features, lambda n: classifier("rf", n_train=n, params=params), counts, fold)
+        fitted = _fit_without(data, features, lambda n: fold_classifier("rf", n, params, prepared[fold]), counts, fold)
         return fitted.stages[-1], PipelineModel(stages=fitted.stages[:-1]).transform(data.where(F.col(FOLD) == fold))
 
     found = search_results(ResultTable(spark, results_dir, RESULT_SCHEMA), settings, fits, range(k), fit_fold,

@@ -159,18 +159,22 @@ def one_task_per_file(spark: SparkSession):
                 _APART.clear()
 
 
+_SHIPPING = threading.Lock()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per Spark context (as ``--py-files`` would)."""
     sc = spark.sparkContext
     root = Path(__file__).resolve().parent
-    if getattr(sc, "_wardlens_shipped", False) or not root.is_dir():  # no folder: the package itself was shipped
-        return
-    archive = Path(tempfile.mkdtemp(prefix="wardlens-py-")) / "wardlens.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(str(archive))
-    sc._wardlens_shipped = True
+    with _SHIPPING:  # fits of several threads ask for it
+        if getattr(sc, "_wardlens_shipped", False) or not root.is_dir():  # no folder: the package itself was shipped
+            return
+        archive = Path(tempfile.mkdtemp(prefix="wardlens-py-")) / "wardlens.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(archive))
+        sc._wardlens_shipped = True
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
