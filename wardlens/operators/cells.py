@@ -71,8 +71,10 @@ class Bins:
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         key = np.zeros(len(x), np.int64)
-        for f, (p, size) in enumerate(zip(self.places, self.sizes)):
-            key = key * size + np.searchsorted(p, x[:, f])
+        for p, value in zip(self.places, np.ascontiguousarray(x.T)):
+            if len(p):
+                key *= len(p) + 1
+                key += ~(value <= p[0]) if len(p) == 1 else np.searchsorted(p, value)
         return key
 
     def of_keys(self, key: np.ndarray) -> np.ndarray:
@@ -85,9 +87,13 @@ class Bins:
 def merged(points: Sequence[tuple[np.ndarray, np.ndarray]], most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Values (ascending, each once) and their mass; above ``most`` values, neighbours of little mass are put together."""
     values, mass = (np.concatenate(p) for p in zip(*points))
-    order = np.lexsort((mass, values))
-    values, which = np.unique(values[order], return_inverse=True)
-    mass = np.bincount(which, mass[order], len(values))
+    if len(values) > 2 and ((high := values == values.max()) | (values == values.min())).all():  # an indicator
+        values, mass = np.array([values.min(), values.max()]), np.array([mass[~high].sum(), mass[high].sum()])
+        return (values, mass) if values[0] < values[1] else (values[1:], mass[1:])
+    order = np.argsort(values, kind="stable")
+    values, mass = values[order], mass[order]
+    begins = np.flatnonzero(np.append(True, values[1:] != values[:-1]))[:len(values)]
+    values, mass = values[begins], np.add.reduceat(mass, begins) if len(values) else mass
     if most and len(values) > most:
         group = np.minimum((np.cumsum(mass) / mass.sum() * most).astype(np.int64), most)
         last = np.flatnonzero(np.append(group[1:] != group[:-1], True))
@@ -111,9 +117,9 @@ def feature_bins(rows: DataFrame, features: str, weight: str, max_bins: int) ->
         kept, held = [[] for _ in range(width)], 0
         for b in batches:
             x, w = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1), b.column(0).to_numpy()
-            for f in range(width):
-                known = ~np.isnan(x[:, f])
-                kept[f].append(merged([(x[known, f], w[known])]))
+            for f, value in enumerate(np.ascontiguousarray(x.T)):
+                known = ~np.isnan(value)
+                kept[f].append(merged([(value, w) if known.all() else (value[known], w[known])]))
                 held += len(kept[f][-1][0])
             if held > 8 * POINTS * width:
                 kept = [[merged(k, POINTS)] for k in kept]
@@ -260,11 +266,18 @@ def _nodes(levels: list) -> tuple[np.ndarray, ...]:
         at, low, f, b = at[~one], low[~one], f[~one], b[~one]
         feature[at], place[at], left[at], right[at] = f, b, low, low + 1
     mass = sums.sum(axis=1)
-    return feature, place, left, right, sums[:, 1] / np.where(mass > 0, mass, 1.0)
+    # What was merged away is not reached any more.
+    kept = np.zeros(len(sums), bool)
+    kept[0] = True
+    inner = feature >= 0
+    kept[left[inner]] = kept[right[inner]] = True
+    new = np.cumsum(kept) - 1
+    made = feature, place, new[left], new[right], sums[:, 1] / np.where(mass > 0, mass, 1.0)
+    return tuple(a[kept].astype(t) for a, t in zip(made, (np.int16, np.int16, np.int32, np.int32, np.float64)))
 
 
-_TREE = pa.schema([("tree", pa.int64()), ("feature", pa.list_(pa.int64())), ("bin", pa.list_(pa.int64())),
-                   ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64())), ("share", pa.list_(pa.float64()))])
+_TREE = pa.schema([("tree", pa.int64()), ("feature", pa.list_(pa.int16())), ("bin", pa.list_(pa.int16())),
+                   ("left", pa.list_(pa.int32())), ("right", pa.list_(pa.int32())), ("share", pa.list_(pa.float64()))])
 
 
 def grow_forest(spark, cells: Cells, shape: Shape, trees: int, seed: int):
@@ -277,19 +290,19 @@ def grow_forest(spark, cells: Cells, shape: Shape, trees: int, seed: int):
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for tree in b.column(0).to_pylist():
-                made = grow_tree(shared.value, shape, np.random.default_rng([seed, tree]))
+                made = grow_tree(shared.value, shape, np.random.default_rng([seed % 2**63, tree]))
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((tree, *made), _TREE.types)], schema=_TREE)
 
     tasks = min(trees, 2 * spark.sparkContext.defaultParallelism)
     t = spark.range(0, trees, 1, tasks).mapInArrow(
-        grow, "tree long, feature array<long>, bin array<long>, left array<long>, right array<long>, share array<double>"
+        grow, "tree long, feature array<short>, bin array<short>, left array<int>, right array<int>, share array<double>"
     ).toArrow().sort_by("tree").combine_chunks()
     shared.destroy()
     feature, place, left, right, share = (
         t.column(c).combine_chunks().flatten().to_numpy() for c in ("feature", "bin", "left", "right", "share"))
     sizes = np.array([len(x) for x in t.column("feature")])
     roots = np.cumsum(sizes) - sizes
-    start = np.repeat(roots, sizes)
+    start = np.repeat(roots, sizes).astype(np.int32)
     return ForestNodes(roots, feature, place, start + left, start + right, share)
 
 
@@ -340,11 +353,23 @@ class CellForestModel(Model):
     def __init__(self, bins: Bins, nodes, features: str, size: tuple[int, int]):
         super().__init__()
         self.bins, self.nodes, self.features, self.size = bins, nodes, features, size
+        self.shared = []
+
+    def _share(self, spark):
+        """The nodes as a broadcast, made once."""
+        if not self.shared:
+            self.shared.append(spark.sparkContext.broadcast(self.nodes))
+        return self.shared[0]
+
+    def release(self) -> None:
+        """Drop what scoring has left on the executors' disks; tables scored before cannot be read any more."""
+        while self.shared:
+            self.shared.pop().destroy()
 
     def scores(self, rows: DataFrame, reads: Sequence[tuple[int, int]], label: str = "label") -> DataFrame:
         """``label, n, scores``: the probabilities for each (trees, depth) of ``n`` rows with the same bins."""
         spark, bins = rows.sparkSession, self.bins
-        nodes = spark.sparkContext.broadcast(self.nodes)
+        nodes = self._share(spark)
         cells = keyed_rows(rows, self.features, bins, label).groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
         schema = pa.schema([("label", pa.int32()), ("n", pa.int64()), ("scores", pa.list_(pa.float64()))])
 
@@ -360,7 +385,7 @@ class CellForestModel(Model):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         ship_package(dataset.sparkSession)
-        nodes, bins, reads = dataset.sparkSession.sparkContext.broadcast(self.nodes), self.bins, [self.size]
+        nodes, bins, reads = self._share(dataset.sparkSession), self.bins, [self.size]
 
         @F.pandas_udf("double")
         def score(x: pd.Series) -> pd.Series:

@@ -252,6 +252,8 @@ def search_results(results: ResultTable, settings: Sequence[dict], fits: Sequenc
             scores = forest_scores(*made, [(t, d) for _, t, d in fits[n].reads])
             rows = known.join(rank_auc_by(scores, "read", n="n").select("read", "auc"), "read", "left")
         results.write(names[job], rows.drop("read"))
+        if made is not None and isinstance(made[0], CellForestModel):
+            made[0].release()
 
     run_jobs(spark, [j for j in names if not results.finished(names[j])], work, parallelism)
     return results.read(list(names.values()))
